@@ -145,3 +145,394 @@ def q_feat_date_split(spark, sf):
     from tabfit.functions.dates import split_date_parts
     s = S.sales(spark, sf)
     return s.select("rowId", *[big(v).alias(k) for k, v in split_date_parts("date").items()])
+
+
+# ==================================================================== encoders
+def _freq_vocab_sql(col: str, src: str) -> str:
+    return (f"SELECT {col} AS value, row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS idx "
+            f"FROM {src} GROUP BY {col}")
+
+
+@register("enc_string_index", f"""
+WITH v AS ({_freq_vocab_sql('p_brand', 'part')})
+SELECT p_partkey, p_brand, CAST(idx AS BIGINT) AS brandIndex FROM part JOIN v ON p_brand = v.value""")
+def q_enc_string_index(spark, sf):
+    from tabfit.operators.encode import FrequencyIndexer
+    part = S.table(spark, sf, "part").select("p_partkey", "p_brand")
+    m = FrequencyIndexer(["p_brand"], ["brandIndex"]).fit(part)
+    return m.transform(part).select("p_partkey", "p_brand", big("brandIndex").alias("brandIndex"))
+
+
+def _census_index_sql() -> str:
+    from tabfit.plans.frames import CENSUS_CATEGORICAL
+    ctes = [f"c AS ({S.CENSUS_SQL})"]
+    joins, outs = [], []
+    for i, col in enumerate(CENSUS_CATEGORICAL):
+        ctes.append(f"v{i} AS ({_freq_vocab_sql(col, 'c')})")
+        joins.append(f"JOIN v{i} ON c.{col} = v{i}.value")
+        outs.append(f"CAST(v{i}.idx AS BIGINT) AS {col}Idx")
+    return (f"WITH {', '.join(ctes)}\nSELECT orderKey, lineNumber, {', '.join(outs)}\n"
+            f"FROM c {' '.join(joins)}")
+
+
+@register("enc_string_index_multi", _census_index_sql())
+def q_enc_string_index_multi(spark, sf):
+    from tabfit.operators.encode import FrequencyIndexer
+    from tabfit.plans.frames import CENSUS_CATEGORICAL
+    c = S.census(spark, sf)
+    outs = [x + "Idx" for x in CENSUS_CATEGORICAL]
+    m = FrequencyIndexer(CENSUS_CATEGORICAL, outs).fit(c)
+    return m.transform(c).select("orderKey", "lineNumber", *[big(o).alias(o) for o in outs])
+
+
+def _first_seen_sql(col: str, src: str, order: str = "passengerId") -> str:
+    return (f"SELECT CAST({col} AS VARCHAR) AS value, "
+            f"row_number() OVER (ORDER BY min({order})) - 1 AS idx FROM {src} GROUP BY {col}")
+
+
+@register("enc_vocab_first_seen", "WITH p AS (" + S.PASSENGERS_SQL + ")\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, value, CAST(idx AS BIGINT) AS index FROM ({_first_seen_sql(c, 'p')})"
+    for c in ["pClass", "sex", "cabin", "embarked"]))
+def q_enc_vocab_first_seen(spark, sf):
+    from tabfit.operators.encode import FirstSeenVocab
+    p = S.passengers(spark, sf)
+    m = FirstSeenVocab(["pClass", "sex", "cabin", "embarked"], "passengerId").fit(p)
+    return m.vocab.select(F.col("column").alias("feature"), "value", big("index").alias("index"))
+
+
+_EMPTY_SQL = {"pClass": "pClass = -1", "sex": "sex = ''", "cabin": "cabin = ''",
+              "embarked": "embarked = ''"}
+
+
+def _onehot_sql(extra_select: str = "") -> str:
+    cols = ["pClass", "sex", "cabin", "embarked"]
+    ctes = ["p AS (" + S.PASSENGERS_SQL + ")"]
+    ctes += [f"v_{c} AS ({_first_seen_sql(c, 'p')})" for c in cols]
+    hot = [f"CAST(CASE WHEN {_EMPTY_SQL[c]} THEN -1 ELSE v_{c}.idx END AS BIGINT) AS {c}Hot"
+           for c in cols]
+    width = " + ".join(f"(SELECT count(*) FROM v_{c})" for c in cols)
+    joins = " ".join(f"JOIN v_{c} ON CAST(p.{c} AS VARCHAR) = v_{c}.value" for c in cols)
+    return (f"WITH {', '.join(ctes)}\nSELECT passengerId, {', '.join(hot)}, "
+            f"CAST({width} AS BIGINT) AS width{extra_select}\nFROM p {joins}")
+
+
+def _hot_position(c):
+    # 0-based slot holding the 1, or -1 for an all-zero (empty) encoding
+    return (F.array_position(F.col(c), 1.0) - 1).cast("bigint")
+
+
+@register("enc_onehot", _onehot_sql())
+def q_enc_onehot(spark, sf):
+    from tabfit.operators.encode import OneHot
+    cols = ["pClass", "sex", "cabin", "embarked"]
+    p = S.passengers(spark, sf)
+    m = OneHot(cols, "passengerId",
+               empty_values={"pClass": -1.0, "sex": "", "cabin": "", "embarked": ""}).fit(p)
+    r = m.transform(p)
+    width = sum(m.width(c) for c in cols)
+    return r.select("passengerId", *[_hot_position(c + "Vec").alias(c + "Hot") for c in cols],
+                    F.lit(width).cast("bigint").alias("width"))
+
+
+def _std_sql_exprs(cols):
+    out = []
+    for c in cols:
+        m = f"CASE WHEN {c} <> -1 THEN {c} END"
+        out.append(f"round(({c} - (SELECT avg({m}) FROM p)) / (SELECT stddev_pop({m}) FROM p), 4) AS {c}Std")
+    return out
+
+
+@register("feat_standardize", "WITH p AS (" + S.PASSENGERS_SQL + ")\nSELECT passengerId, "
+          + ", ".join(_std_sql_exprs(["age", "sibsp", "parch", "fare"])) + " FROM p")
+def q_feat_standardize(spark, sf):
+    from tabfit.operators.stats import Standardizer
+    cols = ["age", "sibsp", "parch", "fare"]
+    p = S.passengers(spark, sf)
+    r = Standardizer(cols, -1.0).fit(p).transform(p, suffix="Std")
+    return r.select("passengerId", *[r4(c + "Std").alias(c + "Std") for c in cols])
+
+
+@register("feat_standardize_inline", "WITH p AS (" + S.PASSENGERS_SQL + ")\nSELECT passengerId, "
+          + ", ".join(_std_sql_exprs(["age", "sibsp", "parch", "fare"])) + " FROM p")
+def q_feat_standardize_inline(spark, sf):
+    from tabfit.operators.stats import standardize_inline
+    cols = ["age", "sibsp", "parch", "fare"]
+    r = standardize_inline(S.passengers(spark, sf), cols, -1.0, suffix="Std")
+    return r.select("passengerId", *[r4(c + "Std").alias(c + "Std") for c in cols])
+
+
+# ============================================================== feature frames
+@register("feat_drop", f"""
+WITH {JOINED_SQL}
+SELECT rowId, storeId, CAST(daysOfWeek AS BIGINT) AS daysOfWeek, CAST(open AS BIGINT) AS open,
+       CAST(promo AS BIGINT) AS promo, CAST(promo2 AS BIGINT) AS promo2
+FROM j""")
+def q_feat_drop(spark, sf):
+    from tabfit.plans.frames import SALES_DROP, sales_joined
+    j = sales_joined(S.sales(spark, sf), S.stores(spark, sf)).drop(*SALES_DROP)
+    return j.select(*[big(c).alias(c) for c in j.columns])
+
+
+def _sales_features_sql() -> str:
+    from tabfit.plans.frames import SALES_CATEGORICAL
+    ctes = [JOINED_SQL.strip()]
+    ctes.append("""f AS (SELECT *, CAST(split_part(date, '-', 1) AS INTEGER) AS year,
+        CAST(split_part(date, '-', 2) AS INTEGER) AS month, CAST(split_part(date, '-', 3) AS INTEGER) AS day,
+        ln(sales) AS logSales,
+        CASE WHEN competitionDistance > 0 THEN competitionDistance
+             ELSE (SELECT avg(competitionDistance) FROM j) END AS tcd FROM j)""")
+    joins, outs = [], []
+    for i, col in enumerate(SALES_CATEGORICAL):
+        ctes.append(f"v{i} AS ({_freq_vocab_sql(col, 'f')})")
+        joins.append(f"JOIN v{i} ON f.{col} = v{i}.value")
+        outs.append(f"CAST(v{i}.idx AS BIGINT) AS {col}Index")
+    return (f"WITH {', '.join(ctes)}\nSELECT rowId, storeId, CAST(daysOfWeek AS BIGINT) AS daysOfWeek, "
+            "CAST(open AS BIGINT) AS open, CAST(promo AS BIGINT) AS promo, CAST(promo2 AS BIGINT) AS promo2, "
+            "CAST(day AS BIGINT) AS day, CAST(month AS BIGINT) AS month, CAST(year AS BIGINT) AS year, "
+            "round(logSales, 4) AS logSales, round(tcd, 4) AS transformedCompetitionDistance, "
+            f"{', '.join(outs)}, "
+            "CAST(CASE WHEN logSales > (SELECT avg(logSales) FROM f) THEN 0 ELSE 1 END AS BIGINT) AS label, "
+            "CAST(14 AS BIGINT) AS nFeatures, "
+            "round(storeId + daysOfWeek + promo + competitionDistance + promo2 + day + month + year + tcd"
+            f" + {' + '.join(f'v{i}.idx' for i in range(len(SALES_CATEGORICAL)))}, 2) AS featureSum\n"
+            f"FROM f {' '.join(joins)}")
+
+
+def _vec_summary(col="features"):
+    from pyspark.ml.functions import vector_to_array
+    a = vector_to_array(F.col(col))
+    return a
+
+
+@register("feat_sales", _sales_features_sql())
+def q_feat_sales(spark, sf):
+    from tabfit.plans.frames import SALES_CATEGORICAL, sales_features
+    r = sales_features(S.sales(spark, sf), S.stores(spark, sf))
+    a = _vec_summary()
+    return r.select(
+        "rowId", "storeId", *[big(c).alias(c) for c in
+                              ["daysOfWeek", "open", "promo", "promo2", "day", "month", "year"]],
+        r4("logSales").alias("logSales"),
+        r4("transformedCompetitionDistance").alias("transformedCompetitionDistance"),
+        *[big(c + "Index").alias(c + "Index") for c in SALES_CATEGORICAL],
+        big("label").alias("label"), F.size(a).cast("bigint").alias("nFeatures"),
+        F.round(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x), 2).alias("featureSum"))
+
+
+def _census_features_sql() -> str:
+    from tabfit.plans.frames import CENSUS_CATEGORICAL
+    base = _census_index_sql()
+    head, sel = base.rsplit("\nSELECT ", 1)
+    cols, frm = sel.split("\nFROM ", 1)
+    feat = ("c.age + v0.idx + c.fnlwgt + v1.idx + c.educationNum + v2.idx + v3.idx + v4.idx + v5.idx"
+            " + v6.idx + c.capitalGain + c.capitalLoss + c.hoursPerWeek + v7.idx")
+    return (f"{head}\nSELECT {cols}, CAST(c.age AS BIGINT) AS age, CAST(c.fnlwgt AS BIGINT) AS fnlwgt, "
+            "CAST(c.educationNum AS BIGINT) AS educationNum, CAST(c.capitalGain AS BIGINT) AS capitalGain, "
+            "CAST(c.capitalLoss AS BIGINT) AS capitalLoss, CAST(c.hoursPerWeek AS BIGINT) AS hoursPerWeek, "
+            f"CAST(14 AS BIGINT) AS nFeatures, round(CAST({feat} AS DOUBLE), 2) AS featureSum\nFROM {frm}")
+
+
+@register("feat_census", _census_features_sql())
+def q_feat_census(spark, sf):
+    from tabfit.plans.frames import CENSUS_CATEGORICAL, census_features
+    r = census_features(S.census(spark, sf))
+    a = _vec_summary()
+    ints = ["age", "fnlwgt", "educationNum", "capitalGain", "capitalLoss", "hoursPerWeek"]
+    return r.select("orderKey", "lineNumber", *[big(c + "Idx").alias(c + "Idx") for c in CENSUS_CATEGORICAL],
+                    *[big(c).alias(c) for c in ints], F.size(a).cast("bigint").alias("nFeatures"),
+                    F.round(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x), 2).alias("featureSum"))
+
+
+@register("feat_passenger", _onehot_sql(
+    ", CAST(survived AS BIGINT) AS label, "
+    + ", ".join(_std_sql_exprs(["age", "sibsp", "parch", "fare"]))))
+def q_feat_passenger(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    from tabfit.plans.frames import PASSENGER_ONEHOT, PASSENGER_SCALED, passenger_features
+    r = passenger_features(S.passengers(spark, sf))
+    a = vector_to_array(F.col("features"))
+    # read the hot slots and the scaled values back out of the assembled vector
+    offsets, out, start = {}, [], 0
+    widths = {c: F.size(F.col(c + "Vec")) for c in PASSENGER_ONEHOT}
+    pos = F.lit(0)
+    for c in PASSENGER_ONEHOT:
+        seg = F.slice(a, pos + 1, widths[c])
+        out.append((F.array_position(seg, 1.0) - 1).cast("bigint").alias(c + "Hot"))
+        pos = pos + widths[c]
+    width = pos
+    for i, c in enumerate(PASSENGER_SCALED):
+        out.append(F.round(F.element_at(a, width + 1 + i), 4).alias(c + "Std"))
+    return r.select("passengerId", *out, width.cast("bigint").alias("width"),
+                    big("label").alias("label"))
+
+
+_HOURLY_SLOTS_SQL = ["year(ts)", "month(ts)", "day(ts)", "hour(ts)", "dayofweek(ts) + 1", "season",
+                     "holiday", "workingDay", "weather", "temp", "atemp", "humidity", "windspeed"]
+
+
+@register("feat_hourly_vector", f"""
+WITH h AS (SELECT *, strptime(date, '%Y-%m-%d %H:%M:%S') AS ts FROM ({S.HOURLY_SQL}))
+SELECT rowId, {', '.join(f'round(CAST({e} AS DOUBLE), 4) AS s{i}' for i, e in enumerate(_HOURLY_SLOTS_SQL))},
+       CAST(count AS DOUBLE) AS label
+FROM h""")
+def q_feat_hourly_vector(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    from tabfit.plans.frames import hourly_features
+    r = hourly_features(S.hourly(spark, sf))
+    a = vector_to_array(F.col("features"))
+    return r.select("rowId", *[F.round(a[i], 4).alias(f"s{i}") for i in range(13)],
+                    F.col("label").cast("double").alias("label"))
+
+
+# ===================================================================== sources
+def _stage(spark, name):
+    from tabfit.session import staging_path
+    return staging_path(spark, name)
+
+
+@register("src_csv_roundtrip", f"""
+SELECT storeId, CAST(daysOfWeek AS BIGINT) AS daysOfWeek, date, round(sales, 4) AS sales,
+       CAST(customers AS BIGINT) AS customers, CAST(open AS BIGINT) AS open,
+       CAST(promo AS BIGINT) AS promo, stateHoliday, schoolHoliday
+FROM ({S.SALES_SQL}) s""")
+def q_src_csv_roundtrip(spark, sf):
+    from tabfit.sources.csv import read_csv, write_csv
+    from tabfit.sources.schemas import SALES
+    path = _stage(spark, "sales-csv")
+    write_csv(S.sales(spark, sf).drop("rowId"), path, header=True)
+    r = read_csv(spark, path, SALES, header=True, on_bad="fail")
+    return r.select("storeId", big("daysOfWeek").alias("daysOfWeek"), "date", r4("sales").alias("sales"),
+                    *[big(c).alias(c) for c in ["customers", "open", "promo"]],
+                    "stateHoliday", "schoolHoliday")
+
+
+@register("src_csv_quoted_list", f"""
+SELECT storeId, storeType, assortment, CAST(competitionDistance AS BIGINT) AS competitionDistance,
+       CAST(competitionOpenSinceMonth AS BIGINT) AS competitionOpenSinceMonth,
+       CAST(competitionOpenSinceYear AS BIGINT) AS competitionOpenSinceYear,
+       CAST(promo2 AS BIGINT) AS promo2, CAST(promo2SinceWeek AS BIGINT) AS promo2SinceWeek,
+       CAST(promo2SinceYear AS BIGINT) AS promo2SinceYear, promoInterval
+FROM ({S.STORES_SQL}) s""")
+def q_src_csv_quoted_list(spark, sf):
+    from tabfit.functions.sentinels import fill_sentinels
+    from tabfit.sources.csv import read_csv, write_csv
+    from tabfit.sources.schemas import STORE, STORE_SENTINELS
+    st = S.stores(spark, sf)
+    # sentinels are written as empty fields, as in the store file
+    st = st.select(*[F.when(F.col(c) != F.lit(STORE_SENTINELS[c]), F.col(c)).alias(c)
+                     if c in STORE_SENTINELS else F.col(c) for c in st.columns])
+    path = _stage(spark, "stores-csv")
+    write_csv(st, path, header=True)
+    r = fill_sentinels(read_csv(spark, path, STORE, header=True), STORE_SENTINELS)
+    ints = ["competitionDistance", "competitionOpenSinceMonth", "competitionOpenSinceYear",
+            "promo2", "promo2SinceWeek", "promo2SinceYear"]
+    return r.select("storeId", "storeType", "assortment", *[big(c).alias(c) for c in ints],
+                    "promoInterval")
+
+
+@register("src_sentinel_fill", f"""
+SELECT passengerId, CAST(survived AS BIGINT) AS survived, round(pClass, 4) AS pClass, sex,
+       round(age, 4) AS age, round(sibsp, 4) AS sibsp, round(parch, 4) AS parch,
+       round(fare, 4) AS fare, cabin, embarked
+FROM ({S.PASSENGERS_SQL}) p""")
+def q_src_sentinel_fill(spark, sf):
+    from tabfit.functions.sentinels import fill_sentinels
+    from tabfit.sources.csv import read_csv, write_csv
+    from tabfit.sources.schemas import PASSENGER, PASSENGER_SENTINELS
+    p = S.passengers(spark, sf)
+    p = p.select(*[F.when(F.col(c) != F.lit(PASSENGER_SENTINELS[c]), F.col(c)).alias(c)
+                   if c in PASSENGER_SENTINELS else F.col(c) for c in p.columns])
+    path = _stage(spark, "passengers-csv")
+    write_csv(p, path, header=False)
+    r = fill_sentinels(read_csv(spark, path, PASSENGER, header=False), PASSENGER_SENTINELS)
+    return r.select("passengerId", big("survived").alias("survived"),
+                    *[r4(c).alias(c) if c not in ("sex", "cabin", "embarked") else F.col(c)
+                      for c in ["pClass", "sex", "age", "sibsp", "parch", "fare", "cabin", "embarked"]])
+
+
+_BAD_KEY_SQL = "substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 1) = '0'"
+
+
+@register("src_bad_rows", f"""
+SELECT CASE WHEN {_BAD_KEY_SQL} THEN 'bad' ELSE 'good' END AS kind, o_orderstatus AS status,
+       count(*) AS n
+FROM orders GROUP BY 1, 2""")
+def q_src_bad_rows(spark, sf):
+    from tabfit.sources.csv import read_csv
+    from tabfit.sources.schemas import ORDERS_TEXT
+    o = S.table(spark, sf, "orders")
+    corrupt = F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 1) == "0"
+    key = F.when(corrupt, F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))) \
+        .otherwise(F.col("o_orderkey").cast("string"))
+    # census-style text: a blank after every comma
+    line = F.concat_ws(", ", key, F.col("o_custkey").cast("string"), "o_orderstatus",
+                       F.col("o_totalprice").cast("string"), "o_orderpriority")
+    path = _stage(spark, "orders-text")
+    o.select(line.alias("value")).write.text(path)
+    res = read_csv(spark, path, ORDERS_TEXT, on_bad="quarantine")
+    good = res.good.groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("good"))
+    bad = res.bad.groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("bad"))
+    return good.unionByName(bad).select("kind", "status", big("n").alias("n"))
+
+
+@register("src_libsvm_roundtrip", """
+SELECT 'one' AS reader, CAST(label AS DOUBLE) AS label,
+       round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total,
+       round(CAST(embedding[1] AS DOUBLE), 4) AS first, round(CAST(embedding[1] AS DOUBLE), 4) AS lead
+FROM embeddings
+UNION ALL
+SELECT 'raw' AS reader, CAST(label AS DOUBLE) AS label,
+       round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total,
+       round(CAST(embedding[1] AS DOUBLE), 4) AS first, 0.0 AS lead
+FROM embeddings""")
+def q_src_libsvm_roundtrip(spark, sf):
+    """Both readers over one libsvm file: 1-based (Spark's reader) and raw
+    indices (slot 0 stays empty, values sit one slot later)."""
+    from pyspark.ml.functions import vector_to_array
+    from tabfit.sources.libsvm import read_libsvm, write_libsvm
+    v = S.vectors(spark, sf)
+    path = _stage(spark, "vectors-libsvm")
+    write_libsvm(v, path, "label", "x", index_base=1)
+    a = vector_to_array(F.col("features"))
+    total = F.round(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), 4).alias("total")
+    one = read_libsvm(spark, path, 64, index_base=1).select(
+        F.lit("one").alias("reader"), "label", total, F.round(a[0], 4).alias("first"),
+        F.round(a[0], 4).alias("lead"))
+    raw = read_libsvm(spark, path, 65, index_base=0).select(
+        F.lit("raw").alias("reader"), "label", total, F.round(a[1], 4).alias("first"),
+        F.round(a[0], 4).alias("lead"))
+    return one.unionByName(raw)
+
+
+@register("label_optional", f"""
+SELECT date, CAST(-1.0 AS DOUBLE) AS label, CAST(count AS DOUBLE) AS labelPresent
+FROM ({S.HOURLY_SQL}) h""")
+def q_label_optional(spark, sf):
+    from tabfit.functions.sentinels import optional_label
+    from tabfit.sources.csv import read_csv, write_csv
+    from tabfit.sources.schemas import HOURLY
+    h = S.hourly(spark, sf).drop("rowId")
+    path = _stage(spark, "hourly-csv")
+    write_csv(h, path)
+    with_label = read_csv(spark, path, HOURLY)
+    # the same file read without ground truth: every label is the default
+    return with_label.select("date", optional_label("count", has_label=False).alias("label"),
+                             optional_label("count", has_label=True).alias("labelPresent"))
+
+
+@register("labeled_point", f"""
+WITH h AS (SELECT *, strptime(date, '%Y-%m-%d %H:%M:%S') AS ts FROM ({S.HOURLY_SQL}))
+SELECT CAST(count AS DOUBLE) AS label,
+       {', '.join(f'round(CAST({e} AS DOUBLE), 4) AS s{i}' for i, e in enumerate(_HOURLY_SLOTS_SQL))}
+FROM h""")
+def q_labeled_point(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    from tabfit.plans.extractors import HourlyExtractor
+    from tabfit.sources.csv import write_csv
+    path = _stage(spark, "hourly-lp")
+    write_csv(S.hourly(spark, sf).drop("rowId"), path)
+    lp = HourlyExtractor(spark).labeled_points(path, has_label=True)
+    a = vector_to_array(F.col("features"))
+    return lp.select("label", *[F.round(a[i], 4).alias(f"s{i}") for i in range(13)])

@@ -148,10 +148,10 @@ def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(nk == 24, -1.0).otherwise((nk % 3 + 1).cast("double")).alias("pClass"),
         F.when(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"), "male")
         .when(nk == 23, "").otherwise("female").alias("sex"),
-        F.when(F.col("c_acctbal") < 0, -1.0).otherwise(F.round(F.col("c_acctbal") / 100, 1)).alias("age"),
+        F.when(F.col("c_acctbal") < 0, -1.0).otherwise(F.col("c_acctbal") / 100).alias("age"),
         (nk % 4).cast("double").alias("sibsp"),
         F.when(nk == 22, -1.0).otherwise((nk % 3).cast("double")).alias("parch"),
-        F.when(F.col("c_acctbal") < 0, -1.0).otherwise(F.round(F.col("c_acctbal") / 10, 2)).alias("fare"),
+        F.when(F.col("c_acctbal") < 0, -1.0).otherwise(F.col("c_acctbal") / 10).alias("fare"),
         F.when(nk == 0, "").otherwise(F.concat(seg1, nk.cast("string"))).alias("cabin"),
         F.when(nk == 1, "").otherwise(seg1).alias("embarked"),
     )
@@ -163,10 +163,10 @@ SELECT c_custkey AS passengerId,
        CASE WHEN c_nationkey = 24 THEN -1.0 ELSE CAST(c_nationkey % 3 + 1 AS DOUBLE) END AS pClass,
        CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'male'
             WHEN c_nationkey = 23 THEN '' ELSE 'female' END AS sex,
-       CASE WHEN c_acctbal < 0 THEN -1.0 ELSE round(c_acctbal / 100, 1) END AS age,
+       CASE WHEN c_acctbal < 0 THEN -1.0 ELSE c_acctbal / 100 END AS age,
        CAST(c_nationkey % 4 AS DOUBLE) AS sibsp,
        CASE WHEN c_nationkey = 22 THEN -1.0 ELSE CAST(c_nationkey % 3 AS DOUBLE) END AS parch,
-       CASE WHEN c_acctbal < 0 THEN -1.0 ELSE round(c_acctbal / 10, 2) END AS fare,
+       CASE WHEN c_acctbal < 0 THEN -1.0 ELSE c_acctbal / 10 END AS fare,
        CASE WHEN c_nationkey = 0 THEN '' ELSE substr(c_mktsegment, 1, 1) || CAST(c_nationkey AS VARCHAR) END AS cabin,
        CASE WHEN c_nationkey = 1 THEN '' ELSE substr(c_mktsegment, 1, 1) END AS embarked
 FROM customer"""
@@ -185,9 +185,9 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(dow.isin(1, 7), 0).otherwise(1).alias("workingDay"),
         (F.col("user_id") % 4 + 1).cast("int").alias("weather"),
         F.col("value").alias("temp"),
-        F.round(F.col("value") * 1.1, 2).alias("atemp"),
+        (F.col("value") * 1.1).alias("atemp"),
         (F.col("user_id") % 100).cast("int").alias("humidity"),
-        F.round(F.col("value") / 3, 4).alias("windspeed"),
+        (F.col("value") / 3).alias("windspeed"),
         F.get_json_object("props", "$.k").cast("int").alias("count"),
     )
 
@@ -198,9 +198,9 @@ SELECT event_id AS rowId, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date,
        CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS holiday,
        CASE WHEN dayofweek(ts) IN (0, 6) THEN 0 ELSE 1 END AS workingDay,
        CAST(user_id % 4 + 1 AS INTEGER) AS weather,
-       value AS temp, round(value * 1.1, 2) AS atemp,
+       value AS temp, value * 1.1 AS atemp,
        CAST(user_id % 100 AS INTEGER) AS humidity,
-       round(value / 3, 4) AS windspeed,
+       value / 3 AS windspeed,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS count
 FROM events"""
 
