@@ -50,6 +50,8 @@ OBJECTIVES = ("reg:squarederror", "reg:linear", "binary:logistic", "binary:logit
 MAX_LEVEL_NODES = 1 << 16
 HESS_FLOOR = 1e-16
 MIN_GAIN = 1e-6
+# up to this many bin edges in total, bins are computed by CASE trees
+CASE_BIN_LIMIT = 1024
 
 
 @dataclass
@@ -360,9 +362,19 @@ class BoostTrainer:
         base = self._base_margin(x_df)
 
         def prepare(frame: DataFrame, set_name: str) -> DataFrame:
-            b = F.expr("array(" + ", ".join(
-                _bin_sql(f"coalesce(x[{i}], CAST('NaN' AS DOUBLE))", edges[i])
-                for i in range(n_feat)) + ")")
+            if sum(len(e) for e in edges) <= CASE_BIN_LIMIT:
+                # balanced CASE trees: compiled by whole-stage codegen
+                b = F.expr("array(" + ", ".join(
+                    _bin_sql(f"coalesce(x[{i}], CAST('NaN' AS DOUBLE))", edges[i])
+                    for i in range(n_feat)) + ")")
+            else:
+                # wide inputs: one higher-order function over an edge table literal
+                # (keeps the generated code small; linear in the bins per value)
+                lit = "array(" + ", ".join(
+                    "CAST(array(" + ", ".join(_dlit(v) for v in e) + ") AS ARRAY<DOUBLE>)"
+                    for e in edges) + ")"
+                b = F.expr(f"transform(x, (v, i) -> size(filter(element_at({lit}, i + 1), "
+                           f"e -> e <= coalesce(v, CAST('NaN' AS DOUBLE)))))")
             rid = F.col("rid") if "rid" in frame.columns else F.xxhash64("x", "y")
             return frame.select(F.lit(set_name).alias("set"), rid.alias("rid"), F.col("y"),
                                 b.alias("b"), F.array(*[F.lit(v) for v in base]).alias("m"))

@@ -536,3 +536,266 @@ def q_labeled_point(spark, sf):
     lp = HourlyExtractor(spark).labeled_points(path, has_label=True)
     a = vector_to_array(F.col("features"))
     return lp.select("label", *[F.round(a[i], 4).alias(f"s{i}") for i in range(13)])
+
+
+# ===================================================================== metrics
+@register("metric_rmsle", """
+SELECT l_returnflag AS set, 'rmsle' AS metric,
+       round(sqrt(avg(pow(ln(1 + greatest(l_extendedprice / 2000 - 5, 0)) - ln(1 + l_quantity), 2))), 4)
+         AS value
+FROM lineitem GROUP BY l_returnflag""")
+def q_metric_rmsle(spark, sf):
+    from tabfit.functions.metrics import rmsle
+    from tabfit.operators.evaluate import evaluate
+    li = S.table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("set"), (F.col("l_extendedprice") / 2000 - 5).alias("prediction"),
+        F.col("l_quantity").alias("label"))
+    return evaluate(li, rmsle, set_col="set").withColumn("value", r4("value"))
+
+
+_AUC_SRC = """SELECT o_orderstatus AS status, o_totalprice AS score,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS label FROM orders"""
+
+
+def _auc_sql(group: bool) -> str:
+    g = "status, " if group else ""
+    part = "PARTITION BY status " if group else ""
+    return f"""
+WITH s AS ({_AUC_SRC}),
+g AS (SELECT {g}score, sum(label) AS pos, sum(1 - label) AS neg FROM s GROUP BY {g}score),
+c AS (SELECT *, coalesce(sum(neg) OVER ({part}ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                        AND 1 PRECEDING), 0) AS nb FROM g)
+SELECT {g}round(sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)), 4) AS auc,
+       CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
+FROM c {'GROUP BY status' if group else ''}"""
+
+
+def _auc_input(spark, sf):
+    o = S.table(spark, sf, "orders")
+    return o.select(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("score"),
+                    F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), 1).otherwise(0)
+                    .alias("label"))
+
+
+@register("metric_auc", _auc_sql(False))
+def q_metric_auc(spark, sf):
+    from tabfit.operators.evaluate import auc
+    r = auc(_auc_input(spark, sf), "score", "label")
+    return r.select(r4("auc").alias("auc"), big("positives").alias("positives"),
+                    big("negatives").alias("negatives"))
+
+
+@register("metric_auc_grouped", _auc_sql(True))
+def q_metric_auc_grouped(spark, sf):
+    from tabfit.operators.evaluate import auc
+    r = auc(_auc_input(spark, sf), "score", "label", group_cols=["status"])
+    return r.select("status", r4("auc").alias("auc"), big("positives").alias("positives"),
+                    big("negatives").alias("negatives"))
+
+
+@register("metric_logloss", """
+WITH t AS (SELECT d.lang AS lang, l.quality AS y,
+                  1 / (1 + exp(-(ln(d.n_chars) - 7))) AS p
+           FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+c AS (SELECT lang, y, greatest(least(p, 1 - 1e-15), 1e-15) AS p FROM t)
+SELECT lang AS set, 'logloss' AS metric, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 4) AS value
+FROM c GROUP BY lang""")
+def q_metric_logloss(spark, sf):
+    from tabfit.functions.metrics import logloss
+    from tabfit.operators.evaluate import evaluate
+    lab = S.table(spark, sf, "labels")
+    doc = S.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    t = lab.join(doc, "doc_id").select(
+        F.col("lang").alias("set"), F.col("quality").alias("label"),
+        (F.lit(1.0) / (1 + F.exp(-(F.log(F.col("n_chars").cast("double")) - 7)))).alias("probability"))
+    return evaluate(t, logloss, "probability", "label", set_col="set").withColumn("value", r4("value"))
+
+
+def _mc_sql() -> str:
+    es = [f"CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(10)]
+    names = [f"e{i}" for i in range(10)]
+    total = " + ".join(f"exp(10 * ({n} - mx))" for n in names)
+    return f"""
+WITH t0 AS (SELECT label, {', '.join(f'{e} AS e{i}' for i, e in enumerate(es))},
+                   CAST(embedding[label + 1] AS DOUBLE) AS ey FROM embeddings),
+t AS (SELECT *, greatest({', '.join(names)}) AS mx FROM t0),
+u AS (SELECT label, exp(10 * (ey - mx)) / ({total}) AS py,
+             list_position([{', '.join(names)}], mx) - 1 AS pred FROM t)
+SELECT 'all' AS set, 'merror' AS metric,
+       round(avg(CASE WHEN pred <> label THEN 1.0 ELSE 0.0 END), 4) AS value FROM u
+UNION ALL
+SELECT 'all' AS set, 'mlogloss' AS metric,
+       round(avg(-ln(greatest(least(py, 1 - 1e-15), 1e-15))), 4) AS value FROM u"""
+
+
+@register("metric_multiclass", _mc_sql())
+def q_metric_multiclass(spark, sf):
+    from tabfit.functions.metrics import merror, mlogloss
+    from tabfit.operators.evaluate import evaluate
+    v = S.vectors(spark, sf)
+    e = F.slice("x", 1, 10)
+    mx = F.array_max(e)
+    ex = F.transform(e, lambda z: F.exp(10 * (z - mx)))
+    total = F.aggregate(ex, F.lit(0.0), lambda a, z: a + z)
+    scored = v.select("label", F.transform(ex, lambda z: z / total).alias("probabilities"),
+                      (F.array_position(e, mx) - 1).cast("double").alias("prediction"))
+    a = evaluate(scored, merror, "prediction", "label", set_name="all")
+    b = evaluate(scored, mlogloss, "probabilities", "label", set_name="all")
+    return a.unionByName(b).withColumn("value", r4("value"))
+
+
+@register("leaf_weights", """
+WITH t AS (SELECT CAST(floor(o_totalprice / 100000) AS INTEGER) AS leaf,
+                  CAST(0.5 AS DOUBLE) - CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END
+                    AS g,
+                  CAST(0.25 AS DOUBLE) AS h FROM orders),
+l AS (SELECT CAST(0.5 AS DOUBLE) AS lam UNION ALL SELECT CAST(1.0 AS DOUBLE) AS lam),
+s AS (SELECT leaf, sum(g) AS G, sum(h) AS H FROM t GROUP BY leaf)
+SELECT CAST(leaf AS BIGINT) AS leaf, lam AS lambda, round(G, 4) AS G, round(H, 4) AS H,
+       round(-G / (H + lam), 4) AS weight
+FROM s, l""")
+def q_leaf_weights(spark, sf):
+    from tabfit.operators.boosting import grad_hess, leaf_weights
+    o = S.table(spark, sf, "orders")
+    y = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), 1).otherwise(0)
+    g, h = grad_hess("binary:logistic", F.array(F.lit(0.0)), y)
+    t = o.select(F.floor(F.col("o_totalprice") / 100000).cast("int").alias("leaf"),
+                 g[0].alias("g"), h[0].alias("h"))
+    out = None
+    for lam in (0.5, 1.0):
+        w = leaf_weights(t, "leaf", "g", "h", lam).select(
+            big("leaf").alias("leaf"), F.lit(lam).alias("lambda"), r4("G").alias("G"),
+            r4("H").alias("H"), r4("weight").alias("weight"))
+        out = w if out is None else out.unionByName(w)
+    return out
+
+
+# ================================================= training, tuning, scoring
+def _sales_frame(spark, sf):
+    from tabfit.plans.frames import sales_features
+    return sales_features(S.sales(spark, sf), S.stores(spark, sf))
+
+
+def _train_binary(spark, sf, rounds=3, depth=4):
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.operators.tuning import hash_split
+    fr = _sales_frame(spark, sf)
+    train, test = hash_split(fr, "rowId", 0.8)
+    p = BoostParams(objective="binary:logistic", num_round=rounds, eta=0.3, max_depth=depth,
+                    subsample=0.8, seed=7)
+    model = BoostTrainer(p, features_col="features", label_col="label").fit(train)
+    return model, fr, test
+
+
+def flagship(spark, sf):
+    model, fr, test = _train_binary(spark, sf, rounds=3, depth=4)
+    return model.transform(test).select("rowId", "storeId", big("label").alias("label"),
+                                        "margin", "probability", "prediction")
+
+
+@register("train_binary")
+def q_train_binary(spark, sf):
+    return flagship(spark, sf)
+
+
+@register("train_regression")
+def q_train_regression(spark, sf):
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.operators.tuning import hash_split
+    from tabfit.plans.frames import hourly_features
+    fr = hourly_features(S.hourly(spark, sf))
+    train, test = hash_split(fr, "rowId", 0.8)
+    p = BoostParams(objective="reg:squarederror", num_round=3, eta=0.1, max_depth=6, subsample=0.8)
+    model = BoostTrainer(p, metric="rmsle").fit(train)
+    return model.transform(test).select("rowId", "label", "prediction")
+
+
+@register("metric_rmsle_model")
+def q_metric_rmsle_model(spark, sf):
+    """A trained regression model evaluated on a named set with RMSLE."""
+    from tabfit.functions.metrics import rmsle
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.operators.evaluate import evaluate
+    from tabfit.operators.tuning import hash_split
+    from tabfit.plans.frames import hourly_features
+    fr = hourly_features(S.hourly(spark, sf))
+    train, test = hash_split(fr, "rowId", 0.8)
+    model = BoostTrainer(BoostParams(objective="reg:squarederror", num_round=3, eta=0.1,
+                                     max_depth=6)).fit(train)
+    return evaluate(model.transform(test), rmsle, "prediction", "label", set_name="test")
+
+
+@register("train_margin")
+def q_train_margin(spark, sf):
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.plans.frames import passenger_features
+    fr = passenger_features(S.passengers(spark, sf))
+    p = BoostParams(objective="binary:logitraw", num_round=3, eta=0.1, max_depth=6)
+    model = BoostTrainer(p).fit(fr)
+    return model.transform(fr).select("passengerId", "label", "margin")
+
+
+@register("train_softprob")
+def q_train_softprob(spark, sf):
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    v = S.vectors(spark, sf)
+    p = BoostParams(objective="multi:softprob", num_class=10, num_round=2, eta=0.3, max_depth=3)
+    model = BoostTrainer(p, features_col="x", label_col="label").fit(v)
+    s = model.transform(v)
+    return s.select("rowId", "label", "prediction",
+                    F.array_max("probabilities").alias("probability"))
+
+
+@register("train_watch")
+def q_train_watch(spark, sf):
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.operators.tuning import hash_split
+    from tabfit.plans.frames import census_features
+    fr = census_features(S.census(spark, sf)).withColumn("key", F.concat_ws("-", "orderKey", "lineNumber"))
+    train, test = hash_split(fr, "key", 0.8)
+    p = BoostParams(objective="binary:logistic", num_round=3, eta=0.3, max_depth=4)
+    model = BoostTrainer(p, label_col="labelIdx").fit(train, watches={"test": test})
+    return model.history_frame(spark)
+
+
+@register("tune_tvs")
+def q_tune_tvs(spark, sf):
+    from tabfit.operators.boosting import BoostParams
+    from tabfit.operators.tuning import TrainValidationSplit, param_grid
+    fr = _sales_frame(spark, sf)
+    grid = param_grid(num_round=[2, 3], eta=[0.1, 0.4])
+    base = BoostParams(objective="binary:logistic", max_depth=3, subsample=0.8)
+    res = TrainValidationSplit(base, grid, key_col="rowId", train_ratio=0.8, parallelism=4).fit(fr)
+    return res.results(spark)
+
+
+@register("score_preview")
+def q_score_preview(spark, sf):
+    model, fr, test = _train_binary(spark, sf, rounds=2, depth=3)
+    # a preview is the feature here: the first 20 scored rows by key
+    return (model.transform(fr).orderBy("rowId").limit(20)
+            .select("rowId", "storeId", big("label").alias("label"), "probability", "prediction"))
+
+
+@register("score_saved_model")
+def q_score_saved_model(spark, sf):
+    from tabfit.operators.boosting import BoostModel
+    model, fr, test = _train_binary(spark, sf, rounds=2, depth=4)
+    path = _stage(spark, "model")
+    model.save(spark, path)
+    loaded = BoostModel.load(spark, path)
+    return loaded.transform(fr).select("rowId", "probability", "prediction")
+
+
+@register("score_tree_limit")
+def q_score_tree_limit(spark, sf):
+    model, fr, test = _train_binary(spark, sf, rounds=3, depth=3)
+    first = model.transform(fr, tree_limit=1).select("rowId", F.col("margin").alias("margin1"))
+    full = model.transform(fr, tree_limit=1000).select("rowId", F.col("margin").alias("marginAll"))
+    return first.join(full, "rowId")
+
+
+@register("model_dump")
+def q_model_dump(spark, sf):
+    model, fr, test = _train_binary(spark, sf, rounds=2, depth=3)
+    return model.nodes(spark)
