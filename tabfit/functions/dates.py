@@ -36,8 +36,9 @@ def split_date_parts(date_str, sep: str = "-") -> dict[str, Column]:
     positional split accepts; ``try_cast`` gives NULL instead of failing.
     """
     parts = F.split(_c(date_str), sep)
+    # F.get: NULL for a missing position instead of an ANSI error
     return {
-        "year": parts.getItem(0).try_cast("int"),
-        "month": parts.getItem(1).try_cast("int"),
-        "day": parts.getItem(2).try_cast("int"),
+        "year": F.get(parts, 0).try_cast("int"),
+        "month": F.get(parts, 1).try_cast("int"),
+        "day": F.get(parts, 2).try_cast("int"),
     }

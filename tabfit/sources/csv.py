@@ -2,8 +2,8 @@
 
 ``on_bad``:
 
-* ``"fail"``       - FAILFAST: the first malformed row fails the job that reads it.
-* ``"drop"``       - DROPMALFORMED: malformed rows are skipped silently.
+* ``"fail"``       - the first malformed row fails the job that reads it.
+* ``"drop"``       - malformed rows are skipped silently.
 * ``"quarantine"`` - every line parsed with ``from_csv`` (PERMISSIVE, with a
   corrupt-record field): returns the good rows and a report of the bad ones
   (raw text, cause, source file, parsable fields), both lazy.
@@ -29,51 +29,43 @@ class CsvRead:
     bad: DataFrame
 
 
-def _reader(spark: SparkSession, schema: StructType, header: bool, sep: str, mode: str,
-            trim: bool, quote: str):
-    r = (spark.read.schema(schema).option("header", str(header).lower()).option("sep", sep)
-         .option("quote", quote).option("escape", quote).option("mode", mode)
-         .option("ignoreLeadingWhiteSpace", str(trim).lower())
-         .option("ignoreTrailingWhiteSpace", str(trim).lower()))
-    return r
-
-
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = False,
              sep: str = ",", on_bad: str = "fail", trim: bool = True, quote: str = '"'):
-    """Read CSV text with ``schema``; see the module doc for ``on_bad``."""
-    if on_bad == "fail":
-        return _reader(spark, schema, header, sep, "FAILFAST", trim, quote).csv(path)
-    if on_bad == "drop":
-        return _reader(spark, schema, header, sep, "DROPMALFORMED", trim, quote).csv(path)
-    if on_bad != "quarantine":
+    """Read CSV text with ``schema``; see the module doc for ``on_bad``.
+
+    Returns a DataFrame for ``fail`` and ``drop``, a ``CsvRead`` for
+    ``quarantine``.
+    """
+    if on_bad not in ("fail", "drop", "quarantine"):
         raise ValueError(f"on_bad must be fail, drop or quarantine, not {on_bad!r}")
-    return _quarantine(spark, path, schema, header, sep, trim, quote)
+    res = _parse_lines(spark, path, schema, header, sep, trim, quote,
+                       "FAILFAST" if on_bad == "fail" else "PERMISSIVE")
+    return res if on_bad == "quarantine" else res.good
 
 
-def _quarantine(spark: SparkSession, path: str, schema: StructType, header: bool, sep: str,
-                trim: bool, quote: str) -> CsvRead:
+def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: bool, sep: str,
+                 trim: bool, quote: str, mode: str) -> CsvRead:
     """Lines are read as text and parsed with ``from_csv``.
 
-    The file source prunes unread columns and then only checks the fields a
-    query asks for, so "good" would depend on the consumer.  An expression
-    parses every field of every line, so good and bad split the lines
-    exactly, whatever is selected later.  (Records spanning lines are not
-    supported in this mode.)
+    The CSV file source prunes unread columns and then only validates the
+    fields a query asks for (a bare ``count()`` validates nothing), so "good"
+    would depend on the consumer.  An expression parses every field of every
+    line, so good and bad split the lines exactly, whatever is selected later.
+    (Records spanning several lines are not supported.)
     """
     names = [f.name for f in schema.fields]
     full = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep,
+    opts = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT, "sep": sep,
             "quote": quote, "escape": quote, "ignoreLeadingWhiteSpace": str(trim).lower(),
             "ignoreTrailingWhiteSpace": str(trim).lower()}
-    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-             .where(F.length(F.trim("value")) > 0))
-    if header:
-        as_text = StructType([StructField(n, StringType(), True) for n in names])
-        h = F.from_csv(F.col("value"), as_text.simpleString(), opts)
-        is_header = F.lit(True)
-        for n in names:
-            is_header = is_header & (F.lower(F.trim(h[n])) == F.lit(n.lower()))
-        lines = lines.where(~F.coalesce(is_header, F.lit(False)))
+    # Each line verbatim as one string column: the CSV source still skips the
+    # header of every file (first line of the first split) and blank lines.
+    lines = (spark.read.schema("value string").option("header", str(header).lower())
+             .option("sep", "\u0001").option("quote", "").option("enforceSchema", "true")
+             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+             .csv(path)
+             .select("value", F.col("_metadata.file_path").alias("file"))
+             .where(F.col("value").isNotNull() & (F.length(F.trim("value")) > 0)))
     parsed = lines.select("value", "file", F.from_csv(F.col("value"), full.simpleString(), opts).alias("r"))
     bad_flag = F.col("r").getField(CORRUPT).isNotNull() | F.col("r").isNull()
     good = parsed.where(~bad_flag).select(*[F.col("r").getField(n).alias(n) for n in names])
