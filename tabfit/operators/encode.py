@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +34,10 @@ def _stack_values(df: DataFrame, cols: list[str], extra: list[Column] | None = N
     return df.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
 
 
-def _number_within_column(vocab: DataFrame, order_cols: list[str]) -> DataFrame:
+def _number_within_column(vocab: DataFrame, order_cols: list[str],
+                          n_rows: int | None = None) -> DataFrame:
     """Global index over (column, order...) minus the first index of each column."""
-    ranked = global_index(vocab, ["column", *order_cols], index_col="_g")
+    ranked = global_index(vocab, ["column", *order_cols], index_col="_g", n_rows=n_rows)
     starts = ranked.groupBy("column").agg(F.min("_g").alias("_start"))  # one row per column
     return (ranked.join(F.broadcast(starts), "column")
             .withColumn("index", (F.col("_g") - F.col("_start")).cast("long"))
@@ -47,6 +49,18 @@ def _materialise(spark, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _fit_vocab(stats: DataFrame, order_cols: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Rank the per-value statistics (one pass over the data, kept in memory
+    while the small ranking jobs run), then store the vocabulary reliably."""
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["column"]: r["n"] for r in
+             stats.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    vocab = _materialise(stats.sparkSession,
+                         _number_within_column(stats, order_cols, n_rows=sum(sizes.values())))
+    stats.unpersist()
+    return vocab, sizes
+
+
 @dataclass
 class VocabModel:
     """A fitted vocabulary: ``vocab`` has (column, value, index, ...)."""
@@ -95,17 +109,18 @@ class FrequencyIndexer:
         self.handle_invalid = handle_invalid
         self.max_broadcast_rows = max_broadcast_rows
 
+    def counts(self, df: DataFrame) -> DataFrame:
+        """(column, value, count, _neg): one aggregation for all columns."""
+        return (_stack_values(df, self.input_cols).where(F.col("value").isNotNull())
+                .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+                .withColumn("_neg", -F.col("count")))
+
     def vocabulary(self, df: DataFrame) -> DataFrame:
-        counts = (_stack_values(df, self.input_cols).where(F.col("value").isNotNull())
-                  .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
-        return _number_within_column(counts.withColumn("_neg", -F.col("count")),
-                                     ["_neg", "value"]).drop("_neg")
+        return _number_within_column(self.counts(df), ["_neg", "value"]).drop("_neg")
 
     def fit(self, df: DataFrame) -> VocabModel:
-        vocab = _materialise(df.sparkSession, self.vocabulary(df))
-        sizes = {r["column"]: r["n"] for r in
-                 vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return VocabModel(self.input_cols, self.output_cols, vocab, sizes,
+        vocab, sizes = _fit_vocab(self.counts(df), ["_neg", "value"])
+        return VocabModel(self.input_cols, self.output_cols, vocab.drop("_neg"), sizes,
                           self.handle_invalid, self.max_broadcast_rows)
 
 
@@ -121,19 +136,20 @@ class FirstSeenVocab:
         self.handle_invalid = handle_invalid
         self.max_broadcast_rows = max_broadcast_rows
 
+    def firsts(self, df: DataFrame) -> DataFrame:
+        """(column, value, first_seen, _isnull): one aggregation for all columns;
+        NULL values form their own category (a value like any other)."""
+        return (_stack_values(df, self.input_cols, [F.col(self.order_col).alias("_o")])
+                .groupBy("column", "value").agg(F.min("_o").alias("first_seen"))
+                .withColumn("_isnull", F.col("value").isNull()))
+
     def vocabulary(self, df: DataFrame) -> DataFrame:
-        firsts = (_stack_values(df, self.input_cols, [F.col(self.order_col).alias("_o")])
-                  .groupBy("column", "value").agg(F.min("_o").alias("first_seen")))
-        # NULL values form their own category (a value like any other)
-        return _number_within_column(
-            firsts.withColumn("_isnull", F.col("value").isNull()),
-            ["first_seen", "_isnull", "value"]).drop("_isnull")
+        return _number_within_column(self.firsts(df),
+                                     ["first_seen", "_isnull", "value"]).drop("_isnull")
 
     def fit(self, df: DataFrame) -> VocabModel:
-        vocab = _materialise(df.sparkSession, self.vocabulary(df))
-        sizes = {r["column"]: r["n"] for r in
-                 vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return VocabModel(self.input_cols, self.output_cols, vocab, sizes,
+        vocab, sizes = _fit_vocab(self.firsts(df), ["first_seen", "_isnull", "value"])
+        return VocabModel(self.input_cols, self.output_cols, vocab.drop("_isnull"), sizes,
                           self.handle_invalid, self.max_broadcast_rows)
 
 
