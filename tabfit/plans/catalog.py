@@ -799,3 +799,20 @@ def q_score_tree_limit(spark, sf):
 def q_model_dump(spark, sf):
     model, fr, test = _train_binary(spark, sf, rounds=2, depth=3)
     return model.nodes(spark)
+
+
+# =================================================================== streaming
+@register("score_stream")
+def q_score_stream(spark, sf):
+    """The sales frame lands as files; a streaming query scores every file
+    with the trained model; the scored rows are read back from the sink."""
+    from tabfit.streaming.scoring import score_files
+    model, fr, test = _train_binary(spark, sf, rounds=2, depth=3)
+    src = _stage(spark, "stream-in")
+    fr.select("rowId", "features").repartition(4).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    sink, ckpt = _stage(spark, "stream-out"), _stage(spark, "stream-ckpt")
+    q = score_files(spark, model, src, schema, sink, ckpt, keep_cols=["rowId"],
+                    max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("rowId", "probability", "prediction")
