@@ -52,6 +52,9 @@ HESS_FLOOR = 1e-16
 MIN_GAIN = 1e-6
 # up to this many bin edges in total, bins are computed by CASE trees
 CASE_BIN_LIMIT = 1024
+# a level's histogram (classes x open nodes x features x bins) up to this many
+# rows is fetched and searched locally; beyond it, windows search it in Spark
+LOCAL_SPLIT_MAX_ROWS = 1 << 20
 
 
 @dataclass
@@ -311,6 +314,72 @@ def _bin_sql(v: str, edges: list[float]) -> str:
     return build(0, len(edges))
 
 
+def _gain_terms(GL, HL, Gt, Ht, lam):
+    GR, HR = Gt - GL, Ht - HL
+    return GR, HR, GL ** 2 / (HL + lam) + GR ** 2 / (HR + lam) - Gt ** 2 / (Ht + lam)
+
+
+def _best_splits_spark(hist: DataFrame, lam: float, mcw: float) -> list[dict]:
+    """Best split per (class, node) with window functions (any histogram size)."""
+    # one exchange on (class, node) serves both windows below
+    hist = hist.repartition("k", "node")
+    wc = Window.partitionBy("k", "node", "f").orderBy("bin").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    wt = Window.partitionBy("k", "node", "f")
+    s = hist.select("k", "node", "f", "bin",
+                    F.sum("G").over(wc).alias("GL"), F.sum("H").over(wc).alias("HL"),
+                    F.sum("G").over(wt).alias("Gt"), F.sum("H").over(wt).alias("Ht"))
+    GR, HR, gain = _gain_terms(F.col("GL"), F.col("HL"), F.col("Gt"), F.col("Ht"), F.lit(lam))
+    s = s.withColumns({"GR": GR, "HR": HR})
+    ok = ((F.col("HL") >= mcw) & (F.col("HR") >= mcw) & (F.col("HL") > 0) & (F.col("HR") > 0))
+    s = s.withColumn("gain", F.when(ok, gain))
+    best = Window.partitionBy("k", "node").orderBy(
+        F.col("gain").desc_nulls_last(), F.col("f"), F.col("bin"))
+    top = (s.withColumn("rk", F.row_number().over(best)).where(F.col("rk") == 1)
+           .select("k", "node", "f", "bin", "gain", "GL", "HL", "GR", "HR", "Gt", "Ht"))
+    return [r.asDict() for r in top.collect()]  # at most classes * 2^d rows
+
+
+def _best_splits_local(hist: DataFrame, lam: float, mcw: float) -> list[dict]:
+    """Same result as ``_best_splits_spark`` for a histogram whose size is
+    bounded by the caller (classes x open nodes x features x bins)."""
+    import numpy as np
+    pdf = hist.toArrow().to_pandas()
+    if pdf.empty:
+        return []
+    pdf = pdf.sort_values(["k", "node", "f", "bin"], kind="mergesort")
+    grp = pdf.groupby(["k", "node", "f"], sort=False)
+    pdf["GL"] = grp["G"].cumsum()
+    pdf["HL"] = grp["H"].cumsum()
+    pdf["Gt"] = grp["G"].transform("sum")
+    pdf["Ht"] = grp["H"].transform("sum")
+    GR, HR, gain = _gain_terms(pdf["GL"], pdf["HL"], pdf["Gt"], pdf["Ht"], lam)
+    pdf["GR"], pdf["HR"] = GR, HR
+    ok = (pdf["HL"] >= mcw) & (pdf["HR"] >= mcw) & (pdf["HL"] > 0) & (pdf["HR"] > 0)
+    pdf["gain"] = np.where(ok, gain, np.nan)
+    pdf["_neg"] = -pdf["gain"].fillna(-np.inf)
+    top = (pdf.sort_values(["k", "node", "_neg", "f", "bin"], kind="mergesort")
+           .drop_duplicates(["k", "node"], keep="first"))
+    out = []
+    for r in top.itertuples(index=False):
+        out.append({"k": int(r.k), "node": int(r.node), "f": int(r.f), "bin": int(r.bin),
+                    "gain": None if np.isnan(r.gain) else float(r.gain),
+                    "GL": float(r.GL), "HL": float(r.HL), "GR": float(r.GR), "HR": float(r.HR),
+                    "Gt": float(r.Gt), "Ht": float(r.Ht)})
+    return out
+
+
+@dataclass
+class Prepared:
+    """Quantised rows (set, rid, y, b) shared by fits, plus the bin edges."""
+    state: DataFrame
+    edges: list[list[float]]
+    n_feat: int
+
+    def release(self) -> None:
+        self.state.unpersist()
+
+
 class BoostTrainer:
     """Fit a ``BoostModel``.  Features come from a vector / array column
     (``features_col``) or a list of numeric columns (``feature_cols``)."""
@@ -340,7 +409,7 @@ class BoostTrainer:
             edges.append(sorted(set(vals)))
         return edges
 
-    def _base_margin(self, df_y: DataFrame) -> list[float]:
+    def _base_margin(self, _unused=None) -> list[float]:
         p = self.params
         k = p.classes()
         if p.objective.startswith("binary:"):
@@ -350,53 +419,73 @@ class BoostTrainer:
             return [0.0] * k
         return [p.base_score]
 
-    def fit(self, df: DataFrame, watches: dict[str, DataFrame] | None = None) -> BoostModel:
-        p = self.params
-        k = p.classes()
+    def prepare(self, df: DataFrame, watches: dict[str, DataFrame] | None = None,
+                set_col: Column | None = None) -> "Prepared":
+        """Quantise the rows once: one quantile pass, one binning projection,
+        one reliable checkpoint.  Rows are tagged ``set`` = "train" (or the
+        value of ``set_col``) and, for each watch frame, its name.  Several
+        fits (a parameter grid) can share the result."""
         spark = df.sparkSession
         shared_dir(spark)
         x_df = df.select(self._x(df).alias("x"), F.col(self.label_col).cast("double").alias("y"),
+                         (set_col if set_col is not None else F.lit("train")).alias("set"),
                          *([F.col(self.id_col).alias("rid")] if self.id_col else []))
         n_feat = x_df.select(F.size("x")).first()[0]  # one value
         edges = self._edges(x_df, n_feat)
-        base = self._base_margin(x_df)
-
-        def prepare(frame: DataFrame, set_name: str) -> DataFrame:
-            if sum(len(e) for e in edges) <= CASE_BIN_LIMIT:
-                # balanced CASE trees: compiled by whole-stage codegen
-                b = F.expr("array(" + ", ".join(
-                    _bin_sql(f"coalesce(x[{i}], CAST('NaN' AS DOUBLE))", edges[i])
-                    for i in range(n_feat)) + ")")
-            else:
-                # wide inputs: one higher-order function over an edge table literal
-                # (keeps the generated code small; linear in the bins per value)
-                lit = "array(" + ", ".join(
-                    "CAST(array(" + ", ".join(_dlit(v) for v in e) + ") AS ARRAY<DOUBLE>)"
-                    for e in edges) + ")"
-                b = F.expr(f"transform(x, (v, i) -> size(filter(element_at({lit}, i + 1), "
-                           f"e -> e <= coalesce(v, CAST('NaN' AS DOUBLE)))))")
+
+        if sum(len(e) for e in edges) <= CASE_BIN_LIMIT:
+            # balanced CASE trees: compiled by whole-stage codegen
+            b = F.expr("array(" + ", ".join(
+                _bin_sql(f"coalesce(x[{i}], CAST('NaN' AS DOUBLE))", edges[i])
+                for i in range(n_feat)) + ")")
+        else:
+            # wide inputs: one higher-order function over an edge table literal
+            # (keeps the generated code small; linear in the bins per value)
+            lit = "array(" + ", ".join(
+                "CAST(array(" + ", ".join(_dlit(v) for v in e) + ") AS ARRAY<DOUBLE>)"
+                for e in edges) + ")"
+            b = F.expr(f"transform(x, (v, i) -> size(filter(element_at({lit}, i + 1), "
+                       f"e -> e <= coalesce(v, CAST('NaN' AS DOUBLE)))))")
+
+        def quantise(frame: DataFrame) -> DataFrame:
             rid = F.col("rid") if "rid" in frame.columns else F.xxhash64("x", "y")
-            return frame.select(F.lit(set_name).alias("set"), rid.alias("rid"), F.col("y"),
-                                b.alias("b"), F.array(*[F.lit(v) for v in base]).alias("m"))
+            return frame.select("set", rid.alias("rid"), "y", b.alias("b"))
 
-        parts = [prepare(x_df, "train")]
+        state = quantise(x_df)
         for name, w in (watches or {}).items():
-            wx = w.select(self._x(w).alias("x"), F.col(self.label_col).cast("double").alias("y"))
-            parts.append(prepare(wx, name))
-        state = parts[0]
-        for extra in parts[1:]:
-            state = state.unionByName(extra)
-        # Quantised copy of the training (and watch) rows in the shared folder:
-        # later plans start from a scan of it instead of re-analysing the
-        # binning expressions, and a lost executor re-reads it.
+            wx = w.select(self._x(w).alias("x"), F.col(self.label_col).cast("double").alias("y"),
+                          F.lit(name).alias("set"))
+            state = state.unionByName(quantise(wx))
+        # Quantised copy of the rows in the shared folder: later plans start
+        # from a scan of it instead of re-analysing the binning expressions,
+        # and a lost executor re-reads it instead of the source.
         state = state.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+        return Prepared(state, edges, n_feat)
 
-        model = BoostModel(p, n_feat, base, [], [], self.features_col, self.feature_cols)
-        track = bool(watches)
+    def fit(self, df: DataFrame, watches: dict[str, DataFrame] | None = None) -> BoostModel:
+        prep = self.prepare(df, watches)
+        try:
+            return self.fit_prepared(prep, track=bool(watches))
+        finally:
+            prep.release()
+
+    def fit_prepared(self, prep: "Prepared", train_sets: tuple[str, ...] = ("train",),
+                     track: bool = False, keep_state: bool = False):
+        """Boost on a prepared state.  Rows whose ``set`` is in ``train_sets``
+        grow the trees; every row's margin is updated, so the metric of every
+        set can be tracked per round (``track``).  With ``keep_state`` the final
+        (persisted) state with margins ``m`` is returned alongside the model."""
+        p = self.params
+        k = p.classes()
+        edges = prep.edges
+        base = self._base_margin(None)
+        model = BoostModel(p, prep.n_feat, base, [], [], self.features_col, self.feature_cols)
+        state = prep.state.withColumn("m", F.array(*[F.lit(v) for v in base]))
+        in_train = F.col("set").isin(*train_sets)
         prev = None
         for r in range(p.num_round):
             g, h = grad_hess(p.objective, F.col("m"), F.col("y"), k)
-            rows = state.where(F.col("set") == "train").select("rid", "b", g.alias("g"), h.alias("h"))
+            rows = state.where(in_train).select("rid", "b", g.alias("g"), h.alias("h"))
             if p.subsample < 1.0:
                 u = (F.xxhash64(F.col("rid"), F.lit(r), F.lit(p.seed)).bitwiseAND(F.lit(0x7FFFFFFF))
                      / F.lit(float(0x80000000)))
@@ -416,10 +505,14 @@ class BoostTrainer:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
             if track:
                 model.history.extend(self._metrics(nxt, r))
-            prev, state = state, nxt
-        for s_ in (prev, state):
-            if s_ is not None:
-                s_.unpersist()
+            prev = state if r > 0 else None  # never release the shared prepared state
+            state = nxt
+        if prev is not None:
+            prev.unpersist()
+        if keep_state:
+            return model, state
+        if p.num_round > 0:
+            state.unpersist()
         return model
 
     def _metrics(self, state: DataFrame, r: int) -> list[tuple]:
@@ -448,30 +541,22 @@ class BoostTrainer:
             node = F.expr("array(" + ", ".join(_partial_tree_sql(splits[c], "b")
                                                for c in range(k)) + ")")
             t = rows.select(node.alias("node"), "g", "h", "b")
+            if d > 0:
+                # rows that already sit in a leaf of every class tree do no more work
+                t = t.where(F.array_max("node") >= first)
             t = t.select(F.posexplode(F.arrays_zip("node", "g", "h")).alias("k", "s"), "b")
             t = t.select("k", F.col("s.node").alias("node"), F.col("s.g").alias("g"),
                          F.col("s.h").alias("h"), F.posexplode("b").alias("f", "bin"))
             t = t.where(F.col("node") >= first)
             hist = t.groupBy("k", "node", "f", "bin").agg(F.sum("g").alias("G"), F.sum("h").alias("H"))
-            # one exchange on (class, node) serves both windows below
-            hist = hist.repartition("k", "node")
-            wc = Window.partitionBy("k", "node", "f").orderBy("bin").rowsBetween(
-                Window.unboundedPreceding, Window.currentRow)
-            wt = Window.partitionBy("k", "node", "f")
-            s = hist.select("k", "node", "f", "bin",
-                            F.sum("G").over(wc).alias("GL"), F.sum("H").over(wc).alias("HL"),
-                            F.sum("G").over(wt).alias("Gt"), F.sum("H").over(wt).alias("Ht"))
-            s = s.withColumns({"GR": F.col("Gt") - F.col("GL"), "HR": F.col("Ht") - F.col("HL")})
-            gain = (F.col("GL") ** 2 / (F.col("HL") + lam) + F.col("GR") ** 2 / (F.col("HR") + lam)
-                    - F.col("Gt") ** 2 / (F.col("Ht") + lam))
-            ok = ((F.col("HL") >= p.min_child_weight) & (F.col("HR") >= p.min_child_weight)
-                  & (F.col("HL") > 0) & (F.col("HR") > 0))
-            s = s.withColumn("gain", F.when(ok, gain))
-            best = Window.partitionBy("k", "node").orderBy(
-                F.col("gain").desc_nulls_last(), F.col("f"), F.col("bin"))
-            top = (s.withColumn("rk", F.row_number().over(best)).where(F.col("rk") == 1)
-                   .select("k", "node", "f", "bin", "gain", "GL", "HL", "GR", "HR", "Gt", "Ht"))
-            chosen = top.collect()  # at most classes * 2^d rows (bounded by validate())
+            n_open = sum(max(1, len(o or {})) if d > 0 else 1 for o in open_nodes)
+            bound = n_open * len(edges) * (max((len(e) for e in edges), default=0) + 1)
+            if bound <= LOCAL_SPLIT_MAX_ROWS:
+                # the level's histogram is bounded by the parameters: fetch it
+                # (Arrow) and pick the splits with vectorised numpy
+                chosen = _best_splits_local(hist, lam, p.min_child_weight)
+            else:
+                chosen = _best_splits_spark(hist, lam, p.min_child_weight)
             if not chosen:
                 break
             any_split = False

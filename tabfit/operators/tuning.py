@@ -11,12 +11,11 @@ import itertools
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabfit.operators.boosting import BoostModel, BoostParams, BoostTrainer
-from tabfit.operators.evaluate import auc_value
+from tabfit.operators.evaluate import auc
 
 
 def param_grid(**axes) -> list[dict]:
@@ -62,33 +61,59 @@ class TuningResult:
 
 
 class TrainValidationSplit:
-    """Fit every grid point on the train part, score AUC on the validation
-    part, keep the best, refit it on all rows.  Grid points run as concurrent
-    Spark jobs (``parallelism`` threads)."""
+    """Fit every grid point on the train part, score the validation part,
+    keep the best, refit it on all rows.
+
+    The rows are quantised once (one quantile pass, one checkpoint) and every
+    grid point boosts on that shared copy; validation rows ride along in the
+    same state, so their margins come for free.  Grid points run as
+    concurrent Spark jobs (``parallelism`` threads).  ``evaluator`` is "auc"
+    (higher is better) or a metric name from ``functions.metrics`` (lower is
+    better).
+    """
 
     def __init__(self, base: BoostParams, grid: list[dict], key_col: str,
                  train_ratio: float = 0.8, features_col: str = "features",
-                 label_col: str = "label", parallelism: int = 4, refit: bool = True):
+                 label_col: str = "label", parallelism: int = 4, refit: bool = True,
+                 evaluator: str = "auc"):
         self.base, self.grid, self.key_col = base, grid, key_col
         self.train_ratio, self.features_col, self.label_col = train_ratio, features_col, label_col
-        self.parallelism, self.refit = parallelism, refit
+        self.parallelism, self.refit, self.evaluator = parallelism, refit, evaluator
+        if any("max_bins" in g for g in grid):
+            raise ValueError("max_bins cannot vary inside one grid: the rows are binned once")
 
     def _trainer(self, params: BoostParams) -> BoostTrainer:
         return BoostTrainer(params, features_col=self.features_col, label_col=self.label_col)
 
+    def _score(self, params: BoostParams, state: DataFrame) -> float:
+        valid = state.where(F.col("set") == "valid")
+        if self.evaluator == "auc":
+            # AUC only depends on the order of the scores: the margin will do
+            return auc(valid.select(F.col("m")[0].alias("s"), "y"), "s", "y").first()["auc"]
+        from tabfit.functions.metrics import METRICS
+        from tabfit.operators.boosting import scored_columns
+        m = METRICS[self.evaluator]
+        cols = scored_columns(params.objective, F.col("m"), params.classes())
+        return valid.agg(m(cols.get(m.reads, cols["prediction"]), F.col("y"))).first()[0]
+
     def fit(self, df: DataFrame) -> TuningResult:
-        data = df.persist(StorageLevel.MEMORY_AND_DISK)
-        train, valid = hash_split(data, self.key_col, self.train_ratio)
+        split = F.when(in_train(self.key_col, self.train_ratio), "train").otherwise("valid")
+        prep = self._trainer(self.base).prepare(df, set_col=split)
 
         def run(point: dict) -> float:
-            model = self._trainer(self.base.replace(**point)).fit(train)
-            return auc_value(model.transform(valid), "probability" if
-                             self.base.objective == "binary:logistic" else "margin", self.label_col)
+            params = self.base.replace(**point)
+            _, state = self._trainer(params).fit_prepared(prep, ("train",), keep_state=True)
+            try:
+                return self._score(params, state)
+            finally:
+                state.unpersist()
 
         with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
             metrics = list(pool.map(run, self.grid))
-        best = max(range(len(metrics)), key=lambda i: (metrics[i], -i))
+        sign = 1 if self.evaluator == "auc" else -1
+        best = max(range(len(metrics)), key=lambda i: (sign * metrics[i], -i))
         best_params = self.base.replace(**self.grid[best])
-        model = self._trainer(best_params).fit(data if self.refit else train)
-        data.unpersist()
+        sets = ("train", "valid") if self.refit else ("train",)
+        model = self._trainer(best_params).fit_prepared(prep, sets)
+        prep.release()
         return TuningResult(model, best, self.grid, metrics)

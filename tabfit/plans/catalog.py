@@ -766,7 +766,7 @@ def q_tune_tvs(spark, sf):
     grid = param_grid(num_round=[2, 3], eta=[0.1, 0.4])
     base = BoostParams(objective="binary:logistic", max_depth=3, subsample=0.8)
     res = TrainValidationSplit(base, grid, key_col="rowId", train_ratio=0.8, parallelism=4).fit(fr)
-    return res.results(spark)
+    return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
 
 
 @register("score_preview")

@@ -123,3 +123,33 @@ def test_train_validation_split(spark, sales):
     best = max(r, key=lambda x: x["validation_auc"])
     assert best["is_best"]
     assert res.transform(sales).count() == sales.count()
+
+
+def test_prepared_state_matches_scoring(spark, sales):
+    """Validation AUC read off the shared quantised state equals the AUC of
+    scoring the validation rows with the fitted model."""
+    from tabfit.operators.tuning import in_train
+    tr = BoostTrainer(BoostParams(objective="binary:logistic", num_round=2, eta=0.3, max_depth=3))
+    prep = tr.prepare(sales, set_col=F.when(in_train("rowId", 0.8), "train").otherwise("valid"))
+    model, state = tr.fit_prepared(prep, ("train",), keep_state=True)
+    a = auc(state.where(F.col("set") == "valid").select(F.col("m")[0].alias("s"), "y"), "s", "y").first()["auc"]
+    _, valid = hash_split(sales, "rowId", 0.8)
+    b = auc_value(model.transform(valid), "probability", "label")
+    state.unpersist()
+    prep.release()
+    assert a == pytest.approx(b, abs=1e-12)
+
+
+def test_local_and_spark_split_search_agree(spark):
+    from tabfit.operators.boosting import _best_splits_local, _best_splits_spark
+    import random
+    rnd = random.Random(3)
+    rows = [(k, n, f, b, rnd.uniform(-5, 5), rnd.uniform(0.5, 3))
+            for k in range(2) for n in (3, 4, 5) for f in range(4) for b in range(6)]
+    hist = spark.createDataFrame(rows, "k int, node int, f int, bin int, G double, H double")
+    a = sorted(_best_splits_local(hist, 1.0, 1.0), key=lambda r: (r["k"], r["node"]))
+    b = sorted(_best_splits_spark(hist, 1.0, 1.0), key=lambda r: (r["k"], r["node"]))
+    assert [(r["k"], r["node"], r["f"], r["bin"]) for r in a] == \
+           [(r["k"], r["node"], r["f"], r["bin"]) for r in b]
+    for x, y in zip(a, b):
+        assert x["gain"] == pytest.approx(y["gain"]) and x["Gt"] == pytest.approx(y["Gt"])
