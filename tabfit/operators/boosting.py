@@ -178,7 +178,8 @@ class Tree:
         if binned:
             cond = f"{x}[{f}] <= {b}"
         else:
-            cond = f"coalesce(CAST({x}[{f}] AS DOUBLE), CAST('NaN' AS DOUBLE)) < {_dlit(thr)}"
+            # ``x`` holds no NULLs (see BoostModel._x); NaN < t is false: NaN goes right
+            cond = f"{x}[{f}] < {_dlit(thr)}"
         return (f"CASE WHEN {cond} THEN {self.sql(x, binned, 2 * node + 1)} "
                 f"ELSE {self.sql(x, binned, 2 * node + 2)} END")
 
@@ -227,11 +228,14 @@ class BoostModel:
     feature_cols: list[str] | None = None
 
     def _x(self, df: DataFrame) -> Column:
+        """Features as array<double> without NULLs (a NULL becomes NaN)."""
+        nan = F.lit(float("nan"))
         if self.feature_cols:
-            return F.array(*[F.col(c).cast("double") for c in self.feature_cols])
+            return F.array(*[F.coalesce(F.col(c).cast("double"), nan) for c in self.feature_cols])
         dt = df.schema[self.features_col].dataType
         if isinstance(dt, ArrayType):
-            return F.col(self.features_col).cast("array<double>")
+            return F.transform(F.col(self.features_col).cast("array<double>"),
+                               lambda v: F.coalesce(v, nan))
         from pyspark.ml.functions import vector_to_array
         return vector_to_array(F.col(self.features_col))
 
@@ -386,12 +390,15 @@ class BoostTrainer:
 
     def __init__(self, params: BoostParams | None = None, features_col: str = "features",
                  label_col: str = "label", feature_cols: list[str] | None = None,
-                 id_col: str | None = None, metric: Metric | str | None = None):
+                 id_col: str | None = None, metric: Metric | str | None = None,
+                 num_features: int | None = None):
         self.params = (params or BoostParams()).validate()
         self.features_col = features_col
         self.label_col = label_col
         self.feature_cols = feature_cols
         self.id_col = id_col
+        # known width (e.g. the feature_cols list) saves a look at the first row
+        self.num_features = num_features or (len(feature_cols) if feature_cols else None)
         m = metric or self.params.eval_metric or default_metric(self.params.objective)
         self.metric = METRICS[m] if isinstance(m, str) else m
 
@@ -430,7 +437,7 @@ class BoostTrainer:
         x_df = df.select(self._x(df).alias("x"), F.col(self.label_col).cast("double").alias("y"),
                          (set_col if set_col is not None else F.lit("train")).alias("set"),
                          *([F.col(self.id_col).alias("rid")] if self.id_col else []))
-        n_feat = x_df.select(F.size("x")).first()[0]  # one value
+        n_feat = self.num_features or x_df.select(F.size("x")).first()[0]  # one value
         edges = self._edges(x_df, n_feat)
 
         if sum(len(e) for e in edges) <= CASE_BIN_LIMIT:
