@@ -45,15 +45,17 @@ class TuningResult:
     best_index: int
     grid: list[dict]
     metrics: list[float]
+    base: BoostParams | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.best_model.transform(df)
 
     def results(self, spark: SparkSession) -> DataFrame:
         rows = []
+        base = self.base or BoostParams()
         for i, (g, m) in enumerate(zip(self.grid, self.metrics)):
-            rows.append((i, float(g.get("eta", 0.0)), int(g.get("num_round", 0)),
-                         int(g.get("max_depth", 0)), float(g.get("reg_lambda", 0.0)),
+            e = base.replace(**g)  # the parameters the grid point actually used
+            rows.append((i, float(e.eta), int(e.num_round), int(e.max_depth), float(e.reg_lambda),
                          float(m), i == self.best_index))
         return spark.createDataFrame(
             rows, "combo int, eta double, num_round int, max_depth int, reg_lambda double, "
@@ -116,4 +118,4 @@ class TrainValidationSplit:
         sets = ("train", "valid") if self.refit else ("train",)
         model = self._trainer(best_params).fit_prepared(prep, sets)
         prep.release()
-        return TuningResult(model, best, self.grid, metrics)
+        return TuningResult(model, best, self.grid, metrics, self.base)

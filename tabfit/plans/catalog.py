@@ -816,3 +816,94 @@ def q_score_stream(spark, sf):
                     max_files_per_trigger=1)
     q.awaitTermination()
     return spark.read.parquet(sink).select("rowId", "probability", "prediction")
+
+
+# ============================================== the reference apps end to end
+@register("tune_sales_scored")
+def q_tune_sales_scored(spark, sf):
+    """Store sales: 2x2 grid (rounds x eta), 0.8 split by key, best model refit
+    on all rows and applied to the same frame (as the sales app does)."""
+    from tabfit.operators.boosting import BoostParams
+    from tabfit.operators.tuning import TrainValidationSplit, param_grid
+    fr = _sales_frame(spark, sf)
+    base = BoostParams(objective="binary:logistic", max_depth=6, subsample=0.8,
+                       eval_metric="logloss")
+    res = TrainValidationSplit(base, param_grid(num_round=[2, 3], eta=[0.1, 0.4]),
+                               key_col="rowId").fit(fr)
+    return res.transform(fr).select("rowId", big("label").alias("label"), "probability",
+                                    "prediction")
+
+
+@register("tune_census_lambda")
+def q_tune_census_lambda(spark, sf):
+    """Census rows: eta {0.1, 0.6} x lambda {0.5, 1}, label = indexed income class."""
+    from tabfit.operators.boosting import BoostParams
+    from tabfit.operators.tuning import TrainValidationSplit, param_grid
+    from tabfit.plans.frames import census_features
+    fr = census_features(S.census(spark, sf)).withColumn(
+        "key", F.concat_ws("-", "orderKey", "lineNumber"))
+    base = BoostParams(objective="binary:logistic", num_round=3, max_depth=4)
+    res = TrainValidationSplit(base, param_grid(eta=[0.1, 0.6], reg_lambda=[0.5, 1.0]),
+                               key_col="key", label_col="labelIdx").fit(fr)
+    return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
+
+
+@register("tune_passenger_margin")
+def q_tune_passenger_margin(spark, sf):
+    """Passengers: raw-margin objective, rounds x eta grid, 0.8 split."""
+    from tabfit.operators.boosting import BoostParams
+    from tabfit.operators.tuning import TrainValidationSplit, param_grid
+    from tabfit.plans.frames import passenger_features
+    fr = passenger_features(S.passengers(spark, sf))
+    base = BoostParams(objective="binary:logitraw", max_depth=6)
+    res = TrainValidationSplit(base, param_grid(num_round=[2, 3], eta=[0.1, 0.4]),
+                               key_col="passengerId").fit(fr)
+    return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
+
+
+@register("train_libsvm_scored")
+def q_train_libsvm_scored(spark, sf):
+    """libsvm rows read with their indices as written, 5 rounds at eta 1 and
+    depth 6, test rows scored; the first 2000 by label and score are shown."""
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.sources.libsvm import libsvm_line, read_libsvm
+    v = S.vectors(spark, sf)
+    # a binary label for the vectors: class 5 and above
+    lines = v.select(F.col("rowId"), libsvm_line(F.when(F.col("label") >= 5, 1.0).otherwise(0.0),
+                                                 F.col("x"), index_base=1).alias("value"))
+    train_path, test_path = _stage(spark, "libsvm-train"), _stage(spark, "libsvm-test")
+    split = F.substring(F.md5(F.col("rowId").cast("string")), 1, 2) < "cd"
+    lines.where(split).select("value").write.text(train_path)
+    lines.where(~split).select("value").write.text(test_path)
+    train = read_libsvm(spark, train_path, 65, index_base=0)
+    test = read_libsvm(spark, test_path, 65, index_base=0)
+    model = BoostTrainer(BoostParams(objective="binary:logistic", num_round=5, eta=1.0,
+                                     max_depth=6)).fit(train)
+    scored = model.transform(test).select("label", "probability", "prediction")
+    # a preview of up to 2000 scored rows is the feature here
+    return scored.orderBy("label", "probability").limit(2000)
+
+
+@register("train_watch_multiclass")
+def q_train_watch_multiclass(spark, sf):
+    """10-class softprob, depth 3, eta 0.3, with a caller-named metric on the
+    training set after every round."""
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    v = S.vectors(spark, sf)
+    p = BoostParams(objective="multi:softprob", num_class=10, num_round=2, eta=0.3, max_depth=3)
+    model = BoostTrainer(p, features_col="x", metric="merror").fit(v, watches={"train": v})
+    return model.history_frame(spark)
+
+
+@register("train_watch_rmsle")
+def q_train_watch_rmsle(spark, sf):
+    """Hourly regression (eta 0.1, depth 6, subsample 0.8) with the custom
+    RMSLE metric on the test set after every round."""
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.operators.tuning import hash_split
+    from tabfit.plans.frames import hourly_features
+    fr = hourly_features(S.hourly(spark, sf))
+    train, test = hash_split(fr, "rowId", 0.8)
+    p = BoostParams(objective="reg:squarederror", num_round=3, eta=0.1, max_depth=6, subsample=0.8)
+    model = BoostTrainer(p, metric="rmsle").fit(train, watches={"test": test})
+    return model.history_frame(spark)
