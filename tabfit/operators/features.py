@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabfit.operators.stats import mean_of
@@ -17,23 +17,24 @@ def keep_positive(df: DataFrame, *cols: str) -> DataFrame:
     return df.where(cond)
 
 
-def impute_non_positive(df: DataFrame, col: str, out: str) -> DataFrame:
-    """``out`` = col where col > 0, else the mean of col over ``df``.
+def impute_non_positive(df: DataFrame, col: str, out: str, mean: Column | None = None) -> DataFrame:
+    """``out`` = col where col > 0, else the mean of col over ``df`` (or the
+    given scalar ``mean``).
 
     The mean is taken over all rows of ``df``, sentinels included, exactly as
     a plain average of the column would be.
     """
-    m = mean_of(df, col)
+    m = mean if mean is not None else mean_of(df, col)
     return df.withColumn(out, F.when(F.col(col) > 0, F.col(col).cast("double")).otherwise(m))
 
 
 def label_above_mean(df: DataFrame, col: str, out: str = "label",
                      above: int = 0, otherwise: int = 1,
-                     over: DataFrame | None = None) -> DataFrame:
+                     over: DataFrame | None = None, mean: Column | None = None) -> DataFrame:
     """Binary label around the global mean of ``col`` (taken over ``over``,
-    default ``df``); by default a value above the mean is labelled 0 and the
-    rest 1."""
-    m = mean_of(over if over is not None else df, col)
+    default ``df``, or the given scalar ``mean``); by default a value above
+    the mean is labelled 0 and the rest 1."""
+    m = mean if mean is not None else mean_of(over if over is not None else df, col)
     return df.withColumn(out, F.when(F.col(col) > m, F.lit(above)).otherwise(F.lit(otherwise)))
 
 

@@ -27,6 +27,16 @@ def masked_moments(df: DataFrame, cols: list[str], sentinel=-1.0) -> DataFrame:
     return df.agg(*aggs)
 
 
+def means_of(df: DataFrame, cols: list) -> dict[str, Column]:
+    """Global means of several columns from ONE scalar subquery (one pass);
+    returns {name: Column}."""
+    names = [c if isinstance(c, str) else f"_m{i}" for i, c in enumerate(cols)]
+    exprs = [F.avg((F.col(c) if isinstance(c, str) else c).cast("double")).alias(n)
+             for c, n in zip(cols, names)]
+    sub = df.select(F.struct(*exprs).alias("s")).scalar()
+    return {n: sub.getField(n) for n in names}
+
+
 def mean_of(df: DataFrame, col) -> Column:
     """The global mean of ``col`` over ``df`` as a scalar-subquery Column."""
     c = F.col(col) if isinstance(col, str) else col

@@ -18,7 +18,7 @@ from tabfit.operators.encode import FrequencyIndexer, OneHot
 from tabfit.operators.features import (assemble, impute_non_positive, keep_positive,
                                        label_above_mean)
 from tabfit.operators.joins import join_dimension
-from tabfit.operators.stats import Standardizer
+from tabfit.operators.stats import Standardizer, means_of
 
 # Feature order of the sales frame.
 SALES_FEATURES = ["storeId", "daysOfWeek", "promo", "competitionDistance", "promo2", "day",
@@ -57,15 +57,18 @@ def sales_features(sales: DataFrame, stores: DataFrame, with_vector: bool = True
     ds = sales_joined(sales, stores)
     ds = ds.withColumns(split_date_parts("date"))
     ds = ds.withColumn("logSales", F.log(F.col("sales").cast("double")))
-    ds = impute_non_positive(ds, "competitionDistance", "transformedCompetitionDistance")
+    # both global means (imputation, label threshold) from one scalar subquery
+    means = means_of(ds, ["competitionDistance", "logSales"])
+    ds = impute_non_positive(ds, "competitionDistance", "transformedCompetitionDistance",
+                             mean=means["competitionDistance"])
     # one multi-column fit (one aggregation) instead of one job per column
     idx = FrequencyIndexer(SALES_CATEGORICAL).fit(ds)
     r = idx.transform(ds)
     if with_vector:
         r = assemble(r, SALES_FEATURES)
     r = r.drop(*SALES_DROP)
-    # same rows as ds (the indexers keep every row), so take the mean there
-    return label_above_mean(r, "logSales", "label", over=ds.select("logSales"))
+    # same rows as ds (the indexers keep every row), so the mean taken there holds
+    return label_above_mean(r, "logSales", "label", mean=means["logSales"])
 
 
 # -------------------------------------------------------------------- census
