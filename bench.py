@@ -50,6 +50,15 @@ def main() -> None:
         state["model"], state["frame"] = model, fr
         return elapsed / p.num_round  # seconds per boosting round
 
+    def mllib_round():
+        # reference point: Spark's built-in GBT on the same frame and depth
+        from pyspark.ml.classification import GBTClassifier
+        fr = state["frame"]
+        t = time.time()
+        GBTClassifier(maxIter=5, maxDepth=6, stepSize=0.3, subsamplingRate=0.8, maxBins=64,
+                      seed=7).fit(fr)
+        return (time.time() - t) / 5
+
     def score():
         model, fr = state["model"], state["frame"]
         t = time.time()
@@ -82,6 +91,7 @@ def main() -> None:
         ("src_bad_rows", q("src_bad_rows"), runs),
         ("fit_round_binary", fit_rounds, max(1, runs - 1)),
         ("score_model", score, runs),
+        ("mllib_gbt_round_binary", mllib_round, 1),
         ("tune_tvs_2x2", tune, 1),
     ]
     out = {}

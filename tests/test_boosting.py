@@ -153,3 +153,14 @@ def test_local_and_spark_split_search_agree(spark):
            [(r["k"], r["node"], r["f"], r["bin"]) for r in b]
     for x, y in zip(a, b):
         assert x["gain"] == pytest.approx(y["gain"]) and x["Gt"] == pytest.approx(y["Gt"])
+
+
+def test_routed_scoring_equals_case_expression(spark, sales):
+    """Scoring by node tables equals the exported nested-CASE SQL of the model."""
+    p = BoostParams(objective="binary:logistic", num_round=3, eta=0.3, max_depth=4)
+    m = BoostTrainer(p).fit(sales)
+    from pyspark.ml.functions import vector_to_array
+    a = m.transform(sales).select("rowId", "margin").orderBy("rowId").collect()
+    via_sql = (sales.withColumn("_x", vector_to_array("features"))
+               .select("rowId", F.expr(m.margin_sql("_x"))[0].alias("margin")).orderBy("rowId").collect())
+    assert [r["margin"] for r in a] == pytest.approx([r["margin"] for r in via_sql], abs=1e-12)
