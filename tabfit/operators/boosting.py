@@ -52,8 +52,6 @@ HESS_FLOOR = 1e-16
 MIN_GAIN = 1e-6
 # up to this many bin edges in total, bins are computed by CASE trees
 CASE_BIN_LIMIT = 1024
-# trees routed per projection (see _route)
-ROUTE_CHUNK = 8
 # a level's histogram (classes x open nodes x features x bins) up to this many
 # rows is fetched and searched locally; beyond it, windows search it in Spark
 LOCAL_SPLIT_MAX_ROWS = 1 << 20
@@ -185,15 +183,6 @@ class Tree:
         return (f"CASE WHEN {cond} THEN {self.sql(x, binned, 2 * node + 1)} "
                 f"ELSE {self.sql(x, binned, 2 * node + 2)} END")
 
-    def arrays(self, size: int) -> tuple[list[int], list[int], list[float], list[float]]:
-        """Heap-indexed node tables: feature (-1 at a leaf), bin, threshold, leaf value."""
-        feat, bins, thr, val = [-1] * size, [0] * size, [0.0] * size, [0.0] * size
-        for n, (f, b, t, _, _) in self.splits.items():
-            feat[n], bins[n], thr[n] = f, b, t
-        for n, (v, _) in self.leaves.items():
-            val[n] = v
-        return feat, bins, thr, val
-
     def rows(self, tree_id: int) -> list[tuple]:
         out = []
         for n, (f, b, thr, gain, cover) in self.splits.items():
@@ -227,44 +216,6 @@ def _partial_tree_sql(splits: dict[int, tuple], x: str, node: int = 0) -> str:
             f"ELSE {_partial_tree_sql(splits, x, 2 * node + 2)} END")
 
 
-def _int_array_sql(vals: list[int]) -> str:
-    return "CAST(array(" + ", ".join(str(int(v)) for v in vals) + ") AS ARRAY<INT>)"
-
-
-def _dbl_array_sql(vals: list[float]) -> str:
-    return "CAST(array(" + ", ".join(_dlit(v) for v in vals) + ") AS ARRAY<DOUBLE>)"
-
-
-def _route(df: DataFrame, tables: list[tuple[str, str]], steps: int, x: str, binned: bool,
-           prefix: str) -> tuple[DataFrame, list[str]]:
-    """Walk every tree ``steps`` levels down, one projection per level.
-
-    ``tables`` holds, per tree, SQL array literals (feature per node, -1 at a
-    leaf; cut per node: a bin for binned features, a threshold for raw ones).
-    Array literals reach generated code by reference, so the code of a step
-    depends only on the number of trees, not on their contents: it is
-    compiled once and reused across levels, rounds and models.  Each step
-    stays a separate projection (a node id is used several times, so Catalyst
-    does not inline it), which keeps the code per step small.
-    """
-    names = [f"{prefix}{i}" for i in range(len(tables))]
-    cmp = "<=" if binned else "<"
-    if not tables:
-        return df, names
-    df = df.withColumns({n: F.lit(0) for n in names})
-    pairs = list(zip(names, tables))
-    for _ in range(steps):
-        # at most ROUTE_CHUNK trees per projection: whole-stage codegen gives
-        # each projection its own method, which must stay under 64 KB
-        for i in range(0, len(pairs), ROUTE_CHUNK):
-            df = df.withColumns({
-                n: F.expr(f"CASE WHEN {feat}[{n}] < 0 THEN {n} "
-                          f"WHEN {x}[{feat}[{n}]] {cmp} {cut}[{n}] THEN 2 * {n} + 1 "
-                          f"ELSE 2 * {n} + 2 END")
-                for n, (feat, cut) in pairs[i:i + ROUTE_CHUNK]})
-    return df, names
-
-
 # -------------------------------------------------------------------- model
 @dataclass
 class BoostModel:
@@ -288,25 +239,7 @@ class BoostModel:
         from pyspark.ml.functions import vector_to_array
         return vector_to_array(F.col(self.features_col))
 
-    def _add_margin(self, df: DataFrame, x: str, out: str, tree_limit: int | None = None) -> DataFrame:
-        """``out`` = margin array; trees walked with node tables (see ``_route``)."""
-        k = self.params.classes()
-        trees = [t for t in self.trees if tree_limit is None or t.round < tree_limit]
-        size = (1 << (self.params.max_depth + 1)) - 1
-        tabs, vals = [], []
-        for t in trees:
-            feat, _, thr, val = t.arrays(max(size, max(list(t.splits) + list(t.leaves) + [0]) + 1))
-            tabs.append((_int_array_sql(feat), _dbl_array_sql(thr)))
-            vals.append(_dbl_array_sql(val))
-        r, names = _route(df, tabs, self.params.max_depth, x, binned=False, prefix="_nd")
-        sums = [[_dlit(self.base_margin[i])] for i in range(k)]
-        for t, n, v in zip(trees, names, vals):
-            sums[t.cls].append(f"{v}[{n}]")
-        r = r.withColumn(out, F.expr("array(" + ", ".join(" + ".join(p) for p in sums) + ")"))
-        return r.drop(*names, x)
-
     def margin_sql(self, x: str, tree_limit: int | None = None, binned: bool = False) -> str:
-        """The whole ensemble as one SQL expression of nested CASEs (for export)."""
         k = self.params.classes()
         sums = [[_dlit(self.base_margin[i])] for i in range(k)]
         for t in self.trees:
@@ -321,7 +254,7 @@ class BoostModel:
         columns; a projection only, so it scales with the input partitions."""
         k = self.params.classes()
         t = df.withColumn("_x", self._x(df))
-        t = self._add_margin(t, "_x", "_margin", tree_limit)
+        t = t.withColumn("_margin", F.expr(self.margin_sql("_x", tree_limit))).drop("_x")
         cols = scored_columns(self.params.objective, F.col("_margin"), k)
         out = t.withColumns(cols)
         if self.params.objective.startswith("binary:"):
@@ -571,18 +504,11 @@ class BoostTrainer:
             if prev is not None:
                 prev.unpersist()
             model.trees.extend(trees)
-            size = (1 << (p.max_depth + 1)) - 1
-            tabs, vals = [], []
-            for t in trees:
-                feat, bins, _, val = t.arrays(size)
-                tabs.append((_int_array_sql(feat), _int_array_sql(bins)))
-                vals.append(_dbl_array_sql(val))
-            routed, names = _route(state, tabs, p.max_depth, "b", binned=True, prefix="_nt")
             new_m = [[f"m[{i}]"] for i in range(k)]
-            for t, n, v in zip(trees, names, vals):
-                new_m[t.cls].append(f"{v}[{n}]")
-            nxt = routed.withColumn("m", F.expr(
-                "array(" + ", ".join(" + ".join(parts) for parts in new_m) + ")")).drop(*names)
+            for t in trees:
+                new_m[t.cls].append(t.sql("b", binned=True))
+            nxt = state.withColumn("m", F.expr(
+                "array(" + ", ".join(" + ".join(parts) for parts in new_m) + ")"))
             if p.checkpoint_interval and (r + 1) % p.checkpoint_interval == 0 and r + 1 < p.num_round:
                 # cut lineage: reliable copy in the shared checkpoint folder
                 nxt = nxt.checkpoint(eager=True)
@@ -622,19 +548,13 @@ class BoostTrainer:
                     for n, (G, H) in (open_nodes[c] or {}).items():
                         leaves[c][n] = (p.eta * (-G / (H + lam)), H)
                 break
-            size = (1 << (p.max_depth + 1)) - 1
-            tabs = []
-            for c in range(k):
-                feat, bins = [-1] * size, [0] * size
-                for n, sp in splits[c].items():
-                    feat[n], bins[n] = sp[0], sp[1]
-                tabs.append((_int_array_sql(feat), _int_array_sql(bins)))
-            routed, names = _route(rows, tabs, d, "b", binned=True, prefix="_nl")
-            t = routed.select(F.array(*names).alias("node"), "g", "h", "b")
+            node = F.expr("array(" + ", ".join(_partial_tree_sql(splits[c], "b")
+                                               for c in range(k)) + ")")
+            t = rows.select(node.alias("node"), "g", "h", "b")
             t = t.select(F.posexplode(F.arrays_zip("node", "g", "h")).alias("k", "s"), "b")
             # rows already in a leaf do no more work.  The filter is on generator
-            # output, so Catalyst cannot push it below the routing projections
-            # (pushing it would inline every routing step into one predicate).
+            # output, so Catalyst cannot push it below the routing projection
+            # (where it would evaluate the routing expression a second time).
             t = t.where(F.col("s.node") >= first)
             t = t.select("k", F.col("s.node").alias("node"), F.col("s.g").alias("g"),
                          F.col("s.h").alias("h"), F.posexplode("b").alias("f", "bin"))
