@@ -907,3 +907,15 @@ def q_train_watch_rmsle(spark, sf):
     p = BoostParams(objective="reg:squarederror", num_round=3, eta=0.1, max_depth=6, subsample=0.8)
     model = BoostTrainer(p, metric="rmsle").fit(train, watches={"test": test})
     return model.history_frame(spark)
+
+
+@register("tune_libsvm_depth")
+def q_tune_libsvm_depth(spark, sf):
+    """libsvm rows: eta {0.2, 0.6} x depth {5, 6}, 2 rounds, split ratio 0.9."""
+    from tabfit.operators.boosting import BoostParams
+    from tabfit.operators.tuning import TrainValidationSplit, param_grid
+    v = S.vectors(spark, sf).withColumn("label", F.when(F.col("label") >= 5, 1.0).otherwise(0.0))
+    base = BoostParams(objective="binary:logistic", num_round=2)
+    res = TrainValidationSplit(base, param_grid(eta=[0.2, 0.6], max_depth=[5, 6]), key_col="rowId",
+                               train_ratio=0.9, features_col="x").fit(v)
+    return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))

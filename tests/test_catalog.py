@@ -10,7 +10,8 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"tune_tvs", "tune_sales_scored", "tune_census_lambda", "tune_passenger_margin"}
+SLOW = {"tune_tvs", "tune_sales_scored", "tune_census_lambda", "tune_passenger_margin",
+        "tune_libsvm_depth"}
 
 
 def _norm(v):
