@@ -447,7 +447,7 @@ class BoostTrainer:
             # balanced CASE trees: compiled by whole-stage codegen
             b = F.expr("array(" + ", ".join(
                 _bin_sql(f"coalesce(x[{i}], CAST('NaN' AS DOUBLE))", edges[i])
-                for i in range(n_feat)) + ")")
+                for i in range(n_feat)) + ")").cast("array<smallint>")
         else:
             # wide inputs: one higher-order function over an edge table literal
             # (keeps the generated code small; linear in the bins per value)
@@ -455,8 +455,9 @@ class BoostTrainer:
                 "CAST(array(" + ", ".join(_dlit(v) for v in e) + ") AS ARRAY<DOUBLE>)"
                 for e in edges) + ")"
             b = F.expr(f"transform(x, (v, i) -> size(filter(element_at({lit}, i + 1), "
-                       f"e -> e <= coalesce(v, CAST('NaN' AS DOUBLE)))))")
+                       f"e -> e <= coalesce(v, CAST('NaN' AS DOUBLE)))))").cast("array<smallint>")
 
+        # bins fit in 16 bits (max_bins <= 1024): half the cached / checkpointed size
         def quantise(frame: DataFrame) -> DataFrame:
             rid = F.col("rid") if "rid" in frame.columns else F.xxhash64("x", "y")
             return frame.select("set", rid.alias("rid"), "y", b.alias("b"))

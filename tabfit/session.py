@@ -28,6 +28,8 @@ def build_session(master: str = "local[8]", app: str = "tabfit",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # per-round training checkpoints are deleted once no longer referenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
