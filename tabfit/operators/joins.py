@@ -14,7 +14,8 @@ def maybe_broadcast(side: DataFrame, n_rows: int | None = None,
                     max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(side)`` when its row count is within ``max_rows``, else ``side``."""
     if n_rows is None:
-        n_rows = side.count()
+        # the check reads at most max_rows + 1 rows, however large the side is
+        n_rows = side.limit(max_rows + 1).count()
     return F.broadcast(side) if n_rows <= max_rows else side
 
 
