@@ -17,6 +17,25 @@ from pyspark.sql import SparkSession
 _OWN_DIR_CONF = "spark.tabfit.ownCheckpointDir"
 
 
+# Settings for a large cluster (e.g. 1000 executors, ~100 TB of input).  Spark
+# starts from many shuffle partitions and AQE coalesces them to the advisory
+# size, so partitions stay near 256 MB whatever the stage; skewed join
+# partitions (a key holding a third of the rows) are split; file splits are
+# 256 MB so a task's input fits comfortably in executor memory.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def build_session(master: str = "local[8]", app: str = "tabfit",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """A session with the settings the library assumes (AQE on, UTC, no UI)."""

@@ -57,3 +57,14 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["rowId", "storeId", "label", "margin", "probability", "prediction"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_no_python_in_plans(spark, name):
+    import io
+    from contextlib import redirect_stdout
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        E.queries()[name](spark, SF).explain()
+    plan = buf.getvalue()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
