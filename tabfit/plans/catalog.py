@@ -919,3 +919,34 @@ def q_tune_libsvm_depth(spark, sf):
     res = TrainValidationSplit(base, param_grid(eta=[0.2, 0.6], max_depth=[5, 6]), key_col="rowId",
                                train_ratio=0.9, features_col="x").fit(v)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
+
+
+def _holdout_sql() -> str:
+    cols = ["pClass", "sex", "cabin", "embarked"]
+    split = "substr(md5(CAST(passengerId AS VARCHAR)), 1, 2) < 'cd'"
+    ctes = ["p AS (" + S.PASSENGERS_SQL + ")", f"tr AS (SELECT * FROM p WHERE {split})",
+            f"te AS (SELECT * FROM p WHERE NOT ({split}))"]
+    ctes += [f"v_{c} AS ({_first_seen_sql(c, 'tr')})" for c in cols]
+    hot = [f"CAST(CASE WHEN {_EMPTY_SQL[c]} OR v_{c}.idx IS NULL THEN -1 ELSE v_{c}.idx END AS BIGINT)"
+           f" AS {c}Hot" for c in cols]
+    std = []
+    for c in ["age", "sibsp", "parch", "fare"]:
+        m = f"CASE WHEN {c} <> -1 THEN {c} END"
+        std.append(f"round((te.{c} - (SELECT avg({m}) FROM tr)) / (SELECT stddev_pop({m}) FROM tr), 4) AS {c}Std")
+    joins = " ".join(f"LEFT JOIN v_{c} ON CAST(te.{c} AS VARCHAR) = v_{c}.value" for c in cols)
+    return (f"WITH {', '.join(ctes)}\nSELECT passengerId, {', '.join(hot)}, {', '.join(std)}\n"
+            f"FROM te {joins}")
+
+
+@register("feat_passenger_holdout", _holdout_sql())
+def q_feat_passenger_holdout(spark, sf):
+    """Vocabularies and moments fitted on the train part only, applied to the
+    held-out part: unseen categories encode as all zeros."""
+    from tabfit.operators.tuning import hash_split
+    from tabfit.plans.frames import PASSENGER_ONEHOT, PASSENGER_SCALED, fit_passenger_encoder
+    p = S.passengers(spark, sf)
+    train, test = hash_split(p, "passengerId", 0.8)
+    enc = fit_passenger_encoder(train)
+    r = enc.transform(test, with_vector=False)
+    return r.select("passengerId", *[_hot_position(c + "Vec").alias(c + "Hot") for c in PASSENGER_ONEHOT],
+                    *[r4(c + "Std").alias(c + "Std") for c in PASSENGER_SCALED])
