@@ -50,6 +50,8 @@ OBJECTIVES = ("reg:squarederror", "reg:linear", "binary:logistic", "binary:logit
 MAX_LEVEL_NODES = 1 << 16
 HESS_FLOOR = 1e-16
 MIN_GAIN = 1e-6
+# the quantised training state is spread to about this many rows per task
+ROWS_PER_TASK = 500_000
 # up to this many bin edges in total, bins are computed by CASE trees
 CASE_BIN_LIMIT = 1024
 # a level's histogram (classes x open nodes x features x bins) up to this many
@@ -470,7 +472,19 @@ class BoostTrainer:
         # Quantised copy of the rows in the shared folder: later plans start
         # from a scan of it instead of re-analysing the binning expressions,
         # and a lost executor re-reads it instead of the source.
-        state = state.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+        state = state.checkpoint(eager=True)
+        # Every round scans this state depth-times, so it must be spread over
+        # the cores once it is big enough to benefit.  A coalesced input (AQE
+        # merges small partitions; a single unsplittable file) can arrive in
+        # very few partitions: spread it with one round-robin shuffle of the
+        # quantised rows.  Inputs that already have enough partitions, and
+        # small ones (one task is cheapest), are left as they are.
+        parts = state.rdd.getNumPartitions()
+        want = min(spark.sparkContext.defaultParallelism,
+                   max(1, math.ceil(state.count() / ROWS_PER_TASK)))
+        if parts < want:
+            state = state.repartition(want)
+        state = state.persist(StorageLevel.MEMORY_AND_DISK)
         return Prepared(state, edges, n_feat)
 
     def fit(self, df: DataFrame, watches: dict[str, DataFrame] | None = None) -> BoostModel:

@@ -74,3 +74,19 @@ def test_bad_row_reasons(spark, write_text):
     reasons = sorted(r["reason"] for r in res.bad.collect())
     assert reasons == ["expected 5 fields, found 3", "unparsable value"]
     assert res.good.count() == 1
+
+
+def test_training_state_is_spread_over_cores(spark):
+    """A large input arriving as one partition is spread before boosting;
+    a small one stays in a single task."""
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    big = spark.range(1_200_000).coalesce(1).select(
+        F.array((F.col("id") % 97).cast("double"), (F.col("id") % 13).cast("double")).alias("x"),
+        (F.col("id") % 2).cast("double").alias("label"))
+    tr = BoostTrainer(BoostParams(num_round=1, max_depth=2), features_col="x")
+    prep = tr.prepare(big)
+    assert prep.state.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 3)
+    prep.release()
+    small = tr.prepare(big.limit(1000))
+    assert small.state.rdd.getNumPartitions() == 1
+    small.release()
