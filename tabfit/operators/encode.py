@@ -186,18 +186,28 @@ class OneHotModel:
         return out.drop(*idx_cols)
 
 
+# every row carries a dense array as wide as the vocabulary: bound it
+MAX_ONEHOT_WIDTH = 1 << 16
+
+
 class OneHot:
     """One-hot by first appearance; empty values keep a slot but encode as zeros."""
 
     def __init__(self, input_cols: list[str], order_col: str,
                  empty_values: dict[str, object] | None = None,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS):
+                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                 max_width: int = MAX_ONEHOT_WIDTH):
         self.input_cols = list(input_cols)
         self.order_col = order_col
         self.empty_values = dict(empty_values or {})
         self.max_broadcast_rows = max_broadcast_rows
+        self.max_width = max_width
 
     def fit(self, df: DataFrame) -> OneHotModel:
         vm = FirstSeenVocab(self.input_cols, self.order_col,
                             max_broadcast_rows=self.max_broadcast_rows).fit(df)
+        wide = {c: n for c, n in vm.sizes.items() if n > self.max_width}
+        if wide:
+            raise ValueError(f"one-hot width above {self.max_width} for {wide}; "
+                             "use the index (FirstSeenVocab / FrequencyIndexer) for such columns")
         return OneHotModel(vm, self.empty_values)

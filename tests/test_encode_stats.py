@@ -70,3 +70,10 @@ def test_masked_moments_and_standardize_g5(spark):
     inline = standardize_inline(df, ["age"], suffix="S").select("ageS").collect()
     assert [r[0] for r in fitted] == pytest.approx(expect)
     assert [r[0] for r in inline] == pytest.approx(expect)
+
+
+def test_onehot_width_is_bounded(spark):
+    df = spark.range(50).select(F.col("id").alias("k"), F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError):
+        OneHot(["c"], "k", max_width=10).fit(df)
+    assert OneHot(["c"], "k", max_width=50).fit(df).width("c") == 50
