@@ -866,7 +866,8 @@ def q_train_libsvm_scored(spark, sf):
     """libsvm rows read with their indices as written, 5 rounds at eta 1 and
     depth 6, test rows scored; the first 2000 by label and score are shown."""
     from tabfit.operators.boosting import BoostParams, BoostTrainer
-    from tabfit.sources.libsvm import libsvm_line, read_libsvm
+    from tabfit.plans.extractors import LibsvmExtractor
+    from tabfit.sources.libsvm import libsvm_line
     v = S.vectors(spark, sf)
     # a binary label for the vectors: class 5 and above
     lines = v.select(F.col("rowId"), libsvm_line(F.when(F.col("label") >= 5, 1.0).otherwise(0.0),
@@ -875,8 +876,8 @@ def q_train_libsvm_scored(spark, sf):
     split = F.substring(F.md5(F.col("rowId").cast("string")), 1, 2) < "cd"
     lines.where(split).select("value").write.text(train_path)
     lines.where(~split).select("value").write.text(test_path)
-    train = read_libsvm(spark, train_path, 65, index_base=0)
-    test = read_libsvm(spark, test_path, 65, index_base=0)
+    reader = LibsvmExtractor(spark, width=65, index_base=0)
+    train, test = reader.labeled_points(train_path), reader.labeled_points(test_path)
     model = BoostTrainer(BoostParams(objective="binary:logistic", num_round=5, eta=1.0,
                                      max_depth=6)).fit(train)
     scored = model.transform(test).select("label", "probability", "prediction")

@@ -8,7 +8,6 @@ names in ``spark.checkpoint.dir``.  Only when the session has no such folder
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,12 +85,3 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (never reused)."""
     base = shared_dir(spark)
     return f"{base}/tabfit-staging/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python code can open a local path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
