@@ -69,14 +69,16 @@ class TrainValidationSplit:
     The rows are quantised once (one quantile pass, one checkpoint) and every
     grid point boosts on that shared copy; validation rows ride along in the
     same state, so their margins come for free.  Grid points run as
-    concurrent Spark jobs (``parallelism`` threads).  ``evaluator`` is "auc"
+    concurrent Spark jobs (``parallelism`` threads); each running point keeps
+    its own persisted copy of the rows with margins, so parallelism trades
+    executor memory for wall time (default 1, as in MLlib).  ``evaluator`` is "auc"
     (higher is better) or a metric name from ``functions.metrics`` (lower is
     better).
     """
 
     def __init__(self, base: BoostParams, grid: list[dict], key_col: str,
                  train_ratio: float = 0.8, features_col: str = "features",
-                 label_col: str = "label", parallelism: int = 4, refit: bool = True,
+                 label_col: str = "label", parallelism: int = 1, refit: bool = True,
                  evaluator: str = "auc"):
         self.base, self.grid, self.key_col = base, grid, key_col
         self.train_ratio, self.features_col, self.label_col = train_ratio, features_col, label_col
