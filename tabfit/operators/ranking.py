@@ -43,7 +43,15 @@ def _range_bucket(df: DataFrame, key: Column, n_rows: int, rows_per_bucket: int,
             else F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
                             for v, f in zip(b, key_type.fields)])
             for b in bounds]
-    return sum((F.when(key > l, 1).otherwise(0) for l in lits), F.lit(0))
+    # number of boundaries below the key, by a balanced comparison tree:
+    # log2(#ranges) comparisons per row instead of one per boundary
+    def below(lo: int, hi: int) -> Column:
+        # the answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key > lits[mid - 1], below(mid, hi)).otherwise(below(lo, mid - 1))
+    return below(0, len(lits))
 
 
 def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
