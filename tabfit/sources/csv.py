@@ -30,21 +30,23 @@ class CsvRead:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = False,
-             sep: str = ",", on_bad: str = "fail", trim: bool = True, quote: str = '"'):
+             sep: str = ",", on_bad: str = "fail", trim: bool = True, quote: str = '"',
+             line_numbers: bool = False):
     """Read CSV text with ``schema``; see the module doc for ``on_bad``.
 
     Returns a DataFrame for ``fail`` and ``drop``, a ``CsvRead`` for
-    ``quarantine``.
+    ``quarantine``.  With ``line_numbers`` the bad-row report also gives the
+    1-based line of each bad row in its file (header and blank lines count).
     """
     if on_bad not in ("fail", "drop", "quarantine"):
         raise ValueError(f"on_bad must be fail, drop or quarantine, not {on_bad!r}")
     res = _parse_lines(spark, path, schema, header, sep, trim, quote,
-                       "FAILFAST" if on_bad == "fail" else "PERMISSIVE")
+                       "FAILFAST" if on_bad == "fail" else "PERMISSIVE", line_numbers)
     return res if on_bad == "quarantine" else res.good
 
 
 def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: bool, sep: str,
-                 trim: bool, quote: str, mode: str) -> CsvRead:
+                 trim: bool, quote: str, mode: str, line_numbers: bool = False) -> CsvRead:
     """Lines are read as text and parsed with ``from_csv``.
 
     The CSV file source prunes unread columns and then only validates the
@@ -60,13 +62,23 @@ def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: boo
             "ignoreTrailingWhiteSpace": str(trim).lower()}
     # Each line verbatim as one string column: the CSV source still skips the
     # header of every file (first line of the first split) and blank lines.
-    lines = (spark.read.schema("value string").option("header", str(header).lower())
-             .option("sep", "\u0001").option("quote", "").option("enforceSchema", "true")
-             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-             .csv(path)
-             .select("value", F.col("_metadata.file_path").alias("file"))
-             .where(F.col("value").isNotNull() & (F.length(F.trim("value")) > 0)))
-    parsed = lines.select("value", "file", F.from_csv(F.col("value"), full.simpleString(), opts).alias("r"))
+    if line_numbers:
+        from tabfit.sources.text import numbered_lines
+        lines = numbered_lines(spark, path)
+        if header:
+            lines = lines.where(F.col("line") > 1)
+        lines = lines.where(F.length(F.trim("value")) > 0)
+    else:
+        lines = (spark.read.schema("value string").option("header", str(header).lower())
+                 .option("sep", "\u0001").option("quote", "").option("enforceSchema", "true")
+                 .option("ignoreLeadingWhiteSpace", "false")
+                 .option("ignoreTrailingWhiteSpace", "false")
+                 .csv(path)
+                 .select("value", F.col("_metadata.file_path").alias("file"))
+                 .where(F.col("value").isNotNull() & (F.length(F.trim("value")) > 0)))
+    extra = ["line"] if line_numbers else []
+    parsed = lines.select("value", "file", *extra,
+                          F.from_csv(F.col("value"), full.simpleString(), opts).alias("r"))
     bad_flag = F.col("r").getField(CORRUPT).isNotNull() | F.col("r").isNull()
     good = parsed.where(~bad_flag).select(*[F.col("r").getField(n).alias(n) for n in names])
     n_fields = len(names)
@@ -76,7 +88,7 @@ def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: boo
         F.when(count != n_fields,
                F.format_string("expected %d fields, found %d", F.lit(n_fields), count))
         .otherwise(F.lit("unparsable value")).alias("reason"),
-        "file", *[F.col("r").getField(n).alias(n) for n in names])
+        "file", *extra, *[F.col("r").getField(n).alias(n) for n in names])
     return CsvRead(good, bad)
 
 
