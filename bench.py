@@ -59,6 +59,17 @@ def main() -> None:
                       seed=7).fit(fr)
         return (time.time() - t) / 5
 
+    def fit_softprob():
+        # 10 classes, depth 3, eta 0.3 (the multi-class configuration), 64 features
+        v = S.vectors(spark, sf_dir).persist()
+        v.count()
+        p = BoostParams(objective="multi:softprob", num_class=10, num_round=2, eta=0.3, max_depth=3)
+        t = time.time()
+        BoostTrainer(p, features_col="x").fit(v)
+        elapsed = time.time() - t
+        v.unpersist()
+        return elapsed / p.num_round
+
     def score():
         model, fr = state["model"], state["frame"]
         t = time.time()
@@ -92,6 +103,7 @@ def main() -> None:
         ("fit_round_binary", fit_rounds, max(1, runs - 1)),
         ("score_model", score, runs),
         ("mllib_gbt_round_binary", mllib_round, 1),
+        ("fit_round_softprob_10class", fit_softprob, 1),
         ("tune_tvs_2x2", tune, 1),
     ]
     out = {}
