@@ -49,33 +49,61 @@ def _materialise(spark, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _fit_vocab(stats: DataFrame, order_cols: list[str]) -> tuple[DataFrame, dict[str, int]]:
+def _fit_vocab(stats: DataFrame, order_cols: list[str]
+               ) -> tuple[DataFrame, dict[str, int], dict[str, dict[str, int]]]:
     """Rank the per-value statistics (one pass over the data, kept in memory
-    while the small ranking jobs run), then store the vocabulary reliably."""
+    while the small ranking jobs run), then store the vocabulary reliably.
+    Small vocabularies (at most INLINE_VOCAB_MAX values) are also returned as
+    dictionaries: their total size is bounded by columns x INLINE_VOCAB_MAX."""
     stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["column"]: r["n"] for r in
              stats.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
     vocab = _materialise(stats.sparkSession,
                          _number_within_column(stats, order_cols, n_rows=sum(sizes.values())))
     stats.unpersist()
-    return vocab, sizes
+    small = [c for c, n in sizes.items() if n <= INLINE_VOCAB_MAX]
+    inline: dict[str, dict[str, int]] = {c: {} for c in small}
+    if small:
+        for r in vocab.where(F.col("column").isin(*small) & F.col("value").isNotNull()) \
+                .select("column", "value", "index").collect():
+            inline[r["column"]][r["value"]] = int(r["index"])
+    return vocab, sizes, inline
+
+
+# vocabularies up to this size are looked up from a literal map (no join, no job)
+INLINE_VOCAB_MAX = 64
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass
 class VocabModel:
-    """A fitted vocabulary: ``vocab`` has (column, value, index, ...)."""
+    """A fitted vocabulary: ``vocab`` has (column, value, index, ...).
+
+    ``inline`` holds the (value -> index) pairs of columns whose vocabulary has
+    at most ``INLINE_VOCAB_MAX`` entries (collected once at fit time; bounded);
+    those columns are looked up from a literal map instead of a join."""
     input_cols: list[str]
     output_cols: list[str]
     vocab: DataFrame
     sizes: dict[str, int]
     handle_invalid: str = "error"
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    inline: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def labels(self, column: str) -> DataFrame:
         return (self.vocab.where(F.col("column") == column)
                 .select("value", "index").orderBy("index"))
 
     def _lookup(self, df: DataFrame, c: str, out: str) -> DataFrame:
+        pairs = self.inline.get(c)
+        if pairs is not None:
+            if not pairs:
+                return df.withColumn(out, F.lit(None).cast("double"))
+            m = "map(" + ", ".join(f"{_sql_str(k)}, {float(i)!r}D" for k, i in pairs.items()) + ")"
+            return df.withColumn(out, F.expr(f"try_element_at({m}, CAST(`{c}` AS STRING))"))
         v = (self.vocab.where(F.col("column") == c)
              .select(F.col("value").alias(f"_v_{out}"), F.col("index").cast("double").alias(out)))
         if self.sizes.get(c, 0) <= self.max_broadcast_rows:
@@ -119,9 +147,9 @@ class FrequencyIndexer:
         return _number_within_column(self.counts(df), ["_neg", "value"]).drop("_neg")
 
     def fit(self, df: DataFrame) -> VocabModel:
-        vocab, sizes = _fit_vocab(self.counts(df), ["_neg", "value"])
+        vocab, sizes, inline = _fit_vocab(self.counts(df), ["_neg", "value"])
         return VocabModel(self.input_cols, self.output_cols, vocab.drop("_neg"), sizes,
-                          self.handle_invalid, self.max_broadcast_rows)
+                          self.handle_invalid, self.max_broadcast_rows, inline)
 
 
 class FirstSeenVocab:
@@ -148,9 +176,9 @@ class FirstSeenVocab:
                                      ["first_seen", "_isnull", "value"]).drop("_isnull")
 
     def fit(self, df: DataFrame) -> VocabModel:
-        vocab, sizes = _fit_vocab(self.firsts(df), ["first_seen", "_isnull", "value"])
+        vocab, sizes, inline = _fit_vocab(self.firsts(df), ["first_seen", "_isnull", "value"])
         return VocabModel(self.input_cols, self.output_cols, vocab.drop("_isnull"), sizes,
-                          self.handle_invalid, self.max_broadcast_rows)
+                          self.handle_invalid, self.max_broadcast_rows, inline)
 
 
 @dataclass
@@ -166,7 +194,7 @@ class OneHotModel:
         vm = self.vocab_model
         idx_cols = [f"_oh_{c}" for c in vm.input_cols]
         lk = VocabModel(vm.input_cols, idx_cols, vm.vocab, vm.sizes, "keep_null",
-                        vm.max_broadcast_rows)
+                        vm.max_broadcast_rows, vm.inline)
         out = df
         for c, o in zip(vm.input_cols, idx_cols):
             out = lk._lookup(out, c, o)

@@ -77,3 +77,23 @@ def test_onehot_width_is_bounded(spark):
     with pytest.raises(ValueError):
         OneHot(["c"], "k", max_width=10).fit(df)
     assert OneHot(["c"], "k", max_width=50).fit(df).width("c") == 50
+
+
+def test_inline_and_joined_lookups_agree(spark):
+    """Small vocabularies use a literal map, large ones a join: same indexes,
+    also for values with quotes, backslashes and commas."""
+    import tabfit.operators.encode as E
+    vals = ["a", "it's", "back\\\\slash", "x,y", "", "b"]
+    df = spark.createDataFrame([(v,) for v in vals for _ in range(vals.index(v) + 1)], "c string")
+    small = FrequencyIndexer(["c"], ["i"]).fit(df)
+    assert "c" in small.inline
+    old = E.INLINE_VOCAB_MAX
+    E.INLINE_VOCAB_MAX = 0
+    try:
+        big = FrequencyIndexer(["c"], ["i"]).fit(df)
+    finally:
+        E.INLINE_VOCAB_MAX = old
+    assert "c" not in big.inline
+    a = sorted(tuple(r) for r in small.transform(df).collect())
+    b = sorted(tuple(r) for r in big.transform(df).collect())
+    assert a == b and len({r[1] for r in a}) == len(vals)

@@ -41,8 +41,9 @@ def main() -> None:
     fr = sales_features(S.sales(spark, sf), S.stores(spark, sf))
     out += ["## Sales feature frame", "",
             "Filters pushed into the orders scan, pruned read schemas, the store side broadcast after",
-            "a counted size check, the five indexes as broadcast lookups of one checkpointed",
-            "vocabulary, and both global means from one scalar subquery.", "", "```",
+            "a bounded size check, the five indexes as literal-map lookups (their vocabularies are",
+            "small; larger ones would be broadcast or shuffle joins), and both global means from",
+            "one scalar subquery (reused where it appears twice).", "", "```",
             plan_text(fr), "```", ""]
 
     frame = fr.select("rowId", "features", "label").persist()
