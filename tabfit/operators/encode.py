@@ -49,6 +49,27 @@ def _materialise(spark, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _rank_small(spark, rows, order_cols: list[str], sizes: dict[str, int]):
+    """Same numbering as the distributed path, for bounded statistics.
+    Order keys compare like Spark's ascending sort (strings by code point,
+    which is UTF-8 byte order; NULL first)."""
+    def key(r):
+        return tuple((r[c] is not None, r[c]) for c in order_cols)
+    by_col: dict[str, list] = {}
+    for r in rows:
+        by_col.setdefault(r["column"], []).append(r)
+    out, inline = [], {}
+    for c, rs in by_col.items():
+        rs.sort(key=key)
+        inline[c] = {}
+        for i, r in enumerate(rs):
+            out.append((c, r["value"], i))
+            if r["value"] is not None:
+                inline[c][r["value"]] = i
+    vocab = spark.createDataFrame(out, "column string, value string, index long")
+    return vocab, sizes, inline
+
+
 def _fit_vocab(stats: DataFrame, order_cols: list[str]
                ) -> tuple[DataFrame, dict[str, int], dict[str, dict[str, int]]]:
     """Rank the per-value statistics (one pass over the data, kept in memory
@@ -58,6 +79,12 @@ def _fit_vocab(stats: DataFrame, order_cols: list[str]
     stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["column"]: r["n"] for r in
              stats.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    if sizes and all(n <= INLINE_VOCAB_MAX for n in sizes.values()):
+        # every vocabulary is small: the statistics are at most
+        # columns x INLINE_VOCAB_MAX rows, so rank them here in one step
+        rows = stats.collect()
+        stats.unpersist()
+        return _rank_small(stats.sparkSession, rows, order_cols, sizes)
     vocab = _materialise(stats.sparkSession,
                          _number_within_column(stats, order_cols, n_rows=sum(sizes.values())))
     stats.unpersist()
