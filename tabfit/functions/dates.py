@@ -19,7 +19,8 @@ def date_parts(ts, fmt: str | None = None) -> dict[str, Column]:
     """
     t = _c(ts)
     if fmt is not None:
-        t = F.to_timestamp(t, fmt)
+        # a zone-free timestamp: parts do not depend on the session time zone
+        t = F.to_timestamp_ntz(t, F.lit(fmt))
     return {
         "year": F.year(t),
         "month": F.month(t),
