@@ -75,6 +75,8 @@ class BoostParams:
     seed: int = 0
     checkpoint_interval: int = 10
     eval_metric: str | None = None
+    # derive the larger child's histogram as parent minus smaller child
+    hist_subtraction: bool = True
 
     def classes(self) -> int:
         return self.num_class if self.objective.startswith("multi:") else 1
@@ -349,8 +351,32 @@ def _best_splits_spark(hist: DataFrame, lam: float, mcw: float) -> list[dict]:
 def _best_splits_local(hist: DataFrame, lam: float, mcw: float) -> list[dict]:
     """Same result as ``_best_splits_spark`` for a histogram whose size is
     bounded by the caller (classes x open nodes x features x bins)."""
+    return _best_splits_pdf(hist.toArrow().to_pandas(), lam, mcw)
+
+
+def _derive_siblings(pdf, prev_pdf, pairs: list[tuple[int, int, int, int]]):
+    """Histograms of the larger children: parent minus smaller sibling.
+
+    ``pairs`` holds (class, parent, smaller child, larger child).  Row counts
+    are exact integers, so bins the larger child does not reach (count 0) are
+    dropped exactly; G and H are differences of sums."""
+    import pandas as pd
+    if not pairs:
+        return pdf
+    pr = pd.DataFrame(pairs, columns=["k", "parent", "small", "big"])
+    par = prev_pdf.merge(pr, left_on=["k", "node"], right_on=["k", "parent"])
+    sm = pdf.rename(columns={"node": "small", "G": "Gs", "H": "Hs", "n": "ns"})
+    m = par.merge(sm[["k", "small", "f", "bin", "Gs", "Hs", "ns"]],
+                  on=["k", "small", "f", "bin"], how="left")
+    m["G"] = m["G"] - m["Gs"].fillna(0.0)
+    m["H"] = m["H"] - m["Hs"].fillna(0.0)
+    m["n"] = m["n"] - m["ns"].fillna(0).astype("int64")
+    big = m.loc[m["n"] > 0, ["k", "big", "f", "bin", "G", "H", "n"]].rename(columns={"big": "node"})
+    return pd.concat([pdf, big.astype(pdf.dtypes.to_dict())], ignore_index=True)
+
+
+def _best_splits_pdf(pdf, lam: float, mcw: float) -> list[dict]:
     import numpy as np
-    pdf = hist.toArrow().to_pandas()
     if pdf.empty:
         return []
     pdf = pdf.sort_values(["k", "node", "f", "bin"], kind="mergesort")
@@ -555,6 +581,7 @@ class BoostTrainer:
         splits: list[dict[int, tuple]] = [dict() for _ in range(k)]
         leaves: list[dict[int, tuple]] = [dict() for _ in range(k)]
         open_nodes: list[dict[int, tuple[float, float]] | None] = [None] * k  # node -> (G, H)
+        prev_pdf = None  # the previous level's full histogram, when searched locally
         for d in range(p.max_depth + 1):
             first = (1 << d) - 1
             if d == p.max_depth:
@@ -570,18 +597,42 @@ class BoostTrainer:
             # rows already in a leaf do no more work.  The filter is on generator
             # output, so Catalyst cannot push it below the routing projection
             # (where it would evaluate the routing expression a second time).
-            t = t.where(F.col("s.node") >= first)
-            t = t.select("k", F.col("s.node").alias("node"), F.col("s.g").alias("g"),
-                         F.col("s.h").alias("h"), F.posexplode("b").alias("f", "bin"))
-            hist = t.groupBy("k", "node", "f", "bin").agg(F.sum("g").alias("G"), F.sum("h").alias("H"))
             n_open = sum(max(1, len(o or {})) if d > 0 else 1 for o in open_nodes)
             bound = n_open * len(edges) * (max((len(e) for e in edges), default=0) + 1)
-            if bound <= LOCAL_SPLIT_MAX_ROWS:
+            local = bound <= LOCAL_SPLIT_MAX_ROWS
+            pairs: list[tuple[int, int, int, int]] = []
+            if local and p.hist_subtraction and d > 0 and prev_pdf is not None:
+                # only the smaller child of each split is scanned; the larger
+                # child's histogram is the parent's minus the smaller one's
+                for c in range(k):
+                    for n in splits[c]:
+                        if (1 << (d - 1)) - 1 <= n < first:
+                            lc, rc = 2 * n + 1, 2 * n + 2
+                            hl, hr = open_nodes[c][lc][1], open_nodes[c][rc][1]
+                            small, big = (lc, rc) if hl <= hr else (rc, lc)
+                            pairs.append((c, n, small, big))
+            if pairs:
+                scan = F.lit(False)
+                for c in range(k):
+                    smalls = [sm for (cc, _, sm, _) in pairs if cc == c]
+                    if smalls:
+                        scan = scan | ((F.col("k") == c) & F.col("s.node").isin(smalls))
+                t = t.where(scan)
+            else:
+                t = t.where(F.col("s.node") >= first)
+            t = t.select("k", F.col("s.node").alias("node"), F.col("s.g").alias("g"),
+                         F.col("s.h").alias("h"), F.posexplode("b").alias("f", "bin"))
+            hist = t.groupBy("k", "node", "f", "bin").agg(
+                F.sum("g").alias("G"), F.sum("h").alias("H"), F.count(F.lit(1)).alias("n"))
+            if local:
                 # the level's histogram is bounded by the parameters: fetch it
                 # (Arrow) and pick the splits with vectorised numpy
-                chosen = _best_splits_local(hist, lam, p.min_child_weight)
+                pdf = _derive_siblings(hist.toArrow().to_pandas(), prev_pdf, pairs)
+                chosen = _best_splits_pdf(pdf, lam, p.min_child_weight)
+                prev_pdf = pdf
             else:
                 chosen = _best_splits_spark(hist, lam, p.min_child_weight)
+                prev_pdf = None
             if not chosen:
                 break
             any_split = False

@@ -164,3 +164,15 @@ def test_routed_scoring_equals_case_expression(spark, sales):
     via_sql = (sales.withColumn("_x", vector_to_array("features"))
                .select("rowId", F.expr(m.margin_sql("_x"))[0].alias("margin")).orderBy("rowId").collect())
     assert [r["margin"] for r in a] == pytest.approx([r["margin"] for r in via_sql], abs=1e-12)
+
+
+def test_sibling_subtraction_gives_the_same_trees(spark, sales):
+    for obj, extra in (("binary:logistic", {}), ("reg:squarederror", {"subsample": 0.8})):
+        p = BoostParams(objective=obj, num_round=2, eta=0.3, max_depth=5, **extra)
+        a = BoostTrainer(p).fit(sales)
+        b = BoostTrainer(p.replace(hist_subtraction=False)).fit(sales)
+        assert [{n: sp[:2] for n, sp in t.splits.items()} for t in a.trees] == \
+               [{n: sp[:2] for n, sp in t.splits.items()} for t in b.trees]
+        for ta, tb in zip(a.trees, b.trees):
+            for n, (v, _) in ta.leaves.items():
+                assert v == pytest.approx(tb.leaves[n][0], rel=1e-9, abs=1e-12)
