@@ -512,13 +512,17 @@ class BoostTrainer:
                 for e in edges) + ")"
             b = F.expr(f"transform(x, (v, i) -> size(filter(element_at({lit}, i + 1), "
                        f"e -> e <= coalesce(v, CAST('NaN' AS DOUBLE)))))").cast("array<smallint>")
-            if scalar:
-                b = [b[i] for i in range(n_feat)]
         bcols = [f"b_{i}" for i in range(n_feat)] if scalar else ["b"]
+        split_array = scalar and not isinstance(b, list)  # HOF array, split afterwards
 
         # bins fit in 16 bits (max_bins <= 1024): half the cached / checkpointed size
         def quantise(frame: DataFrame) -> DataFrame:
             rid = F.col("rid") if "rid" in frame.columns else F.xxhash64("x", "y")
+            if split_array:
+                # evaluate the binning once, then read its elements into columns
+                arr = frame.select("set", rid.alias("rid"), "y", b.alias("_barr"))
+                return arr.select("set", "rid", "y",
+                                  *[F.col("_barr")[i].alias(n) for i, n in enumerate(bcols)])
             if scalar:
                 return frame.select("set", rid.alias("rid"), "y",
                                     *[c.alias(n) for c, n in zip(b, bcols)])
@@ -629,8 +633,10 @@ class BoostTrainer:
             barr = F.col("b") if bcols == ["b"] else F.array(*bcols)
             node = F.expr("array(" + ", ".join(_partial_tree_sql(splits[c], bref)
                                                for c in range(k)) + ")")
-            t = rows.select(node.alias("node"), "g", "h", *bcols)
-            t = t.select(F.posexplode(F.arrays_zip("node", "g", "h")).alias("k", "s"), *bcols)
+            # routing reads the scalar bin columns; one array of them rides
+            # through the per-class expansion (not every column)
+            t = rows.select(node.alias("node"), "g", "h", barr.alias("_b"))
+            t = t.select(F.posexplode(F.arrays_zip("node", "g", "h")).alias("k", "s"), "_b")
             # rows already in a leaf do no more work.  The filter is on generator
             # output, so Catalyst cannot push it below the routing projection
             # (where it would evaluate the routing expression a second time).
@@ -658,7 +664,7 @@ class BoostTrainer:
             else:
                 t = t.where(F.col("s.node") >= first)
             t = t.select("k", F.col("s.node").alias("node"), F.col("s.g").alias("g"),
-                         F.col("s.h").alias("h"), F.posexplode(barr).alias("f", "bin"))
+                         F.col("s.h").alias("h"), F.posexplode("_b").alias("f", "bin"))
             hist = t.groupBy("k", "node", "f", "bin").agg(
                 F.sum("g").alias("G"), F.sum("h").alias("H"), F.count(F.lit(1)).alias("n"))
             if local:
