@@ -13,12 +13,16 @@ aggregation job:
          -> gain  G_L^2/(H_L+lambda) + G_R^2/(H_R+lambda) - G^2/(H+lambda)
          -> best split per (class, node) (window rank)
 
-Only the chosen splits reach the driver: at most ``classes x 2^depth`` rows,
-bounded by the parameters (checked in ``BoostParams.validate``), not by the
-data.  A row's node is a CASE expression over its binned features built from
-those splits, so routing rows needs no join.  The fitted trees become one
-CASE expression per tree over the raw features: scoring is a projection with
-no shuffle and no Python.
+The histogram of a level is bounded by the parameters (classes x open nodes x
+features x bins), not by the data.  Up to ``LOCAL_SPLIT_MAX_ROWS`` rows it is
+fetched with Arrow and searched with numpy; beyond that, window functions
+search it in Spark and only the chosen splits (at most ``classes x 2^depth``
+rows, checked in ``BoostParams.validate``) reach the driver.  After a split,
+only the smaller child's rows are scanned: the larger child's histogram is the
+parent's minus the smaller one's.  A row's node is a CASE expression over its
+binned features (one scalar column per feature) built from the splits, so
+routing needs no join.  The fitted trees become one CASE expression per tree
+over the raw features: scoring is a projection with no shuffle and no Python.
 
 Feature bins come from one ``percentile_approx`` pass over all features.
 Bin ``j`` of a feature holds values in ``[edge_{j-1}, edge_j)``; a split at
