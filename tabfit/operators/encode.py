@@ -61,10 +61,12 @@ def _rank_small(spark, rows, order_cols: list[str], sizes: dict[str, int]):
     out, inline = [], {}
     for c, rs in by_col.items():
         rs.sort(key=key)
-        inline[c] = {}
+        small = sizes.get(c, 0) <= INLINE_VOCAB_MAX
+        if small:
+            inline[c] = {}
         for i, r in enumerate(rs):
             out.append((c, r["value"], i))
-            if r["value"] is not None:
+            if small and r["value"] is not None:
                 inline[c][r["value"]] = i
     vocab = spark.createDataFrame(out, "column string, value string, index long")
     return vocab, sizes, inline
@@ -79,9 +81,9 @@ def _fit_vocab(stats: DataFrame, order_cols: list[str]
     stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["column"]: r["n"] for r in
              stats.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
-    if sizes and all(n <= INLINE_VOCAB_MAX for n in sizes.values()):
-        # every vocabulary is small: the statistics are at most
-        # columns x INLINE_VOCAB_MAX rows, so rank them here in one step
+    if sizes and sum(sizes.values()) <= LOCAL_RANK_MAX:
+        # the statistics have at most LOCAL_RANK_MAX rows in total (counted
+        # above), so rank them here in one step
         rows = stats.collect()
         stats.unpersist()
         return _rank_small(stats.sparkSession, rows, order_cols, sizes)
@@ -99,6 +101,8 @@ def _fit_vocab(stats: DataFrame, order_cols: list[str]
 
 # vocabularies up to this size are looked up from a literal map (no join, no job)
 INLINE_VOCAB_MAX = 64
+# value statistics up to this many rows in total are ranked on the driver
+LOCAL_RANK_MAX = 4096
 
 
 def _sql_str(v: str) -> str:

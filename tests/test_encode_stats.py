@@ -20,13 +20,22 @@ def test_first_seen_onehot_g6(spark):
     assert vocab == {"x": 0, "y": 1, "": 2}
 
 
-def test_frequency_indexer_matches_mllib(spark):
+@pytest.mark.parametrize("local_rank_max", [4096, 0])
+def test_frequency_indexer_matches_mllib(spark, local_rank_max):
+    """Both ranking paths (on the driver for bounded statistics, distributed
+    range buckets otherwise) equal MLlib's StringIndexer."""
+    import tabfit.operators.encode as E
     from pyspark.ml.feature import StringIndexer
     part = spark.read.parquet(f"{SF}/part.parquet").select("p_partkey", "p_brand", "p_type")
-    ours = FrequencyIndexer(["p_brand", "p_type"], ["b", "t"]).fit(part).transform(part)
+    old = E.LOCAL_RANK_MAX
+    E.LOCAL_RANK_MAX = local_rank_max
+    try:
+        ours = FrequencyIndexer(["p_brand", "p_type"], ["b", "t"]).fit(part).transform(part)
+        a = sorted(tuple(r) for r in ours.select("p_partkey", "b", "t").collect())
+    finally:
+        E.LOCAL_RANK_MAX = old
     ml = StringIndexer(inputCols=["p_brand", "p_type"], outputCols=["b", "t"],
                        stringOrderType="frequencyDesc").fit(part).transform(part)
-    a = sorted(tuple(r) for r in ours.select("p_partkey", "b", "t").collect())
     b = sorted(tuple(r) for r in ml.select("p_partkey", "b", "t").collect())
     assert a == b
 
@@ -87,13 +96,29 @@ def test_inline_and_joined_lookups_agree(spark):
     df = spark.createDataFrame([(v,) for v in vals for _ in range(vals.index(v) + 1)], "c string")
     small = FrequencyIndexer(["c"], ["i"]).fit(df)
     assert "c" in small.inline
-    old = E.INLINE_VOCAB_MAX
-    E.INLINE_VOCAB_MAX = 0
+    old = E.INLINE_VOCAB_MAX, E.LOCAL_RANK_MAX
+    E.INLINE_VOCAB_MAX, E.LOCAL_RANK_MAX = 0, 0   # join lookup + distributed ranking
     try:
         big = FrequencyIndexer(["c"], ["i"]).fit(df)
     finally:
-        E.INLINE_VOCAB_MAX = old
+        E.INLINE_VOCAB_MAX, E.LOCAL_RANK_MAX = old
     assert "c" not in big.inline
     a = sorted(tuple(r) for r in small.transform(df).collect())
     b = sorted(tuple(r) for r in big.transform(df).collect())
     assert a == b and len({r[1] for r in a}) == len(vals)
+
+
+def test_first_seen_paths_agree(spark):
+    import tabfit.operators.encode as E
+    p = spark.read.parquet(f"{SF}/customer.parquet").select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("n"), "c_mktsegment")
+    a = sorted(tuple(r) for r in FirstSeenVocab(["n", "c_mktsegment"], "c_custkey").fit(p)
+               .vocab.select("column", "value", "index").collect())
+    old = E.LOCAL_RANK_MAX
+    E.LOCAL_RANK_MAX = 0
+    try:
+        b = sorted(tuple(r) for r in FirstSeenVocab(["n", "c_mktsegment"], "c_custkey").fit(p)
+                   .vocab.select("column", "value", "index").collect())
+    finally:
+        E.LOCAL_RANK_MAX = old
+    assert a == b
