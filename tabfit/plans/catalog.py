@@ -649,11 +649,12 @@ WITH t AS (SELECT CAST(floor(o_totalprice / 100000) AS INTEGER) AS leaf,
                   CAST(0.5 AS DOUBLE) - CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END
                     AS g,
                   CAST(0.25 AS DOUBLE) AS h FROM orders),
-l AS (SELECT CAST(0.5 AS DOUBLE) AS lam UNION ALL SELECT CAST(1.0 AS DOUBLE) AS lam),
 s AS (SELECT leaf, sum(g) AS G, sum(h) AS H FROM t GROUP BY leaf)
-SELECT CAST(leaf AS BIGINT) AS leaf, lam AS lambda, round(G, 4) AS G, round(H, 4) AS H,
-       round(-G / (H + lam), 4) AS weight
-FROM s, l""")
+SELECT CAST(leaf AS BIGINT) AS leaf, CAST(0.5 AS DOUBLE) AS lambda, round(G, 4) AS G,
+       round(H, 4) AS H, round(-G / (H + 0.5), 4) AS weight FROM s
+UNION ALL
+SELECT CAST(leaf AS BIGINT) AS leaf, CAST(1.0 AS DOUBLE) AS lambda, round(G, 4) AS G,
+       round(H, 4) AS H, round(-G / (H + 1.0), 4) AS weight FROM s""")
 def q_leaf_weights(spark, sf):
     from tabfit.operators.boosting import grad_hess, leaf_weights
     o = S.table(spark, sf, "orders")
