@@ -122,3 +122,14 @@ def test_first_seen_paths_agree(spark):
     finally:
         E.LOCAL_RANK_MAX = old
     assert a == b
+
+
+def test_global_index_composite_string_keys(spark):
+    """Many key ranges over (string, long) keys: struct boundaries, NULL-free."""
+    rows = [(f"col{i % 7}", -(i * 37 % 101), f"v{i:05d}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "column string, neg long, value string")
+    got = global_index(df, ["column", "neg", "value"], rows_per_bucket=150)
+    out = sorted((r["index"], r["column"], r["neg"], r["value"]) for r in got.collect())
+    expect = sorted(rows)
+    assert [(c, n, v) for _, c, n, v in out] == expect
+    assert [i for i, *_ in out] == list(range(3000))
