@@ -176,3 +176,12 @@ def test_sibling_subtraction_gives_the_same_trees(spark, sales):
         for ta, tb in zip(a.trees, b.trees):
             for n, (v, _) in ta.leaves.items():
                 assert v == pytest.approx(tb.leaves[n][0], rel=1e-9, abs=1e-12)
+
+
+def test_sibling_subtraction_multiclass(spark):
+    v = S.vectors(spark, SF)
+    p = BoostParams(objective="multi:softprob", num_class=10, num_round=1, eta=0.3, max_depth=3)
+    a = BoostTrainer(p, features_col="x").fit(v)
+    b = BoostTrainer(p.replace(hist_subtraction=False), features_col="x").fit(v)
+    assert [{n: sp[:2] for n, sp in t.splits.items()} for t in a.trees] == \
+           [{n: sp[:2] for n, sp in t.splits.items()} for t in b.trees]
