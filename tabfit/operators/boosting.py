@@ -410,7 +410,15 @@ def _best_splits_pdf(pdf, lam: float, mcw: float) -> list[dict]:
     pdf["GR"], pdf["HR"] = GR, HR
     ok = (pdf["HL"] >= mcw) & (pdf["HR"] >= mcw) & (pdf["HL"] > 0) & (pdf["HR"] > 0)
     pdf["gain"] = np.where(ok, gain, np.nan)
-    pdf["_neg"] = -pdf["gain"].fillna(-np.inf)
+    # rank on the gain rounded to 11 significant digits, then (feature, bin):
+    # equal splits (e.g. features that cut a small node's rows the same way)
+    # tie exactly, whatever the last bits of the float sums are (they depend
+    # on partitioning and on histogram subtraction)
+    g = pdf["gain"].to_numpy()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mag = np.where(np.isfinite(g) & (g != 0), 10.0 ** np.floor(np.log10(np.abs(g))), 1.0)
+        rounded = np.round(g / mag, 10) * mag
+    pdf["_neg"] = -np.where(np.isnan(g), -np.inf, rounded)
     top = (pdf.sort_values(["k", "node", "_neg", "f", "bin"], kind="mergesort")
            .drop_duplicates(["k", "node"], keep="first"))
     out = []
