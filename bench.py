@@ -102,9 +102,9 @@ def main() -> None:
         ("src_bad_rows", q("src_bad_rows"), runs),
         ("fit_round_binary", fit_rounds, max(1, runs - 1)),
         ("score_model", score, runs),
-        ("mllib_gbt_round_binary", mllib_round, 1),
-        ("fit_round_softprob_10class", fit_softprob, 1),
-        ("tune_tvs_2x2", tune, 1),
+        ("mllib_gbt_round_binary", mllib_round, runs),
+        ("fit_round_softprob_10class", fit_softprob, runs),
+        ("tune_tvs_2x2", tune, runs),
     ]
     out = {}
     for name, fn, n in plan:
