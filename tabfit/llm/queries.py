@@ -5,6 +5,7 @@ from __future__ import annotations
 from tabfit.llm.fingerprint import op9_simhash
 from tabfit.llm.line_dedup import op8_line_dedup
 from tabfit.llm.near_dedup import op4_minhash
+from tabfit.llm.packing import op6_packing
 from tabfit.llm.pii import op3_pii
 from tabfit.llm.quality import op10_weak_quality
 from tabfit.llm.sharding import op1_jump_sharding
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
     "op4_minhash": op4_minhash,
+    "op6_packing": op6_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_weak_quality": op10_weak_quality,
