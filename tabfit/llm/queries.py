@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tabfit.llm.fingerprint import op9_simhash
+from tabfit.llm.html_extract import op7_html
 from tabfit.llm.line_dedup import op8_line_dedup
 from tabfit.llm.near_dedup import op4_minhash
 from tabfit.llm.packing import op6_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_minhash": op4_minhash,
     "op6_packing": op6_packing,
+    "op7_html": op7_html,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_weak_quality": op10_weak_quality,
