@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tabfit.llm.fingerprint import op9_simhash
 from tabfit.llm.html_extract import op7_html
 from tabfit.llm.line_dedup import op8_line_dedup
@@ -9,6 +10,7 @@ from tabfit.llm.near_dedup import op4_minhash
 from tabfit.llm.packing import op6_packing
 from tabfit.llm.pii import op3_pii
 from tabfit.llm.quality import op10_weak_quality
+from tabfit.llm.sampling import op5_sentencepiece
 from tabfit.llm.sharding import op1_jump_sharding
 from tabfit.llm.toxicity import op2_toxicity
 
@@ -17,11 +19,13 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
     "op4_minhash": op4_minhash,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_packing": op6_packing,
     "op7_html": op7_html,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_weak_quality": op10_weak_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
