@@ -128,8 +128,9 @@ def _windows(scores: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int = 8, batch: int = 64,
-          rate: float = 0.15, decay: float = 1e-4, seed: int = 5) -> ToxicityModel:
-    """Joint training of embeddings and softmax with Adagrad.  Each step takes, of
+          least_steps: int = 800, rate: float = 0.15, decay: float = 1e-4, seed: int = 5) -> ToxicityModel:
+    """Joint training of embeddings and softmax with Adagrad, ``epochs`` times
+    through the sample and for ``least_steps`` batches at least.  Each step takes, of
     every text of the batch, the window with the greatest logit so far."""
     rng = np.random.default_rng(seed)
     vocab: dict[str, int] = {}
@@ -152,7 +153,9 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int
         return np.add.reduceat(emb[grams], starts, axis=0) / n[:, None], grams, n
 
     live = np.array([i for i, d in enumerate(docs) if len(d)], dtype=np.int64)
-    for _ in range(epochs if len(live) else 0):
+    # a small sample is read more often
+    rounds = max(epochs, -(-least_steps // max(1, -(-len(live) // batch)))) if len(live) else 0
+    for _ in range(rounds):
         rng.shuffle(live)
         # score of every word under the model so far, to choose windows
         per_gram = (emb @ (soft[:, 1] - soft[:, 0]))[ids]
