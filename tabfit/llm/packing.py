@@ -154,29 +154,44 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
 def differencing(sizes: list[int], m: int) -> list[list[int]]:
     """Karmarkar-Karp: ``m`` lists of indices into ``sizes`` with near-equal sums.
 
-    A partial partition holds only its windows with pieces (the others are empty),
-    fullest first.  Merging puts the fullest windows of one on the emptiest of the
-    other: while both fit side by side none meet, as empty windows come first."""
-    if m <= 1:
-        return [list(range(len(sizes)))]
-    heap = [(-s, i, [(s, (i,))]) for i, s in enumerate(sizes)]
+    A partial partition is the sums of its windows, fullest first, without the
+    empty ones.  Merging puts the fullest windows of one on the emptiest of the
+    other; while both fit side by side none meet, as empty windows come first."""
+    n = len(sizes)
+    if m <= 1 or not n:
+        return [list(range(n)), *[[] for _ in range(m - 1)]]
+    heap = [(-s, i, np.array([s]), np.array([i])) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
-    tick = len(sizes)
+    # joined windows: id, and the two it was made of, merge by merge
+    made: list[tuple[int, np.ndarray, np.ndarray]] = []
+    top, tick = n, n
     while len(heap) > 1:
-        _, _, a = heapq.heappop(heap)
-        _, _, b = heapq.heappop(heap)
-        apart = min(len(b), m - len(a))
-        # the fullest of b take empty windows of a, the rest of b its emptiest ones
-        merged = a[:m - len(b)] if len(a) + len(b) > m else a[:]
-        merged += b[:apart]
-        for (s, x), (t, y) in zip(reversed(a[m - len(b):]) if len(a) + len(b) > m else (), b[apart:]):
-            merged.append((s + t, x + y))
-        merged.sort(key=lambda w: -w[0])
-        low = merged[-1][0] if len(merged) == m else 0
-        heapq.heappush(heap, (low - merged[0][0], tick, merged))
+        _, _, a, ai = heapq.heappop(heap)
+        _, _, b, bi = heapq.heappop(heap)
+        meet = len(a) + len(b) - m
+        if meet <= 0:
+            s, ids = np.concatenate((a, b)), np.concatenate((ai, bi))
+        else:
+            i, j = len(a) - meet, len(b) - meet
+            left, right = ai[i:][::-1], bi[j:]
+            made.append((top, left, right))
+            s = np.concatenate((a[:i], b[:j], a[i:][::-1] + b[j:]))
+            ids = np.concatenate((ai[:i], bi[:j], np.arange(top, top + meet)))
+            top += meet
+        order = np.argsort(-s, kind="stable")
+        s, ids = s[order], ids[order]
+        low = int(s[-1]) if len(s) == m else 0
+        heapq.heappush(heap, (low - int(s[0]), tick, s, ids))
         tick += 1
-    windows = [list(x) for _, x in heap[0][2]] if heap else []
-    return windows + [[] for _ in range(m - len(windows))]
+    window = np.empty(top, dtype=np.int64)
+    window[heap[0][3]] = np.arange(len(heap[0][3]))
+    for first, left, right in reversed(made):
+        own = window[first:first + len(left)]
+        window[left], window[right] = own, own
+    out: list[list[int]] = [[] for _ in range(m)]
+    for i, w in enumerate(window[:n].tolist()):
+        out[w].append(i)
+    return out
 
 
 def balance(sizes: list[int], capacity: int) -> list[list[int]]:
