@@ -11,9 +11,12 @@ dropped as soon as the probability of reaching the threshold falls below
 No bucket emits all its pairs.  First each member of a bucket is compared with
 the bucket's least and greatest id; the links found join most members of a group
 into components.  Then only members of *different* components that still share a
-bucket are compared, in blocks of rows inside the tasks; pairs within a component
-cannot change the result.  Two documents end in one component exactly if links
-connect them, as with all candidate pairs.
+bucket are compared, in blocks of rows inside the tasks: by signatures first, then,
+for the members left with a partner, on their full sets.  A task returns no more
+links than join the components it has seen, so what leaves it grows with the rows,
+not with their pairs; pairs within a component cannot change the result.  Two
+documents end in one component exactly if links connect them, as with all
+candidate pairs.
 
 A pair at the threshold shares none of the bands with probability
 ``(1 - threshold ** rows) ** bands`` (3e-6 for the defaults at 0.8).
@@ -41,6 +44,8 @@ MISS = 1e-6
 BLOCK = 64
 WORDS_KEPT = 400_000
 _SLICE = 4096
+#: Shingles laid out at once when the sets of two blocks are intersected.
+_COLUMNS = 32_768
 
 
 class _WordHashes(dict):
@@ -169,9 +174,8 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
             .unionAll(e.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()))
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach ``percent``: only texts of pairs are read into sets."""
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """``id, s``: the full shingle sets of the documents in ``ids`` only."""
     src = docs.select(F.col(key).alias("id"), text_or_empty(text).cast("binary").alias("t"))
     id_type = src.schema["id"].dataType.simpleString()
 
@@ -181,8 +185,15 @@ def _verify(docs: DataFrame, pairs: DataFrame, key: str, text: str, words: int,
             s = [shingle_set(t.as_py(), words, hashes).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.binary())], ["id", "s"])
 
-    full = src.join(ids, "id", "left_semi").mapInArrow(sets, f"id {id_type}, s binary").dropDuplicates(["id"])
-    full = materialise(full, "sets")
+    full = src.join(ids, "id", "left_semi").mapInArrow(sets, f"id {id_type}, s binary")
+    return materialise(full.dropDuplicates(["id"]), "sets")
+
+
+def _verify(docs: DataFrame, pairs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach ``percent``."""
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    full = _sets(docs, ids, key, text, words)
+    id_type = full.schema["id"].dataType.simpleString()
 
     def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,6 +210,73 @@ def _verify(docs: DataFrame, pairs: DataFrame, key: str, text: str, words: int,
     return joined.mapInArrow(enough, f"a {id_type}, b {id_type}")
 
 
+def _mixed(member: DataFrame) -> DataFrame:
+    """The rows ``bucket, band, id, comp`` of buckets with several components."""
+    several = member.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    return member.join(several.select("bucket"), "bucket", "left_semi")
+
+
+def _block_pairs(member: DataFrame) -> DataFrame:
+    """``bucket, band, r1, r2``: pairs of blocks (arrays of ``id, comp, data``) that hold
+    all pairs of a bucket's rows of different components.  Rows of a component with
+    many members have blocks of their own, which are not paired with each other."""
+    per_comp = member.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"))
+    big = per_comp.where(F.col("m") >= BLOCK)
+    small = per_comp.where(F.col("m") < BLOCK).groupBy("bucket").agg(F.sum("m").alias("rest"))
+    m = member.join(small, "bucket", "left").join(big, ["bucket", "comp"], "left")
+    parts = F.ceil(F.coalesce("m", "rest") / BLOCK)
+    m = m.select("bucket", "band", "id", "comp", "data", F.when(F.col("m").isNotNull(), F.col("comp")).alias("owner"),
+                 F.pmod(F.xxhash64("id"), parts).alias("part"))
+    blocks = m.groupBy("bucket", "band", "owner", "part").agg(F.collect_list(F.struct("id", "comp", "data")).alias("rows"))
+    blocks = materialise(blocks, "blocks")
+    x = blocks.select("bucket", "band", F.col("owner").alias("o1"), F.col("part").alias("p1"), F.col("rows").alias("r1"))
+    y = blocks.select("bucket", F.col("owner").alias("o2"), F.col("part").alias("p2"), F.col("rows").alias("r2"))
+    order1 = F.struct(F.col("o1").alias("o"), F.col("p1").alias("p"))
+    order2 = F.struct(F.col("o2").alias("o"), F.col("p2").alias("p"))
+    return x.join(y, "bucket").where((order1 <= order2) & (
+        F.col("o1").isNull() | F.col("o2").isNull() | (F.col("o1") != F.col("o2")))).select("bucket", "band", "r1", "r2")
+
+
+def _columns(rows) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    return np.array([r["id"] for r in rows]), np.array([r["comp"] for r in rows]), [r["data"] for r in rows]
+
+
+def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``x`` with all of ``y``."""
+    common = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    out = np.zeros((len(x), len(y)), dtype=np.int64)
+    for lo in range(0, len(common), _COLUMNS):
+        part = common[lo:lo + _COLUMNS]
+
+        def rows(sets: list[np.ndarray]) -> np.ndarray:
+            m = np.zeros((len(sets), len(part)), dtype=np.float32)
+            for i, s in enumerate(sets):
+                at = np.searchsorted(part, s)
+                at[at == len(part)] = 0
+                m[i, at[part[at] == s]] = 1.0
+            return m
+        out += (rows(x) @ rows(y).T).astype(np.int64)
+    return out
+
+
+def _forest(links: list[tuple]) -> list[tuple]:
+    """Of links (component, component, id, id), the ids of those that join something."""
+    up: dict = {}
+
+    def root(v):
+        while up.setdefault(v, v) != v:
+            up[v] = up[up[v]]
+            v = up[v]
+        return v
+    out = []
+    for c, d, a, b in links:
+        c, d = root(c), root(d)
+        if c != d:
+            up[max(c, d)] = min(c, d)
+            out.append((min(a, b), max(a, b)))
+    return out
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
                     percent: int = 80, bands: int = BANDS, rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``n_shingles``, ``component_id`` (the
@@ -217,7 +295,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     id_type = reps.schema["id"].dataType.simpleString()
     least = least_matches(percent / 100, miss, width)
 
-    keyed = reps.select("id", F.inline(F.array(*[F.struct(F.xxhash64(
+    keyed = reps.select("id", F.inline(F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(
         F.lit(i), F.substring("sig", 4 * rows * i + 1, 4 * rows)).alias("bucket")) for i in range(bands)])))
     shared = keyed.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     buckets = materialise(keyed.join(shared, "bucket"), "buckets")
@@ -240,48 +318,45 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     # what different components of one bucket still have to be compared
     comp = materialise(components(links), "first-components")
-    member = buckets.select("bucket", "id").join(comp, "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("comp"))
-    member = materialise(member, "members")
-    mixed = member.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    per_comp = member.join(mixed.select("bucket"), "bucket", "left_semi").groupBy("bucket", "comp").agg(
-        F.count(F.lit(1)).alias("m"))
-    big = per_comp.where(F.col("m") >= BLOCK)
-    small = per_comp.where(F.col("m") < BLOCK).groupBy("bucket").agg(F.sum("m").alias("rest"))
-    m = (member.join(mixed.select("bucket"), "bucket", "left_semi").join(small, "bucket", "left")
-         .join(big, ["bucket", "comp"], "left"))
-    parts = F.ceil(F.coalesce("m", "rest") / BLOCK)
-    m = m.select("bucket", "id", "comp", F.when(F.col("m").isNotNull(), F.col("comp")).alias("owner"),
-                 F.pmod(F.xxhash64("id"), parts).alias("part"))
-    blocks = m.join(sig, "id").groupBy("bucket", "owner", "part").agg(
-        F.collect_list(F.struct("id", "comp", "sig")).alias("rows"))
-    blocks = materialise(blocks, "blocks")
-    x = blocks.select("bucket", F.col("owner").alias("o1"), F.col("part").alias("p1"), F.col("rows").alias("r1"))
-    y = blocks.select("bucket", F.col("owner").alias("o2"), F.col("part").alias("p2"), F.col("rows").alias("r2"))
-    order1 = F.struct(F.col("o1").alias("o"), F.col("p1").alias("p"))
-    order2 = F.struct(F.col("o2").alias("o"), F.col("p2").alias("p"))
-    # blocks of one large component are not compared with each other
-    block_pairs = x.join(y, "bucket").where((order1 <= order2) & (
-        F.col("o1").isNull() | F.col("o2").isNull() | (F.col("o1") != F.col("o2")))).select("r1", "r2")
-
-    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for r1, r2 in zip(frame.r1, frame.r2):
-                (i1, c1, s1), (i2, c2, s2) = (
-                    ([r["id"] for r in rs], [r["comp"] for r in rs], _as_matrix([r["sig"] for r in rs], width))
-                    for rs in (r1, r2))
-                i1, i2 = np.array(i1), np.array(i2)
-                left, right = np.nonzero((np.array(c1)[:, None] != np.array(c2)[None, :])
-                                         & (i1[:, None] != i2[None, :]))
-                live = survivors(s1[left], s2[right], least)
-                a, b = i1[left[live]], i2[right[live]]
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-    more = materialise(block_pairs.mapInPandas(across, f"a {id_type}, b {id_type}").distinct()
-                       .join(near, ["a", "b"], "left_anti"), "more-near")
-    if not more.isEmpty():
-        links = links.unionByName(_verify(docs, more, key, text, words, percent))
-        comp = components(links)
+    member = buckets.select("bucket", "band", "id").join(comp, "id", "left").select(
+        "bucket", "band", "id", F.coalesce("component", "id").alias("comp"))
+    member = materialise(_mixed(materialise(member, "members")), "mixed")
+    if not member.isEmpty():
+        def open_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in batches:
+                for bucket, band, r1, r2 in zip(frame.bucket, frame.band, frame.r1, frame.r2):
+                    i1, c1, s1 = _columns(r1)
+                    i2, c2, s2 = _columns(r2)
+                    m1, m2 = _as_matrix(s1, width), _as_matrix(s2, width)
+                    left, right = np.nonzero(c1[:, None] != c2[None, :])
+                    live = survivors(m1[left], m2[right], least)
+                    left, right = left[live], right[live]
+                    # a pair is taken up in the first band that it shares
+                    same = (m1[left] == m2[right]).reshape(len(left), bands, rows).all(axis=2)
+                    here = same.argmax(axis=1) == band
+                    ids = np.unique(np.concatenate((i1[left[here]], i2[right[here]])))
+                    yield pd.DataFrame({"bucket": np.full(len(ids), bucket, dtype=np.int64), "id": ids})
+
+        todo = _block_pairs(member.join(reps.select("id", F.col("sig").alias("data")), "id"))
+        open_rows = todo.mapInPandas(open_pairs, f"bucket long, id {id_type}").distinct()
+        left_over = materialise(member.join(open_rows, ["bucket", "id"], "left_semi"), "open")
+
+        def join_exactly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in batches:
+                for r1, r2 in zip(frame.r1, frame.r2):
+                    i1, c1, s1 = _columns(r1)
+                    i2, c2, s2 = _columns(r2)
+                    x, y = ([np.frombuffer(v, dtype=np.uint64) for v in s] for s in (s1, s2))
+                    both = _shared(x, y)
+                    size = np.array([len(v) for v in x])[:, None] + np.array([len(v) for v in y])[None, :]
+                    hit = (100 * both >= percent * (size - both)) & (c1[:, None] != c2[None, :])
+                    keep = _forest([(c1[i], c2[j], i1[i], i2[j]) for i, j in zip(*np.nonzero(hit))])
+                    yield pd.DataFrame(keep, columns=["a", "b"], dtype=object if not keep else None)
+
+        full = _sets(docs, left_over.select("id").distinct(), key, text, words)
+        todo = _block_pairs(left_over.join(full.select("id", F.col("s").alias("data")), "id"))
+        more = todo.mapInPandas(join_exactly, f"a {id_type}, b {id_type}")
+        comp = components(links.unionByName(more))
     found = (classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
              .select("cls", F.coalesce("component", "rep").alias("__component")))
     out = sk.select("id", "n", "cls").join(found, "cls", "left")
