@@ -34,7 +34,9 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 WORDS_KEPT = 250_000
 
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# the tokenizer's own split, for words of code points up to U+00FF in lower case
+_LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 # not white space to the tokenizer, though str.split() would split there
 _ODD = re.compile("[\x1c-\x1f]")
 
@@ -44,53 +46,51 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds(dict):
+class WordIds:
     """Token ids of white-space-separated words, as bytes of unsigned 32-bit
     integers.  The tokenizer drops white space and never joins letters across it,
     so a text's ids are its words' ids in turn.  New words are encoded in batches;
-    an ASCII word by its parts (the tokenizer's own split), which repeat more."""
+    a word of Latin letters by its parts (the tokenizer's own split), which repeat
+    more."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, items: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(items, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
 
-    def learn(self, words: set[str]) -> None:
-        if len(self) + len(words) > WORDS_KEPT:
-            self.clear()
+    def _learn(self, words: set[str]) -> None:
         if len(self.parts) > WORDS_KEPT:
             self.parts.clear()
-        plain = {w: _ASCII_PARTS.findall(w.lower()) for w in words if w.isascii() and "<|" not in w}
+        plain = {w: _PARTS.findall(w.lower()) for w in words if (w.isascii() or max(w) <= "\xff") and "<|" not in w}
         missing = sorted({p for ps in plain.values() for p in ps}.difference(self.parts))
         self.parts.update(zip(missing, self._encode(missing)))
         parts = self.parts
-        self.update((w, b"".join([parts[p] for p in ps])) for w, ps in plain.items())
+        self.words.update((w, b"".join([parts[p] for p in ps])) for w, ps in plain.items())
         other = sorted(words.difference(plain))
-        self.update(zip(other, self._encode(other)))
+        self.words.update(zip(other, self._encode(other)))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        for lo in range(0, len(texts), 64):
-            split = [None if _ODD.search(t) else t.split() for t in texts[lo:lo + 64]]
-            for words, t in zip(split, texts[lo:lo + 64]):
-                if words is None:
-                    yield self._encode([t])[0]
-                    continue
-                # a very long text in parts, so that what is remembered stays bounded
-                out = []
-                for at in range(0, len(words), 50_000):
-                    part = words[at:at + 50_000]
-                    new = set(part).difference(self)
-                    if new:
-                        self.learn(new)
-                        if not new.issuperset(part) and any(w not in self for w in part):
-                            self.learn(set(part))
-                    out.append(b"".join(map(self.__getitem__, part)))
-                yield b"".join(out)
+        for t in texts:
+            if _ODD.search(t):
+                yield self._encode([t])[0]
+                continue
+            words, out = t.split(), []
+            # a very long text in parts, so that what is remembered stays bounded
+            for at in range(0, len(words), 50_000):
+                part = words[at:at + 50_000]
+                new = set(part).difference(self.words)
+                if new:
+                    if len(self.words) + len(new) > WORDS_KEPT:
+                        self.words.clear()
+                        new = set(part)
+                    self._learn(new)
+                out.append(b"".join(map(self.words.__getitem__, part)))
+            yield b"".join(out)
 
 
 _WORDS: dict[str, WordIds] = {}

@@ -335,7 +335,7 @@ def test_windows_rise_until_they_fit():
 def test_pieces_and_windows_hold_every_token(spark, docs, nothing):
     from tokenizers import Tokenizer
     path = packing.vocabulary_path()
-    special = spark.createDataFrame([(100, "it's <|endoftext|> I'LL 12ab\x1cx　y Ünï 'S", "", "", "", 0)], SCHEMA)
+    special = spark.createDataFrame([(100, "it's <|endoftext|> I'LL 12ab\x1cx　y Ünï 'S\x85ÀÉß½²µª\xa0it’s don't İI ÿ\xad×÷ e\u0301", "", "", "", 0)], SCHEMA)
     df = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(special)
     pieces = packing.materialise(packing.token_pieces(df, with_ids=True), "test-pieces")
     rows = packing.pack(pieces).collect()
