@@ -253,7 +253,7 @@ class Sampler:
         node, length = (np.array(x, dtype=np.int64) for x in zip(*flat))
         owner = np.repeat(np.arange(len(texts)), counts)
         end = np.cumsum(length)
-        first = np.repeat(np.concatenate(([0], end[np.cumsum(counts) - 1]))[:-1], counts)
+        first = np.repeat(np.concatenate(([0], end))[np.cumsum(counts) - counts], counts)
         place = end - first  # position in the text of each unit's end
         left = length.copy()
         live = np.arange(len(node))
