@@ -181,7 +181,7 @@ class Sampler:
         source = node0[start]
         target = source + step
         depth = start + step - (stop - size)[owner[start]]  # position of the target in its unit
-        order = np.lexsort((step, target))
+        order = np.lexsort((-step, target))
         source, target, depth, step, piece, weight = (x[order] for x in (source, target, depth, step, piece, weight))
         base = self.nodes
         total = np.zeros(len(cp) + len(units))
