@@ -45,7 +45,7 @@ def main() -> None:
         p = BoostParams(objective="binary:logistic", num_round=5, eta=0.3, max_depth=6,
                         subsample=0.8, seed=7)
         t = time.time()
-        model = BoostTrainer(p).fit(fr)
+        model = BoostTrainer(p, id_col="rowId").fit(fr)
         elapsed = time.time() - t
         state["model"], state["frame"] = model, fr
         return elapsed / p.num_round  # seconds per boosting round

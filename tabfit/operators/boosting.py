@@ -24,7 +24,8 @@ binned features (one scalar column per feature) built from the splits, so
 routing needs no join.  The fitted trees become one CASE expression per tree
 over the raw features: scoring is a projection with no shuffle and no Python.
 
-Feature bins come from one ``percentile_approx`` pass over all features.
+Feature bins ignore NaN and NULL: a feature with at most ``max_bins`` distinct
+values gets an edge at each of them, any other its quantiles and its maximum.
 Bin ``j`` of a feature holds values in ``[edge_{j-1}, edge_j)``; a split at
 bin ``j`` sends ``value < edge_j`` left, NaN and NULL go right.
 
@@ -362,8 +363,10 @@ def _best_splits_spark(hist: DataFrame, lam: float, mcw: float) -> list[dict]:
     s = s.withColumns({"GR": GR, "HR": HR})
     ok = ((F.col("HL") >= mcw) & (F.col("HR") >= mcw) & (F.col("HL") > 0) & (F.col("HR") > 0))
     s = s.withColumn("gain", F.when(ok, gain))
+    # the tie rule of ``_best_splits_pdf``: 11 significant digits, then (feature, bin)
+    rounded = F.format_string("%.10e", "gain").cast("double")
     best = Window.partitionBy("k", "node").orderBy(
-        F.col("gain").desc_nulls_last(), F.col("f"), F.col("bin"))
+        F.when(F.col("gain").isNotNull(), rounded).desc_nulls_last(), F.col("f"), F.col("bin"))
     top = (s.withColumn("rk", F.row_number().over(best)).where(F.col("rk") == 1)
            .select("k", "node", "f", "bin", "gain", "GL", "HL", "GR", "HR", "Gt", "Ht"))
     return [r.asDict() for r in top.collect()]  # at most classes * 2^d rows
@@ -470,16 +473,37 @@ class BoostTrainer:
         return BoostModel(self.params, 0, [], [], [], self.features_col, self.feature_cols)._x(df)
 
     def _edges(self, x_df: DataFrame, n_feat: int) -> list[list[float]]:
-        qs = [i / self.params.max_bins for i in range(1, self.params.max_bins)]
+        """Bin edges per feature over its present values (no NaN, no NULL).
+
+        With at most ``max_bins`` distinct values every value but the least is an
+        edge, however rare it is.  Otherwise the edges are the quantiles, the
+        value after each one that fills several of them, and the maximum.
+        Features are aggregated by key, so their sketches spread over tasks."""
+        bins = self.params.max_bins
+        qs = [i / bins for i in range(1, bins)]
         # sketch accuracy sized to the bins needed (relative rank error 1/(16 bins)),
         # which keeps the per-task sketch small even with many features
-        acc = max(256, 16 * self.params.max_bins)
-        row = x_df.select(*[F.percentile_approx(F.col("x")[i], qs, acc).alias(f"q{i}")
-                            for i in range(n_feat)]).first()  # one row: features x bins
-        edges = []
-        for i in range(n_feat):
-            vals = [v for v in (row[f"q{i}"] or []) if v is not None and not math.isnan(v)]
-            edges.append(sorted(set(vals)))
+        acc = max(256, 16 * bins)
+        values = (x_df.select(F.posexplode(F.slice("x", 1, n_feat)).alias("f", "v"))
+                  .select("f", F.col("v").cast("double").alias("v"))
+                  .where(F.col("v").isNotNull() & ~F.isnan("v")))
+        # bounded: one row per feature
+        rows = values.groupBy("f").agg(
+            F.percentile_approx("v", qs, acc).alias("q"), F.min("v").alias("lo"),
+            F.max("v").alias("hi"), F.approx_count_distinct("v").alias("d")).collect()
+        edges: list[list[float]] = [[] for _ in range(n_feat)]
+        for r in rows:
+            edges[r["f"]] = sorted({v for v in [*r["q"], r["hi"]] if v > r["lo"]})
+        # the estimate is within a few per cent: twice the bins cannot miss a candidate
+        few = [r["f"] for r in rows if r["d"] <= 2 * bins]
+        if few:
+            # bounded: features x about 2 * max_bins distinct values
+            exact: dict[int, list[float]] = {f: [] for f in few}
+            for r in values.where(F.col("f").isin(few)).distinct().collect():
+                exact[r["f"]].append(r["v"])
+            for f, vals in exact.items():
+                if len(vals) <= bins:
+                    edges[f] = sorted(vals)[1:]
         return edges
 
     def _base_margin(self, _unused=None) -> list[float]:
@@ -493,18 +517,24 @@ class BoostTrainer:
         return [p.base_score]
 
     def prepare(self, df: DataFrame, watches: dict[str, DataFrame] | None = None,
-                set_col: Column | None = None) -> "Prepared":
+                set_col: Column | None = None,
+                edge_sets: tuple[str, ...] | None = None) -> "Prepared":
         """Quantise the rows once: one quantile pass, one binning projection,
         one reliable checkpoint.  Rows are tagged ``set`` = "train" (or the
         value of ``set_col``) and, for each watch frame, its name.  Several
-        fits (a parameter grid) can share the result."""
+        fits (a parameter grid) can share the result.  ``edge_sets``: only rows
+        of these sets choose the bin edges (default: all but watch rows).
+        Subsampling takes rows by ``id_col``, which it therefore needs."""
+        if self.params.subsample < 1.0 and self.id_col is None:
+            raise ValueError("subsample < 1 needs id_col: rows are sampled by a hash of it")
         spark = df.sparkSession
         shared_dir(spark)
         x_df = df.select(self._x(df).alias("x"), F.col(self.label_col).cast("double").alias("y"),
                          (set_col if set_col is not None else F.lit("train")).alias("set"),
                          *([F.col(self.id_col).alias("rid")] if self.id_col else []))
         n_feat = self.num_features or x_df.select(F.size("x")).first()[0]  # one value
-        edges = self._edges(x_df, n_feat)
+        chosen = x_df if edge_sets is None else x_df.where(F.col("set").isin(*edge_sets))
+        edges = self._edges(chosen, n_feat)
 
         scalar = n_feat <= SCALAR_FEATURES_MAX
         if scalar and sum(len(e) for e in edges) <= CASE_BIN_LIMIT:
@@ -529,7 +559,7 @@ class BoostTrainer:
 
         # bins fit in 16 bits (max_bins <= 1024): half the cached / checkpointed size
         def quantise(frame: DataFrame) -> DataFrame:
-            rid = F.col("rid") if "rid" in frame.columns else F.xxhash64("x", "y")
+            rid = F.xxhash64("rid") if "rid" in frame.columns else F.xxhash64("x", "y")
             if split_array:
                 # evaluate the binning once, then read its elements into columns
                 arr = frame.select("set", rid.alias("rid"), "y", b.alias("_barr"))

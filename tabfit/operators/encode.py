@@ -137,8 +137,8 @@ class VocabModel:
             return df.withColumn(out, F.expr(f"try_element_at({m}, CAST(`{c}` AS STRING))"))
         v = (self.vocab.where(F.col("column") == c)
              .select(F.col("value").alias(f"_v_{out}"), F.col("index").cast("double").alias(out)))
-        if self.sizes.get(c, 0) <= self.max_broadcast_rows:
-            v = F.broadcast(v)
+        # no hint: the vocabulary is a written table, so its size is known, and
+        # Spark broadcasts it only below autoBroadcastJoinThreshold
         return df.join(v, F.col(c).cast("string") == F.col(f"_v_{out}"), "left").drop(f"_v_{out}")
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -38,15 +39,21 @@ def auc(df: DataFrame, score_col: str = "probability", label_col: str = "label",
     per_score = (s.groupBy(*groups, "_s")
                  .agg(F.sum(F.when(F.col("_y") > 0.5, 1).otherwise(0)).cast("long").alias("pos"),
                       F.sum(F.when(F.col("_y") > 0.5, 0).otherwise(1)).cast("long").alias("neg")))
+    # kept: the ranking reads it more than once, the source is read once
+    per_score = per_score.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = running_totals(per_score, [*groups, "_s"], ["neg"])
     if groups:
         # running totals run over the whole (group, score) order: make them per group
-        first = ranked.groupBy(*groups).agg(F.min("before_neg").alias("_g0"))
-        ranked = ranked.join(first, groups)  # AQE broadcasts it when the group count is small
+        first = ranked.groupBy(*[F.col(g).alias(f"_k_{g}") for g in groups]).agg(
+            F.min("before_neg").alias("_g0"))
+        same = F.lit(True)
+        for g in groups:  # a NULL group is a group
+            same = same & F.col(g).eqNullSafe(F.col(f"_k_{g}"))
+        ranked = ranked.join(first, same)  # AQE broadcasts it when the group count is small
         ranked = ranked.withColumn("before_neg", F.col("before_neg") - F.col("_g0"))
     P, N = F.sum("pos"), F.sum("neg")
     return ranked.groupBy(*groups).agg(
-        (F.sum(F.col("pos") * (F.col("before_neg") + 0.5 * F.col("neg"))) / (P * N)).alias("auc"),
+        (F.sum(F.col("pos") * (F.col("before_neg") + 0.5 * F.col("neg"))) / (P.cast("double") * N)).alias("auc"),
         P.alias("positives"), N.alias("negatives"))
 
 
@@ -57,8 +64,13 @@ def auc_value(df: DataFrame, score_col: str = "probability", label_col: str = "l
 def evaluate(df: DataFrame, metric: Metric | str, prediction_col: str = "prediction",
              label_col: str = "label", set_col: str | None = None,
              set_name: str = "test") -> DataFrame:
-    """Rows (set, metric, value) for one metric over one or more named sets."""
+    """Rows (set, metric, value) for one metric over one or more named sets; one
+    named set without rows has the value NaN."""
     m = METRICS[metric] if isinstance(metric, str) else metric
-    key = F.col(set_col) if set_col else F.lit(set_name)
+    if set_col is None:
+        value = F.coalesce(m(F.col(prediction_col), F.col(label_col)).cast("double"), F.lit(float("nan")))
+        return df.agg(value.alias("value")).select(F.lit(set_name).alias("set"),
+                                                   F.lit(m.name).alias("metric"), "value")
+    key = F.col(set_col)
     return (df.groupBy(key.alias("set"))
             .agg(F.lit(m.name).alias("metric"), m(F.col(prediction_col), F.col(label_col)).alias("value")))

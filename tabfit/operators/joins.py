@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
-# Broadcast a side only if it has at most this many rows; beyond it the
-# join shuffles both sides (sort-merge, with AQE splitting skewed keys).
+# Broadcast a side only if it has at most this many rows and about this many
+# bytes; beyond either the join shuffles both sides (sort-merge, with AQE
+# splitting skewed keys).
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def maybe_broadcast(side: DataFrame, n_rows: int | None = None,
                     max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(side)`` when its row count is within ``max_rows``, else ``side``."""
-    if n_rows is None:
-        # the check reads at most max_rows + 1 rows, however large the side is
-        n_rows = side.limit(max_rows + 1).count()
-    return F.broadcast(side) if n_rows <= max_rows else side
+    """``broadcast(side)`` when its rows and bytes are within bounds, else ``side``.
+
+    Both are summed inside the tasks (one row per task is shuffled); the bytes
+    are those of the values, with 16 for each fixed-width one."""
+    size = F.lit(0).cast("long")
+    for f in side.schema.fields:
+        wide = not isinstance(f.dataType, (NumericType, BooleanType, DatetimeType))
+        size = size + (F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+                       if wide else F.lit(16))
+    got = side.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    fits = max(got["n"], n_rows or 0) <= max_rows and got["b"] <= MAX_BROADCAST_BYTES
+    return F.broadcast(side) if fits else side
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

@@ -1,7 +1,7 @@
 """Parameter grids, a repeatable hash split, and train-validation selection.
 
 The split is a pure function of a key column: ``md5(key)`` prefix below a
-threshold (205/256 = 0.80, 230/256 = 0.898), so it does not depend on
+threshold, so it does not depend on
 partitioning or on task retries, and DuckDB computes the same split.
 """
 
@@ -25,13 +25,17 @@ def param_grid(**axes) -> list[dict]:
 
 
 def hash_threshold(ratio: float) -> str:
-    """Two hex digits t such that md5 prefixes below t cover about ``ratio``."""
-    return f"{min(255, max(0, round(ratio * 256))):02x}"
+    """Eight hex digits t such that md5 prefixes below t cover ``ratio`` of the keys
+    (to within 2 ** -32).  A ratio of 1 gives "g", which every prefix is below."""
+    if not 0 <= ratio <= 1:
+        raise ValueError("ratio must be between 0 and 1")
+    n = round(ratio * (1 << 32))
+    return "g" if n >= 1 << 32 else f"{n:08x}"
 
 
 def in_train(key, ratio: float) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return F.substring(F.md5(k.cast("string")), 1, 2) < F.lit(hash_threshold(ratio))
+    return F.substring(F.md5(k.cast("string")), 1, 8) < F.lit(hash_threshold(ratio))
 
 
 def hash_split(df: DataFrame, key: str, ratio: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -66,9 +70,10 @@ class TrainValidationSplit:
     """Fit every grid point on the train part, score the validation part,
     keep the best, refit it on all rows.
 
-    The rows are quantised once (one quantile pass, one checkpoint) and every
+    The rows are quantised once, with bin edges of the train part, and every
     grid point boosts on that shared copy; validation rows ride along in the
-    same state, so their margins come for free.  Grid points run as
+    same state, so their margins come for free.  The refit on all rows has bin
+    edges of all rows.  Grid points run as
     concurrent Spark jobs (``parallelism`` threads); each running point keeps
     its own persisted copy of the rows with margins, so parallelism trades
     executor memory for wall time (default 1, as in MLlib).  ``evaluator`` is "auc"
@@ -85,9 +90,13 @@ class TrainValidationSplit:
         self.parallelism, self.refit, self.evaluator = parallelism, refit, evaluator
         if any("max_bins" in g for g in grid):
             raise ValueError("max_bins cannot vary inside one grid: the rows are binned once")
+        objectives = {base.objective, *(g["objective"] for g in grid if "objective" in g)}
+        if evaluator == "auc" and any(o.startswith("multi:") for o in objectives):
+            raise ValueError("auc needs one score per row: choose another evaluator for multi-class")
 
     def _trainer(self, params: BoostParams) -> BoostTrainer:
-        return BoostTrainer(params, features_col=self.features_col, label_col=self.label_col)
+        return BoostTrainer(params, features_col=self.features_col, label_col=self.label_col,
+                            id_col=self.key_col)
 
     def _score(self, params: BoostParams, state: DataFrame) -> float:
         valid = state.where(F.col("set") == "valid")
@@ -102,7 +111,7 @@ class TrainValidationSplit:
 
     def fit(self, df: DataFrame) -> TuningResult:
         split = F.when(in_train(self.key_col, self.train_ratio), "train").otherwise("valid")
-        prep = self._trainer(self.base).prepare(df, set_col=split)
+        prep = self._trainer(self.base).prepare(df, set_col=split, edge_sets=("train",))
 
         def run(point: dict) -> float:
             params = self.base.replace(**point)
@@ -112,12 +121,16 @@ class TrainValidationSplit:
             finally:
                 state.unpersist()
 
-        with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
-            metrics = list(pool.map(run, self.grid))
-        sign = 1 if self.evaluator == "auc" else -1
-        best = max(range(len(metrics)), key=lambda i: (sign * metrics[i], -i))
-        best_params = self.base.replace(**self.grid[best])
-        sets = ("train", "valid") if self.refit else ("train",)
-        model = self._trainer(best_params).fit_prepared(prep, sets)
-        prep.release()
+        try:
+            with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
+                metrics = list(pool.map(run, self.grid))
+            sign = 1 if self.evaluator == "auc" else -1
+            best = max(range(len(metrics)), key=lambda i: (sign * metrics[i], -i))
+            best_params = self.base.replace(**self.grid[best])
+            if not self.refit:
+                model = self._trainer(best_params).fit_prepared(prep, ("train",))
+        finally:
+            prep.release()
+        if self.refit:
+            model = self._trainer(best_params).fit(df)
         return TuningResult(model, best, self.grid, metrics, self.base)

@@ -684,7 +684,7 @@ def _train_binary(spark, sf, rounds=3, depth=4):
     train, test = hash_split(fr, "rowId", 0.8)
     p = BoostParams(objective="binary:logistic", num_round=rounds, eta=0.3, max_depth=depth,
                     subsample=0.8, seed=7)
-    model = BoostTrainer(p, features_col="features", label_col="label").fit(train)
+    model = BoostTrainer(p, features_col="features", label_col="label", id_col="rowId").fit(train)
     return model, fr, test
 
 
@@ -707,7 +707,7 @@ def q_train_regression(spark, sf):
     fr = hourly_features(S.hourly(spark, sf))
     train, test = hash_split(fr, "rowId", 0.8)
     p = BoostParams(objective="reg:squarederror", num_round=3, eta=0.1, max_depth=6, subsample=0.8)
-    model = BoostTrainer(p, metric="rmsle").fit(train)
+    model = BoostTrainer(p, metric="rmsle", id_col="rowId").fit(train)
     return model.transform(test).select("rowId", "label", "prediction")
 
 
@@ -874,7 +874,8 @@ def q_train_libsvm_scored(spark, sf):
     lines = v.select(F.col("rowId"), libsvm_line(F.when(F.col("label") >= 5, 1.0).otherwise(0.0),
                                                  F.col("x"), index_base=1).alias("value"))
     train_path, test_path = _stage(spark, "libsvm-train"), _stage(spark, "libsvm-test")
-    split = F.substring(F.md5(F.col("rowId").cast("string")), 1, 2) < "cd"
+    from tabfit.operators.tuning import in_train
+    split = in_train("rowId", 0.8)
     lines.where(split).select("value").write.text(train_path)
     lines.where(~split).select("value").write.text(test_path)
     reader = LibsvmExtractor(spark, width=65, index_base=0)
@@ -907,7 +908,7 @@ def q_train_watch_rmsle(spark, sf):
     fr = hourly_features(S.hourly(spark, sf))
     train, test = hash_split(fr, "rowId", 0.8)
     p = BoostParams(objective="reg:squarederror", num_round=3, eta=0.1, max_depth=6, subsample=0.8)
-    model = BoostTrainer(p, metric="rmsle").fit(train, watches={"test": test})
+    model = BoostTrainer(p, metric="rmsle", id_col="rowId").fit(train, watches={"test": test})
     return model.history_frame(spark)
 
 
@@ -925,7 +926,7 @@ def q_tune_libsvm_depth(spark, sf):
 
 def _holdout_sql() -> str:
     cols = ["pClass", "sex", "cabin", "embarked"]
-    split = "substr(md5(CAST(passengerId AS VARCHAR)), 1, 2) < 'cd'"
+    split = "substr(md5(CAST(passengerId AS VARCHAR)), 1, 8) < 'cccccccd'"
     ctes = ["p AS (" + S.PASSENGERS_SQL + ")", f"tr AS (SELECT * FROM p WHERE {split})",
             f"te AS (SELECT * FROM p WHERE NOT ({split}))"]
     ctes += [f"v_{c} AS ({_first_seen_sql(c, 'tr')})" for c in cols]

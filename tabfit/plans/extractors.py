@@ -18,7 +18,8 @@ class FeatureExtractor(Protocol):
 
 
 class HourlyExtractor:
-    """Headerless hourly CSV -> 13-slot vector; the label is the last field."""
+    """Headerless hourly CSV -> 13-slot vector; the label is the last field of the
+    line, however many stand before it, and is ignored if not asked for."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -27,7 +28,8 @@ class HourlyExtractor:
         from tabfit.plans.frames import hourly_features
         from tabfit.sources.csv import read_csv
         from tabfit.sources.schemas import HOURLY, HOURLY_NO_LABEL
-        raw = read_csv(self.spark, path, HOURLY if has_label else HOURLY_NO_LABEL)
+        raw = (read_csv(self.spark, path, HOURLY, fields="first+last") if has_label
+               else read_csv(self.spark, path, HOURLY_NO_LABEL, fields="first"))
         return hourly_features(raw, has_label=has_label)
 
     def labeled_points(self, path: str, has_label: bool = True) -> DataFrame:

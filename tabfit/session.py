@@ -60,8 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The reliable shared folder for this application.
 
     Reads ``spark.checkpoint.dir`` (or a directory already given to
-    ``SparkContext.setCheckpointDir``).  If neither is set we are in a test
-    or on a single machine: make a scratch folder and register it.
+    ``SparkContext.setCheckpointDir``).  If neither is set a ``local[...]``
+    session makes a scratch folder and registers it; a cluster session fails.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -73,6 +73,8 @@ def shared_dir(spark: SparkSession) -> str:
     if existing:
         # setCheckpointDir appends a per-application uuid folder; use its parent.
         return existing.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = spark.conf.get(_OWN_DIR_CONF, None)
     if not own:
         own = tempfile.mkdtemp(prefix="tabfit-ckpt-")

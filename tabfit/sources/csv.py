@@ -3,7 +3,7 @@
 ``on_bad``:
 
 * ``"fail"``       - the first malformed row fails the job that reads it.
-* ``"drop"``       - malformed rows are skipped silently.
+* ``"drop"``       - malformed rows are skipped (read with "quarantine" to count them).
 * ``"quarantine"`` - every line parsed with ``from_csv`` (PERMISSIVE, with a
   corrupt-record field): returns the good rows and a report of the bad ones
   (raw text, cause, source file, parsable fields), both lazy.
@@ -31,22 +31,30 @@ class CsvRead:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = False,
              sep: str = ",", on_bad: str = "fail", trim: bool = True, quote: str = '"',
-             line_numbers: bool = False):
+             line_numbers: bool = False, fields: str = "all"):
     """Read CSV text with ``schema``; see the module doc for ``on_bad``.
 
+    ``fields`` (for files without quoted separators): "all" takes lines of just
+    the schema's fields; "first" the schema's fields from the left and ignores
+    what follows; "first+last" all but the last from the left and the last one
+    from the line's end, whatever stands between.
+
     Returns a DataFrame for ``fail`` and ``drop``, a ``CsvRead`` for
     ``quarantine``.  With ``line_numbers`` the bad-row report also gives the
     1-based line of each bad row in its file (header and blank lines count).
     """
     if on_bad not in ("fail", "drop", "quarantine"):
         raise ValueError(f"on_bad must be fail, drop or quarantine, not {on_bad!r}")
+    if fields not in ("all", "first", "first+last"):
+        raise ValueError(f"fields must be all, first or first+last, not {fields!r}")
     res = _parse_lines(spark, path, schema, header, sep, trim, quote,
-                       "FAILFAST" if on_bad == "fail" else "PERMISSIVE", line_numbers)
+                       "FAILFAST" if on_bad == "fail" else "PERMISSIVE", line_numbers, fields)
     return res if on_bad == "quarantine" else res.good
 
 
 def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: bool, sep: str,
-                 trim: bool, quote: str, mode: str, line_numbers: bool = False) -> CsvRead:
+                 trim: bool, quote: str, mode: str, line_numbers: bool = False,
+                 fields: str = "all") -> CsvRead:
     """Lines are read as text and parsed with ``from_csv``.
 
     The CSV file source prunes unread columns and then only validates the
@@ -77,15 +85,27 @@ def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: boo
                  .select("value", F.col("_metadata.file_path").alias("file"))
                  .where(F.col("value").isNotNull() & (F.length(F.trim("value")) > 0)))
     extra = ["line"] if line_numbers else []
+    sep_re = sep if sep not in ".$|()[{^?*+\\" else "\\" + sep
+    parts, n = F.split(F.col("value"), sep_re), len(names)
+    if fields == "all":
+        line = F.col("value")
+    elif fields == "first":
+        line = F.concat_ws(sep, F.slice(parts, 1, n))
+    else:  # a line with too few fields stays as it is, and is malformed
+        line = F.when(F.size(parts) >= n, F.concat_ws(sep, F.concat(
+            F.slice(parts, 1, n - 1), F.array(F.element_at(parts, -1))))).otherwise(F.col("value"))
     parsed = lines.select("value", "file", *extra,
-                          F.from_csv(F.col("value"), full.simpleString(), opts).alias("r"))
+                          F.from_csv(line, full.simpleString(), opts).alias("r"))
     bad_flag = F.col("r").getField(CORRUPT).isNotNull() | F.col("r").isNull()
     good = parsed.where(~bad_flag).select(*[F.col("r").getField(n).alias(n) for n in names])
     n_fields = len(names)
-    count = F.size(F.split(F.col("value"), sep if sep not in ".$|()[{^?*+\\" else "\\" + sep))
+    # separators inside quotes do not count
+    bare = F.regexp_replace("value", f"{quote}([^{quote}]|{quote}{quote})*{quote}", "") if quote else F.col("value")
+    count = F.size(F.split(bare, sep_re))
+    short = count < n_fields if fields != "all" else count != n_fields
     bad = parsed.where(bad_flag).select(
         F.col("value").alias("raw"),
-        F.when(count != n_fields,
+        F.when(short,
                F.format_string("expected %d fields, found %d", F.lit(n_fields), count))
         .otherwise(F.lit("unparsable value")).alias("reason"),
         "file", *extra, *[F.col("r").getField(n).alias(n) for n in names])

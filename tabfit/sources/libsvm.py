@@ -2,8 +2,8 @@
 
 ``index_base=1`` is the usual 1-based format and uses Spark's own ``libsvm``
 reader (sparse vectors).  ``index_base=0`` keeps every index as written, in a
-dense vector of ``num_features`` slots (slot 0 stays empty for 1-based data);
-when an index repeats, the last value wins.
+vector of ``num_features`` slots (slot 0 stays empty for 1-based data); when an
+index repeats, the last value wins.  An index outside the vector fails the job.
 """
 
 from __future__ import annotations
@@ -23,11 +23,23 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int,
     entries = F.transform(F.slice(parts, 2, F.size(parts)), lambda e: F.struct(
         F.split(e, ":").getItem(0).cast("int").alias("i"),
         F.split(e, ":").getItem(1).cast("double").alias("v")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(num_features - 1)), lambda i: F.aggregate(
-        F.filter(F.col("_e"), lambda e: e["i"] == i), F.lit(0.0), lambda acc, e: e["v"]))
     t = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    return (t.select(parts.getItem(0).cast("double").alias("label"), entries.alias("_e"))
-            .select("label", array_to_vector(dense).alias("features")))
+    # entries by (index, place); of equal indices the last one stays
+    t = t.select(parts.getItem(0).cast("double").alias("label"), entries.alias("_e"))
+    placed = F.transform("_e", lambda e, k: F.struct(e["i"].alias("i"), k.alias("k"), e["v"].alias("v")))
+    t = t.select("label", F.sort_array(placed).alias("_s"))
+    t = t.select("label", F.filter("_s", lambda e, k: F.coalesce(
+        F.get("_s", k + 1)["i"] != e["i"], F.lit(True))).alias("_u"))
+    outside = F.exists("_u", lambda e: e["i"].isNull() | (e["i"] < 0) | (e["i"] >= num_features))
+    # zeros up to each entry, the entry, zeros to the end: linear in the width
+    gap = F.transform("_u", lambda e, k: F.concat(
+        F.array_repeat(F.lit(0.0), e["i"] - F.coalesce(F.get("_u", k - 1)["i"], F.lit(-1)) - 1),
+        F.array(e["v"])))
+    tail = F.lit(num_features - 1) - F.coalesce(F.get("_u", F.size("_u") - 1)["i"], F.lit(-1))
+    dense = F.concat(F.flatten(gap), F.array_repeat(F.lit(0.0), tail))
+    checked = F.when(outside, F.raise_error(F.lit(
+        f"libsvm index outside 0 to {num_features - 1}")).cast("array<double>")).otherwise(dense)
+    return t.select("label", array_to_vector(checked).alias("features"))
 
 
 def libsvm_line(label: Column, x: Column, index_base: int = 1) -> Column:

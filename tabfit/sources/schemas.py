@@ -33,6 +33,11 @@ PASSENGER = _s(("passengerId", LongType()), ("survived", IntegerType()), ("pClas
                ("sex", StringType()), ("age", DoubleType()), ("sibsp", DoubleType()),
                ("parch", DoubleType()), ("fare", DoubleType()), ("cabin", StringType()),
                ("embarked", StringType()))
+# the passenger file as it is handed out: with the quoted name and the ticket
+PASSENGER_FILE = _s(("passengerId", LongType()), ("survived", IntegerType()), ("pClass", DoubleType()),
+                    ("name", StringType()), ("sex", StringType()), ("age", DoubleType()),
+                    ("sibsp", DoubleType()), ("parch", DoubleType()), ("ticket", StringType()),
+                    ("fare", DoubleType()), ("cabin", StringType()), ("embarked", StringType()))
 PASSENGER_SENTINELS = {"pClass": -1.0, "sex": "", "age": -1.0, "sibsp": -1.0, "parch": -1.0,
                        "fare": -1.0, "cabin": "", "embarked": ""}
 

@@ -50,7 +50,9 @@ def test_regression_and_subsample(spark):
     from tabfit.plans.frames import hourly_features
     fr = hourly_features(S.hourly(spark, SF))
     p = BoostParams(objective="reg:squarederror", num_round=4, eta=0.3, max_depth=4, subsample=0.8)
-    m = BoostTrainer(p).fit(fr, watches={"all": fr})
+    with pytest.raises(ValueError):
+        BoostTrainer(p).fit(fr)  # sampling needs a row id
+    m = BoostTrainer(p, id_col="rowId").fit(fr, watches={"all": fr})
     rm = _loss(m.history)
     assert all(b < a for a, b in zip(rm, rm[1:]))
 
@@ -111,7 +113,7 @@ def test_grid_and_split():
         {"num_round": 20, "eta": 0.1}, {"num_round": 20, "eta": 0.4},
         {"num_round": 50, "eta": 0.1}, {"num_round": 50, "eta": 0.4}]
     assert len(param_grid(eta=[0.1, 0.6], reg_lambda=[0.5, 1])) == 4
-    assert hash_threshold(0.8) == "cd" and hash_threshold(0.9) == "e6"
+    assert hash_threshold(0.8) == "cccccccd" and hash_threshold(0.0) == "00000000"
 
 
 def test_train_validation_split(spark, sales):
@@ -169,8 +171,8 @@ def test_routed_scoring_equals_case_expression(spark, sales):
 def test_sibling_subtraction_gives_the_same_trees(spark, sales):
     for obj, extra in (("binary:logistic", {}), ("reg:squarederror", {"subsample": 0.8})):
         p = BoostParams(objective=obj, num_round=2, eta=0.3, max_depth=5, **extra)
-        a = BoostTrainer(p).fit(sales)
-        b = BoostTrainer(p.replace(hist_subtraction=False)).fit(sales)
+        a = BoostTrainer(p, id_col="rowId").fit(sales)
+        b = BoostTrainer(p.replace(hist_subtraction=False), id_col="rowId").fit(sales)
         assert [{n: sp[:2] for n, sp in t.splits.items()} for t in a.trees] == \
                [{n: sp[:2] for n, sp in t.splits.items()} for t in b.trees]
         for ta, tb in zip(a.trees, b.trees):
@@ -185,3 +187,68 @@ def test_sibling_subtraction_multiclass(spark):
     b = BoostTrainer(p.replace(hist_subtraction=False), features_col="x").fit(v)
     assert [{n: sp[:2] for n, sp in t.splits.items()} for t in a.trees] == \
            [{n: sp[:2] for n, sp in t.splits.items()} for t in b.trees]
+
+
+def test_split_ratio_is_exact_at_the_ends(spark):
+    df = spark.range(20_000)
+    for ratio in (0.0, 1.0):
+        train, test = hash_split(df, "id", ratio)
+        assert (train.count(), test.count()) == (round(20_000 * ratio), round(20_000 * (1 - ratio)))
+    share = hash_split(df, "id", 0.9)[0].count() / 20_000
+    assert abs(share - 0.9) < 0.01
+
+
+def test_rare_and_sparse_features_get_bins(spark):
+    """One-hot on 1 % of the rows, 95 % missing, and a skewed feature with rare values."""
+    n = 10_000
+    x = F.array(F.when(F.col("id") % 100 == 7, 1.0).otherwise(0.0),
+                F.when(F.col("id") % 20 == 0, (F.col("id") % 999).cast("double")),
+                F.when(F.col("id") % 500 == 3, 1000.0 + F.col("id")).otherwise((F.col("id") % 3).cast("double")),
+                F.lit(float("nan")))
+    df = spark.range(n).select("id", x.alias("x"), F.when(F.col("id") % 100 == 7, 1.0).otherwise(0.0).alias("label"))
+    tr = BoostTrainer(BoostParams(objective="binary:logistic", num_round=1, max_depth=2), features_col="x")
+    prep = tr.prepare(df)
+    assert prep.edges[0] == [1.0]
+    assert len(prep.edges[1]) > 40 and all(v == v for e in prep.edges for v in e)
+    assert prep.edges[2][:3] == [1.0, 2.0, 1003.0] and prep.edges[3] == []
+    prep.release()
+    assert tr.fit(df).trees[0].splits[0][0] == 0
+
+
+def test_copies_of_a_row_are_sampled_one_by_one(spark):
+    from tabfit.operators.boosting import BoostParams as P
+    df = spark.range(4000).select("id", F.array(F.lit(1.0)).alias("x"), (F.col("id") % 2).cast("double").alias("label"))
+    prep = BoostTrainer(P(subsample=0.5), features_col="x", id_col="id").prepare(df)
+    assert prep.state.select("rid").distinct().count() == 4000
+    prep.release()
+
+
+def test_tuning_bins_come_from_the_train_part(spark):
+    from tabfit.operators.tuning import in_train
+    df = spark.range(400).select(F.col("id"), F.when(in_train("id", 0.5), F.col("id") % 5).otherwise(99)
+                                 .cast("double").alias("v"))
+    df = df.select("id", F.array("v").alias("x"), (F.col("id") % 2).cast("double").alias("label"))
+    tr = BoostTrainer(BoostParams(), features_col="x", id_col="id")
+    split = F.when(in_train("id", 0.5), "train").otherwise("valid")
+    prep = tr.prepare(df, set_col=split, edge_sets=("train",))
+    assert prep.edges == [[1.0, 2.0, 3.0, 4.0]]
+    prep.release()
+    with pytest.raises(ValueError):
+        TrainValidationSplit(BoostParams(objective="multi:softprob", num_class=3), [{}], "id")
+
+
+def test_spark_split_search_ties_like_the_local_one(spark):
+    from tabfit.operators.boosting import _best_splits_local, _best_splits_spark
+    rows = [(0, 0, f, b, (1.0 if b else -1.0) + (1e-14 if f else 0.0), 1.0) for f in range(3) for b in range(2)]
+    hist = spark.createDataFrame(rows, "k int, node int, f int, bin int, G double, H double")
+    assert _best_splits_local(hist, 1.0, 0.5)[0]["f"] == _best_splits_spark(hist, 1.0, 0.5)[0]["f"] == 0
+
+
+def test_auc_keeps_the_null_group_and_large_counts(spark):
+    from tabfit.operators.evaluate import evaluate
+    df = spark.createDataFrame([(None, 0.9, 1.0), (None, 0.1, 0.0), ("a", 0.2, 1.0), ("a", 0.8, 0.0)],
+                               "g string, s double, y double")
+    got = {r["g"]: r["auc"] for r in auc(df, "s", "y", ["g"]).collect()}
+    assert got == {None: 1.0, "a": 0.0}
+    empty = evaluate(df.where("false"), "rmse", "s", "y").collect()
+    assert len(empty) == 1 and math.isnan(empty[0]["value"])

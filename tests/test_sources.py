@@ -85,3 +85,33 @@ def test_line_numbers_across_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(rows) == 20000
     assert all(r["value"] == f"row {r['line']}" for r in rows)
+
+
+def test_libsvm_index_outside_the_vector_fails(spark, write_text):
+    from tabfit.sources.libsvm import read_libsvm
+    ok = read_libsvm(spark, write_text("a.txt", "1 3:2 0:1 3:4\n0\n"), 5, index_base=0).collect()
+    assert [list(r["features"].toArray()) for r in ok] == [[1, 0, 0, 4, 0], [0, 0, 0, 0, 0]]
+    with pytest.raises(Exception, match="libsvm index outside"):
+        read_libsvm(spark, write_text("b.txt", "1 3:2 200:5\n"), 129, index_base=0).collect()
+
+
+def test_label_is_the_last_field_of_any_width(spark, write_text):
+    from tabfit.plans.extractors import HourlyExtractor
+    line = "2011-01-01 00:00:00,1,0,0,1,9.84,14.395,81,0.0"
+    path = write_text("h.csv", f"{line},3,13,16\n{line},8,32,40\n")
+    ex = HourlyExtractor(spark)
+    assert [r["label"] for r in ex.labeled_points(path).collect()] == [16.0, 40.0]
+    assert [r["label"] for r in ex.labeled_points(path, has_label=False).collect()] == [-1.0, -1.0]
+    plain = write_text("p.csv", line + "\n")
+    assert ex.labeled_points(plain, has_label=False).count() == 1
+
+
+def test_passenger_file_with_quoted_names(spark, write_text):
+    from tabfit.sources.csv import read_csv
+    from tabfit.sources.schemas import PASSENGER_FILE
+    path = write_text("q.csv", 'id,s,c,n,x,a,b,p,t,f,cb,e\n1,0,3,"Last, Mr. First ""Nick""",male,22,1,0,A/5 21171,7.25,,S\n'
+                               'x,0,3,"Last, Mr. Other",male,22,1,0,A/5,7.25,,S\n')
+    got = read_csv(spark, path, PASSENGER_FILE, header=True, on_bad="quarantine")
+    row = got.good.collect()
+    assert len(row) == 1 and row[0]["name"] == 'Last, Mr. First "Nick"' and row[0]["ticket"] == "A/5 21171"
+    assert [r["reason"] for r in got.bad.collect()] == ["unparsable value"]
