@@ -32,7 +32,7 @@ CAPACITY, MAX_PIECE = 2048, 512
 GROUP_WINDOWS = 128
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-WORDS_KEPT = 250_000
+PARTS_KEPT = 600_000
 
 # the tokenizer's own split, for words of code points up to U+00FF in lower case
 _LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -47,50 +47,70 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class WordIds:
-    """Token ids of white-space-separated words, as bytes of unsigned 32-bit
-    integers.  The tokenizer drops white space and never joins letters across it,
-    so a text's ids are its words' ids in turn.  New words are encoded in batches;
-    a word of Latin letters by its parts (the tokenizer's own split), which repeat
-    more."""
+    """Token ids of texts, as bytes of unsigned 32-bit integers.
+
+    The tokenizer lower-cases, splits a text into parts by a fixed pattern, drops
+    white space, and encodes each part alone: a text's ids are its parts' ids in
+    turn, and parts repeat.  Texts of code points up to U+00FF are split here by
+    the same pattern.  Other words (and special tokens' strings) go through the
+    whole tokenizer, as white space always ends a part."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
-
-    def _encode(self, items: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(items, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.parts) > WORDS_KEPT:
-            self.parts.clear()
-        plain = {w: _PARTS.findall(w.lower()) for w in words if (w.isascii() or max(w) <= "\xff") and "<|" not in w}
-        missing = sorted({p for ps in plain.values() for p in ps}.difference(self.parts))
-        self.parts.update(zip(missing, self._encode(missing)))
-        parts = self.parts
-        self.words.update((w, b"".join([parts[p] for p in ps])) for w, ps in plain.items())
-        other = sorted(words.difference(plain))
-        self.words.update(zip(other, self._encode(other)))
+        # byte-level pieces: printable bytes stand for themselves, the others for
+        # the code points from 256 on
+        same = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        other = iter(range(256, 512))
+        self.letter = [chr(b) if b in same else chr(next(other)) for b in range(256)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _encode(self, part: str) -> bytes:
+        """Ids of one unit of ``_split``: a part goes to the model as it is."""
+        if part[0] == " ":
+            return self._whole(part)
+        if not (part.isascii() and part.isprintable()):
+            part = "".join([self.letter[b] for b in part.encode()])
+        return np.array([t.id for t in self.model.tokenize(part)], dtype="<u4").tobytes()
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return "<|" not in text
+
+    def _split(self, text: str) -> list[str]:
+        """Units that are encoded alone, in order; those that this class has not
+        split further are marked by a leading space, which the tokenizer drops."""
+        if self._plain(text):
+            return _PARTS.findall(text.lower())
+        out: list[str] = []
+        for w in text.split():
+            if self._plain(w):
+                out += _PARTS.findall(w.lower())
+            else:
+                out.append(" " + w)
+        return out
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         for t in texts:
             if _ODD.search(t):
-                yield self._encode([t])[0]
+                yield self._whole(t)
                 continue
-            words, out = t.split(), []
-            # a very long text in parts, so that what is remembered stays bounded
-            for at in range(0, len(words), 50_000):
-                part = words[at:at + 50_000]
-                new = set(part).difference(self.words)
-                if new:
-                    if len(self.words) + len(new) > WORDS_KEPT:
-                        self.words.clear()
-                        new = set(part)
-                    self._learn(new)
-                out.append(b"".join(map(self.words.__getitem__, part)))
-            yield b"".join(out)
+            parts = self._split(t)
+            new = set(parts).difference(self.parts)
+            if len(self.parts) + len(new) > PARTS_KEPT:
+                self.parts.clear()
+                new = set(parts)
+            for p in new:
+                self.parts[p] = self._encode(p)
+            yield b"".join(map(self.parts.__getitem__, parts))
 
 
 _WORDS: dict[str, WordIds] = {}
