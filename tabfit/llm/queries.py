@@ -28,4 +28,69 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+#: Lines of the first copy of every text; the shortest runs of 50 words from and to
+#: each line; lines of runs that occur earlier go.
+_OP8_SQL = r"""
+WITH d AS (SELECT doc_id, text, coalesce(text, '') AS t FROM documents),
+firsts AS (SELECT t, min(doc_id) AS fid FROM d GROUP BY t),
+every AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS s,
+                 unnest(range(len(string_split(t, chr(10))))) AS no FROM d),
+counted AS (SELECT *, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS w FROM every),
+lines AS (SELECT doc_id, s, no, w, row_number() OVER p AS i, sum(w) OVER p AS ce, sum(w) OVER p - w AS cs
+          FROM counted WHERE w > 0 AND doc_id IN (SELECT fid FROM firsts)
+          WINDOW p AS (PARTITION BY doc_id ORDER BY no ROWS UNBOUNDED PRECEDING)),
+framed AS (SELECT doc_id, i, count(*) OVER f AS n1, sum(w) OVER f AS w1, md5(list(s) OVER f::VARCHAR) AS k1,
+                  count(*) OVER b AS n2, sum(w) OVER b AS w2, md5(list(s) OVER b::VARCHAR) AS k2
+           FROM lines
+           WINDOW f AS (PARTITION BY doc_id ORDER BY cs RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING),
+                  b AS (PARTITION BY doc_id ORDER BY ce RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+runs AS (SELECT doc_id, i AS start, n1 AS n, k1 AS k FROM framed WHERE w1 >= 50
+         UNION SELECT doc_id, i - n2 + 1, n2, k2 FROM framed WHERE w2 >= 50),
+origin AS (SELECT k, min({'d': doc_id, 's': start}) AS o FROM runs GROUP BY k),
+gone AS (SELECT DISTINCT r.doc_id, unnest(range(start, start + n)) AS i FROM runs r JOIN origin USING (k)
+         WHERE {'d': r.doc_id, 's': r.start} > o),
+placed AS (SELECT doc_id, i, no, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g
+           FROM gone JOIN lines USING (doc_id, i)),
+cuts AS (SELECT doc_id, g, min(no) AS lo, max(no) AS hi, count(*) AS n FROM placed GROUP BY doc_id, g),
+cleaned AS (SELECT c.doc_id, coalesce(string_agg(c.s, chr(10) ORDER BY c.no), '') AS text
+            FROM every c LEFT JOIN cuts x ON c.doc_id = x.doc_id AND c.no BETWEEN x.lo AND x.hi
+            WHERE x.lo IS NULL AND c.doc_id IN (SELECT doc_id FROM cuts) GROUP BY c.doc_id),
+removed AS (SELECT doc_id, sum(n) AS n FROM cuts GROUP BY doc_id),
+size AS (SELECT doc_id, sum(w) AS w, count(*) FILTER (WHERE w > 0) AS n FROM counted GROUP BY doc_id)
+SELECT d.doc_id,
+       CASE WHEN d.doc_id <> fid AND size.w >= 50 THEN '' WHEN removed.n IS NOT NULL THEN coalesce(cleaned.text, '')
+            ELSE d.text END AS text,
+       CAST(CASE WHEN d.doc_id <> fid THEN CASE WHEN size.w >= 50 THEN size.n ELSE 0 END
+                 ELSE coalesce(removed.n, 0) END AS BIGINT) AS n_removed_lines
+FROM d JOIN firsts USING (t) LEFT JOIN size ON size.doc_id = d.doc_id
+LEFT JOIN removed ON removed.doc_id = d.doc_id LEFT JOIN cleaned ON cleaned.doc_id = d.doc_id
+"""
+
+#: Two-word shingles of the distinct texts, links by an inverted index, and the
+#: least id reachable over them.
+_OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w ELSE list_sort(list_distinct(
+    list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) END AS s FROM w),
+cls AS (SELECT md5(s::VARCHAR) AS c, min(doc_id) AS rep, any_value(s) AS s, len(any_value(s)) AS n
+        FROM s WHERE len(s) > 0 GROUP BY 1),
+inv AS (SELECT rep, n, unnest(s) AS x FROM cls),
+df AS (SELECT x, count(*) AS f FROM inv GROUP BY x),
+ranked AS (SELECT rep, n, inv.x, row_number() OVER (PARTITION BY rep ORDER BY f, inv.x) AS r FROM inv JOIN df USING (x)),
+prefix AS (SELECT * FROM ranked WHERE r <= n - CAST(ceil(0.8 * n) AS BIGINT) + 1),
+cand AS (SELECT DISTINCT a.rep AS a, b.rep AS b FROM prefix a JOIN prefix b ON a.x = b.x AND a.rep < b.rep
+         AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+links AS (SELECT a, b FROM cand JOIN cls p ON p.rep = a JOIN cls q ON q.rep = b
+          WHERE 100 * len(list_intersect(p.s, q.s)) >= 80 * (p.n + q.n - len(list_intersect(p.s, q.s)))),
+edges AS (SELECT a AS x, b AS y FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT x, y FROM edges UNION SELECT reach.x, edges.y FROM reach JOIN edges ON reach.y = edges.x),
+least AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+       coalesce(least(cls.rep, m), s.doc_id) AS component_id,
+       s.doc_id = coalesce(least(cls.rep, m), s.doc_id) AS kept
+FROM s LEFT JOIN cls ON len(s.s) > 0 AND cls.c = md5(s.s::VARCHAR) LEFT JOIN least ON least.x = cls.rep
+"""
+
+ORACLES: dict[str, str] = {"op4_minhash": _OP4_SQL, "op8_line_dedup": _OP8_SQL}
