@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -101,35 +102,50 @@ class Pieces:
 class Sampler:
     """Filtered lattices of the units met so far, as flat arrays.
 
-    Node ``k`` is a position in a unit; its incoming edges stand together in
-    ``cum`` as ``k`` plus the running share of each, so that one binary search
-    over the whole array draws an edge for every position asked for."""
+    Node ``k`` is a position in a unit.  Its incoming edges stand together from
+    ``start[k]`` on, longest piece first, with their running shares in ``cum``
+    (1 for the last), so a uniform number picks an edge in a step or two."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.reset()
 
     def reset(self) -> None:
-        self.unit: dict[str, tuple[int, int]] = {}  # node at the end, length
-        self.nodes = 0
-        self.edges = 0
+        self.unit: dict[str, int] = {}  # number of a unit
+        self.count = self.nodes = self.edges = 0
+        self.end = np.empty(1 << 14, dtype=np.int64)  # by unit: node at its end, length
+        self.length = np.empty(1 << 14, dtype=np.int64)
+        self.start = np.empty(1 << 16, dtype=np.int64)
         self.cum = np.empty(1 << 16)
         self.piece = np.empty(1 << 16, dtype=np.int64)
         self.back = np.empty(1 << 16, dtype=np.int64)
         self.spelled: list[list[int]] = []
 
-    def _room(self, more: int) -> slice:
-        need = self.edges + more
-        if need > len(self.cum):
-            size = max(need, 2 * len(self.cum))
-            for name in ("cum", "piece", "back"):
-                old = getattr(self, name)
-                new = np.empty(size, dtype=old.dtype)
-                new[:self.edges] = old[:self.edges]
+    def _fit(self, names: tuple[str, ...], need: int) -> None:
+        """Room for ``need`` entries in the named arrays."""
+        for name in names:
+            old = getattr(self, name)
+            if need > len(old):
+                new = np.empty(max(need, 2 * len(old)), dtype=old.dtype)
+                new[:len(old)] = old
                 setattr(self, name, new)
-        at = slice(self.edges, need)
-        self.edges = need
-        return at
+
+    def _add(self, units: list[str], size: np.ndarray, node: np.ndarray, first: np.ndarray,
+             cum: np.ndarray, piece: np.ndarray, back: np.ndarray) -> None:
+        """Append units (their lengths) and their edges; ``node`` is the target of
+        each edge counted from the first of these units, ``first`` marks the first
+        edge of a node."""
+        n, m, k = len(units), len(cum), int(size.sum()) + len(units)
+        self._fit(("end", "length"), self.count + n)
+        self._fit(("start",), self.nodes + k)
+        self._fit(("cum", "piece", "back"), self.edges + m)
+        self.unit.update(zip(units, range(self.count, self.count + n)))
+        self.end[self.count:self.count + n] = self.nodes + np.cumsum(size) + np.arange(n)
+        self.length[self.count:self.count + n] = size
+        self.start[self.nodes + node[first]] = self.edges + np.nonzero(first)[0]
+        at = slice(self.edges, self.edges + m)
+        self.cum[at], self.piece[at], self.back[at] = cum, piece, back
+        self.count, self.nodes, self.edges = self.count + n, self.nodes + k, self.edges + m
 
     def _spell(self, char: str) -> tuple[int, float]:
         b = char.encode("utf-8", "surrogatepass")
@@ -154,7 +170,7 @@ class Sampler:
         owner = np.repeat(np.arange(len(units)), size)
         at = np.arange(len(cp))
         room = stop[owner] - at
-        node0 = self.nodes + at + owner  # node before each character: one more node per unit
+        node0 = at + owner  # node before each character: one more node per unit
         h = np.zeros(len(cp), dtype=np.uint64)
         start, step, piece, weight = [], [], [], []
         live = at
@@ -183,32 +199,27 @@ class Sampler:
         depth = start + step - (stop - size)[owner[start]]  # position of the target in its unit
         order = np.lexsort((-step, target))
         source, target, depth, step, piece, weight = (x[order] for x in (source, target, depth, step, piece, weight))
-        base = self.nodes
         total = np.zeros(len(cp) + len(units))
         total[(stop - size) + np.arange(len(units))] = 1.0
         by_depth = np.argsort(depth, kind="stable")
         edge = np.concatenate(([0], np.cumsum(np.bincount(depth, minlength=int(size.max()) + 1))))
         for d in range(1, int(size.max()) + 1):
             e = by_depth[edge[d]:edge[d + 1]]
-            t = target[e] - base
+            t = target[e]
             first = np.concatenate(([0], np.nonzero(np.diff(t))[0] + 1))
-            total[t[first]] = np.add.reduceat(total[source[e] - base] * weight[e], first)
-        share = total[source - base] * weight / total[target - base]
+            total[t[first]] = np.add.reduceat(total[source[e]] * weight[e], first)
+        share = total[source] * weight / total[target]
         first = np.concatenate(([True], np.diff(target) > 0))
         run = np.cumsum(share)
         before = (run - share)[first][np.cumsum(first) - 1]
         last = np.concatenate((first[1:], [True]))
-        cum = target + np.where(last, 1.0 - 1e-9, np.minimum(run - before, 1.0 - 1e-9))
-        room_at = self._room(len(cum))
-        self.cum[room_at], self.piece[room_at], self.back[room_at] = cum, piece, step
-        ends = base + stop + np.arange(len(units))
-        self.unit.update(zip(units, zip(ends.tolist(), size.tolist())))
-        self.nodes += len(cp) + len(units)
+        cum = np.where(last, 1.0, run - before)
+        self._add(units, size, target, first, cum, piece, step)
 
     def _learn_long(self, unit: str) -> None:
         p, n = self.pieces, len(unit)
         total = [1.0]
-        cum, piece, back = [], [], []
+        cum, piece, back, node = [], [], [], []
         for j in range(1, n + 1):
             into = []
             # only shares matter: the sums of the last few positions are kept in range
@@ -225,17 +236,17 @@ class Sampler:
                 into.append((total[j - 1] * w, k, 1))
             s = sum(w for w, _, _ in into)
             total.append(s)
-            run, node = 0.0, self.nodes + j
+            run = 0.0
             for w, k, step in into:
                 run += w / s
-                cum.append(node + min(run, 1.0 - 1e-9))
+                cum.append(run)
                 piece.append(k)
                 back.append(step)
-            cum[-1] = node + 1.0 - 1e-9
-        at = self._room(len(cum))
-        self.cum[at], self.piece[at], self.back[at] = cum, piece, back
-        self.unit[unit] = (self.nodes + n, n)
-        self.nodes += n + 1
+                node.append(j)
+            cum[-1] = 1.0
+        at = np.array(node)
+        self._add([unit], np.array([n]), at, np.concatenate(([True], np.diff(at) > 0)), np.array(cum),
+                  np.array(piece), np.array(back))
 
     def sample(self, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
         """Piece ids of each text; ``keys``: unsigned 64-bit seeds of the rows."""
@@ -246,43 +257,40 @@ class Sampler:
         if new:
             self.learn(sorted(new))
         counts = np.array([len(u) for u in split], dtype=np.int64)
-        flat = [self.unit[u] for units in split for u in units]
-        out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(texts)
-        if not flat:
-            return out
-        node, length = (np.array(x, dtype=np.int64) for x in zip(*flat))
+        number = np.fromiter(map(self.unit.__getitem__, chain.from_iterable(split)), dtype=np.int64,
+                             count=int(counts.sum()))
+        node, left = self.end[number], self.length[number]
+        place = np.cumsum(left)  # where each unit ends, over all texts
+        edge = np.concatenate(([0], place))
+        stop = edge[np.cumsum(counts)]
+        origin = np.concatenate(([0], stop))[:-1]
         owner = np.repeat(np.arange(len(texts)), counts)
-        end = np.cumsum(length)
-        first = np.repeat(np.concatenate(([0], end))[np.cumsum(counts) - counts], counts)
-        place = end - first  # position in the text of each unit's end
-        left = length.copy()
+        key, first = keys[owner], origin[owner]
+        chosen = np.full(int(edge[-1]), -1, dtype=np.int64)  # piece that starts at each place
         live = np.arange(len(node))
-        got_owner, got_place, got_piece = [], [], []
-        cum = self.cum[:self.edges]
         while len(live):
-            h = _mix(keys[owner[live]] + place[live].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            u = (h >> np.uint64(11)).astype(np.float64) * (1.0 - 1e-8) / float(1 << 53)
-            e = np.searchsorted(cum, node[live] + u, side="right")
-            e = np.minimum(e, len(cum) - 1)
+            h = _mix(key[live] + (place[live] - first[live]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            u = (h >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+            e = self.start[node[live]]
+            more = np.nonzero(u >= self.cum[e])[0]
+            while len(more):
+                e[more] += 1
+                more = more[u[more] >= self.cum[e[more]]]
             step = self.back[e]
             place[live] -= step
             node[live] -= step
             left[live] -= step
-            got_owner.append(owner[live])
-            got_place.append(place[live].copy())
-            got_piece.append(self.piece[e])
+            chosen[place[live]] = self.piece[e]
             live = live[left[live] > 0]
-        who, where, what = (np.concatenate(x) for x in (got_owner, got_place, got_piece))
-        order = np.lexsort((where, who))
-        who, what = who[order], what[order]
-        cuts = np.searchsorted(who, np.arange(len(texts) + 1))
-        for i in range(len(texts)):
-            ids = what[cuts[i]:cuts[i + 1]]
+        out: list[np.ndarray] = []
+        for lo, hi in zip(origin.tolist(), stop.tolist()):
+            ids = chosen[lo:hi]
+            ids = ids[ids >= 0]
             if len(ids) and ids.max() >= self.pieces.size:
                 ids = np.array([x for k in ids.tolist() for x in (
                     self.spelled[k - self.pieces.size] if k >= self.pieces.size else (k,))], dtype=np.int64)
-            out[i] = ids
-        for u in [u for units in split for u in units if len(u) > LONG_UNIT]:
+            out.append(ids)
+        for u in {u for units in split for u in units if len(u) > LONG_UNIT}:
             self.unit.pop(u, None)
         return out
 
