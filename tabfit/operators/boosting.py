@@ -506,6 +506,11 @@ class BoostTrainer:
                     edges[f] = sorted(vals)[1:]
         return edges
 
+    def bin_edges(self, df: DataFrame) -> list[list[float]]:
+        """The bin edges that ``prepare`` would choose on ``df``, by feature."""
+        x_df = df.select(self._x(df).alias("x"))
+        return self._edges(x_df, self.num_features or x_df.select(F.size("x")).first()[0])
+
     def _base_margin(self, _unused=None) -> list[float]:
         p = self.params
         k = p.classes()

@@ -677,7 +677,30 @@ def _sales_frame(spark, sf):
     return sales_features(S.sales(spark, sf), S.stores(spark, sf))
 
 
-def _train_binary(spark, sf, rounds=3, depth=4):
+_BINNED = ["season", "holiday", "workingDay", "weather", "rareDay", "mostlyMissing"]
+_BINNED_SQL = f"""h AS (SELECT CAST(season AS DOUBLE) AS season, CAST(holiday AS DOUBLE) AS holiday,
+    CAST(workingDay AS DOUBLE) AS workingDay, CAST(weather AS DOUBLE) AS weather,
+    CASE WHEN rowId % 100 = 7 THEN 1.0 ELSE 0.0 END AS rareDay,
+    CASE WHEN rowId % 20 = 0 THEN CAST(humidity % 10 AS DOUBLE) END AS mostlyMissing FROM ({S.HOURLY_SQL}))"""
+
+
+@register("bin_edges", "WITH " + _BINNED_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {c} AS edge FROM h WHERE {c} > (SELECT min({c}) FROM h) GROUP BY {c}"
+    for c in _BINNED))
+def q_bin_edges(spark, sf):
+    """Edges of features with few values: every value but the least, also one on
+    1 % of the rows, and whatever share is missing."""
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    h = S.hourly(spark, sf).select(
+        *[F.col(c).cast("double").alias(c) for c in _BINNED[:4]],
+        F.when(F.col("rowId") % 100 == 7, 1.0).otherwise(0.0).alias("rareDay"),
+        F.when(F.col("rowId") % 20 == 0, (F.col("humidity") % 10).cast("double")).alias("mostlyMissing"))
+    edges = BoostTrainer(BoostParams(), feature_cols=_BINNED).bin_edges(h)
+    return spark.createDataFrame([(c, v) for c, e in zip(_BINNED, edges) for v in e],
+                                 "feature string, edge double")
+
+
+def _train_binary(spark, sf, rounds=20, depth=6):
     from tabfit.operators.boosting import BoostParams, BoostTrainer
     from tabfit.operators.tuning import hash_split
     fr = _sales_frame(spark, sf)
@@ -689,7 +712,7 @@ def _train_binary(spark, sf, rounds=3, depth=4):
 
 
 def flagship(spark, sf):
-    model, fr, test = _train_binary(spark, sf, rounds=3, depth=4)
+    model, fr, test = _train_binary(spark, sf)
     return model.transform(test).select("rowId", "storeId", big("label").alias("label"),
                                         "margin", "probability", "prediction")
 
@@ -740,7 +763,7 @@ def q_train_margin(spark, sf):
 def q_train_softprob(spark, sf):
     from tabfit.operators.boosting import BoostParams, BoostTrainer
     v = S.vectors(spark, sf)
-    p = BoostParams(objective="multi:softprob", num_class=10, num_round=2, eta=0.3, max_depth=3)
+    p = BoostParams(objective="multi:softprob", num_class=10, num_round=10, eta=0.3, max_depth=3)
     model = BoostTrainer(p, features_col="x", label_col="label").fit(v)
     s = model.transform(v)
     return s.select("rowId", "label", "prediction",
@@ -893,7 +916,7 @@ def q_train_watch_multiclass(spark, sf):
     training set after every round."""
     from tabfit.operators.boosting import BoostParams, BoostTrainer
     v = S.vectors(spark, sf)
-    p = BoostParams(objective="multi:softprob", num_class=10, num_round=2, eta=0.3, max_depth=3)
+    p = BoostParams(objective="multi:softprob", num_class=10, num_round=10, eta=0.3, max_depth=3)
     model = BoostTrainer(p, features_col="x", metric="merror").fit(v, watches={"train": v})
     return model.history_frame(spark)
 
