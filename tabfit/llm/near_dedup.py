@@ -174,18 +174,39 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
             .unionAll(e.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()))
 
 
+def _marks(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap with a bit for the hash of every id, as bytes, and its number of bits:
+    16 per id, at most 2 ** 27 (16 MB).  With more ids it only lets more through."""
+    ids = materialise(ids, "ids")
+    size = 1 << min(27, max(20, (16 * ids.count()).bit_length()))
+    at = F.pmod(F.xxhash64("id"), F.lit(size)) + 1  # bitmaps count from 1
+    parts = ids.groupBy(F.bitmap_bucket_number(at).alias("n")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("b"))
+    bits = np.zeros(size // 8, dtype=np.uint8)
+    for r in parts.toLocalIterator():
+        part = np.frombuffer(r["b"], dtype=np.uint8)
+        bits[(r["n"] - 1) * len(part):r["n"] * len(part)] = part
+    return bits, size
+
+
 def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``id, s``: the full shingle sets of the documents in ``ids`` only."""
+    """``id, s``: the full shingle sets of the documents in ``ids`` (and of a few
+    others).  Texts are not shuffled: the readers keep those marked in a bitmap."""
+    bits, size = _marks(ids)
+    marked = docs.sparkSession.sparkContext.broadcast(bits)  # bounded: 16 MB
     src = docs.select(F.col(key).alias("id"), text_or_empty(text).cast("binary").alias("t"))
+    src = src.select("id", "t", F.pmod(F.xxhash64("id"), F.lit(size)).alias("at"))
     id_type = src.schema["id"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes, bit = _WordHashes(), marked.value
         for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((bit[at >> 3] >> (at & 7) & 1).astype(bool)))
             s = [shingle_set(t.as_py(), words, hashes).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.binary())], ["id", "s"])
 
-    full = src.join(ids, "id", "left_semi").mapInArrow(sets, f"id {id_type}, s binary")
+    full = src.mapInArrow(sets, f"id {id_type}, s binary")
     return materialise(full.dropDuplicates(["id"]), "sets")
 
 
