@@ -32,7 +32,7 @@ DIM = 8
 GRAMS = (3, 4, 5)
 WINDOW = 64
 #: Bound of the training sample: labelled rows of each class at most.
-SAMPLE_PER_CLASS = 4_000
+SAMPLE_PER_CLASS = 2_500
 THRESHOLD = 0.3
 WORDS_KEPT = 400_000
 
@@ -134,9 +134,17 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int
     every text of the batch, the window with the greatest logit so far."""
     rng = np.random.default_rng(seed)
     vocab: dict[str, int] = {}
-    docs = [np.array([vocab.setdefault(bare(w), len(vocab)) for w in tokens(t)], dtype=np.int64) for t in texts]
+    docs = [np.array([vocab.setdefault(bare(w), len(vocab)) for w in tokens(t)], dtype=np.int32) for t in texts]
     docs = [d[_fresh(d)] for d in docs]
-    ids, per_word = word_buckets(list(vocab)) if vocab else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    # part by part: the driver holds the ids of the vocabulary, not what they are made from
+    names, parts, counts = list(vocab), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    del vocab
+    for lo in range(0, len(names), 20_000):
+        b, n = word_buckets(names[lo:lo + 20_000])
+        parts.append(b.astype(np.int32))
+        counts.append(n)
+    ids, per_word = np.concatenate(parts), np.concatenate(counts)
+    del names, parts, counts
     offsets = np.concatenate(([0], np.cumsum(per_word)))
     emb = rng.uniform(-1.0 / DIM, 1.0 / DIM, (BUCKETS, DIM))
     soft = rng.uniform(-0.1, 0.1, (DIM, 2))
@@ -158,8 +166,9 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int
     for _ in range(rounds):
         rng.shuffle(live)
         # score of every word under the model so far, to choose windows
-        per_gram = (emb @ (soft[:, 1] - soft[:, 0]))[ids]
+        per_gram = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)[ids]
         word_scores = np.add.reduceat(per_gram, offsets[:-1]) / np.diff(offsets)
+        del per_gram
         for lo in range(0, len(live), batch):
             rows = live[lo:lo + batch]
             parts = []
