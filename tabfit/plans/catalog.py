@@ -700,12 +700,12 @@ def q_bin_edges(spark, sf):
                                  "feature string, edge double")
 
 
-def _train_binary(spark, sf, rounds=20, depth=6):
+def _train_binary(spark, sf):
     from tabfit.operators.boosting import BoostParams, BoostTrainer
     from tabfit.operators.tuning import hash_split
     fr = _sales_frame(spark, sf)
     train, test = hash_split(fr, "rowId", 0.8)
-    p = BoostParams(objective="binary:logistic", num_round=rounds, eta=0.3, max_depth=depth,
+    p = BoostParams(objective="binary:logistic", num_round=20, eta=0.3, max_depth=6,
                     subsample=0.8, seed=7)
     model = BoostTrainer(p, features_col="features", label_col="label", id_col="rowId").fit(train)
     return model, fr, test
@@ -729,7 +729,7 @@ def q_train_regression(spark, sf):
     from tabfit.plans.frames import hourly_features
     fr = hourly_features(S.hourly(spark, sf))
     train, test = hash_split(fr, "rowId", 0.8)
-    p = BoostParams(objective="reg:squarederror", num_round=3, eta=0.1, max_depth=6, subsample=0.8)
+    p = BoostParams(objective="reg:squarederror", num_round=100, eta=0.1, max_depth=6, subsample=0.8)
     model = BoostTrainer(p, metric="rmsle", id_col="rowId").fit(train)
     return model.transform(test).select("rowId", "label", "prediction")
 
@@ -744,8 +744,8 @@ def q_metric_rmsle_model(spark, sf):
     from tabfit.plans.frames import hourly_features
     fr = hourly_features(S.hourly(spark, sf))
     train, test = hash_split(fr, "rowId", 0.8)
-    model = BoostTrainer(BoostParams(objective="reg:squarederror", num_round=3, eta=0.1,
-                                     max_depth=6)).fit(train)
+    p = BoostParams(objective="reg:squarederror", num_round=100, eta=0.1, max_depth=6, subsample=0.8)
+    model = BoostTrainer(p, id_col="rowId").fit(train)
     return evaluate(model.transform(test), rmsle, "prediction", "label", set_name="test")
 
 
@@ -754,7 +754,7 @@ def q_train_margin(spark, sf):
     from tabfit.operators.boosting import BoostParams, BoostTrainer
     from tabfit.plans.frames import passenger_features
     fr = passenger_features(S.passengers(spark, sf))
-    p = BoostParams(objective="binary:logitraw", num_round=3, eta=0.1, max_depth=6)
+    p = BoostParams(objective="binary:logitraw", num_round=20, eta=0.1, max_depth=6)
     model = BoostTrainer(p).fit(fr)
     return model.transform(fr).select("passengerId", "label", "margin")
 
@@ -777,7 +777,7 @@ def q_train_watch(spark, sf):
     from tabfit.plans.frames import census_features
     fr = census_features(S.census(spark, sf)).withColumn("key", F.concat_ws("-", "orderKey", "lineNumber"))
     train, test = hash_split(fr, "key", 0.8)
-    p = BoostParams(objective="binary:logistic", num_round=3, eta=0.3, max_depth=4)
+    p = BoostParams(objective="binary:logistic", num_round=100, eta=0.3, max_depth=6)
     model = BoostTrainer(p, label_col="labelIdx").fit(train, watches={"test": test})
     return model.history_frame(spark)
 
@@ -787,15 +787,15 @@ def q_tune_tvs(spark, sf):
     from tabfit.operators.boosting import BoostParams
     from tabfit.operators.tuning import TrainValidationSplit, param_grid
     fr = _sales_frame(spark, sf)
-    grid = param_grid(num_round=[2, 3], eta=[0.1, 0.4])
-    base = BoostParams(objective="binary:logistic", max_depth=3, subsample=0.8)
+    grid = param_grid(num_round=[20, 50], eta=[0.1, 0.4])
+    base = BoostParams(objective="binary:logistic", max_depth=6, subsample=0.8)
     res = TrainValidationSplit(base, grid, key_col="rowId", train_ratio=0.8, parallelism=4).fit(fr)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
 
 
 @register("score_preview")
 def q_score_preview(spark, sf):
-    model, fr, test = _train_binary(spark, sf, rounds=2, depth=3)
+    model, fr, test = _train_binary(spark, sf)
     # a preview is the feature here: the first 20 scored rows by key
     return (model.transform(fr).orderBy("rowId").limit(20)
             .select("rowId", "storeId", big("label").alias("label"), "probability", "prediction"))
@@ -804,7 +804,7 @@ def q_score_preview(spark, sf):
 @register("score_saved_model")
 def q_score_saved_model(spark, sf):
     from tabfit.operators.boosting import BoostModel
-    model, fr, test = _train_binary(spark, sf, rounds=2, depth=4)
+    model, fr, test = _train_binary(spark, sf)
     path = _stage(spark, "model")
     model.save(spark, path)
     loaded = BoostModel.load(spark, path)
@@ -813,7 +813,7 @@ def q_score_saved_model(spark, sf):
 
 @register("score_tree_limit")
 def q_score_tree_limit(spark, sf):
-    model, fr, test = _train_binary(spark, sf, rounds=3, depth=3)
+    model, fr, test = _train_binary(spark, sf)
     first = model.transform(fr, tree_limit=1).select("rowId", F.col("margin").alias("margin1"))
     full = model.transform(fr, tree_limit=1000).select("rowId", F.col("margin").alias("marginAll"))
     return first.join(full, "rowId")
@@ -821,7 +821,7 @@ def q_score_tree_limit(spark, sf):
 
 @register("model_dump")
 def q_model_dump(spark, sf):
-    model, fr, test = _train_binary(spark, sf, rounds=2, depth=3)
+    model, fr, test = _train_binary(spark, sf)
     return model.nodes(spark)
 
 
@@ -831,7 +831,7 @@ def q_score_stream(spark, sf):
     """The sales frame lands as files; a streaming query scores every file
     with the trained model; the scored rows are read back from the sink."""
     from tabfit.streaming.scoring import score_files
-    model, fr, test = _train_binary(spark, sf, rounds=2, depth=3)
+    model, fr, test = _train_binary(spark, sf)
     src = _stage(spark, "stream-in")
     fr.select("rowId", "features").repartition(4).write.parquet(src)
     schema = spark.read.parquet(src).schema
@@ -852,7 +852,7 @@ def q_tune_sales_scored(spark, sf):
     fr = _sales_frame(spark, sf)
     base = BoostParams(objective="binary:logistic", max_depth=6, subsample=0.8,
                        eval_metric="logloss")
-    res = TrainValidationSplit(base, param_grid(num_round=[2, 3], eta=[0.1, 0.4]),
+    res = TrainValidationSplit(base, param_grid(num_round=[20, 50], eta=[0.1, 0.4]),
                                key_col="rowId", parallelism=4).fit(fr)
     return res.transform(fr).select("rowId", big("label").alias("label"), "probability",
                                     "prediction")
@@ -866,7 +866,7 @@ def q_tune_census_lambda(spark, sf):
     from tabfit.plans.frames import census_features
     fr = census_features(S.census(spark, sf)).withColumn(
         "key", F.concat_ws("-", "orderKey", "lineNumber"))
-    base = BoostParams(objective="binary:logistic", num_round=3, max_depth=4)
+    base = BoostParams(objective="binary:logistic", num_round=100, max_depth=6)
     res = TrainValidationSplit(base, param_grid(eta=[0.1, 0.6], reg_lambda=[0.5, 1.0]),
                                key_col="key", label_col="labelIdx", parallelism=4).fit(fr)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
@@ -880,7 +880,7 @@ def q_tune_passenger_margin(spark, sf):
     from tabfit.plans.frames import passenger_features
     fr = passenger_features(S.passengers(spark, sf))
     base = BoostParams(objective="binary:logitraw", max_depth=6)
-    res = TrainValidationSplit(base, param_grid(num_round=[2, 3], eta=[0.1, 0.4]),
+    res = TrainValidationSplit(base, param_grid(num_round=[20, 50], eta=[0.1, 0.4]),
                                key_col="passengerId", parallelism=4).fit(fr)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
 
@@ -930,7 +930,7 @@ def q_train_watch_rmsle(spark, sf):
     from tabfit.plans.frames import hourly_features
     fr = hourly_features(S.hourly(spark, sf))
     train, test = hash_split(fr, "rowId", 0.8)
-    p = BoostParams(objective="reg:squarederror", num_round=3, eta=0.1, max_depth=6, subsample=0.8)
+    p = BoostParams(objective="reg:squarederror", num_round=100, eta=0.1, max_depth=6, subsample=0.8)
     model = BoostTrainer(p, metric="rmsle", id_col="rowId").fit(train, watches={"test": test})
     return model.history_frame(spark)
 
