@@ -30,9 +30,9 @@ PATH_DIM, WORD_DIM, SHAPE_DIM, HIDDEN = 48, 16, 8, 16
 PATH_BUCKETS, WORD_BUCKETS = 1 << 12, 1 << 12
 #: Bounds of training: pages whose words are sampled, made-up pages, epochs.
 SAMPLE_PAGES, MADE_PAGES, EPOCHS = 200, 500, 10
-#: Words of a block that its word vector is averaged over (its text is kept whole).
-WORDS_READ = 32
 BATCH = 64
+#: Word ids whose vectors are held at once.
+IDS_AT_ONCE = 1 << 18
 
 #: Tags that never hold text to show.
 SKIP = frozenset("script style noscript template svg math head title iframe object textarea select option".split())
@@ -51,6 +51,7 @@ _MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-label)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
+_WORD = re.compile(r"[^ ]+")
 
 
 class Block:
@@ -155,6 +156,20 @@ class _Buckets(dict):
         return b
 
 
+def _sums(vectors: np.ndarray, ids: np.ndarray, size: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Weighted sum of ``vectors`` over each bag of ``size`` ids, a slice of bags at a time."""
+    out = np.empty((len(size), vectors.shape[1]), np.float32)
+    ends = np.cumsum(size)
+    lo = 0
+    while lo < len(size):
+        begin = ends[lo] - size[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, begin + IDS_AT_ONCE, side="right")))
+        at = slice(begin, ends[hi - 1])
+        out[lo:hi] = np.add.reduceat(vectors[ids[at]] * share[at, None], ends[lo:hi] - size[lo:hi] - begin, axis=0)
+        lo = hi
+    return out
+
+
 class Labeller:
     def __init__(self, seed: int = 11):
         r = np.random.default_rng(seed)
@@ -171,13 +186,14 @@ class Labeller:
             self.p["c" + k] = np.zeros(4 * h, np.float32)
             self.p["c" + k][h:2 * h] = 1.0
 
-    # pages as index lists: bags of path and word buckets, and shape figures
-    def encode(self, page: list[Block], paths: dict, words: dict) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+    # pages as index lists: bags of path buckets and of word buckets with their counts, and shape figures
+    def encode(self, page: list[Block], paths: dict, words: dict) -> tuple[list[list[int]], list[tuple], np.ndarray]:
         bags_p, bags_w, shape = [], [], np.zeros((len(page), SHAPE_DIM), np.float32)
         for i, b in enumerate(page):
             bags_p.append([paths[t] for t in dict.fromkeys(b.path)] or [paths[""]])
-            w = b.text[:WORDS_READ * 16].split(" ")[:WORDS_READ]
-            bags_w.append([words[t.lower()] for t in w])
+            # every word counts; an id is held once, however often it comes
+            ids = np.fromiter((words[t[0].lower()] for t in _WORD.finditer(b.text)), dtype=np.int64)
+            bags_w.append(np.unique(ids if len(ids) else [words[""]], return_counts=True))
             n = len(b.text)
             shape[i] = (np.log1p(n) / 5, min(1.0, b.linked / max(n, 1)), n > 200, n < 25,
                         b.text[-1] in ".!?:;\"", i / max(1, len(page) - 1), i < 3, min(len(b.path), 30) / 10)
@@ -189,14 +205,16 @@ class Labeller:
         where = [(t, j) for j, p in enumerate(pages) for t in range(len(p[0]))]
         note = {"where": where}
         at = (np.array([t for t, _ in where]), np.array([j for _, j in where]))
-        for name, k, lo, dim in (("path", 0, 0, PATH_DIM), ("word", 1, PATH_DIM, WORD_DIM)):
-            bags = [b for p in pages for b in p[k]]
-            size = np.array([len(b) for b in bags])
-            ids = np.fromiter((i for b in bags for i in b), dtype=np.int64, count=int(size.sum()))
-            mean = np.add.reduceat(self.p[name][ids], np.cumsum(size) - size, axis=0) / (
-                np.sqrt(size)[:, None] if name == "path" else size[:, None])
-            x[at[0], at[1], lo:lo + dim] = mean
-            note[name] = (ids, size)
+        bags = [b for p in pages for b in p[0]]
+        size = np.array([len(b) for b in bags])
+        ids = np.fromiter((i for b in bags for i in b), dtype=np.int64, count=int(size.sum()))
+        note["path"] = (ids, size, np.repeat(1 / np.sqrt(size), size).astype(np.float32))
+        bags = [b for p in pages for b in p[1]]
+        size = np.array([len(b) for b, _ in bags])
+        share = np.concatenate([c / c.sum() for _, c in bags]).astype(np.float32)
+        note["word"] = (np.concatenate([b for b, _ in bags]), size, share)
+        for name, lo, dim in (("path", 0, PATH_DIM), ("word", PATH_DIM, WORD_DIM)):
+            x[at[0], at[1], lo:lo + dim] = _sums(self.p[name], *note[name])
         x[at[0], at[1], PATH_DIM + WORD_DIM:] = np.concatenate([p[2] for p in pages])
         note["at"] = at
         return x, note
@@ -277,10 +295,9 @@ class Labeller:
             grads["w" + d], grads["c" + d] = gw, gc
         cell = g_x[keep["at"]]
         for name, lo, width in (("path", 0, PATH_DIM), ("word", PATH_DIM, WORD_DIM)):
-            ids, size = keep[name]
-            scale = np.sqrt(size) if name == "path" else size
+            ids, size, share = keep[name]
             g = np.zeros_like(self.p[name])
-            np.add.at(g, ids, np.repeat(cell[:, lo:lo + width] / scale[:, None], size, axis=0))
+            np.add.at(g, ids, np.repeat(cell[:, lo:lo + width], size, axis=0) * share[:, None])
             grads[name] = g
         return grads
 
@@ -325,13 +342,14 @@ def made_pages(words: list[str], count: int = MADE_PAGES, seed: int = 13) -> lis
     """Made-up pages.  Main text is marked by the letter U+E000 at its start."""
     r = np.random.default_rng(seed)
     words = words or ["text"]
+    twice = words * 2
 
     def pick(options):
         return options[int(r.integers(len(options)))]
 
     def say(lo: int, hi: int) -> str:
         at = int(r.integers(len(words)))
-        return html_lib.escape(" ".join((words * 2)[at:at + int(r.integers(lo, hi))]))
+        return html_lib.escape(" ".join(twice[at:at + int(r.integers(lo, hi))]))
 
     def links(lo: int, hi: int) -> str:
         items = [f'<a href="/{i}">{say(1, 4)}</a>' for i in range(int(r.integers(lo, hi)))]
@@ -401,7 +419,7 @@ def made_pages(words: list[str], count: int = MADE_PAGES, seed: int = 13) -> lis
 
 
 def train(pages: list[str]) -> Labeller:
-    words = [w for p in pages for b in blocks(p) for w in b.text.split(" ")[:40]]
+    words = [w for p in pages for b in blocks(p) for w in b.text.split(" ")]
     model = Labeller()
     paths, known = _Buckets(PATH_BUCKETS), _Buckets(WORD_BUCKETS)
     xs, ys = [], []

@@ -285,6 +285,19 @@ def test_labeller_gradients_match_differences():
         assert abs((up - down) / 2e-3 - g[k][at]) < 2e-3, k
 
 
+def test_every_word_of_a_block_is_read(monkeypatch):
+    m = html_extract.Labeller(seed=1)
+    paths, words = html_extract._Buckets(html_extract.PATH_BUCKETS), html_extract._Buckets(html_extract.WORD_BUCKETS)
+    said = [f"w{i % 700}" for i in range(3000)] + ["last"] * 5
+    page = html_extract.blocks("<p>" + " ".join(said) + "<p>b c b")
+    x, _ = m._inputs([m.encode(page, paths, words)], 2)
+    at = slice(html_extract.PATH_DIM, html_extract.PATH_DIM + html_extract.WORD_DIM)
+    for t, want in enumerate((said, ["b", "c", "b"])):
+        np.testing.assert_allclose(x[t, 0, at], np.mean([m.p["word"][words[w]] for w in want], axis=0), atol=1e-5)
+    monkeypatch.setattr(html_extract, "IDS_AT_ONCE", 1)
+    np.testing.assert_allclose(m._inputs([m.encode(page, paths, words)], 2)[0], x, atol=1e-6)
+
+
 @pytest.fixture(scope="module")
 def labeller():
     return html_extract.train(["<p>" + " ".join(f"tok{i}" for i in range(200)) + "</p>"])
