@@ -55,10 +55,12 @@ _WORD = re.compile(r"[^ ]+")
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    """``path``: the distinct tokens of all open tags; ``deep``: their number with repetitions."""
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+    __slots__ = ("path", "deep", "text", "linked")
+
+    def __init__(self, path: tuple[str, ...], deep: int, text: str, linked: int):
+        self.path, self.deep, self.text, self.linked = path, deep, text, linked
 
 
 def _tokens(name: str, attrs: str) -> tuple[str, ...]:
@@ -76,29 +78,48 @@ def blocks(page: str) -> list[Block]:
     Unclosed and stray tags are taken as browsers mostly do; no text is dropped
     but that of ``SKIP`` elements and comments."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    # each open element with the path, its length and "in a link" of all down to it:
+    # what has no new token shares its parent's path, so depth costs nothing
+    stack: list[tuple[str, tuple[str, ...], int, bool]] = []
+    opened: dict[str, list[int]] = {}  # by name, the places in the stack
+    outer: list[int] = []  # places of elements that are not inline
     buffer: list[str] = []
     linked = [0]
     path: tuple[str, ...] = ()
+    deep = 0
     pos, n = 0, len(page)
 
     def flush() -> None:
         if buffer:
             text = _SPACE.sub(" ", html_lib.unescape("".join(buffer))).strip()
             if text:
-                out.append(Block(path, text, linked[0]))
+                out.append(Block(path, deep, text, linked[0]))
             buffer.clear()
         linked[0] = 0
 
     def put(s: str) -> None:
-        nonlocal path
+        nonlocal path, deep
         if s and (buffer or not s.isspace()):
             if not buffer:  # a block stands where its first text stands
-                path = tuple(t for _, ts in stack[-24:] for t in ts)
+                path, deep = stack[-1][1:3] if stack else ((), 0)
             buffer.append(s)
-            if any(name == "a" for name, _ in stack[-4:]):
+            if stack and stack[-1][3]:
                 linked[0] += len(s)
 
+    def push(name: str, tokens: tuple[str, ...]) -> None:
+        _, above, length, link = stack[-1] if stack else ("", (), 0, False)
+        new = tuple(t for t in dict.fromkeys(tokens) if t not in above)
+        opened.setdefault(name, []).append(len(stack))
+        if name not in INLINE:
+            outer.append(len(stack))
+        stack.append((name, above + new if new else above, length + len(tokens), link or name == "a"))
+
+    def close(k: int) -> None:
+        while len(stack) > k:
+            opened[stack.pop()[0]].pop()
+        while outer and outer[-1] >= k:
+            outer.pop()
+
     while pos < n:
         m = _MARK.search(page, pos)
         if not m:
@@ -112,10 +133,8 @@ def blocks(page: str) -> list[Block]:
         if page.startswith("</", m.start()):
             if name not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, max(-1, len(stack) - 64), -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened.get(name):
+                close(opened[name][-1])
             continue
         if name in SKIP:
             if name not in INLINE:
@@ -126,16 +145,10 @@ def blocks(page: str) -> list[Block]:
             continue
         if name not in INLINE:
             flush()
-            closes = SELF_CLOSING.get(name)
-            if closes:
-                for k in range(len(stack) - 1, max(-1, len(stack) - 8), -1):
-                    if stack[k][0] in closes:
-                        del stack[k:]
-                        break
-                    if stack[k][0] not in INLINE:
-                        break
+            if outer and stack[outer[-1]][0] in SELF_CLOSING.get(name, ()):
+                close(outer[-1])
         if name not in VOID and not m[0].endswith("/>"):
-            stack.append((name, _tokens(name, m[2])))
+            push(name, _tokens(name, m[2]))
     flush()
     return out
 
@@ -190,13 +203,13 @@ class Labeller:
     def encode(self, page: list[Block], paths: dict, words: dict) -> tuple[list[list[int]], list[tuple], np.ndarray]:
         bags_p, bags_w, shape = [], [], np.zeros((len(page), SHAPE_DIM), np.float32)
         for i, b in enumerate(page):
-            bags_p.append([paths[t] for t in dict.fromkeys(b.path)] or [paths[""]])
+            bags_p.append([paths[t] for t in b.path] or [paths[""]])
             # every word counts; an id is held once, however often it comes
             ids = np.fromiter((words[t[0].lower()] for t in _WORD.finditer(b.text)), dtype=np.int64)
             bags_w.append(np.unique(ids if len(ids) else [words[""]], return_counts=True))
             n = len(b.text)
             shape[i] = (np.log1p(n) / 5, min(1.0, b.linked / max(n, 1)), n > 200, n < 25,
-                        b.text[-1] in ".!?:;\"", i / max(1, len(page) - 1), i < 3, min(len(b.path), 30) / 10)
+                        b.text[-1] in ".!?:;\"", i / max(1, len(page) - 1), i < 3, min(b.deep, 30) / 10)
         return bags_p, bags_w, shape
 
     def _inputs(self, pages: list, width: int) -> tuple[np.ndarray, dict]:

@@ -298,6 +298,17 @@ def test_every_word_of_a_block_is_read(monkeypatch):
     np.testing.assert_allclose(m._inputs([m.encode(page, paths, words)], 2)[0], x, atol=1e-6)
 
 
+def test_open_tags_are_seen_at_any_depth():
+    deep = "<div>" * 40
+    outer, after = html_extract.blocks(f"<nav class=menu>{deep}x{'</div>' * 40}</nav>y")
+    assert {"nav", ".menu", "div"} == set(outer.path) and outer.deep == 42 and after.path == ()
+    # an end tag far down, an implied end under many inline tags, a link around deep text
+    assert html_extract.blocks("<footer>" + "<span>" * 100 + "x</footer>y")[1].path == ()
+    assert set(html_extract.blocks("<p class=ad>" + "<b>" * 20 + "x<p>y")[1].path) == {"p"}
+    link = html_extract.blocks("<a href='/'>" + "<i>" * 9 + "text</a> after")[0]
+    assert (link.text, link.linked) == ("text after", 4)
+
+
 @pytest.fixture(scope="module")
 def labeller():
     return html_extract.train(["<p>" + " ".join(f"tok{i}" for i in range(200)) + "</p>"])
