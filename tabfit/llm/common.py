@@ -6,7 +6,7 @@ import io
 import os
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabfit.session import staging_path
@@ -14,6 +14,10 @@ from tabfit.session import staging_path
 #: The white space that separates words: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 
+#: Rows of one range when places are found, and copies of one row that a task writes.
+ROWS_PER_RANGE = 500_000
+COPIES_PER_CHUNK = 65_536
+
 _SHIPPED: dict[str, str] = {}
 
 
@@ -40,6 +44,37 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, r"[ \t\n\x0B\f\r]+"), "")
 
 
+def places(rows: DataFrame, group: str, order: list[Column], name: str,
+           rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``rows`` with ``__place`` and ``__size``: the copies (sums of ``__n``) before each row in
+    its group, and of the whole group, in the order given (rows must be distinct in it).
+
+    The rows are range-partitioned by group and order, and written; a row's place
+    is what lies before it in its range, and in the group's earlier ranges.  No key
+    of a join or window holds more rows than a range, whatever the groups are."""
+    ranges = max(1, -(-rows.count() // rows_per_range))
+    parted = materialise(rows.repartitionByRange(ranges, F.col(group).asc(), *order)
+                         .withColumn("__range", F.spark_partition_id()), name)
+    # a row for every group and every range that it reaches
+    parts = parted.groupBy(F.col("__range").alias("__r"), F.col(group).alias("__g")).agg(F.sum("__n").alias("__part"))
+    whole = Window.partitionBy("__g")
+    earlier = whole.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__r", "__g", F.sum("__part").over(whole).alias("__size"),
+                         F.coalesce(F.sum("__part").over(earlier), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__range", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = parted.withColumn("__in", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    joined = placed.join(parts, (F.col("__range") == F.col("__r")) & F.col(group).eqNullSafe(F.col("__g")))
+    return joined.select(*rows.columns, (F.col("__before") + F.col("__in")).alias("__place"), "__size")
+
+
+def copies(rows: DataFrame) -> DataFrame:
+    """``__n`` rows for each row, numbered ``__i`` from 0, written in chunks by several tasks."""
+    last = F.col("__n") - 1
+    chunk = rows.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPIES_PER_CHUNK))))
+    low = F.col("__chunk") * COPIES_PER_CHUNK
+    return chunk.withColumn("__i", F.explode(F.sequence(low, F.least(last, low + (COPIES_PER_CHUNK - 1)))))
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers.  Does nothing where
     ``PYTHONPATH`` has its folder already; else a zip of it goes to the shared
