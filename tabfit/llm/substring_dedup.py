@@ -15,26 +15,26 @@ most 13, and these are compared by 128-bit hashes of all their words; the earlie
 occurrence of each is its origin, all others are removed.  Anchors only choose what
 is compared, so their 64-bit hashes cannot cause a removal.
 
-No pair is ever formed.  Anchors in very many places are found first in a sample of
-the documents; being repeated for certain they need no counting, and go to partitions
-of their own instead of to one.  The sample only guides the partitioning: the others
-are counted without exception.  Origins are map-side combined minima, and what is left
-out of the removed windows is found by their own place, not by their hash, so no
-passage, however common, is gathered in a task.  Texts are shuffled only of documents
-with repeated anchors and, at the end, with removed words: a bitmap of their keys, of
-bounded size, lets the readers pass the others by.  Of documents with equal texts only
-the first is compared; the others lose all words if they have a window at all.
+No pair is ever formed, and no passage, however common, is gathered in a task: before
+hashes are shuffled, a batch of documents keeps one occurrence of each (the earliest,
+for windows); of the others it is certain already that they are repeated (later).  So a
+hash crosses the network once a batch at most.  Hashes travel as arrays, cut into
+slices of the hash space, whose number follows from the size of the texts.  Texts are
+shuffled only of documents with repeated anchors and, at the end, with removed words:
+a bitmap of their keys, of bounded size, lets the readers pass the others by.  Of
+documents with equal texts only the first is compared; the others lose all words if
+they have a window at all.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabfit.llm.common import materialise, ship, table, text_or_empty
@@ -42,11 +42,13 @@ from tabfit.llm.common import materialise, ship, table, text_or_empty
 WINDOW = 20
 #: A perfect difference set and its modulus.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-#: One document of so many is sampled for very frequent anchors, of which at most HOT are kept.
-SAMPLE, HOT, HOT_SEEN = 64, 4096, 16
-WORDS_KEPT = 400_000
+WORDS_KEPT = 100_000
 TEXT_SLICE = 1 << 20
-ROWS_OUT = 200_000
+#: Bytes of text for each partition of shuffled hashes, and slices of hashes in one.
+BYTES_PER_PARTITION = 32 << 20
+SLICES = 8
+#: Documents whose words are laid out together.
+ROWS_AT_ONCE = 2_000
 #: Bits of the bitmap of keys, at most (16 MB).
 MARK_BITS = 1 << 27
 _SPACES = b" \t\n\x0b\x0c\r"
@@ -117,64 +119,115 @@ def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("id"), text_or_empty(text).cast("binary").alias("t"))
 
 
-def _hot_anchors(src: DataFrame, length: int) -> np.ndarray:
-    """Sorted hashes, ``HOT`` at most, of the anchors most frequent in a sample of documents."""
-    some = src.where(F.pmod(F.xxhash64("t"), F.lit(SAMPLE)) == 0)
+def _partitions(src: DataFrame) -> int:
+    size = src.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    return max(1, -(-size // BYTES_PER_PARTITION))
 
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            for t in batch.column(0):
-                h = word_hashes(t.as_py(), hashes)
-                a = np.unique(window_hash(h, cover_positions(len(h) - length + 1), length))
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64))], ["k"])
 
-    # bounded: HOT rows
-    top = (some.select("t").mapInArrow(sampled, "k long").groupBy("k").agg(F.count(F.lit(1)).alias("c"))
-           .where(F.col("c") >= HOT_SEEN).orderBy(F.col("c").desc(), "k").limit(HOT).select("k").collect())
-    return np.sort(np.array([r["k"] for r in top], dtype=np.int64))
+def _cut(columns: list[pa.Array], p: np.ndarray, kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    """One row for each value of ``p``: it, and the columns' values there as lists."""
+    order = np.argsort(p, kind="stable")
+    slices, first = np.unique(p[order], return_index=True)
+    offsets = pa.array(np.append(first, len(p)).astype(np.int32))
+    take = pa.array(order)
+    lists = [pa.ListArray.from_arrays(offsets, c.take(take)).cast(pa.list_(k)) for c, k in zip(columns, kinds)]
+    return pa.RecordBatch.from_arrays([pa.array(slices.astype(np.int32))] + lists, ["p"] + names)
+
+
+def _by_document(ids: pa.Array, extra: list[np.ndarray], value: np.ndarray, names: list[str], kinds) -> pa.RecordBatch:
+    """Rows ``id, extra..., values`` from entries that belong to documents."""
+    code = _rank(ids)
+    order = np.lexsort((value, *extra[::-1], code))
+    keys = [code[order]] + [e[order] for e in extra]
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    first = np.flatnonzero(new)
+    offsets = pa.array(np.append(first, len(order)).astype(np.int32))
+    lists = pa.ListArray.from_arrays(offsets, pa.array(value[order].astype(np.int32)))
+    return pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(order[first]))] + [pa.array(e[order][first], k) for e, k in zip(extra, kinds)] + [lists], names)
+
+
+def _rank(ids: pa.Array) -> np.ndarray:
+    """Dense ranks in Spark's order; a null comes first."""
+    return pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(lo, ROWS_AT_ONCE)
 
 
 def repeated_anchors(src: DataFrame, words: int) -> DataFrame:
-    """``id, at``: the places of the anchors that occur more than once."""
+    """``id, ats``: the places of the anchors that occur more than once, in parts."""
     length = _anchor_length(words)
-    hot = src.sparkSession.sparkContext.broadcast(_hot_anchors(src, length))  # bounded: HOT numbers
-    id_type = src.schema["id"].dataType.simpleString()
+    n = _partitions(src)
+    spark_id = src.schema["id"].dataType.simpleString()
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, frequent = _Hashes(), hot.value
-
-        def rows(ids, which, at, key):
-            key = np.concatenate(key).view(np.int64)
-            at, which = np.concatenate(at), np.concatenate(which)
-            known = np.isin(key, frequent)
-            # certainly repeated: any partition will do
-            spread = (at.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ (key.view(np.uint64) << np.uint64(7))
-            spread = (spread + which.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
-            key = np.where(known, spread.view(np.int64), key)
-            return pa.RecordBatch.from_arrays([ids.take(pa.array(which)), pa.array(at.astype(np.int32)), pa.array(key),
-                                               pa.array(known)], ["id", "at", "k", "hot"])
-
+        hashes = _Hashes()
         for batch in batches:
-            which, at, key, size = [], [], [], 0
+            which, at, key = [], [], []
             for i, t in enumerate(batch.column(1)):
                 h = word_hashes(t.as_py(), hashes)
                 pos = cover_positions(len(h) - length + 1)
-                if not len(pos):
-                    continue
-                which.append(np.full(len(pos), i))
-                at.append(pos)
-                key.append(window_hash(h, pos, length))
-                size += len(pos)
-                if size >= ROWS_OUT:
-                    yield rows(batch.column(0), which, at, key)
-                    which, at, key, size = [], [], [], 0
-            if size:
-                yield rows(batch.column(0), which, at, key)
-
-    found = src.mapInArrow(anchors, f"id {id_type}, at int, k long, hot boolean")
-    twice = F.count(F.lit(1)).over(Window.partitionBy("k"))
-    return found.withColumn("c", twice).where("hot or c > 1").select("id", "at")
+                if len(pos):
+                    which.append(np.full(len(pos), i, dtype=np.int32))
+                    at.append(pos.astype(np.int32))
+                    key.append(window_hash(h, pos, length))
+            if not key:
+                continue
+            which, at, key = np.concatenate(which), np.concatenate(at), np.concatenate(key)
+            order = np.argsort(key, kind="stable")
+            k = key[order]
+            new = np.concatenate(([True], k[1:] != k[:-1]))
+            again = ~new
+            first_of_many = new & np.append(again[1:], False)
+            # one of each hash is shuffled by it; places that are certain go by any key
+            certain = np.zeros(len(key), dtype=bool)
+            certain[order[again | first_of_many]] = True
+            sent = order[new]
+            slice_of = (key % np.uint64(n * SLICES)).astype(np.int64)
+            ids = batch.column(0)
+            yield _cut([pa.array(key[sent].view(np.int64)), ids.take(pa.array(which[sent])),
+                        # a hash that is certain to be repeated is sent without a place
+                        pa.array(np.where(certain[sent], -1, at[sent]).astype(np.int32))],
+                       slice_of[sent], [pa.int64(), ids.type, pa.int32()], ["ks", "ids", "ats"])
+            sure = np.flatnonzero(certain)
+            if len(sure):
+                c = _cut([ids.take(pa.array(which[sure])), pa.array(at[sure])], slice_of[sure], [ids.type, pa.int32()],
+                         ["ids", "ats"])
+                none = pa.array([[]] * c.num_rows, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([c.column(0), none, c.column(1), c.column(2)], ["p", "ks", "ids", "ats"])
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ks, at, ids = [], [], []
+        for batch in batches:
+            sizes = np.diff(batch.column(1).offsets.to_numpy())
+            for i in range(batch.num_rows):
+                d, a = batch.column(2)[i].values, batch.column(3)[i].values.to_numpy()
+                if sizes[i] == 0:
+                    yield _by_document(d, [], a, ["id", "ats"], [])
+                else:
+                    ks.append(batch.column(1)[i].values.to_numpy())
+                    ids.append(d)
+                    at.append(a)
+        if not ks:
+            return
+        k, at, ids = np.concatenate(ks), np.concatenate(at), pa.concat_arrays(ids)
+        order = np.argsort(k, kind="stable")
+        same = k[order][1:] == k[order][:-1]
+        twice = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        hit = order[twice]
+        hit = hit[at[hit] >= 0]
+        if len(hit):
+            yield _by_document(ids.take(pa.array(hit)), [], at[hit], ["id", "ats"], [])
+
+    sent = src.mapInArrow(lambda b: anchors(_pieces(b)), f"p int, ks array<bigint>, ids array<{spark_id}>, ats array<int>")
+    return sent.repartition(n, "p").mapInArrow(repeated, f"id {spark_id}, ats array<int>")
 
 
 def marks(ids: DataFrame) -> tuple[np.ndarray, int]:
@@ -192,96 +245,134 @@ def marks(ids: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def marked(src: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``src`` in two: the rows whose ``id`` may be in the written table ``ids``, and others."""
+    """``src (id, t)`` in two: the rows whose ``id`` may be in the written table ``ids``, and others."""
     bits, size = marks(ids)
     shared = src.sparkSession.sparkContext.broadcast(bits)  # bounded: 16 MB
 
-    @F.pandas_udf("boolean")
-    def hit(at):
-        a = at.to_numpy()
-        return at.__class__((shared.value[a >> 3] >> (a & 7) & 1).astype(bool))
+    id_type = src.schema["id"].dataType.simpleString()
+    at = src.select("id", "t", F.pmod(F.xxhash64("id"), F.lit(size)).alias("at"))
+
+    def part(wanted: int):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                a = batch.column(2).to_numpy()
+                yield batch.filter(pa.array((shared.value[a >> 3] >> (a & 7) & 1) == wanted)).select(["id", "t"])
+        return at.mapInArrow(keep, f"id {id_type}, t binary")
 
-    flagged = src.withColumn("__hit", hit(F.pmod(F.xxhash64("id"), F.lit(size))))
-    return flagged.where("__hit").drop("__hit"), flagged.where("not __hit").drop("__hit")
+    return part(1), part(0)
 
 
 def _equal_texts(src: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``id, th`` (128-bit text hash) of the first document of every text, and of the others."""
-    every = src.select("id", F.md5("t").alias("th"))
-    firsts = materialise(every.groupBy("th").agg(F.min(F.struct("id")).alias("o")).select("o.id", "th"), "first-texts")
+    """The first document of every text (``id``), and the others (``id, th``)."""
+    every = src.select("id", F.md5("t").alias("digest"), _fold("t").alias("th"))
+    firsts = materialise(every.groupBy("digest").agg(F.min(F.struct("id")).alias("o")).select("o.id", "digest"), "first-texts")
     # by their own key, so that no text, however common, is one key
-    own = firsts.select(F.col("id").alias("i2"), F.col("th").alias("t2"))
-    others = every.join(own, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("t2")), "left_anti")
-    return firsts, materialise(others.distinct(), "copies")
+    own = firsts.select(F.col("id").alias("i2"), F.col("digest").alias("d2"))
+    others = every.join(own, F.col("id").eqNullSafe(F.col("i2")) & (F.col("digest") == F.col("d2")), "left_anti")
+    return firsts, others.select("id", "th").distinct()
 
 
-def windows(src: DataFrame, places: DataFrame, words: int) -> DataFrame:
-    """The windows over ``places (id, ats)``, a row per document: ``id, th`` (128-bit text
-    hash), and arrays ``starts``, ``h1``, ``h2``."""
+def _fold(text: str) -> Column:
+    """A number below 2 ** 31 that tells texts of one key apart."""
+    return F.pmod(F.xxhash64(text), F.lit(1 << 31)).cast("int")
+
+
+def later_places(src: DataFrame, places: DataFrame, words: int) -> DataFrame:
+    """``id, th, later``, in parts: of the windows over ``places (id, ats)`` the starts of those
+    that occur earlier, in the document with this key and fold of its text."""
     near, _ = marked(src, places.select("id"))
-    id_type = src.schema["id"].dataType.simpleString()
-    length = _anchor_length(words)
+    length, n = _anchor_length(words), _partitions(src)
+    spark_id = src.schema["id"].dataType.simpleString()
     pl = places.select(F.col("id").alias("__id"), "ats")
-    joined = near.join(pl, F.col("id").eqNullSafe(F.col("__id"))).select("id", "t", "ats")
+    joined = near.join(pl, F.col("id").eqNullSafe(F.col("__id"))).select("id", "t", "ats", _fold("t").alias("th"))
+
+    def earliest(h1, h2, ids, th, start):
+        """Order by hash, then place; and where each hash's first row is in it."""
+        order = np.lexsort((start, th, _rank(ids), h2, h1))
+        a, b = h1[order], h2[order]
+        return order, np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = _Digests()
-        types = pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())
-
-        def rows(ids, which, *columns):
-            return pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(which))] + [pa.array(c, t) for c, t in zip(columns, types)],
-                ["id", "th", "starts", "h1", "h2"])
-
         for batch in batches:
-            out, size = ([], [], [], [], []), 0
+            which, start, h1, h2 = [], [], [], []
             for i, (t, ats) in enumerate(zip(batch.column(1), batch.column(2))):
-                t = t.as_py()
-                h = word_digests(t, digests)
+                h = word_digests(t.as_py(), digests)
                 at = ats.values.to_numpy(zero_copy_only=False).astype(np.int64)
                 # rows that share a key have each other's anchors: places beyond the text go
                 s = (at[:, None] - np.arange(words - length + 1)).reshape(-1)
                 s = np.unique(s[(s >= 0) & (s <= len(h) - words)])
-                if not len(s):
-                    continue
-                for column, v in zip(out, (i, hashlib.md5(t).hexdigest(), s.astype(np.int32),
-                                           window_hash(np.ascontiguousarray(h[:, 0]), s, words, 1).view(np.int64),
-                                           window_hash(np.ascontiguousarray(h[:, 1]), s, words, 2).view(np.int64))):
-                    column.append(v)
-                size += len(s)
-                if size >= ROWS_OUT:
-                    yield rows(batch.column(0), *out)
-                    out, size = ([], [], [], [], []), 0
-            if size:
-                yield rows(batch.column(0), *out)
-
-    return joined.mapInArrow(extend, f"id {id_type}, th string, starts array<int>, h1 array<bigint>, h2 array<bigint>")
-
-
-def later_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """``id, th, later``: the starts, in a document (key and text hash), of windows that occur
-    earlier; and ``id, th`` of the later rows of texts in several documents."""
+                if len(s):
+                    which.append(np.full(len(s), i, dtype=np.int32))
+                    start.append(s.astype(np.int32))
+                    h1.append(window_hash(np.ascontiguousarray(h[:, 0]), s, words, 1))
+                    h2.append(window_hash(np.ascontiguousarray(h[:, 1]), s, words, 2))
+            if not which:
+                continue
+            which, start, h1, h2 = (np.concatenate(v) for v in (which, start, h1, h2))
+            ids = batch.column(0).take(pa.array(which))
+            th = batch.column(3).to_numpy()[which]
+            order, new = earliest(h1, h2, ids, th, start)
+            slice_of = (h1 % np.uint64(n * SLICES)).astype(np.int64)
+            sent, late = order[new], order[~new]
+            names, kinds = ["h1s", "h2s", "ids", "ths", "starts"], [pa.int64(), pa.int64(), ids.type, pa.int32(), pa.int32()]
+            # the earliest of the batch is shuffled; the others are later for certain,
+            # but for repeated rows of one document
+            yield _cut([pa.array(h1[sent].view(np.int64)), pa.array(h2[sent].view(np.int64)), ids.take(pa.array(sent)),
+                        pa.array(th[sent]), pa.array(start[sent])], slice_of[sent], kinds, names)
+            late = late[~_same_place(ids, th, start, order, new)[~new]]
+            if len(late):
+                c = _cut([ids.take(pa.array(late)), pa.array(th[late]), pa.array(start[late])], slice_of[late], kinds[2:], names[2:])
+                none = pa.array([[]] * c.num_rows, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([c.column(0), none, none, *c.columns[1:]], ["p"] + names)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[], [], [], [], []]
+        for batch in batches:
+            sizes = np.diff(batch.column(1).offsets.to_numpy())
+            for i in range(batch.num_rows):
+                v = [batch.column(k)[i].values for k in range(1, 6)]
+                if sizes[i] == 0:
+                    yield _by_document(v[2], [v[3].to_numpy()], v[4].to_numpy(), ["id", "th", "later"], [pa.int32()])
+                else:
+                    for h, x in zip(held, v):
+                        h.append(x)
+        if not held[0]:
+            return
+        h1, h2, ids, th, start = (pa.concat_arrays(h) for h in held)
+        h1, h2, th, start = (x.to_numpy() for x in (h1, h2, th, start))
+        order, new = earliest(h1, h2, ids, th, start)
+        late = order[~new & ~_same_place(ids, th, start, order, new)]
+        if len(late):
+            yield _by_document(ids.take(pa.array(late)), [th[late]], start[late], ["id", "th", "later"], [pa.int32()])
+
+    sent = joined.mapInArrow(lambda b: extend(_pieces(b)), f"p int, h1s array<bigint>, h2s array<bigint>, ids array<{spark_id}>, "
+                                                           "ths array<int>, starts array<int>")
+    return sent.repartition(n, "p").mapInArrow(judge, f"id {spark_id}, th int, later array<int>")
+
+
+def _same_place(ids: pa.Array, th: np.ndarray, start: np.ndarray, order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """For the rows in ``order``: is it the same place as the first of its hash (a repeated row)?"""
+    first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    code = _rank(ids)
+    return (code[order] == code[first]) & (th[order] == th[first]) & (start[order] == start[first])
+
+
+def later_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WINDOW) -> DataFrame:
+    """``id, th, later, copy``: the starts, in the document with this key and fold of its text, of
+    windows that occur earlier; or that its whole text is that of an earlier document."""
     ship(docs.sparkSession)
     src = _source(docs, key, text)
     firsts, copies = _equal_texts(src)
-    places = repeated_anchors(src, words).groupBy("id").agg(F.collect_set("at").alias("ats"))
+    places = repeated_anchors(src, words).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"))
     # of equal texts only the first is compared
     own = firsts.select(F.col("id").alias("i2")).distinct()
     places = materialise(places.join(own, F.col("id").eqNullSafe(F.col("i2")), "left_semi"), "anchors")
-    found = materialise(windows(src, places, words), "windows")
-
-    each = found.select("id", "th", F.inline(F.arrays_zip("starts", "h1", "h2")))
-    origin = each.groupBy("h1", "h2").agg(F.min(F.struct("id", "th", "starts")).alias("o"))
-    kept = origin.groupBy("o.id", "o.th").agg(F.collect_list("o.starts").alias("own"))
-    kept = kept.select(F.col("id").alias("i2"), F.col("th").alias("t2"), "own")
-    later = (found.select("id", "th", "starts")
-             .join(kept, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("t2")), "left")
-             .select("id", "th", F.when(F.col("own").isNull(), F.col("starts"))
-                     .otherwise(F.array_except("starts", "own")).alias("later")))
-    later = later.where(F.size("later") > 0).dropDuplicates(["id", "th"])
-    gone = copies.select(F.col("id").alias("i2"), F.col("th").alias("t2"))
-    later = later.join(gone, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("t2")), "left_anti")
-    return materialise(later, "later-windows"), copies
+    later = later_places(src, places, words).groupBy("id", "th").agg(F.flatten(F.collect_list("later")).alias("later"))
+    whole = copies.select("id", "th", F.lit(None).cast("array<int>").alias("later"))
+    both = later.unionByName(whole).groupBy("id", "th").agg(
+        F.max("later").alias("later"), F.max(F.col("later").isNull()).alias("copy"))
+    return materialise(both, "later-windows")
 
 
 def _cleaned(words: int):
@@ -317,20 +408,17 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     document with one answer for each.  A null key comes first.  Null, empty and blank
     texts have no words; other columns are not read; an empty table gives none."""
     src = _source(docs, key, text)
-    later, copies = later_windows(docs, key, text, words)
+    later = later_windows(docs, key, text, words)
     id_type = src.schema["id"].dataType.simpleString()
-    ids = materialise(later.select("id").unionByName(copies.select("id")), "changed")
-    some, others = marked(src, ids)
-    cuts = later.select(F.col("id").alias("i2"), F.col("th").alias("t2"), "later", F.lit(False).alias("copy")).unionByName(
-        copies.select(F.col("id").alias("i2"), F.col("th").alias("t2"), F.lit(None).cast("array<int>").alias("later"),
-                      F.lit(True).alias("copy")))
-    joined = some.withColumn("th", F.md5("t")).join(
+    some, others = marked(src, later.select("id"))
+    cuts = later.select(F.col("id").alias("i2"), F.col("th").alias("t2"), "later", "copy")
+    joined = some.withColumn("th", _fold("t")).join(
         cuts, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("t2")), "left")
     joined = joined.select("id", "t", "later", F.coalesce("copy", F.lit(False)).alias("copy"))
     rest = others.select("id", "t", F.lit(None).cast("array<int>").alias("later"), F.lit(False).alias("copy"))
     out = f"id {id_type}, n_words long, n_removed long, kept binary"
     clean = _cleaned(words)
-    done = joined.mapInArrow(clean, out).unionByName(rest.mapInArrow(clean, out))
+    done = joined.mapInArrow(lambda b: clean(_pieces(b)), out).unionByName(rest.mapInArrow(lambda b: clean(_pieces(b)), out))
     return done.withColumnRenamed("id", key)
 
 
