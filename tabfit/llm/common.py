@@ -15,9 +15,12 @@ from tabfit.session import staging_path
 SPACES = " \t\n\x0b\x0c\r"
 
 #: Rows of one range when places are found, and copies of one row that a task writes.
-ROWS_PER_RANGE = 500_000
+ROWS_PER_RANGE = 200_000
 COPIES_PER_CHUNK = 65_536
 
+#: A key is hot with more than one row in HOT_SHARE, and more than HOT_ROWS rows.
+HOT_SHARE, HOT_ROWS = 2_000, 1_000
+
 _SHIPPED: dict[str, str] = {}
 
 
@@ -75,6 +78,24 @@ def copies(rows: DataFrame) -> DataFrame:
     return chunk.withColumn("__i", F.explode(F.sequence(low, F.least(last, low + (COPIES_PER_CHUNK - 1)))))
 
 
+def join_spread(left: DataFrame, right: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+    """``left`` joined (inner or left) with the written table ``right``: one row per ``key``, whose
+    column ``count`` says how many rows of ``left`` have it.
+
+    Keys with more than a ``HOT_SHARE``-th of all counted rows are joined where their
+    rows lie, from a broadcast table that has fewer than ``HOT_SHARE`` rows for that
+    reason; only the others are shuffled, and none of them is large."""
+    total = right.agg(F.sum(count)).first()[0] or 0
+    hot = right.where(F.col(count) * HOT_SHARE > F.lit(total)).where(F.col(count) > HOT_ROWS)
+    n_hot = hot.count()  # below HOT_SHARE
+    if n_hot == 0:
+        return left.join(right, key, how)
+    cold = right.join(F.broadcast(hot.select(key)), key, "left_anti")
+    spread = left.join(F.broadcast(hot), key)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return spread.unionByName(rest.join(cold, key, how))
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers.  Does nothing where
     ``PYTHONPATH`` has its folder already; else a zip of it goes to the shared

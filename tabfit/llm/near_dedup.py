@@ -35,13 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfit.llm.common import materialise, ship, table, text_or_empty
+from tabfit.llm.common import join_spread, materialise, ship, table, text_or_empty
 
 BANDS, ROWS = 32, 5
 BATCH = 32
 MISS = 1e-6
 #: Members of a bucket compared as one block, and words remembered by a task.
 BLOCK = 64
+#: Blocks of a bucket for each row and column of its grid of block pairs.
+GRID = 16
 WORDS_KEPT = 400_000
 _SLICE = 4096
 #: Shingles laid out at once when the sets of two blocks are intersected.
@@ -142,15 +144,16 @@ def sketches(docs: DataFrame, key: str, text: str, words: int, bands: int, rows:
     return src.mapInArrow(sketch, f"id {key_type.simpleString()}, n long, cls binary, sig binary")
 
 
-def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``id, component`` (least reachable id) of the ids in ``links (a, b)``.
 
     Alternating large-star and small-star rounds (Kiveris et al., 2014) until
-    nothing changes; every round is a join and map-side combined aggregations,
-    written to the shared folder."""
+    every id hangs on the least one it can reach; every round is a join and
+    map-side combined aggregations, written to the shared folder.  A round that
+    is not the last replaces links by links to lesser ids, so the loop ends."""
     e = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     e = materialise(e, "links")
-    for _ in range(max_rounds):
+    while True:
         # large star: the greater neighbours of a node move to its least neighbour
         both = e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -168,16 +171,14 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
         e = nxt
         if open_ends.isEmpty() and several.isEmpty():
             break
-    else:
-        raise RuntimeError("components did not settle")
     return (e.select(F.col("b").alias("id"), F.col("a").alias("component"))
             .unionAll(e.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()))
 
 
 def _marks(ids: DataFrame) -> tuple[np.ndarray, int]:
-    """A bitmap with a bit for the hash of every id, as bytes, and its number of bits:
-    16 per id, at most 2 ** 27 (16 MB).  With more ids it only lets more through."""
-    ids = materialise(ids, "ids")
+    """A bitmap with a bit for the hash of every id of a written table, as bytes, and its
+    number of bits: 16 per id, at most 2 ** 27 (16 MB).  With more ids it only lets more
+    through."""
     size = 1 << min(27, max(20, (16 * ids.count()).bit_length()))
     at = F.pmod(F.xxhash64("id"), F.lit(size)) + 1  # bitmaps count from 1
     parts = ids.groupBy(F.bitmap_bucket_number(at).alias("n")).agg(
@@ -190,8 +191,10 @@ def _marks(ids: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``id, s``: the full shingle sets of the documents in ``ids`` (and of a few
-    others).  Texts are not shuffled: the readers keep those marked in a bitmap."""
+    """``id, s``: the full shingle sets of the documents in ``ids (id, cls)`` (and of a few
+    others).  Texts are not shuffled: the readers keep those marked in a bitmap.  Of
+    rows that share a key the set of the class in ``ids`` is kept, once."""
+    ids = materialise(ids, "ids")
     bits, size = _marks(ids)
     marked = docs.sparkSession.sparkContext.broadcast(bits)  # bounded: 16 MB
     src = docs.select(F.col(key).alias("id"), text_or_empty(text).cast("binary").alias("t"))
@@ -204,16 +207,36 @@ def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, words: int) -> D
             at = batch.column(2).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array((bit[at >> 3] >> (at & 7) & 1).astype(bool)))
             s = [shingle_set(t.as_py(), words, hashes).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.binary())], ["id", "s"])
+            cls = [hashlib.blake2b(x, digest_size=16).digest() for x in s]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls, pa.binary()), pa.array(s, pa.binary())],
+                                             ["id", "c", "s"])
+
+    full = src.mapInArrow(sets, f"id {id_type}, c binary, s binary")
+    # shuffled once, by id: the joins on id that follow read the same exchange
+    full = full.repartition("id").join(ids, "id").where("c = cls").select("id", "s")
+    return full.dropDuplicates(["id"])
+
+
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is in ``ids`` (and a few others), found by a bitmap."""
+    bits, size = _marks(materialise(ids, "ids"))
+    marked = rows.sparkSession.sparkContext.broadcast(bits)  # bounded: 16 MB
+    at = rows.withColumn("__at", F.pmod(F.xxhash64("id"), F.lit(size)))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a = batch.column(batch.num_columns - 1).to_numpy()
+            batch = batch.filter(pa.array((marked.value[a >> 3] >> (a & 7) & 1).astype(bool)))
+            yield batch.select(batch.schema.names[:-1])
 
-    full = src.mapInArrow(sets, f"id {id_type}, s binary")
-    return materialise(full.dropDuplicates(["id"]), "sets")
+    return at.mapInArrow(keep, rows.schema)
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach ``percent``."""
+def _verify(docs: DataFrame, pairs: DataFrame, chosen: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach ``percent``.  A set crosses the network once for
+    its id, and once more for every pair in which it has the greater id."""
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    full = _sets(docs, ids, key, text, words)
+    full = _sets(docs, ids.join(chosen, "id"), key, text, words)
     id_type = full.schema["id"].dataType.simpleString()
 
     def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,16 +248,18 @@ def _verify(docs: DataFrame, pairs: DataFrame, key: str, text: str, words: int,
                 ok.append(100 * both >= percent * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
 
-    joined = (pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-              .join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    joined = (pairs.join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+              .join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
               .select("a", "b", "sa", "sb"))
     return joined.mapInArrow(enough, f"a {id_type}, b {id_type}")
 
 
 def _mixed(member: DataFrame) -> DataFrame:
-    """The rows ``bucket, band, id, comp`` of buckets with several components."""
-    several = member.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    return member.join(several.select("bucket"), "bucket", "left_semi")
+    """The rows ``bucket, band, id, comp`` of buckets with several components.  In a bucket of
+    three members or fewer, the least and the greatest have met all others already."""
+    several = member.groupBy("bucket").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi and c > 3")
+    return join_spread(member, several.select("bucket", "c"), "bucket", "c").drop("c")
 
 
 def _block_pairs(member: DataFrame) -> DataFrame:
@@ -250,11 +275,17 @@ def _block_pairs(member: DataFrame) -> DataFrame:
                  F.pmod(F.xxhash64("id"), parts).alias("part"))
     blocks = m.groupBy("bucket", "band", "owner", "part").agg(F.collect_list(F.struct("id", "comp", "data")).alias("rows"))
     blocks = materialise(blocks, "blocks")
-    x = blocks.select("bucket", "band", F.col("owner").alias("o1"), F.col("part").alias("p1"), F.col("rows").alias("r1"))
-    y = blocks.select("bucket", F.col("owner").alias("o2"), F.col("part").alias("p2"), F.col("rows").alias("r2"))
+    # the pairs of a bucket's blocks are dealt to the cells of a grid, a task's worth each
+    grid = blocks.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / GRID).alias("g"))
+    blocks = blocks.join(grid, "bucket").withColumn("cell", F.pmod(F.xxhash64("owner", "part"), F.col("g")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("g") - 1)
+    x = blocks.select("bucket", "band", F.col("owner").alias("o1"), F.col("part").alias("p1"), F.col("rows").alias("r1"),
+                      F.col("cell").alias("c1"), F.explode(every).alias("c2"))
+    y = blocks.select("bucket", F.col("owner").alias("o2"), F.col("part").alias("p2"), F.col("rows").alias("r2"),
+                      F.explode(every).alias("c1"), F.col("cell").alias("c2"))
     order1 = F.struct(F.col("o1").alias("o"), F.col("p1").alias("p"))
     order2 = F.struct(F.col("o2").alias("o"), F.col("p2").alias("p"))
-    return x.join(y, "bucket").where((order1 <= order2) & (
+    return x.join(y, ["bucket", "c1", "c2"]).where((order1 <= order2) & (
         F.col("o1").isNull() | F.col("o2").isNull() | (F.col("o1") != F.col("o2")))).select("bucket", "band", "r1", "r2")
 
 
@@ -308,21 +339,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     name rows; rows repeated with one key get one answer each, from the least
     class among them, and rows with a null key are their own component."""
     width = bands * rows
+    if (1 - (percent / 100) ** rows) ** bands > 1e-5:
+        raise ValueError(f"{bands} bands of {rows} values miss too many pairs at {percent} %: choose more bands or fewer rows")
     sk = materialise(sketches(docs, key, text, words, bands, rows), "sketches")
     named = sk.where("id is not null and cls is not null")
-    classes = named.groupBy("cls").agg(F.min("id").alias("rep"))
-    reps = named.join(classes.select(F.col("rep").alias("id"), "cls"), ["id", "cls"], "left_semi")
-    reps = materialise(reps.select("id", "n", "sig").dropDuplicates(["id"]), "representatives")
+    classes = named.groupBy("cls").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m"))
+    classes = materialise(classes, "classes")
+    # an id that leads several classes (rows that share a key) stands for the least of them
+    chosen = materialise(classes.groupBy(F.col("rep").alias("id")).agg(F.min("cls").alias("cls")), "leaders")
+    # one shuffle of the signatures; a leader's repeated rows differ in nothing
+    reps = named.select("id", "cls", "n", "sig").join(chosen, ["id", "cls"], "left_semi").dropDuplicates(["id", "cls"])
+    reps = materialise(reps.select("id", "n", "sig"), "representatives")
     id_type = reps.schema["id"].dataType.simpleString()
     least = least_matches(percent / 100, miss, width)
 
     keyed = reps.select("id", F.inline(F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(
         F.lit(i), F.substring("sig", 4 * rows * i + 1, 4 * rows)).alias("bucket")) for i in range(bands)])))
-    shared = keyed.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    buckets = materialise(keyed.join(shared, "bucket"), "buckets")
+    shared = keyed.groupBy("bucket").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
+    shared = materialise(shared, "shared-buckets")
+    buckets = materialise(join_spread(keyed, shared, "bucket", "c").drop("c"), "buckets")
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            p, q = (batch.column(i).to_numpy() for i in (4, 5))
+            # sets of too different a size cannot reach the threshold
+            batch = batch.filter(pa.array(100 * np.minimum(p, q) >= percent * np.maximum(p, q)))
             a, b = (_as_matrix([v.as_py() for v in batch.column(i)], width) for i in (2, 3))
             live = survivors(a, b, least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).take(pa.array(live))
@@ -331,11 +373,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     spokes = buckets.select(F.inline(F.array(
         F.struct(F.col("lo").alias("a"), F.col("id").alias("b")),
         F.struct(F.col("id").alias("a"), F.col("hi").alias("b"))))).where("a < b").distinct()
-    sig = reps.select("id", "sig")
-    spokes = (spokes.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("x")), "a")
-              .join(sig.select(F.col("id").alias("b"), F.col("sig").alias("y")), "b").select("a", "b", "x", "y"))
-    near = materialise(spokes.mapInArrow(prune, f"a {id_type}, b {id_type}"), "near")
-    links = materialise(_verify(docs, near, key, text, words, percent), "first-links")
+    spokes = materialise(spokes, "spokes")
+    # signatures of the ids in spokes only, shuffled once: both joins read the same exchange
+    sig = _marked(reps, spokes.select(F.col("a").alias("id")).unionAll(spokes.select(F.col("b").alias("id"))).distinct())
+    sig = sig.repartition("id")
+    met = (spokes.join(sig.select(F.col("id").alias("b"), F.col("sig").alias("y"), F.col("n").alias("nb")), "b")
+           .join(sig.select(F.col("id").alias("a"), F.col("sig").alias("x"), F.col("n").alias("na")), "a")
+           .select("a", "b", "x", "y", "na", "nb"))
+    near = materialise(met.mapInArrow(prune, f"a {id_type}, b {id_type}"), "near")
+    links = materialise(_verify(docs, near, chosen, key, text, words, percent), "first-links")
 
     # what different components of one bucket still have to be compared
     comp = materialise(components(links), "first-components")
@@ -374,18 +420,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
                     keep = _forest([(c1[i], c2[j], i1[i], i2[j]) for i, j in zip(*np.nonzero(hit))])
                     yield pd.DataFrame(keep, columns=["a", "b"], dtype=object if not keep else None)
 
-        full = _sets(docs, left_over.select("id").distinct(), key, text, words)
+        full = _sets(docs, left_over.select("id").distinct().join(chosen, "id"), key, text, words)
         todo = _block_pairs(left_over.join(full.select("id", F.col("s").alias("data")), "id"))
         more = todo.mapInPandas(join_exactly, f"a {id_type}, b {id_type}")
         comp = components(links.unionByName(more))
-    found = (classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-             .select("cls", F.coalesce("component", "rep").alias("__component")))
-    out = sk.select("id", "n", "cls").join(found, "cls", "left")
+    # classes of one row that are linked with nothing need no answer from here; the rows of a
+    # class ask for it by its digest, a very common one everywhere at once
+    found = (classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").where("m > 1 or component < rep")
+             .select("cls", F.coalesce("component", "rep").alias("__component"), "m"))
+    found = materialise(found, "answers")
+    out = join_spread(sk.select("id", "n", "cls"), found, "cls", "m", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
                       F.coalesce("__component", "id").alias("component_id"),
                       F.coalesce(F.coalesce("__component", "id") == F.col("id"), F.lit(True)).alias("kept"))
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the least doc_id of their group, linked by two-word shingles at 0.8."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, words=2, percent=80)
