@@ -29,7 +29,7 @@ from tabfit.llm.common import copies, materialise, places, table
 
 FANOUT = 16
 #: Runs whose nodes share one window group.
-RUNS_PER_WINDOW = 256
+RUNS_PER_WINDOW = 64
 #: Columns of a document's leaf, in this order.
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
