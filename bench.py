@@ -81,7 +81,7 @@ def main() -> None:
         grid = param_grid(num_round=[2, 3], eta=[0.1, 0.4])
         t = time.time()
         TrainValidationSplit(BoostParams(objective="binary:logistic", max_depth=4, subsample=0.8),
-                             grid, key_col="rowId", parallelism=4).fit(fr)
+                             grid, key_col="rowId").fit(fr)
         return time.time() - t
 
     def q(name):

@@ -1,36 +1,37 @@
 """Second-order gradient boosting on feature histograms, as DataFrame jobs.
 
 Method: Newton boosting of regression trees (Friedman 2001; Chen & Guestrin
-2016).  Per round, gradients ``g`` and hessians ``h`` are Column expressions
-of the current margin.  A tree is grown level by level; each level is ONE
-aggregation job:
-
-    rows -> (class, node, feature, bin, g, h)   (generated in the scan stage)
-         -> groupBy(class, node, feature, bin).sum(g, h)
-            (partial aggregation map-side: a task emits at most
-             classes x nodes x features x bins rows, however skewed the data)
-         -> cumulative sums over bins (window per class/node/feature)
-         -> gain  G_L^2/(H_L+lambda) + G_R^2/(H_R+lambda) - G^2/(H+lambda)
-         -> best split per (class, node) (window rank)
-
-The histogram of a level is bounded by the parameters (classes x open nodes x
-features x bins), not by the data.  Up to ``LOCAL_SPLIT_MAX_ROWS`` rows it is
-fetched with Arrow and searched with numpy; beyond that, window functions
-search it in Spark and only the chosen splits (at most ``classes x 2^depth``
-rows, checked in ``BoostParams.validate``) reach the driver.  After a split,
-only the smaller child's rows are scanned: the larger child's histogram is the
-parent's minus the smaller one's.  A row's node is a CASE expression over its
-binned features (one scalar column per feature) built from the splits, so
-routing needs no join.  The fitted trees become one CASE expression per tree
-over the raw features: scoring is a projection with no shuffle and no Python.
+2016), with missing values sent to the better side of each split.  The rows are
+quantised once into pages (``operators/pages.py``).  Trees grow level by level, and a
+level of ALL trees of a round - every class, and every point of a parameter
+grid - is one job:
+
+    pages -> (node, feature, bin, G, H, rows)   numpy, summed over the partition:
+             a task returns at most as many rows as the histogram has slots,
+             however skewed the data is
+          -> shuffled by node (unless one task has all rows), summed
+          -> best split of each node            one row per open node to the driver
+
+    gain  G_L^2/(H_L+lambda) + G_R^2/(H_R+lambda) - G^2/(H+lambda)
+
+A node's histogram is bounded by the features and their bins, not by the data, and
+split search runs in the tasks at every size.  What a task gets is the splits
+found so far; a row's node follows from them by one comparison a level, on bins,
+so the plan of a job is the same short one in every level and round, and
+nothing is compiled anew.  Leaf values are added to the margins by the job of the
+next round's first level.
 
 Feature bins ignore NaN and NULL: a feature with at most ``max_bins`` distinct
 values gets an edge at each of them, any other its quantiles and its maximum.
 Bin ``j`` of a feature holds values in ``[edge_{j-1}, edge_j)``; a split at
-bin ``j`` sends ``value < edge_j`` left, NaN and NULL go right.
-
-The training state (binned features, label, margins) is persisted; margins are
-updated by a projection each round, and lineage is cut every
+bin ``j`` sends ``value < edge_j`` left.  NaN and NULL - and values equal to
+``missing``, if that is set - go to the side that gains most, or right where
+training saw none.  With ``missing=0.0`` pages are sparse: entries that a sparse
+vector, a libsvm line or a one-hot code leaves out cost nothing, and the same
+trees come from sparse and from dense input.
+
+Pages are persisted with their margins; each round's copy is materialised by the
+first job on it, before its parent is released, and lineage is cut every
 ``checkpoint_interval`` rounds with a reliable checkpoint in the folder named
 by ``spark.checkpoint.dir``.
 """
@@ -41,13 +42,16 @@ import json
 import math
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tabfit.functions.metrics import METRICS, Metric
-from tabfit.session import shared_dir
+from tabfit.operators import pages
+from tabfit.operators.pages import Bins, Growing, Level
+from tabfit.session import shared_dir, ship
 
 OBJECTIVES = ("reg:squarederror", "reg:linear", "binary:logistic", "binary:logitraw",
               "multi:softprob", "multi:softmax")
@@ -55,15 +59,12 @@ OBJECTIVES = ("reg:squarederror", "reg:linear", "binary:logistic", "binary:logit
 MAX_LEVEL_NODES = 1 << 16
 HESS_FLOOR = 1e-16
 MIN_GAIN = 1e-6
-# the quantised training state is spread to about this many rows per task
-ROWS_PER_TASK = 500_000
-# up to this many features, bins and scoring use one scalar column per feature
+# pages are spread to about this many rows per task
+ROWS_PER_TASK = 100_000
+# up to this many features read by a model, scoring uses one scalar column for each
 SCALAR_FEATURES_MAX = 256
-# up to this many bin edges in total, bins are computed by CASE trees
-CASE_BIN_LIMIT = 1024
-# a level's histogram (classes x open nodes x features x bins) up to this many
-# rows is fetched and searched locally; beyond it, windows search it in Spark
-LOCAL_SPLIT_MAX_ROWS = 1 << 20
+# features looked up by literal when their distinct values are fetched
+FEATURES_BY_LITERAL = 1000
 
 
 @dataclass
@@ -82,8 +83,8 @@ class BoostParams:
     seed: int = 0
     checkpoint_interval: int = 10
     eval_metric: str | None = None
-    # derive the larger child's histogram as parent minus smaller child
-    hist_subtraction: bool = True
+    # a value that counts as missing, beside NaN and NULL; 0.0: pages are sparse
+    missing: float | None = None
 
     def classes(self) -> int:
         return self.num_class if self.objective.startswith("multi:") else 1
@@ -176,37 +177,41 @@ def scored_columns(objective: str, margin: Column, k: int) -> dict[str, Column]:
 class Tree:
     round: int
     cls: int
-    # node id -> (feature, bin, threshold, gain, cover) for splits
-    splits: dict[int, tuple[int, int, float, float, float]] = field(default_factory=dict)
+    # node id -> (feature, bin, threshold, gain, cover, missing go left) for splits
+    splits: dict[int, tuple[int, int, float, float, float, bool]] = field(default_factory=dict)
     # node id -> (value, cover) for leaves
     leaves: dict[int, tuple[float, float]] = field(default_factory=dict)
 
-    def sql(self, x: str, binned: bool = False, node: int = 0) -> str:
+    def sql(self, x: str, node: int = 0) -> str:
         """SQL CASE text giving this tree's leaf value.  ``x`` is an array
-        column name, or a column-name template such as ``"b_{f}"``."""
+        column name, or a column-name template such as ``"x_{f}"``."""
         if node in self.leaves:
             return _dlit(self.leaves[node][0])
-        f, b, thr, _, _ = self.splits[node]
-        if binned:
-            cond = f"{_ref(x, f)} <= {b}"
-        else:
-            # features hold no NULLs (see BoostModel._x); NaN < t is false: NaN goes right
-            cond = f"{_ref(x, f)} < {_dlit(thr)}"
-        return (f"CASE WHEN {cond} THEN {self.sql(x, binned, 2 * node + 1)} "
-                f"ELSE {self.sql(x, binned, 2 * node + 2)} END")
+        f, _, thr, _, _, default_left = self.splits[node]
+        v = _ref(x, f)
+        # features hold no NULLs (see BoostModel._x); NaN < t is false: NaN goes right
+        cond = f"NOT isnan({v})" if math.isinf(thr) else f"{v} < {_dlit(thr)}"
+        if default_left:
+            cond = f"({cond} OR isnan({v}))"
+        return (f"CASE WHEN {cond} THEN {self.sql(x, 2 * node + 1)} "
+                f"ELSE {self.sql(x, 2 * node + 2)} END")
 
     def rows(self, tree_id: int) -> list[tuple]:
         out = []
-        for n, (f, b, thr, gain, cover) in self.splits.items():
+        for n, (f, b, thr, gain, cover, default_left) in self.splits.items():
             out.append((tree_id, self.round, self.cls, n, False, f, thr, 2 * n + 1, 2 * n + 2,
-                        None, gain, cover))
+                        None, gain, cover, default_left))
         for n, (v, cover) in self.leaves.items():
-            out.append((tree_id, self.round, self.cls, n, True, None, None, None, None, v, None, cover))
+            out.append((tree_id, self.round, self.cls, n, True, None, None, None, None, v, None, cover, None))
         return sorted(out, key=lambda r: r[3])
 
+    def features(self) -> set[int]:
+        return {s[0] for s in self.splits.values()}
+
 
 NODE_SCHEMA = ("tree int, round int, class int, node int, is_leaf boolean, feature int, "
-               "threshold double, left int, right int, leaf_value double, gain double, cover double")
+               "threshold double, left int, right int, leaf_value double, gain double, cover double, "
+               "default_left boolean")
 
 
 def _dlit(v: float) -> str:
@@ -225,15 +230,6 @@ def _ref(x: str, f: int) -> str:
     return x.format(f=f) if "{f}" in x else f"{x}[{f}]"
 
 
-def _partial_tree_sql(splits: dict[int, tuple], x: str, node: int = 0) -> str:
-    """Node id reached by each row, given the splits found so far (binned features)."""
-    if node not in splits:
-        return str(node)
-    f, b = splits[node][0], splits[node][1]
-    return (f"CASE WHEN {_ref(x, f)} <= {b} THEN {_partial_tree_sql(splits, x, 2 * node + 1)} "
-            f"ELSE {_partial_tree_sql(splits, x, 2 * node + 2)} END")
-
-
 # -------------------------------------------------------------------- model
 @dataclass
 class BoostModel:
@@ -257,13 +253,26 @@ class BoostModel:
         from pyspark.ml.functions import vector_to_array
         return vector_to_array(F.col(self.features_col))
 
-    def margin_sql(self, x: str, tree_limit: int | None = None, binned: bool = False) -> str:
+    def _entries(self, df: DataFrame) -> tuple[Column, Column]:
+        """Feature numbers and values of a row; the numbers are NULL where all values
+        are given in order (arrays, dense vectors)."""
+        none = F.lit(None).cast("array<int>")
+        if self.feature_cols or isinstance(df.schema[self.features_col].dataType, ArrayType):
+            return none, self._x(df)
+        v = F.unwrap_udt(self.features_col)
+        return v["indices"], v["values"]
+
+    def _missing(self, v: Column) -> Column:
+        missing = self.params.missing
+        return v if missing is None else F.when(v == F.lit(missing), F.lit(float("nan"))).otherwise(v)
+
+    def margin_sql(self, x: str, tree_limit: int | None = None) -> str:
         k = self.params.classes()
         sums = [[_dlit(self.base_margin[i])] for i in range(k)]
         for t in self.trees:
             if tree_limit is not None and t.round >= tree_limit:
                 continue
-            sums[t.cls].append(t.sql(x, binned))
+            sums[t.cls].append(t.sql(x))
         return "array(" + ", ".join(" + ".join(parts) for parts in sums) + ")"
 
     def transform(self, df: DataFrame, tree_limit: int | None = None,
@@ -271,16 +280,31 @@ class BoostModel:
         """Append margin / probability / prediction (and ``probabilities``)
         columns; a projection only, so it scales with the input partitions."""
         k = self.params.classes()
-        t = df.withColumn("_x", self._x(df))
-        if self.num_features <= SCALAR_FEATURES_MAX:
-            # one scalar column per feature: tree comparisons on plain doubles
+        used = sorted(set().union(*[t.features() for t in self.trees])) if self.trees else []
+        nan = F.lit(float("nan"))
+        indices, values = self._entries(df)
+        if self.params.missing == 0.0 and not self.feature_cols and not isinstance(
+                df.schema[self.features_col].dataType, ArrayType):
+            # a sparse vector: what it leaves out is missing, nothing is made dense
+            places = F.coalesce(indices, F.when(F.size(values) > 0, F.sequence(F.lit(0), F.size(values) - 1))
+                                .otherwise(F.array().cast("array<int>")))
+            t = df.withColumn("_x", F.map_from_arrays(places, values))
+            value = [self._missing(F.coalesce(F.try_element_at("_x", F.lit(f)), nan)) for f in used]
+        else:
+            t = df.withColumn("_x", self._x(df))
+            value = [self._missing(F.col("_x")[f]) for f in used]
+        if len(used) <= SCALAR_FEATURES_MAX:
+            # one scalar column per feature read: tree comparisons on plain doubles
             # evaluate several times faster than array element reads
-            names = [f"_x_{i}" for i in range(self.num_features)]
-            t = t.select("*", *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
+            names = [f"_x_{f}" for f in used]
+            t = t.select("*", *[v.alias(n) for v, n in zip(value, names)])
             t = t.withColumn("_margin", F.expr(self.margin_sql("_x_{f}", tree_limit)))
             t = t.drop("_x", *names)
         else:
-            t = t.withColumn("_margin", F.expr(self.margin_sql("_x", tree_limit))).drop("_x")
+            # the values read, in the order of ``used``
+            t = t.withColumn("_x", F.array(*value))
+            place = {f: i for i, f in enumerate(used)}
+            t = t.withColumn("_margin", F.expr(self._renumbered(place).margin_sql("_x", tree_limit))).drop("_x")
         cols = scored_columns(self.params.objective, F.col("_margin"), k)
         out = t.withColumns(cols)
         if self.params.objective.startswith("binary:"):
@@ -292,6 +316,16 @@ class BoostModel:
             out = out.withColumn("probabilities", array_to_vector(score))
         return out if keep_margin_array else out.drop("_margin")
 
+    def _renumbered(self, place: dict[int, int]) -> "BoostModel":
+        trees = [Tree(t.round, t.cls, {n: (place[s[0]], *s[1:]) for n, s in t.splits.items()}, t.leaves)
+                 for t in self.trees]
+        return BoostModel(self.params, len(place), self.base_margin, trees)
+
+    def first_rounds(self, params: BoostParams) -> "BoostModel":
+        """The model after ``params.num_round`` rounds."""
+        trees = [t for t in self.trees if t.round < params.num_round]
+        return BoostModel(params, self.num_features, self.base_margin, trees, [], self.features_col, self.feature_cols)
+
     def nodes(self, spark: SparkSession) -> DataFrame:
         """One row per node: (tree, round, class, node, is_leaf, feature,
         threshold, left, right, leaf_value, gain, cover)."""
@@ -326,130 +360,34 @@ class BoostModel:
             if r["is_leaf"]:
                 t.leaves[r["node"]] = (r["leaf_value"], r["cover"])
             else:
-                t.splits[r["node"]] = (r["feature"], -1, r["threshold"], r["gain"], r["cover"])
+                t.splits[r["node"]] = (r["feature"], -1, r["threshold"], r["gain"], r["cover"], r["default_left"])
         return BoostModel(BoostParams(**meta["params"]), meta["num_features"], meta["base_margin"],
                           trees, [], meta["features_col"], meta["feature_cols"])
 
 
 # ------------------------------------------------------------------ trainer
-def _bin_sql(v: str, edges: list[float]) -> str:
-    """Number of edges <= v, by a balanced CASE tree (log2(#edges) comparisons)."""
-    def build(lo: int, hi: int) -> str:
-        # the answer lies in [lo, hi]
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2          # test edge index mid-1
-        return (f"CASE WHEN {v} < {_dlit(edges[mid - 1])} THEN {build(lo, mid - 1)} "
-                f"ELSE {build(mid, hi)} END")
-    return build(0, len(edges))
-
-
-def _gain_terms(GL, HL, Gt, Ht, lam):
-    GR, HR = Gt - GL, Ht - HL
-    return GR, HR, GL ** 2 / (HL + lam) + GR ** 2 / (HR + lam) - Gt ** 2 / (Ht + lam)
-
-
-def _best_splits_spark(hist: DataFrame, lam: float, mcw: float) -> list[dict]:
-    """Best split per (class, node) with window functions (any histogram size)."""
-    # one exchange on (class, node) serves both windows below
-    hist = hist.repartition("k", "node")
-    wc = Window.partitionBy("k", "node", "f").orderBy("bin").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    wt = Window.partitionBy("k", "node", "f")
-    s = hist.select("k", "node", "f", "bin",
-                    F.sum("G").over(wc).alias("GL"), F.sum("H").over(wc).alias("HL"),
-                    F.sum("G").over(wt).alias("Gt"), F.sum("H").over(wt).alias("Ht"))
-    GR, HR, gain = _gain_terms(F.col("GL"), F.col("HL"), F.col("Gt"), F.col("Ht"), F.lit(lam))
-    s = s.withColumns({"GR": GR, "HR": HR})
-    ok = ((F.col("HL") >= mcw) & (F.col("HR") >= mcw) & (F.col("HL") > 0) & (F.col("HR") > 0))
-    s = s.withColumn("gain", F.when(ok, gain))
-    # the tie rule of ``_best_splits_pdf``: 11 significant digits, then (feature, bin)
-    rounded = F.format_string("%.10e", "gain").cast("double")
-    best = Window.partitionBy("k", "node").orderBy(
-        F.when(F.col("gain").isNotNull(), rounded).desc_nulls_last(), F.col("f"), F.col("bin"))
-    top = (s.withColumn("rk", F.row_number().over(best)).where(F.col("rk") == 1)
-           .select("k", "node", "f", "bin", "gain", "GL", "HL", "GR", "HR", "Gt", "Ht"))
-    return [r.asDict() for r in top.collect()]  # at most classes * 2^d rows
-
-
-def _best_splits_local(hist: DataFrame, lam: float, mcw: float) -> list[dict]:
-    """Same result as ``_best_splits_spark`` for a histogram whose size is
-    bounded by the caller (classes x open nodes x features x bins)."""
-    return _best_splits_pdf(hist.toArrow().to_pandas(), lam, mcw)
-
-
-def _derive_siblings(pdf, prev_pdf, pairs: list[tuple[int, int, int, int]]):
-    """Histograms of the larger children: parent minus smaller sibling.
-
-    ``pairs`` holds (class, parent, smaller child, larger child).  Row counts
-    are exact integers, so bins the larger child does not reach (count 0) are
-    dropped exactly; G and H are differences of sums."""
-    import pandas as pd
-    if not pairs:
-        return pdf
-    pr = pd.DataFrame(pairs, columns=["k", "parent", "small", "big"])
-    par = prev_pdf.merge(pr, left_on=["k", "node"], right_on=["k", "parent"])
-    sm = pdf.rename(columns={"node": "small", "G": "Gs", "H": "Hs", "n": "ns"})
-    m = par.merge(sm[["k", "small", "f", "bin", "Gs", "Hs", "ns"]],
-                  on=["k", "small", "f", "bin"], how="left")
-    m["G"] = m["G"] - m["Gs"].fillna(0.0)
-    m["H"] = m["H"] - m["Hs"].fillna(0.0)
-    m["n"] = m["n"] - m["ns"].fillna(0).astype("int64")
-    big = m.loc[m["n"] > 0, ["k", "big", "f", "bin", "G", "H", "n"]].rename(columns={"big": "node"})
-    return pd.concat([pdf, big.astype(pdf.dtypes.to_dict())], ignore_index=True)
-
-
-def _best_splits_pdf(pdf, lam: float, mcw: float) -> list[dict]:
-    import numpy as np
-    if pdf.empty:
-        return []
-    pdf = pdf.sort_values(["k", "node", "f", "bin"], kind="mergesort")
-    grp = pdf.groupby(["k", "node", "f"], sort=False)
-    pdf["GL"] = grp["G"].cumsum()
-    pdf["HL"] = grp["H"].cumsum()
-    pdf["Gt"] = grp["G"].transform("sum")
-    pdf["Ht"] = grp["H"].transform("sum")
-    GR, HR, gain = _gain_terms(pdf["GL"], pdf["HL"], pdf["Gt"], pdf["Ht"], lam)
-    pdf["GR"], pdf["HR"] = GR, HR
-    ok = (pdf["HL"] >= mcw) & (pdf["HR"] >= mcw) & (pdf["HL"] > 0) & (pdf["HR"] > 0)
-    pdf["gain"] = np.where(ok, gain, np.nan)
-    # rank on the gain rounded to 11 significant digits, then (feature, bin):
-    # equal splits (e.g. features that cut a small node's rows the same way)
-    # tie exactly, whatever the last bits of the float sums are (they depend
-    # on partitioning and on histogram subtraction)
-    g = pdf["gain"].to_numpy()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        mag = np.where(np.isfinite(g) & (g != 0), 10.0 ** np.floor(np.log10(np.abs(g))), 1.0)
-        rounded = np.round(g / mag, 10) * mag
-    pdf["_neg"] = -np.where(np.isnan(g), -np.inf, rounded)
-    top = (pdf.sort_values(["k", "node", "_neg", "f", "bin"], kind="mergesort")
-           .drop_duplicates(["k", "node"], keep="first"))
-    out = []
-    for r in top.itertuples(index=False):
-        out.append({"k": int(r.k), "node": int(r.node), "f": int(r.f), "bin": int(r.bin),
-                    "gain": None if np.isnan(r.gain) else float(r.gain),
-                    "GL": float(r.GL), "HL": float(r.HL), "GR": float(r.GR), "HR": float(r.HR),
-                    "Gt": float(r.Gt), "Ht": float(r.Ht)})
-    return out
-
-
 @dataclass
 class Prepared:
-    """Quantised rows (set, rid, y, b) shared by fits, plus the bin edges."""
+    """Quantised pages shared by fits, plus the bin edges."""
     state: DataFrame
     edges: list[list[float]]
     n_feat: int
-    # bin columns: ["b_0", ..., "b_{F-1}"] (scalar layout) or ["b"] (array layout)
-    bcols: list[str] = field(default_factory=lambda: ["b"])
+    parts: int
 
-    @property
-    def bref(self) -> str:
-        return "b" if self.bcols == ["b"] else "b_{f}"
+    def bins(self) -> Bins:
+        return Bins(self.edges)
 
     def release(self) -> None:
         self.state.unpersist()
 
 
+def state_rows(state: DataFrame, n_feat: int, point: int = 0, classes: int = 1) -> DataFrame:
+    """``set, rid, y, m``: the rows of pages with the margins of one grid point."""
+    def rows(batches):
+        return pages.rows_of(batches, n_feat, point * classes, classes)
+    return state.mapInArrow(rows, pages.ROW_SCHEMA)
+
+
 class BoostTrainer:
     """Fit a ``BoostModel``.  Features come from a vector / array column
     (``features_col``) or a list of numeric columns (``feature_cols``)."""
@@ -466,14 +404,46 @@ class BoostTrainer:
         # known width (e.g. the feature_cols list) saves a look at the first row
         self.num_features = num_features or (len(feature_cols) if feature_cols else None)
         m = metric or self.params.eval_metric or default_metric(self.params.objective)
-        self.metric = METRICS[m] if isinstance(m, str) else m
+        self.metric = METRICS[m] if isinstance(m, str) and m != "auc" else m
 
     # -- helpers
+    def _reader(self) -> BoostModel:
+        return BoostModel(self.params, 0, [], [], [], self.features_col, self.feature_cols)
+
     def _x(self, df: DataFrame) -> Column:
-        return BoostModel(self.params, 0, [], [], [], self.features_col, self.feature_cols)._x(df)
+        return self._reader()._x(df)
+
+    @property
+    def _sparse(self) -> bool:
+        return self.params.missing == 0.0
+
+    def _width(self, df: DataFrame) -> int:
+        if self.num_features:
+            return self.num_features
+        dt = None if self.feature_cols else df.schema[self.features_col].dataType
+        if dt is None or isinstance(dt, ArrayType):
+            size = F.size(self._x(df))
+        else:
+            v = F.unwrap_udt(self.features_col)
+            size = F.coalesce(v["size"], F.size(v["values"]))
+        return df.select(size).first()[0]  # one value
+
+    def _values(self, df: DataFrame) -> DataFrame:
+        """``f, v``: the values present."""
+        missing = self.params.missing
+        if self._sparse:
+            ind, val = self._reader()._entries(df)
+            t = df.select(F.arrays_zip(F.coalesce(ind, F.sequence(F.lit(0), F.size(val) - 1)).alias("f"),
+                                       val.alias("v")).alias("e"))
+            values = t.select(F.inline("e").alias("f", "v"))
+        else:
+            values = df.select(F.posexplode(self._x(df)).alias("f", "v"))
+        values = values.select("f", F.col("v").cast("double").alias("v"))
+        values = values.where(F.col("v").isNotNull() & ~F.isnan("v"))
+        return values if missing is None else values.where(F.col("v") != missing)
 
-    def _edges(self, x_df: DataFrame, n_feat: int) -> list[list[float]]:
-        """Bin edges per feature over its present values (no NaN, no NULL).
+    def _edges(self, values: DataFrame, n_feat: int) -> list[list[float]]:
+        """Bin edges per feature over its present values ``f, v`` (no NaN, no NULL).
 
         With at most ``max_bins`` distinct values every value but the least is an
         edge, however rare it is.  Otherwise the edges are the quantiles, the
@@ -484,22 +454,25 @@ class BoostTrainer:
         # sketch accuracy sized to the bins needed (relative rank error 1/(16 bins)),
         # which keeps the per-task sketch small even with many features
         acc = max(256, 16 * bins)
-        values = (x_df.select(F.posexplode(F.slice("x", 1, n_feat)).alias("f", "v"))
-                  .select("f", F.col("v").cast("double").alias("v"))
-                  .where(F.col("v").isNotNull() & ~F.isnan("v")))
         # bounded: one row per feature
         rows = values.groupBy("f").agg(
-            F.percentile_approx("v", qs, acc).alias("q"), F.min("v").alias("lo"),
+            F.array_distinct(F.percentile_approx("v", qs, acc)).alias("q"), F.min("v").alias("lo"),
             F.max("v").alias("hi"), F.approx_count_distinct("v").alias("d")).collect()
         edges: list[list[float]] = [[] for _ in range(n_feat)]
         for r in rows:
             edges[r["f"]] = sorted({v for v in [*r["q"], r["hi"]] if v > r["lo"]})
-        # the estimate is within a few per cent: twice the bins cannot miss a candidate
-        few = [r["f"] for r in rows if r["d"] <= 2 * bins]
+        # the estimate is within a few per cent: twice the bins cannot miss a candidate;
+        # a feature with one value has no edge
+        few = [r["f"] for r in rows if r["d"] <= 2 * bins and r["lo"] < r["hi"]]
         if few:
+            if len(few) < n_feat and len(few) <= FEATURES_BY_LITERAL:
+                values = values.where(F.col("f").isin(few))
+            elif len(few) < n_feat:
+                chosen = values.sparkSession.createDataFrame([(f,) for f in few], "f int")
+                values = values.join(chosen, "f", "left_semi")
             # bounded: features x about 2 * max_bins distinct values
             exact: dict[int, list[float]] = {f: [] for f in few}
-            for r in values.where(F.col("f").isin(few)).distinct().collect():
+            for r in values.distinct().collect():
                 exact[r["f"]].append(r["v"])
             for f, vals in exact.items():
                 if len(vals) <= bins:
@@ -508,11 +481,10 @@ class BoostTrainer:
 
     def bin_edges(self, df: DataFrame) -> list[list[float]]:
         """The bin edges that ``prepare`` would choose on ``df``, by feature."""
-        x_df = df.select(self._x(df).alias("x"))
-        return self._edges(x_df, self.num_features or x_df.select(F.size("x")).first()[0])
+        return self._edges(self._values(df), self._width(df))
 
-    def _base_margin(self, _unused=None) -> list[float]:
-        p = self.params
+    def _base_margin(self, params: BoostParams | None = None) -> list[float]:
+        p = params or self.params
         k = p.classes()
         if p.objective.startswith("binary:"):
             b = min(max(p.base_score, 1e-12), 1 - 1e-12)
@@ -524,7 +496,7 @@ class BoostTrainer:
     def prepare(self, df: DataFrame, watches: dict[str, DataFrame] | None = None,
                 set_col: Column | None = None,
                 edge_sets: tuple[str, ...] | None = None) -> "Prepared":
-        """Quantise the rows once: one quantile pass, one binning projection,
+        """Quantise the rows once: one quantile pass, one pass that writes pages,
         one reliable checkpoint.  Rows are tagged ``set`` = "train" (or the
         value of ``set_col``) and, for each watch frame, its name.  Several
         fits (a parameter grid) can share the result.  ``edge_sets``: only rows
@@ -534,69 +506,43 @@ class BoostTrainer:
             raise ValueError("subsample < 1 needs id_col: rows are sampled by a hash of it")
         spark = df.sparkSession
         shared_dir(spark)
-        x_df = df.select(self._x(df).alias("x"), F.col(self.label_col).cast("double").alias("y"),
-                         (set_col if set_col is not None else F.lit("train")).alias("set"),
-                         *([F.col(self.id_col).alias("rid")] if self.id_col else []))
-        n_feat = self.num_features or x_df.select(F.size("x")).first()[0]  # one value
-        chosen = x_df if edge_sets is None else x_df.where(F.col("set").isin(*edge_sets))
-        edges = self._edges(chosen, n_feat)
-
-        scalar = n_feat <= SCALAR_FEATURES_MAX
-        if scalar and sum(len(e) for e in edges) <= CASE_BIN_LIMIT:
-            # one smallint column per feature, each a balanced CASE tree
-            b = [F.expr(_bin_sql(f"coalesce(x[{i}], CAST('NaN' AS DOUBLE))", edges[i]))
-                 .cast("smallint") for i in range(n_feat)]
-        elif sum(len(e) for e in edges) <= CASE_BIN_LIMIT:
-            # balanced CASE trees: compiled by whole-stage codegen
-            b = F.expr("array(" + ", ".join(
-                _bin_sql(f"coalesce(x[{i}], CAST('NaN' AS DOUBLE))", edges[i])
-                for i in range(n_feat)) + ")").cast("array<smallint>")
-        else:
-            # wide inputs: one higher-order function over an edge table literal
-            # (keeps the generated code small; linear in the bins per value)
-            lit = "array(" + ", ".join(
-                "CAST(array(" + ", ".join(_dlit(v) for v in e) + ") AS ARRAY<DOUBLE>)"
-                for e in edges) + ")"
-            b = F.expr(f"transform(x, (v, i) -> size(filter(element_at({lit}, i + 1), "
-                       f"e -> e <= coalesce(v, CAST('NaN' AS DOUBLE)))))").cast("array<smallint>")
-        bcols = [f"b_{i}" for i in range(n_feat)] if scalar else ["b"]
-        split_array = scalar and not isinstance(b, list)  # HOF array, split afterwards
-
-        # bins fit in 16 bits (max_bins <= 1024): half the cached / checkpointed size
-        def quantise(frame: DataFrame) -> DataFrame:
-            rid = F.xxhash64("rid") if "rid" in frame.columns else F.xxhash64("x", "y")
-            if split_array:
-                # evaluate the binning once, then read its elements into columns
-                arr = frame.select("set", rid.alias("rid"), "y", b.alias("_barr"))
-                return arr.select("set", "rid", "y",
-                                  *[F.col("_barr")[i].alias(n) for i, n in enumerate(bcols)])
-            if scalar:
-                return frame.select("set", rid.alias("rid"), "y",
-                                    *[c.alias(n) for c, n in zip(b, bcols)])
-            return frame.select("set", rid.alias("rid"), "y", b.alias("b"))
-
-        state = quantise(x_df)
+        ship(spark)
+        tagged = df.withColumn("_set", set_col if set_col is not None else F.lit("train"))
+        n_feat = self._width(df)
+        chosen = tagged if edge_sets is None else tagged.where(F.col("_set").isin(*edge_sets))
+        edges = self._edges(self._values(chosen), n_feat)
+        bins, sparse, missing = Bins(edges), self._sparse, self.params.missing
+
+        def quantise(frame: DataFrame, tag: Column, with_id: bool) -> DataFrame:
+            if sparse:
+                ind, val = self._reader()._entries(frame)
+            else:
+                ind, val = F.lit(None).cast("array<int>"), self._x(frame)
+            rid = F.xxhash64(self.id_col) if with_id and self.id_col else F.lit(0).cast("long")
+            rows = frame.select(tag.alias("set"), rid.alias("rid"), F.col(self.label_col).cast("double").alias("y"),
+                                ind.alias("ind"), val.alias("val"))
+
+            def build(batches):
+                return pages.build_pages(batches, bins, sparse, missing)
+            return rows.mapInArrow(build, pages.PAGE_SCHEMA)
+
+        state = quantise(tagged, F.col("_set"), True)
         for name, w in (watches or {}).items():
-            wx = w.select(self._x(w).alias("x"), F.col(self.label_col).cast("double").alias("y"),
-                          F.lit(name).alias("set"))
-            state = state.unionByName(quantise(wx))
-        # Quantised copy of the rows in the shared folder: later plans start
-        # from a scan of it instead of re-analysing the binning expressions,
-        # and a lost executor re-reads it instead of the source.
+            state = state.unionByName(quantise(w, F.lit(name), False))
+        # Pages in the shared folder: later plans start from a scan of them, and a
+        # lost executor re-reads them instead of the source.
         state = state.checkpoint(eager=True)
-        # Every round scans this state depth-times, so it must be spread over
-        # the cores once it is big enough to benefit.  A coalesced input (AQE
-        # merges small partitions; a single unsplittable file) can arrive in
-        # very few partitions: spread it with one round-robin shuffle of the
-        # quantised rows.  Inputs that already have enough partitions, and
-        # small ones (one task is cheapest), are left as they are.
+        # A coalesced input (AQE merges small partitions; a single unsplittable
+        # file) can arrive in very few partitions: its pages are spread once.
         parts = state.rdd.getNumPartitions()
-        want = min(spark.sparkContext.defaultParallelism,
-                   max(1, math.ceil(state.count() / ROWS_PER_TASK)))
+        n_rows = state.agg(F.sum("n")).first()[0] or 0
+        want = min(spark.sparkContext.defaultParallelism, max(1, math.ceil(n_rows / ROWS_PER_TASK)))
         if parts < want:
-            state = state.repartition(want)
+            state, parts = state.repartition(want), want
+        elif want == 1:
+            state, parts = state.coalesce(1), 1  # one task is cheapest
         state = state.persist(StorageLevel.MEMORY_AND_DISK)
-        return Prepared(state, edges, n_feat, bcols)
+        return Prepared(state, edges, n_feat, parts)
 
     def fit(self, df: DataFrame, watches: dict[str, DataFrame] | None = None) -> BoostModel:
         prep = self.prepare(df, watches)
@@ -607,155 +553,155 @@ class BoostTrainer:
 
     def fit_prepared(self, prep: "Prepared", train_sets: tuple[str, ...] = ("train",),
                      track: bool = False, keep_state: bool = False):
-        """Boost on a prepared state.  Rows whose ``set`` is in ``train_sets``
+        """Boost on prepared pages.  Rows whose ``set`` is in ``train_sets``
         grow the trees; every row's margin is updated, so the metric of every
         set can be tracked per round (``track``).  With ``keep_state`` the final
-        (persisted) state with margins ``m`` is returned alongside the model."""
-        p = self.params
-        k = p.classes()
-        edges = prep.edges
-        base = self._base_margin(None)
-        model = BoostModel(p, prep.n_feat, base, [], [], self.features_col, self.feature_cols)
-        state = prep.state.withColumn("m", F.array(*[F.lit(v) for v in base]))
-        in_train = F.col("set").isin(*train_sets)
-        prev = None
-        for r in range(p.num_round):
-            g, h = grad_hess(p.objective, F.col("m"), F.col("y"), k)
-            rows = state.where(in_train).select("rid", *prep.bcols, g.alias("g"), h.alias("h"))
-            if p.subsample < 1.0:
-                u = (F.xxhash64(F.col("rid"), F.lit(r), F.lit(p.seed)).bitwiseAND(F.lit(0x7FFFFFFF))
-                     / F.lit(float(0x80000000)))
-                rows = rows.where(u < p.subsample)
-            trees = self._grow(rows, edges, r, k, prep.bcols, prep.bref)  # materialises `state`
-            if prev is not None:
-                prev.unpersist()
-            model.trees.extend(trees)
-            new_m = [[f"m[{i}]"] for i in range(k)]
-            for t in trees:
-                new_m[t.cls].append(t.sql(prep.bref, binned=True))
-            nxt = state.withColumn("m", F.expr(
-                "array(" + ", ".join(" + ".join(parts) for parts in new_m) + ")"))
-            if p.checkpoint_interval and (r + 1) % p.checkpoint_interval == 0 and r + 1 < p.num_round:
+        (persisted) pages with margins are returned alongside the model;
+        ``state_rows`` reads them."""
+        kept = []
+
+        def after(r: int, state: DataFrame, models: list[BoostModel]) -> None:
+            if track:
+                models[0].history.extend(self._metrics(state_rows(state, prep.n_feat, 0, self.params.classes()), r))
+
+        models = self.fit_points(prep, [self.params], train_sets, after if track else None,
+                                 keep=kept if keep_state else None)
+        return (models[0], kept[0]) if keep_state else models[0]
+
+    def fit_points(self, prep: "Prepared", points: list[BoostParams], train_sets: tuple[str, ...] = ("train",),
+                   after=None, after_rounds: set[int] | None = None, keep: list | None = None) -> list[BoostModel]:
+        """Boost several parameter points on the same pages, all in the same jobs; a
+        point stops at its own ``num_round``.  ``after(round, pages, models)`` is called
+        after each round (or those in ``after_rounds``) with the margins up to date."""
+        for p in points:
+            p.validate()
+        k = points[0].classes()
+        if any(p.classes() != k for p in points):
+            raise ValueError("points of one fit need the same number of classes")
+        bins = prep.bins()
+        base = np.array([v for p in points for v in self._base_margin(p)])
+        models = [BoostModel(p, prep.n_feat, self._base_margin(p), [], [], self.features_col, self.feature_cols)
+                  for p in points]
+        total = max(p.num_round for p in points)
+        # margins are needed after the last round only by ``after`` or ``keep``
+        state, held = prep.state, None  # ``held``: the persisted margins before ``state``'s
+        interval = self.params.checkpoint_interval
+        for r in range(total):
+            grown = self._grow(state.where(F.col("set").isin(*train_sets)), bins, r, k, points, base, prep.parts)
+            # the jobs above have materialised ``state``: its parent can go
+            if held is not None:
+                held.unpersist()
+            held = None
+            for i, m in enumerate(models):
+                m.trees.extend(grown.get(i, []))
+            call = after is not None and (after_rounds is None or r in after_rounds)
+            if r + 1 == total and not call and keep is None:
+                break
+            update = [(i * k + t.cls, t.splits, t.leaves) for i, trees in grown.items() for t in trees]
+            nxt = self._add(state, update, base, bins)
+            if interval and (r + 1) % interval == 0 and r + 1 < total:
                 # cut lineage: reliable copy in the shared checkpoint folder
                 nxt = nxt.checkpoint(eager=True)
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            if track:
-                model.history.extend(self._metrics(nxt, r))
-            prev = state if r > 0 else None  # never release the shared prepared state
+            held = state if state is not prep.state else None  # never release the shared pages
             state = nxt
-        if prev is not None:
-            prev.unpersist()
-        if keep_state:
-            return model, state
-        if p.num_round > 0:
+            if call:
+                after(r, state, models)
+        if keep is not None:
+            state.count()
+        if held is not None:
+            held.unpersist()
+        if keep is not None:
+            keep.append(state)
+        elif state is not prep.state:
             state.unpersist()
-        return model
+        return models
 
-    def _metrics(self, state: DataFrame, r: int) -> list[tuple]:
+    @staticmethod
+    def _add(state: DataFrame, update: list[tuple], base: np.ndarray, bins: Bins) -> DataFrame:
+        def add(batches):
+            return pages.add_trees(batches, update, base, bins)
+        return state.mapInArrow(add, pages.PAGE_SCHEMA)
+
+    def _metrics(self, rows: DataFrame, r: int) -> list[tuple]:
         k = self.params.classes()
+        if self.metric == "auc":
+            from tabfit.operators.evaluate import auc
+            if k > 1:
+                raise ValueError("auc needs one score per row: choose another metric for multi-class")
+            res = auc(rows.select("set", F.col("m")[0].alias("s"), "y"), "s", "y", ["set"]).collect()
+            return sorted((r, row["set"], "auc", row["auc"]) for row in res)
         cols = scored_columns(self.params.objective, F.col("m"), k)
-        reads = self.metric.reads
-        pred = cols.get(reads, cols["prediction"])
-        res = state.groupBy("set").agg(self.metric(pred, F.col("y")).alias("v")).collect()
+        pred = cols.get(self.metric.reads, cols["prediction"])
+        res = rows.groupBy("set").agg(self.metric(pred, F.col("y")).alias("v")).collect()
         return sorted((r, row["set"], self.metric.name, row["v"]) for row in res)
 
-    def _grow(self, rows: DataFrame, edges: list[list[float]], r: int, k: int,
-              bcols: list[str] | None = None, bref: str = "b") -> list[Tree]:
-        """Grow one tree per class, level by level (one aggregation job per level)."""
-        p = self.params
-        lam = float(p.reg_lambda)
-        splits: list[dict[int, tuple]] = [dict() for _ in range(k)]
-        leaves: list[dict[int, tuple]] = [dict() for _ in range(k)]
-        open_nodes: list[dict[int, tuple[float, float]] | None] = [None] * k  # node -> (G, H)
-        prev_pdf = None  # the previous level's full histogram, when searched locally
-        for d in range(p.max_depth + 1):
-            first = (1 << d) - 1
-            if d == p.max_depth:
-                # the last level only holds leaves, whose sums came with their parent's split
-                for c in range(k):
-                    for n, (G, H) in (open_nodes[c] or {}).items():
-                        leaves[c][n] = (p.eta * (-G / (H + lam)), H)
-                break
-            bcols = bcols or ["b"]
-            barr = F.col("b") if bcols == ["b"] else F.array(*bcols)
-            node = F.expr("array(" + ", ".join(_partial_tree_sql(splits[c], bref)
-                                               for c in range(k)) + ")")
-            # routing reads the scalar bin columns; one array of them rides
-            # through the per-class expansion (not every column)
-            t = rows.select(node.alias("node"), "g", "h", barr.alias("_b"))
-            t = t.select(F.posexplode(F.arrays_zip("node", "g", "h")).alias("k", "s"), "_b")
-            # rows already in a leaf do no more work.  The filter is on generator
-            # output, so Catalyst cannot push it below the routing projection
-            # (where it would evaluate the routing expression a second time).
-            n_open = sum(max(1, len(o or {})) if d > 0 else 1 for o in open_nodes)
-            bound = n_open * len(edges) * (max((len(e) for e in edges), default=0) + 1)
-            local = bound <= LOCAL_SPLIT_MAX_ROWS
-            pairs: list[tuple[int, int, int, int]] = []
-            if local and p.hist_subtraction and d > 0 and prev_pdf is not None:
-                # only the smaller child of each split is scanned; the larger
-                # child's histogram is the parent's minus the smaller one's
-                for c in range(k):
-                    for n in splits[c]:
-                        if (1 << (d - 1)) - 1 <= n < first:
-                            lc, rc = 2 * n + 1, 2 * n + 2
-                            hl, hr = open_nodes[c][lc][1], open_nodes[c][rc][1]
-                            small, big = (lc, rc) if hl <= hr else (rc, lc)
-                            pairs.append((c, n, small, big))
-            if pairs:
-                scan = F.lit(False)
-                for c in range(k):
-                    smalls = [sm for (cc, _, sm, _) in pairs if cc == c]
-                    if smalls:
-                        scan = scan | ((F.col("k") == c) & F.col("s.node").isin(smalls))
-                t = t.where(scan)
-            else:
-                t = t.where(F.col("s.node") >= first)
-            t = t.select("k", F.col("s.node").alias("node"), F.col("s.g").alias("g"),
-                         F.col("s.h").alias("h"), F.posexplode("_b").alias("f", "bin"))
-            hist = t.groupBy("k", "node", "f", "bin").agg(
-                F.sum("g").alias("G"), F.sum("h").alias("H"), F.count(F.lit(1)).alias("n"))
-            if local:
-                # the level's histogram is bounded by the parameters: fetch it
-                # (Arrow) and pick the splits with vectorised numpy
-                pdf = _derive_siblings(hist.toArrow().to_pandas(), prev_pdf, pairs)
-                chosen = _best_splits_pdf(pdf, lam, p.min_child_weight)
-                prev_pdf = pdf
-            else:
-                chosen = _best_splits_spark(hist, lam, p.min_child_weight)
-                prev_pdf = None
-            if not chosen:
-                break
-            any_split = False
-            nxt: list[dict[int, tuple[float, float]]] = [dict() for _ in range(k)]
-            for row in chosen:
-                c, n = row["k"], row["node"]
-                gval = row["gain"]
-                f, b = row["f"], row["bin"]
-                if gval is not None and gval > max(p.gamma, MIN_GAIN) and b < len(edges[f]):
-                    splits[c][n] = (f, b, edges[f][b], gval, row["Ht"])
-                    nxt[c][2 * n + 1] = (row["GL"], row["HL"])
-                    nxt[c][2 * n + 2] = (row["GR"], row["HR"])
-                    any_split = True
-                else:
-                    leaves[c][n] = (p.eta * (-row["Gt"] / (row["Ht"] + lam)), row["Ht"])
-            # nodes that had no rows in this round's sample still need a value
-            for c in range(k):
-                for n in (open_nodes[c] or {}):
-                    if n not in splits[c] and n not in leaves[c]:
-                        G, H = open_nodes[c][n]
-                        leaves[c][n] = (p.eta * (-G / (H + lam)), H)
-            open_nodes = nxt
-            if not any_split:
+    def _best(self, state: DataFrame, level: Level, bins: Bins, points: list[BoostParams], parts: int) -> dict[int, dict]:
+        """The best split of every open node of a level, by ``t``: one job."""
+        width, classes = level.width, level.classes
+        lam = [float(p.reg_lambda) for p in points]
+        mcw = [float(p.min_child_weight) for p in points]
+
+        def sums(batches):
+            return pages.histograms(batches, level, bins)
+
+        def search(batches):
+            return pages.best_splits(batches, width, classes, lam, mcw)
+
+        if parts == 1:
+            # the task has all rows: its sums are the whole histogram
+            best = state.mapInArrow(lambda batches: search(sums(batches)), pages.BEST_SCHEMA)
+        else:
+            # one shuffle by node; a node's histogram is bounded by the features' bins
+            hist = state.mapInArrow(sums, pages.HIST_SCHEMA)
+            best = hist.repartition("t").mapInArrow(search, pages.BEST_SCHEMA)
+        rows = best.collect()  # one row per open node
+        return {r["t"]: r.asDict() for r in rows}
+
+    def _grow(self, state: DataFrame, bins: Bins, r: int, k: int, points: list[BoostParams],
+              base: np.ndarray, parts: int) -> dict[int, list[Tree]]:
+        """One tree per class of every point that still grows, level by level (one job per level)."""
+        active = [i for i, p in enumerate(points) if r < p.num_round]
+        width = (1 << (max(points[i].max_depth for i in active) + 1)) - 1
+        ids = [i * k + c for i in active for c in range(k)]
+        splits: dict[int, dict[int, tuple]] = {t: {} for t in ids}
+        leaves: dict[int, dict[int, tuple]] = {t: {} for t in ids}
+        # node -> (G, H); the sums of the root come with its split
+        opened: dict[int, dict[int, tuple[float, float] | None]] = {t: {0: None} for t in ids}
+
+        def leaf(t: int, n: int, G: float, H: float) -> None:
+            p = points[t // k]
+            leaves[t][n] = (p.eta * (-G / (H + p.reg_lambda)), H)
+
+        for d in range(max(points[i].max_depth for i in active) + 1):
+            level = Level(width, r, k, [base[i * k:(i + 1) * k] for i in range(len(points))],
+                          [p.objective for p in points], [p.seed for p in points], [p.subsample for p in points])
+            for t in ids:
+                if d >= points[t // k].max_depth and d > 0:
+                    # the last level only holds leaves, whose sums came with their parent's split
+                    for n, (G, H) in opened[t].items():
+                        leaf(t, n, G, H)
+                    opened[t] = {}
+                if opened[t]:
+                    level.trees.append(Growing(t, splits[t], np.array(sorted(opened[t]), dtype=np.int64)))
+            if not level.trees:
                 break
-        trees = []
-        for c in range(k):
-            if 0 not in splits[c] and 0 not in leaves[c]:
-                leaves[c][0] = (0.0, 0.0)
-            # children of a split that were never visited (loop ended early)
-            for n in list(splits[c]):
-                for ch in (2 * n + 1, 2 * n + 2):
-                    if ch not in splits[c] and ch not in leaves[c]:
-                        G, H = (open_nodes[c] or {}).get(ch, (0.0, 0.0))
-                        leaves[c][ch] = (p.eta * (-G / (H + lam)), H)
-            trees.append(Tree(r, c, splits[c], leaves[c]))
-        return trees
+            found = self._best(state, level, bins, points, parts)
+            for g in level.trees:
+                t, p, nxt = g.tree, points[g.tree // k], {}
+                for n, sums in opened[t].items():
+                    row = found.get(t * width + n)
+                    if row is None:  # no rows in this round's sample
+                        leaf(t, n, *(sums or (0.0, 0.0)))
+                    elif p.max_depth > d and row["gain"] is not None and row["gain"] > max(p.gamma, MIN_GAIN):
+                        f, b = row["f"], row["bin"]
+                        edges = bins.of(f)
+                        # a cut after the last bin parts the values present from the missing
+                        thr = float(edges[b]) if b < len(edges) else math.inf
+                        splits[t][n] = (f, b, thr, row["gain"], row["Ht"], row["default_left"])
+                        nxt[2 * n + 1] = (row["GL"], row["HL"])
+                        nxt[2 * n + 2] = (row["GR"], row["HR"])
+                    else:
+                        leaf(t, n, row["Gt"], row["Ht"])
+                opened[t] = nxt
+        return {i: [Tree(r, c, splits[i * k + c], leaves[i * k + c]) for c in range(k)] for i in active}

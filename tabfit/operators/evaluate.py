@@ -10,13 +10,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tabfit.functions.metrics import METRICS, Metric
 from tabfit.operators.ranking import running_totals
+from tabfit.session import shared_dir
 
 
 def score_column(df: DataFrame, col: str) -> Column:
@@ -39,8 +39,10 @@ def auc(df: DataFrame, score_col: str = "probability", label_col: str = "label",
     per_score = (s.groupBy(*groups, "_s")
                  .agg(F.sum(F.when(F.col("_y") > 0.5, 1).otherwise(0)).cast("long").alias("pos"),
                       F.sum(F.when(F.col("_y") > 0.5, 0).otherwise(1)).cast("long").alias("neg")))
-    # kept: the ranking reads it more than once, the source is read once
-    per_score = per_score.persist(StorageLevel.MEMORY_AND_DISK)
+    # written: the ranking reads it more than once, the source is read once.  The files
+    # go with the frame (spark.cleaner.referenceTracking.cleanCheckpoints)
+    shared_dir(df.sparkSession)
+    per_score = per_score.checkpoint(eager=True)
     ranked = running_totals(per_score, [*groups, "_s"], ["neg"])
     if groups:
         # running totals run over the whole (group, score) order: make them per group

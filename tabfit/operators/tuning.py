@@ -8,13 +8,12 @@ partitioning or on task retries, and DuckDB computes the same split.
 from __future__ import annotations
 
 import itertools
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfit.operators.boosting import BoostModel, BoostParams, BoostTrainer
+from tabfit.operators.boosting import BoostModel, BoostParams, BoostTrainer, scored_columns, state_rows
 from tabfit.operators.evaluate import auc
 
 
@@ -70,26 +69,27 @@ class TrainValidationSplit:
     """Fit every grid point on the train part, score the validation part,
     keep the best, refit it on all rows.
 
-    The rows are quantised once, with bin edges of the train part, and every
-    grid point boosts on that shared copy; validation rows ride along in the
-    same state, so their margins come for free.  The refit on all rows has bin
-    edges of all rows.  Grid points run as
-    concurrent Spark jobs (``parallelism`` threads); each running point keeps
-    its own persisted copy of the rows with margins, so parallelism trades
-    executor memory for wall time (default 1, as in MLlib).  ``evaluator`` is "auc"
-    (higher is better) or a metric name from ``functions.metrics`` (lower is
-    better).
+    The rows are quantised once, with bin edges of the train part, and all grid points
+    grow on that shared copy in the same jobs: the point is a key of the level
+    histogram, beside class and node, so a level of the whole grid is one job
+    and a page holds a margin per point, not a copy of the rows.  Points that differ
+    in their number of rounds only are one model, read after several rounds.
+    Validation rows ride along in the same pages, so their margins come for free.
+    The refit on all rows has bin edges of all rows.  ``evaluator`` is "auc" (higher is
+    better) or a metric name from ``functions.metrics`` (lower is better).
     """
 
     def __init__(self, base: BoostParams, grid: list[dict], key_col: str,
                  train_ratio: float = 0.8, features_col: str = "features",
-                 label_col: str = "label", parallelism: int = 1, refit: bool = True,
-                 evaluator: str = "auc"):
+                 label_col: str = "label", refit: bool = True, evaluator: str = "auc"):
         self.base, self.grid, self.key_col = base, grid, key_col
         self.train_ratio, self.features_col, self.label_col = train_ratio, features_col, label_col
-        self.parallelism, self.refit, self.evaluator = parallelism, refit, evaluator
-        if any("max_bins" in g for g in grid):
-            raise ValueError("max_bins cannot vary inside one grid: the rows are binned once")
+        self.refit, self.evaluator = refit, evaluator
+        if not grid:
+            raise ValueError("an empty grid has no best point")
+        for name in ("max_bins", "missing"):
+            if any(name in g for g in grid):
+                raise ValueError(f"{name} cannot vary inside one grid: the rows are binned once")
         objectives = {base.objective, *(g["objective"] for g in grid if "objective" in g)}
         if evaluator == "auc" and any(o.startswith("multi:") for o in objectives):
             raise ValueError("auc needs one score per row: choose another evaluator for multi-class")
@@ -98,39 +98,47 @@ class TrainValidationSplit:
         return BoostTrainer(params, features_col=self.features_col, label_col=self.label_col,
                             id_col=self.key_col)
 
-    def _score(self, params: BoostParams, state: DataFrame) -> float:
-        valid = state.where(F.col("set") == "valid")
+    def _score(self, params: BoostParams, rows: DataFrame) -> float:
+        valid = rows.where(F.col("set") == "valid")
         if self.evaluator == "auc":
             # AUC only depends on the order of the scores: the margin will do
             return auc(valid.select(F.col("m")[0].alias("s"), "y"), "s", "y").first()["auc"]
         from tabfit.functions.metrics import METRICS
-        from tabfit.operators.boosting import scored_columns
         m = METRICS[self.evaluator]
         cols = scored_columns(params.objective, F.col("m"), params.classes())
         return valid.agg(m(cols.get(m.reads, cols["prediction"]), F.col("y"))).first()[0]
 
     def fit(self, df: DataFrame) -> TuningResult:
         split = F.when(in_train(self.key_col, self.train_ratio), "train").otherwise("valid")
+        chosen = [self.base.replace(**g) for g in self.grid]
+        if any(p.num_round < 1 for p in chosen):
+            raise ValueError("grid points need one round at least")
+        # one growth per point of the grid without its rounds; due: what to score after a round
+        growths: dict[str, int] = {}
+        points: list[BoostParams] = []
+        due: dict[int, list[tuple[int, int]]] = {}
+        for i, p in enumerate(chosen):
+            at = growths.setdefault(repr(p.replace(num_round=0)), len(points))
+            if at == len(points):
+                points.append(p)
+            elif p.num_round > points[at].num_round:
+                points[at] = p
+            due.setdefault(p.num_round - 1, []).append((i, at))
+        metrics = [0.0] * len(chosen)
         prep = self._trainer(self.base).prepare(df, set_col=split, edge_sets=("train",))
-
-        def run(point: dict) -> float:
-            params = self.base.replace(**point)
-            _, state = self._trainer(params).fit_prepared(prep, ("train",), keep_state=True)
-            try:
-                return self._score(params, state)
-            finally:
-                state.unpersist()
-
         try:
-            with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
-                metrics = list(pool.map(run, self.grid))
-            sign = 1 if self.evaluator == "auc" else -1
-            best = max(range(len(metrics)), key=lambda i: (sign * metrics[i], -i))
-            best_params = self.base.replace(**self.grid[best])
-            if not self.refit:
-                model = self._trainer(best_params).fit_prepared(prep, ("train",))
+            def after(r: int, state: DataFrame, models: list[BoostModel]) -> None:
+                for i, at in due[r]:
+                    metrics[i] = self._score(chosen[i], state_rows(state, prep.n_feat, at, chosen[i].classes()))
+
+            models = self._trainer(self.base).fit_points(prep, points, ("train",), after, set(due))
         finally:
             prep.release()
+        sign = 1 if self.evaluator == "auc" else -1
+        best = max(range(len(metrics)), key=lambda i: (sign * metrics[i], -i))
         if self.refit:
-            model = self._trainer(best_params).fit(df)
+            model = self._trainer(chosen[best]).fit(df)
+        else:
+            at = growths[repr(chosen[best].replace(num_round=0))]
+            model = models[at].first_rounds(chosen[best])
         return TuningResult(model, best, self.grid, metrics, self.base)

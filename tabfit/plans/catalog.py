@@ -789,7 +789,7 @@ def q_tune_tvs(spark, sf):
     fr = _sales_frame(spark, sf)
     grid = param_grid(num_round=[20, 50], eta=[0.1, 0.4])
     base = BoostParams(objective="binary:logistic", max_depth=6, subsample=0.8)
-    res = TrainValidationSplit(base, grid, key_col="rowId", train_ratio=0.8, parallelism=4).fit(fr)
+    res = TrainValidationSplit(base, grid, key_col="rowId", train_ratio=0.8).fit(fr)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
 
 
@@ -853,7 +853,7 @@ def q_tune_sales_scored(spark, sf):
     base = BoostParams(objective="binary:logistic", max_depth=6, subsample=0.8,
                        eval_metric="logloss")
     res = TrainValidationSplit(base, param_grid(num_round=[20, 50], eta=[0.1, 0.4]),
-                               key_col="rowId", parallelism=4).fit(fr)
+                               key_col="rowId").fit(fr)
     return res.transform(fr).select("rowId", big("label").alias("label"), "probability",
                                     "prediction")
 
@@ -868,7 +868,7 @@ def q_tune_census_lambda(spark, sf):
         "key", F.concat_ws("-", "orderKey", "lineNumber"))
     base = BoostParams(objective="binary:logistic", num_round=100, max_depth=6)
     res = TrainValidationSplit(base, param_grid(eta=[0.1, 0.6], reg_lambda=[0.5, 1.0]),
-                               key_col="key", label_col="labelIdx", parallelism=4).fit(fr)
+                               key_col="key", label_col="labelIdx").fit(fr)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
 
 
@@ -881,7 +881,7 @@ def q_tune_passenger_margin(spark, sf):
     fr = passenger_features(S.passengers(spark, sf))
     base = BoostParams(objective="binary:logitraw", max_depth=6)
     res = TrainValidationSplit(base, param_grid(num_round=[20, 50], eta=[0.1, 0.4]),
-                               key_col="passengerId", parallelism=4).fit(fr)
+                               key_col="passengerId").fit(fr)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
 
 
@@ -943,7 +943,7 @@ def q_tune_libsvm_depth(spark, sf):
     v = S.vectors(spark, sf).withColumn("label", F.when(F.col("label") >= 5, 1.0).otherwise(0.0))
     base = BoostParams(objective="binary:logistic", num_round=2)
     res = TrainValidationSplit(base, param_grid(eta=[0.2, 0.6], max_depth=[5, 6]), key_col="rowId",
-                               train_ratio=0.9, features_col="x", parallelism=4).fit(v)
+                               train_ratio=0.9, features_col="x").fit(v)
     return res.results(spark).withColumn("validation_auc", F.round("validation_auc", 6))
 
 

@@ -8,8 +8,11 @@ names in ``spark.checkpoint.dir``.  Only when the session has no such folder
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -87,3 +90,31 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (never reused)."""
     base = shared_dir(spark)
     return f"{base}/tabfit-staging/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: dict[str, str] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers.  Does nothing where
+    ``PYTHONPATH`` has its folder already; else a zip of it goes to the shared
+    folder, once per application, and Spark hands it to the executors."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if root in known or _SHIPPED.get("app") == sc.applicationId:
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "tabfit")):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    path = staging_path(spark, "package") + "/tabfit-package.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(path)
+    _SHIPPED["app"] = sc.applicationId

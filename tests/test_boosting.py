@@ -3,7 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tabfit.operators.boosting import BoostModel, BoostParams, BoostTrainer, grad_hess, leaf_weights
+from tabfit.operators.boosting import (BoostModel, BoostParams, BoostTrainer, grad_hess, leaf_weights,
+                                       state_rows)
 from tabfit.operators.evaluate import auc, auc_value
 from tabfit.operators.tuning import TrainValidationSplit, hash_split, hash_threshold, param_grid
 from tabfit.plans import standins as S
@@ -118,8 +119,7 @@ def test_grid_and_split():
 
 def test_train_validation_split(spark, sales):
     base = BoostParams(objective="binary:logistic", max_depth=2)
-    res = TrainValidationSplit(base, param_grid(num_round=[1, 2], eta=[0.1, 0.4]), "rowId",
-                               parallelism=2).fit(sales)
+    res = TrainValidationSplit(base, param_grid(num_round=[1, 2], eta=[0.1, 0.4]), "rowId").fit(sales)
     r = res.results(spark).collect()
     assert len(r) == 4 and sum(x["is_best"] for x in r) == 1
     best = max(r, key=lambda x: x["validation_auc"])
@@ -134,7 +134,8 @@ def test_prepared_state_matches_scoring(spark, sales):
     tr = BoostTrainer(BoostParams(objective="binary:logistic", num_round=2, eta=0.3, max_depth=3))
     prep = tr.prepare(sales, set_col=F.when(in_train("rowId", 0.8), "train").otherwise("valid"))
     model, state = tr.fit_prepared(prep, ("train",), keep_state=True)
-    a = auc(state.where(F.col("set") == "valid").select(F.col("m")[0].alias("s"), "y"), "s", "y").first()["auc"]
+    rows = state_rows(state, prep.n_feat)
+    a = auc(rows.where(F.col("set") == "valid").select(F.col("m")[0].alias("s"), "y"), "s", "y").first()["auc"]
     _, valid = hash_split(sales, "rowId", 0.8)
     b = auc_value(model.transform(valid), "probability", "label")
     state.unpersist()
@@ -142,21 +143,6 @@ def test_prepared_state_matches_scoring(spark, sales):
     assert a == pytest.approx(b, abs=1e-12)
 
 
-def test_local_and_spark_split_search_agree(spark):
-    from tabfit.operators.boosting import _best_splits_local, _best_splits_spark
-    import random
-    rnd = random.Random(3)
-    rows = [(k, n, f, b, rnd.uniform(-5, 5), rnd.uniform(0.5, 3))
-            for k in range(2) for n in (3, 4, 5) for f in range(4) for b in range(6)]
-    hist = spark.createDataFrame(rows, "k int, node int, f int, bin int, G double, H double")
-    a = sorted(_best_splits_local(hist, 1.0, 1.0), key=lambda r: (r["k"], r["node"]))
-    b = sorted(_best_splits_spark(hist, 1.0, 1.0), key=lambda r: (r["k"], r["node"]))
-    assert [(r["k"], r["node"], r["f"], r["bin"]) for r in a] == \
-           [(r["k"], r["node"], r["f"], r["bin"]) for r in b]
-    for x, y in zip(a, b):
-        assert x["gain"] == pytest.approx(y["gain"]) and x["Gt"] == pytest.approx(y["Gt"])
-
-
 def test_routed_scoring_equals_case_expression(spark, sales):
     """Scoring by node tables equals the exported nested-CASE SQL of the model."""
     p = BoostParams(objective="binary:logistic", num_round=3, eta=0.3, max_depth=4)
@@ -168,25 +154,162 @@ def test_routed_scoring_equals_case_expression(spark, sales):
     assert [r["margin"] for r in a] == pytest.approx([r["margin"] for r in via_sql], abs=1e-12)
 
 
-def test_sibling_subtraction_gives_the_same_trees(spark, sales):
-    for obj, extra in (("binary:logistic", {}), ("reg:squarederror", {"subsample": 0.8})):
-        p = BoostParams(objective=obj, num_round=2, eta=0.3, max_depth=5, **extra)
-        a = BoostTrainer(p, id_col="rowId").fit(sales)
-        b = BoostTrainer(p.replace(hist_subtraction=False), id_col="rowId").fit(sales)
-        assert [{n: sp[:2] for n, sp in t.splits.items()} for t in a.trees] == \
-               [{n: sp[:2] for n, sp in t.splits.items()} for t in b.trees]
-        for ta, tb in zip(a.trees, b.trees):
-            for n, (v, _) in ta.leaves.items():
-                assert v == pytest.approx(tb.leaves[n][0], rel=1e-9, abs=1e-12)
+def _shape(model):
+    return [({n: (sp[:2], sp[5]) for n, sp in t.splits.items()}, sorted(t.leaves)) for t in model.trees]
+
 
+def _leaves(model):
+    return [v for t in model.trees for _, (v, _) in sorted(t.leaves.items())]
 
-def test_sibling_subtraction_multiclass(spark):
+
+def test_shuffled_histograms_give_the_same_trees(spark, sales):
+    """Pages in one task, and in several with a shuffle by node."""
+    from dataclasses import replace
     v = S.vectors(spark, SF)
-    p = BoostParams(objective="multi:softprob", num_class=10, num_round=1, eta=0.3, max_depth=3)
-    a = BoostTrainer(p, features_col="x").fit(v)
-    b = BoostTrainer(p.replace(hist_subtraction=False), features_col="x").fit(v)
-    assert [{n: sp[:2] for n, sp in t.splits.items()} for t in a.trees] == \
-           [{n: sp[:2] for n, sp in t.splits.items()} for t in b.trees]
+    cases = [(sales, "features", BoostParams(objective="binary:logistic", num_round=2, eta=0.3, max_depth=5)),
+             (sales, "features", BoostParams(objective="reg:squarederror", num_round=2, max_depth=5, subsample=0.8)),
+             (v, "x", BoostParams(objective="multi:softprob", num_class=10, num_round=1, eta=0.3, max_depth=3))]
+    for df, col, p in cases:
+        tr = BoostTrainer(p, features_col=col, id_col="rowId")
+        prep = tr.prepare(df.repartition(3))
+        assert prep.parts == 1
+        a = tr.fit_prepared(prep)
+        # the same edges, pages of the two halves
+        halves = [_requantised(tr, df.where(f"rowId % 2 = {i}"), prep.edges) for i in (0, 1)]
+        both = replace(prep, state=halves[0].unionByName(halves[1]).repartition(2), parts=2)
+        b = tr.fit_prepared(both)
+        assert _shape(a) == _shape(b)
+        assert _leaves(a) == pytest.approx(_leaves(b), rel=1e-9, abs=1e-12)
+        prep.release()
+
+
+def _requantised(tr, df, edges):
+    """Pages of ``df`` with given edges."""
+    own = tr._edges
+    tr._edges = lambda values, n: edges
+    try:
+        return tr.prepare(df).state
+    finally:
+        tr._edges = own
+
+
+def _brute_best(x, y_g, y_h, lam, mcw):
+    """Best split of one node over all cuts of raw bins, missing (None) on either side."""
+    best = None
+    n_feat = len(x[0])
+    for f in range(n_feat):
+        vals = sorted({r[f] for r in x if r[f] is not None})
+        miss = [i for i, r in enumerate(x) if r[f] is None]
+        for cut in vals[1:] + ([math.inf] if miss else []):
+            for left in (False, True):
+                if left and not miss:
+                    continue
+                L = [i for i, r in enumerate(x) if (r[f] is not None and r[f] < cut) or (r[f] is None and left)]
+                R = [i for i in range(len(x)) if i not in set(L)]
+                if not L or not R:
+                    continue
+                s = [sum(v[i] for i in side) for side in (L, R) for v in (y_g, y_h)]
+                if s[1] < mcw or s[3] < mcw:
+                    continue
+                G, H = s[0] + s[2], s[1] + s[3]
+                gain = s[0] ** 2 / (s[1] + lam) + s[2] ** 2 / (s[3] + lam) - G ** 2 / (H + lam)
+                key = (-float(f"{gain:.10e}"), f, cut, left)
+                if best is None or key < best[0]:
+                    best = key, gain, sorted(L)
+    return best
+
+
+def test_first_split_equals_brute_force_with_missing_values(spark):
+    import random
+    rnd = random.Random(5)
+    for trial in range(4):
+        x = [[None if rnd.random() < 0.3 else float(rnd.randint(0, 4)) for _ in range(3)] for _ in range(60)]
+        y = [float((r[0] or 0) > 2) + (2.0 if r[1] is None else 0.0) + rnd.random() for r in x]
+        df = spark.createDataFrame([(i, r, v) for i, (r, v) in enumerate(zip(x, y))], "id int, x array<double>, label double")
+        p = BoostParams(objective="reg:squarederror", num_round=1, max_depth=1, reg_lambda=0.5 + trial)
+        m = BoostTrainer(p, features_col="x").fit(df)
+        best = _brute_best(x, [0.5 - v for v in y], [1.0] * len(y), p.reg_lambda, 1.0)
+        f, _, thr, gain, _, left = m.trees[0].splits[0]
+        assert (f, thr, left) == best[0][1:] and gain == pytest.approx(best[1])
+        # scoring sends the rows where training did
+        got = {r["id"]: r["prediction"] for r in m.transform(df).collect()}
+        low = {got[i] for i in best[2]}
+        assert len(low) == 1 and low.isdisjoint({got[i] for i in range(60) if i not in set(best[2])})
+
+
+def test_sparse_and_dense_input_give_the_same_trees(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import Vectors
+    import random
+    rnd = random.Random(9)
+    rows = []
+    for i in range(400):
+        v = [rnd.choice([0.0, 0.0, 0.0, 1.0, 2.5, -1.0]) for _ in range(12)]
+        rows.append((i, Vectors.sparse(12, [(k, a) for k, a in enumerate(v) if a]), v,
+                     float(v[3] > 0) if rnd.random() < 0.9 else float(v[5] == 0)))
+    df = spark.createDataFrame(rows, ["id", "sv", "x", "label"]).withColumn("dv", array_to_vector("x"))
+    p = BoostParams(objective="binary:logistic", num_round=3, eta=0.5, max_depth=4, missing=0.0)
+    models = {c: BoostTrainer(p, features_col=c).fit(df) for c in ("sv", "dv", "x")}
+    nan = df.withColumn("n", F.transform("x", lambda v: F.when(v != 0, v).otherwise(float("nan"))))
+    models["n"] = BoostTrainer(p.replace(missing=None), features_col="n").fit(nan)
+    first = _shape(models["sv"])
+    assert any(sp[1] for t, _ in first for sp in t.values())  # some default goes left
+    scores = []
+    for c, m in models.items():
+        assert _shape(m) == first
+        scores.append([r["margin"] for r in m.transform(nan).orderBy("id").collect()])
+    assert all(s == pytest.approx(scores[0], abs=1e-12) for s in scores)
+    # training margins equal scoring
+    tr = BoostTrainer(p, features_col="sv", id_col="id")
+    prep = tr.prepare(df)
+    model, state = tr.fit_prepared(prep, keep_state=True)
+    got = sorted(r["m"][0] for r in state_rows(state, prep.n_feat).collect())
+    assert got == pytest.approx(sorted(scores[0]), abs=1e-12)
+    prep.release()
+
+
+def test_two_hundred_thousand_sparse_features(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import DoubleType, StructField, StructType
+    n = 200_000
+    rows = [(Vectors.sparse(n, [(i * 97 % n, 1.0), (7 if i % 3 else 8, 1.0)] if i * 97 % n > 8 else [(9, 1.0)]),
+             float(i % 3 == 0)) for i in range(1, 600)]
+    df = spark.createDataFrame(rows, StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())]))
+    p = BoostParams(objective="binary:logistic", num_round=2, eta=1.0, max_depth=2, missing=0.0)
+    m = BoostTrainer(p).fit(df)
+    assert m.num_features == n and m.trees[0].splits[0][0] in (7, 8)
+    right = m.transform(df).where((F.col("prediction") == F.col("label"))).count()
+    assert right >= 590
+
+
+def test_grid_points_equal_single_fits(spark, sales):
+    """All points of a grid grow in the same jobs; each equals its own fit."""
+    from tabfit.operators.tuning import in_train
+    base = BoostParams(objective="binary:logistic", subsample=0.8)
+    grid = param_grid(num_round=[2, 4], eta=[0.1, 0.4], max_depth=[2, 4], reg_lambda=[0.5, 2.0])
+    tuned = TrainValidationSplit(base, grid, "rowId", refit=False).fit(sales)
+    train, valid = hash_split(sales, "rowId", 0.8)
+    for i in (0, 5, 10, 15):
+        p = base.replace(**grid[i])
+        tr = BoostTrainer(p, id_col="rowId")
+        prep = tr.prepare(sales, set_col=F.when(in_train("rowId", 0.8), "train").otherwise("valid"), edge_sets=("train",))
+        single = tr.fit_prepared(prep, ("train",))
+        prep.release()
+        assert tuned.metrics[i] == pytest.approx(auc_value(single.transform(valid), "probability", "label"), abs=1e-12)
+        if i == tuned.best_index:
+            assert _shape(single) == _shape(tuned.best_model)
+    assert tuned.best_index == max(range(len(grid)), key=lambda i: (tuned.metrics[i], -i))
+    assert len({t.round for t in tuned.best_model.trees}) == grid[tuned.best_index]["num_round"]
+
+
+def test_auc_as_watch_metric(spark, sales):
+    train, test = hash_split(sales, "rowId", 0.8)
+    p = BoostParams(objective="binary:logistic", num_round=2, eta=0.5, max_depth=3, eval_metric="auc")
+    m = BoostTrainer(p).fit(train, watches={"test": test})
+    assert [(r, s, n) for r, s, n, _ in m.history] == [(r, s, "auc") for r in (0, 1) for s in ("test", "train")]
+    for r, name, _, v in m.history:
+        rows = train if name == "train" else test
+        assert v == pytest.approx(auc_value(m.transform(rows, tree_limit=r + 1), "probability", "label"), abs=1e-12)
 
 
 def test_split_ratio_is_exact_at_the_ends(spark):
@@ -219,7 +342,13 @@ def test_copies_of_a_row_are_sampled_one_by_one(spark):
     from tabfit.operators.boosting import BoostParams as P
     df = spark.range(4000).select("id", F.array(F.lit(1.0)).alias("x"), (F.col("id") % 2).cast("double").alias("label"))
     prep = BoostTrainer(P(subsample=0.5), features_col="x", id_col="id").prepare(df)
-    assert prep.state.select("rid").distinct().count() == 4000
+    state = prep.state
+    from tabfit.operators import pages
+    rids = [i for b in state.toArrow().to_batches() for page in pages.read_pages(b, 1) for i in page.rid.tolist()]
+    assert len(set(rids)) == len(rids) == 4000
+    import numpy as np
+    share = pages.sampled(np.array(rids), 0, 0, 0.5).mean()
+    assert abs(share - 0.5) < 0.03
     prep.release()
 
 
@@ -237,11 +366,13 @@ def test_tuning_bins_come_from_the_train_part(spark):
         TrainValidationSplit(BoostParams(objective="multi:softprob", num_class=3), [{}], "id")
 
 
-def test_spark_split_search_ties_like_the_local_one(spark):
-    from tabfit.operators.boosting import _best_splits_local, _best_splits_spark
-    rows = [(0, 0, f, b, (1.0 if b else -1.0) + (1e-14 if f else 0.0), 1.0) for f in range(3) for b in range(2)]
-    hist = spark.createDataFrame(rows, "k int, node int, f int, bin int, G double, H double")
-    assert _best_splits_local(hist, 1.0, 0.5)[0]["f"] == _best_splits_spark(hist, 1.0, 0.5)[0]["f"] == 0
+def test_equal_gains_take_the_least_feature():
+    import numpy as np
+    from tabfit.operators.pages import best_of_node
+    f, b = np.repeat(np.arange(3), 2), np.tile(np.arange(2), 3)
+    G = np.array([-1.0, 1.0] * 3) + np.repeat([0.0, 1e-14, -1e-14], 2)
+    best = best_of_node(f, b, G, np.ones(6), np.ones(6, dtype=int), (0.0, 2.0, 2), 1.0, 0.5)
+    assert best[:3] == (0, 0, False)
 
 
 def test_auc_keeps_the_null_group_and_large_counts(spark):

@@ -11,8 +11,9 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"tune_tvs", "tune_sales_scored", "tune_census_lambda", "tune_passenger_margin",
-        "tune_libsvm_depth"}
+#: query -> what its rows must satisfy (a list of dicts)
+BY_ROUND = {"train_watch": 100, "train_watch_rmsle": 100, "train_watch_multiclass": 10}
+GRIDS = {"tune_tvs": 4, "tune_census_lambda": 4, "tune_passenger_margin": 4, "tune_libsvm_depth": 4}
 
 
 def _norm(v):
@@ -52,10 +53,29 @@ def test_oracle(spark, duck, name):
 OWN_TESTS = {n for n in E.queries() if re.match(r"op\d+_|pipeline$", n)}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW - OWN_TESTS))
-def test_runs(spark, name):
-    df = E.queries()[name](spark, SF)
-    assert df.count() >= 0
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - OWN_TESTS))
+def test_model_queries(spark, name):
+    """Rows are collected whole: losses fall, probabilities are probabilities, scores
+    are finite and separate the labels, a grid has one best point."""
+    rows = [r.asDict() for r in E.queries()[name](spark, SF).collect()]
+    assert rows
+    for c in ("probability", "validation_auc"):
+        assert all(0.0 <= r[c] <= 1.0 for r in rows if c in r)
+    for c in ("margin", "prediction", "value", "margin1", "marginAll"):
+        assert all(math.isfinite(r[c]) for r in rows if c in r)
+    if name in BY_ROUND:
+        train = [r["value"] for r in sorted(rows, key=lambda r: r["round"]) if r["set"] == "train"]
+        assert len(train) == BY_ROUND[name] and train[-1] < train[0]
+    if name in GRIDS:
+        best = [r for r in rows if r["is_best"]]
+        assert len(rows) == GRIDS[name] and len(best) == 1
+        assert best[0]["validation_auc"] == max(r["validation_auc"] for r in rows)
+    if rows[0].get("label") is not None and "prediction" in rows[0] and name != "train_regression":
+        right = sum(float(r["label"]) == r["prediction"] for r in rows) / len(rows)
+        assert right > 0.5 or name == "train_softprob" and right > 0.2
+    if name == "model_dump":
+        leaves = [r for r in rows if r["is_leaf"]]
+        assert len({r["tree"] for r in rows}) == 20 and len(leaves) == len(rows) - len(leaves) + 20
 
 
 def test_entry(spark):

@@ -85,7 +85,7 @@ def test_training_state_is_spread_over_cores(spark):
         (F.col("id") % 2).cast("double").alias("label"))
     tr = BoostTrainer(BoostParams(num_round=1, max_depth=2), features_col="x")
     prep = tr.prepare(big)
-    assert prep.state.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 3)
+    assert prep.state.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 12)
     prep.release()
     small = tr.prepare(big.limit(1000))
     assert small.state.rdd.getNumPartitions() == 1

@@ -28,7 +28,10 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from pyspark.sql import functions as F
     from tabfit.session import build_session
-    from tabfit.operators.boosting import BoostParams, BoostTrainer, grad_hess, _partial_tree_sql
+    from tabfit.operators import pages
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    from tabfit.operators.pages import Growing, Level
+    import numpy as np
     from tabfit.operators.evaluate import auc
     from tabfit.plans import standins as S
     from tabfit.plans.frames import sales_features
@@ -50,23 +53,17 @@ def main() -> None:
     trainer = BoostTrainer(BoostParams(objective="binary:logistic", num_round=2, max_depth=4))
     model = trainer.fit(frame)
     prep = trainer.prepare(frame)
-    state = prep.state.withColumn("m", F.array(F.lit(0.0)))
-    g, h = grad_hess("binary:logistic", F.col("m"), F.col("y"), 1)
-    rows = state.select("rid", "b", g.alias("g"), h.alias("h"))
     splits = {n: sp for n, sp in model.trees[0].splits.items() if n < 3}
-    node = F.expr("array(" + _partial_tree_sql(splits, "b") + ")")
-    t = rows.select(node.alias("node"), "g", "h", "b")
-    t = t.select(F.posexplode(F.arrays_zip("node", "g", "h")).alias("k", "s"), "b")
-    t = t.where(F.col("s.node") >= 3).select(
-        "k", F.col("s.node").alias("node"), F.col("s.g").alias("g"), F.col("s.h").alias("h"),
-        F.posexplode("b").alias("f", "bin"))
-    hist = t.groupBy("k", "node", "f", "bin").agg(F.sum("g").alias("G"), F.sum("h").alias("H"))
-    hist.collect()
-    out += ["## One tree level (histogram job)", "",
-            "The cached quantised state is scanned, rows are routed by a CASE expression, expanded",
-            "per class and per feature inside the same codegen stage, and summed by a partial",
-            "aggregate before the only exchange; what crosses the shuffle is bounded by",
-            "classes x nodes x features x bins per task.", "", "```", plan_text(hist), "```", ""]
+    level = Level(31, 0, 1, [np.zeros(1)], ["binary:logistic"], [0], [1.0], [Growing(0, splits, np.arange(3, 7))])
+    bins = prep.bins()
+    hist = prep.state.mapInArrow(lambda b: pages.histograms(b, level, bins), pages.HIST_SCHEMA)
+    best = hist.repartition("t").mapInArrow(
+        lambda b: pages.best_splits(b, 31, 1, [1.0], [1.0]), pages.BEST_SCHEMA)
+    best.collect()
+    out += ["## One tree level", "",
+            "The cached pages are scanned; a task adds up its histogram with numpy and returns at most",
+            "one row per node, feature and bin; one exchange by node; the split search runs in the",
+            "tasks and returns one row per open node.", "", "```", plan_text(best), "```", ""]
     prep.release()
 
     scored = model.transform(frame).select("rowId", "probability", "prediction")
