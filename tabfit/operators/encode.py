@@ -220,33 +220,56 @@ class OneHotModel:
     def width(self, c: str) -> int:
         return self.vocab_model.sizes.get(c, 0)
 
-    def transform(self, df: DataFrame, suffix: str = "Vec") -> DataFrame:
-        """Add ``<col><suffix>`` as array<double> for every input column."""
+    def _hot(self, df: DataFrame) -> tuple[DataFrame, dict[str, Column], list[str]]:
+        """``df`` with helper columns, the slot of each value (-1: none), and the helpers' names."""
         vm = self.vocab_model
         idx_cols = [f"_oh_{c}" for c in vm.input_cols]
         lk = VocabModel(vm.input_cols, idx_cols, vm.vocab, vm.sizes, "keep_null",
                         vm.max_broadcast_rows, vm.inline)
-        out = df
+        out, hot = df, {}
         for c, o in zip(vm.input_cols, idx_cols):
             out = lk._lookup(out, c, o)
-        for c, o in zip(vm.input_cols, idx_cols):
-            n = self.width(c)
             empty = self.empty_values.get(c, "")
             is_empty = (F.col(c).isNull() | (F.col(c).cast("string") == F.lit(str(empty)))
                         if isinstance(empty, str)
                         else F.col(c).isNull() | (F.col(c) == F.lit(empty)))
-            hot = F.when(is_empty, F.lit(-1.0)).otherwise(F.coalesce(F.col(o), F.lit(-1.0)))
+            hot[c] = F.when(is_empty, F.lit(-1.0)).otherwise(F.coalesce(F.col(o), F.lit(-1.0)))
+        return out, hot, idx_cols
+
+    def transform(self, df: DataFrame, suffix: str = "Vec") -> DataFrame:
+        """Add ``<col><suffix>`` as array<double> for every input column.  Every row carries an
+        array as wide as the vocabulary; for wide columns use ``transform_sparse``."""
+        out, hot, helpers = self._hot(df)
+        for c, h in hot.items():
+            n = self.width(c)
             if n == 0:
                 arr = F.array().cast("array<double>")
             else:
                 arr = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                                  lambda i: F.when(i.cast("double") == hot, 1.0).otherwise(0.0))
+                                  lambda i, h=h: F.when(i.cast("double") == h, 1.0).otherwise(0.0))
             out = out.withColumn(c + suffix, arr)
-        return out.drop(*idx_cols)
-
-
-# every row carries a dense array as wide as the vocabulary: bound it
-MAX_ONEHOT_WIDTH = 1 << 16
+        return out.drop(*helpers)
+
+    def transform_sparse(self, df: DataFrame, output_col: str = "features",
+                         numeric_cols: list[str] | None = None) -> DataFrame:
+        """Add one vector of all columns' slots, then ``numeric_cols``.  Slots are sparse
+        vectors of Spark's one-hot encoder (an empty or unseen value has no entry), so
+        a row costs the same however wide the vocabularies are."""
+        from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+        out, hot, helpers = self._hot(df)
+        wide = [c for c in hot if self.width(c)]
+        # the encoder takes a value's slot, and the width for "none"
+        slots, vectors = [f"_slot_{c}" for c in wide], [f"_hot_{c}" for c in wide]
+        out = out.withColumns({s: F.when(hot[c] < 0, F.lit(float(self.width(c)))).otherwise(hot[c])
+                               for c, s in zip(wide, slots)})
+        if wide:
+            # fitted on one row that holds the greatest slots: the widths are known
+            widths = df.sparkSession.createDataFrame([tuple(float(self.width(c) - 1) for c in wide)], slots)
+            encoder = OneHotEncoder(inputCols=slots, outputCols=vectors, dropLast=True, handleInvalid="keep").fit(widths)
+            out = encoder.transform(out)
+        parts = vectors + list(numeric_cols or [])
+        out = VectorAssembler(inputCols=parts, outputCol=output_col, handleInvalid="keep").transform(out)
+        return out.drop(*helpers, *slots, *vectors)
 
 
 class OneHot:
@@ -254,19 +277,13 @@ class OneHot:
 
     def __init__(self, input_cols: list[str], order_col: str,
                  empty_values: dict[str, object] | None = None,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                 max_width: int = MAX_ONEHOT_WIDTH):
+                 max_broadcast_rows: int = MAX_BROADCAST_ROWS):
         self.input_cols = list(input_cols)
         self.order_col = order_col
         self.empty_values = dict(empty_values or {})
         self.max_broadcast_rows = max_broadcast_rows
-        self.max_width = max_width
 
     def fit(self, df: DataFrame) -> OneHotModel:
         vm = FirstSeenVocab(self.input_cols, self.order_col,
                             max_broadcast_rows=self.max_broadcast_rows).fit(df)
-        wide = {c: n for c, n in vm.sizes.items() if n > self.max_width}
-        if wide:
-            raise ValueError(f"one-hot width above {self.max_width} for {wide}; "
-                             "use the index (FirstSeenVocab / FrequencyIndexer) for such columns")
         return OneHotModel(vm, self.empty_values)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DatetimeType, NumericType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DatetimeType, NumericType, StringType
 
 # Broadcast a side only if it has at most this many rows and about this many
 # bytes; beyond either the join shuffles both sides (sort-merge, with AQE
@@ -17,14 +17,22 @@ def maybe_broadcast(side: DataFrame, n_rows: int | None = None,
                     max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(side)`` when its rows and bytes are within bounds, else ``side``.
 
-    Both are summed inside the tasks (one row per task is shuffled); the bytes
-    are those of the values, with 16 for each fixed-width one."""
-    size = F.lit(0).cast("long")
+    Both are summed inside the tasks (one row per task is shuffled).  Text and binary
+    values count their bytes, fixed-width ones and the elements of arrays of them
+    16 each; only other nested values are written out to be measured."""
+    fixed = (NumericType, BooleanType, DatetimeType)
+    size, flat = F.lit(0).cast("long"), 0
     for f in side.schema.fields:
-        wide = not isinstance(f.dataType, (NumericType, BooleanType, DatetimeType))
-        size = size + (F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
-                       if wide else F.lit(16))
-    got = side.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, fixed):
+            flat += 16
+        elif isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, fixed):
+            size = size + F.greatest(F.size(c), F.lit(0)) * 16
+        else:
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    got = side.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size + flat), F.lit(0)).alias("b")).first()
     fits = max(got["n"], n_rows or 0) <= max_rows and got["b"] <= MAX_BROADCAST_BYTES
     return F.broadcast(side) if fits else side
 

@@ -450,6 +450,53 @@ def q_src_sentinel_fill(spark, sf):
                       for c in ["pClass", "sex", "age", "sibsp", "parch", "fare", "cabin", "embarked"]])
 
 
+@register("src_store_rules", f"""
+SELECT storeId, storeType, CAST(promo2 AS BIGINT) AS promo2, CAST(promo2SinceWeek AS BIGINT) AS promo2SinceWeek,
+       CAST(promo2SinceYear AS BIGINT) AS promo2SinceYear, promoInterval
+FROM ({S.STORES_SQL}) s""")
+def q_src_store_rules(spark, sf):
+    """A store file that names a start of the second promotion for every store: the reader
+    takes it only where promo2 is not 0."""
+    from tabfit.sources.csv import read_stores, write_csv
+    nation = S.table(spark, sf, "customer").select(F.col("c_custkey").alias("storeId"), "c_nationkey")
+    st = S.stores(spark, sf)
+    planted = st.join(nation, "storeId").select(*[
+        (F.col("c_nationkey") + 1).cast("int").alias(c) if c == "promo2SinceWeek"
+        else (F.col("c_nationkey") % 5 + 2010).cast("int").alias(c) if c == "promo2SinceYear"
+        else F.col(c) for c in st.columns])
+    path = _stage(spark, "stores-planted")
+    write_csv(planted, path, header=True)
+    r = read_stores(spark, path)
+    return r.select("storeId", "storeType", *[big(c).alias(c) for c in ("promo2", "promo2SinceWeek", "promo2SinceYear")],
+                    "promoInterval")
+
+
+_FILE_SENTINELS_SQL = ", ".join(f"round({c}, 4) AS {c}" for c in ("pClass", "age", "sibsp", "parch", "fare"))
+
+
+@register("src_passenger_file", f"""
+SELECT passengerId, CAST(survived AS BIGINT) AS survived, {_FILE_SENTINELS_SQL}, sex, cabin, embarked,
+       'Last' || passengerId || ', Mr. First "Nick"' AS name, 'A/5 ' || passengerId * 7 AS ticket
+FROM ({S.PASSENGERS_SQL}) p""")
+def q_src_passenger_file(spark, sf):
+    """The passenger file as handed out: 12 fields, among them a quoted name with a comma
+    and quotes, and the ticket; empty fields become sentinels."""
+    from tabfit.functions.sentinels import fill_sentinels
+    from tabfit.sources.csv import read_csv, write_csv
+    from tabfit.sources.schemas import PASSENGER_FILE, PASSENGER_SENTINELS
+    p = S.passengers(spark, sf)
+    blank = {c: F.when(F.col(c) != F.lit(v), F.col(c)) for c, v in PASSENGER_SENTINELS.items()}
+    extra = {"name": F.concat(F.lit("Last"), F.col("passengerId").cast("string"), F.lit(', Mr. First "Nick"')),
+             "ticket": F.concat(F.lit("A/5 "), (F.col("passengerId") * 7).cast("string"))}
+    cols = {**blank, **extra}
+    path = _stage(spark, "passenger-file")
+    write_csv(p.select(*[cols.get(f.name, F.col(f.name)).alias(f.name) for f in PASSENGER_FILE.fields]), path, header=True)
+    r = fill_sentinels(read_csv(spark, path, PASSENGER_FILE, header=True), PASSENGER_SENTINELS)
+    return r.select("passengerId", big("survived").alias("survived"),
+                    *[r4(c).alias(c) for c in ("pClass", "age", "sibsp", "parch", "fare")],
+                    "sex", "cabin", "embarked", "name", "ticket")
+
+
 _BAD_KEY_SQL = "substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 1) = '0'"
 
 
@@ -477,6 +524,36 @@ def q_src_bad_rows(spark, sf):
     return good.unionByName(bad).select("kind", "status", big("n").alias("n"))
 
 
+@register("src_bad_row_report", f"""
+WITH t AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS month, o_orderkey, o_custkey,
+        o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) AS price, o_orderpriority,
+        substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 1) AS k FROM orders),
+l AS (SELECT month, k, CASE k WHEN '0' THEN 'x' || o_orderkey || ', ' || o_custkey || ', ' || o_orderstatus || ', ' || price
+            || ', ' || o_orderpriority
+        WHEN '1' THEN o_orderkey || ', ' || o_custkey || ', ' || o_orderstatus END AS raw,
+        row_number() OVER (PARTITION BY month ORDER BY o_orderkey) AS line FROM t)
+SELECT month, line, raw, CASE k WHEN '0' THEN 'unparsable value' ELSE 'expected 5 fields, found 3' END AS reason
+FROM l WHERE k IN ('0', '1')""")
+def q_src_bad_row_report(spark, sf):
+    """Every bad row of a set of files with its line number, raw text and cause."""
+    from tabfit.sources.csv import read_csv
+    from tabfit.sources.schemas import ORDERS_TEXT
+    o = S.table(spark, sf, "orders")
+    k = F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 1)
+    key = F.when(k == "0", F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string"))
+    head = [key, F.col("o_custkey").cast("string"), F.col("o_orderstatus")]
+    tail = [F.floor("o_totalprice").cast("bigint").cast("string"), F.col("o_orderpriority")]
+    line = F.when(k == "1", F.concat_ws(", ", *head)).otherwise(F.concat_ws(", ", *head, *tail))
+    path = _stage(spark, "orders-months")
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month")
+    # one file a month, in key order
+    (o.select(month, "o_orderkey", line.alias("value")).repartition("month").sortWithinPartitions("month", "o_orderkey")
+     .select("month", "value").write.partitionBy("month").text(path))
+    bad = read_csv(spark, path, ORDERS_TEXT, on_bad="quarantine", line_numbers=True).bad
+    return bad.select(F.regexp_extract("file", r"month=(\d+)", 1).cast("bigint").alias("month"),
+                      big("line").alias("line"), "raw", "reason")
+
+
 @register("src_libsvm_roundtrip", """
 SELECT 'one' AS reader, CAST(label AS DOUBLE) AS label,
        round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total,
@@ -612,13 +689,13 @@ def q_metric_logloss(spark, sf):
 
 
 def _mc_sql() -> str:
-    es = [f"CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(10)]
+    # a class's score: the sum of the slots whose number ends in its digit
+    es = [" + ".join(f"CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(64) if i % 10 == k) for k in range(10)]
     names = [f"e{i}" for i in range(10)]
     total = " + ".join(f"exp(10 * ({n} - mx))" for n in names)
     return f"""
-WITH t0 AS (SELECT label, {', '.join(f'{e} AS e{i}' for i, e in enumerate(es))},
-                   CAST(embedding[label + 1] AS DOUBLE) AS ey FROM embeddings),
-t AS (SELECT *, greatest({', '.join(names)}) AS mx FROM t0),
+WITH t0 AS (SELECT label, {', '.join(f'{e} AS e{i}' for i, e in enumerate(es))} FROM embeddings),
+t AS (SELECT *, greatest({', '.join(names)}) AS mx, [{', '.join(names)}][label + 1] AS ey FROM t0),
 u AS (SELECT label, exp(10 * (ey - mx)) / ({total}) AS py,
              list_position([{', '.join(names)}], mx) - 1 AS pred FROM t)
 SELECT 'all' AS set, 'merror' AS metric,
@@ -630,15 +707,18 @@ SELECT 'all' AS set, 'mlogloss' AS metric,
 
 @register("metric_multiclass", _mc_sql())
 def q_metric_multiclass(spark, sf):
+    """Multi-class error and log loss of class scores that read all 64 slots."""
+    from functools import reduce
     from tabfit.functions.metrics import merror, mlogloss
     from tabfit.operators.evaluate import evaluate
     v = S.vectors(spark, sf)
-    e = F.slice("x", 1, 10)
-    mx = F.array_max(e)
-    ex = F.transform(e, lambda z: F.exp(10 * (z - mx)))
+    e = F.array(*[reduce(lambda a, b: a + b, [F.col("x")[i] for i in range(64) if i % 10 == k]) for k in range(10)])
+    v = v.select("label", e.alias("e"))
+    mx = F.array_max("e")
+    ex = F.transform("e", lambda z: F.exp(10 * (z - mx)))
     total = F.aggregate(ex, F.lit(0.0), lambda a, z: a + z)
     scored = v.select("label", F.transform(ex, lambda z: z / total).alias("probabilities"),
-                      (F.array_position(e, mx) - 1).cast("double").alias("prediction"))
+                      (F.array_position("e", mx) - 1).cast("double").alias("prediction"))
     a = evaluate(scored, merror, "prediction", "label", set_name="all")
     b = evaluate(scored, mlogloss, "probabilities", "label", set_name="all")
     return a.unionByName(b).withColumn("value", r4("value"))
@@ -700,6 +780,80 @@ def q_bin_edges(spark, sf):
                                  "feature string, edge double")
 
 
+_TREE_DEPTH, _TREE_ETA, _TREE_LAMBDA = 3, 0.3, 1.0
+
+
+def _tree_sql() -> str:
+    """One regression tree in SQL, level by level: histogram, gain of every cut with the
+    missing values on either side, best split, routing; then the nodes ``nodes`` and
+    the leaf of every row (``rows``)."""
+    n = len(_BINNED)
+    parts = [_BINNED_SQL.replace("SELECT CAST(season", "SELECT rowId, 0.5 - CAST(count AS DOUBLE) AS g, CAST(season", 1),
+             "u AS (" + " UNION ALL ".join(f"SELECT rowId, {i} AS f, {c} AS v FROM h" for i, c in enumerate(_BINNED)) + ")",
+             "edges AS (SELECT DISTINCT f, v AS cut FROM u WHERE v > (SELECT min(v) FROM u AS l WHERE l.f = u.f) "
+             f"UNION ALL SELECT f, CAST('Infinity' AS DOUBLE) FROM range({n}) t(f))",
+             "r0 AS (SELECT rowId, g, 0 AS node FROM h)"]
+    for d in range(_TREE_DEPTH):
+        open_ = f"SELECT * FROM r{d}" + (f" WHERE node >= {2 ** d - 1}" if d else "")
+        parts += [
+            f"o{d} AS ({open_})",
+            f"t{d} AS (SELECT node, sum(g) AS gt, count(*) AS nt FROM o{d} GROUP BY node)",
+            f"k{d} AS (SELECT node, f, v, sum(g) AS g, count(*) AS n FROM o{d} JOIN u USING (rowId) GROUP BY ALL)",
+            f"c{d} AS (SELECT k.node, f, cut, dl, coalesce(sum(g) FILTER (WHERE v < cut OR v IS NULL AND dl), 0) AS gl, "
+            "coalesce(sum(n) FILTER (WHERE v < cut OR v IS NULL AND dl), 0) AS nl, "
+            f"coalesce(sum(n) FILTER (WHERE v IS NULL), 0) AS nm FROM k{d} k JOIN edges USING (f), "
+            "(VALUES (false), (true)) AS s(dl) GROUP BY ALL)",
+            f"g{d} AS (SELECT *, gl * gl / (nl + {_TREE_LAMBDA}) + (gt - gl) * (gt - gl) / (nt - nl + {_TREE_LAMBDA}) "
+            f"- gt * gt / (nt + {_TREE_LAMBDA}) AS gain FROM c{d} JOIN t{d} USING (node) "
+            "WHERE nl >= 1 AND nt - nl >= 1 AND (nm > 0 OR NOT dl))",
+            f"b{d} AS (SELECT * FROM g{d} WHERE gain > 1e-6 QUALIFY row_number() OVER (PARTITION BY node "
+            "ORDER BY CAST(printf('%.10e', gain) AS DOUBLE) DESC, f, cut, dl) = 1)",
+            f"r{d + 1} AS (SELECT r.rowId, r.g, CASE WHEN b.node IS NULL THEN r.node WHEN u.v < b.cut OR u.v IS NULL AND b.dl "
+            f"THEN 2 * r.node + 1 ELSE 2 * r.node + 2 END AS node FROM r{d} r LEFT JOIN b{d} b ON r.node = b.node "
+            "LEFT JOIN u ON u.rowId = r.rowId AND u.f = b.f)"]
+    last = f"r{_TREE_DEPTH}"
+    splits = " UNION ALL ".join(f"SELECT node, f, cut, dl, gain, nt FROM b{d}" for d in range(_TREE_DEPTH))
+    parts += [f"leaves AS (SELECT node, -{_TREE_ETA} * sum(g) / (count(*) + {_TREE_LAMBDA}) AS w, count(*) AS n FROM {last} GROUP BY node)",
+              f"nodes AS (SELECT node, false AS is_leaf, f AS feature, cut, dl, CAST(NULL AS DOUBLE) AS w, gain, nt AS n FROM ({splits}) "
+              "UNION ALL SELECT node, true, NULL, NULL, NULL, w, NULL, n FROM leaves)",
+              f"scored AS (SELECT rowId, 0.5 + w AS prediction FROM {last} JOIN leaves USING (node))"]
+    return "WITH " + ",\n".join(parts)
+
+
+def _one_tree(spark, sf):
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    h = S.hourly(spark, sf).select(
+        "rowId", F.col("count").cast("double").alias("label"),
+        *[F.col(c).cast("double").alias(c) for c in _BINNED[:4]],
+        F.when(F.col("rowId") % 100 == 7, 1.0).otherwise(0.0).alias("rareDay"),
+        F.when(F.col("rowId") % 20 == 0, (F.col("humidity") % 10).cast("double")).alias("mostlyMissing"))
+    p = BoostParams(objective="reg:squarederror", num_round=1, eta=_TREE_ETA, reg_lambda=_TREE_LAMBDA, max_depth=_TREE_DEPTH)
+    return BoostTrainer(p, feature_cols=_BINNED).fit(h), h
+
+
+@register("tree_nodes", _tree_sql() + """
+SELECT CAST(node AS BIGINT) AS node, is_leaf, CAST(feature AS BIGINT) AS feature, CASE WHEN isinf(cut) THEN 1e300 ELSE cut END AS threshold,
+       dl AS default_left, round(w, 4) AS leaf_value, round(gain, 2) AS gain, CAST(n AS BIGINT) AS cover FROM nodes""")
+def q_tree_nodes(spark, sf):
+    """The nodes of one tree on features with few values, one of them mostly missing."""
+    model, _ = _one_tree(spark, sf)
+    t = model.nodes(spark)
+    return t.select(big("node").alias("node"), "is_leaf", big("feature").alias("feature"),
+                    F.when(F.col("threshold") == float("inf"), 1e300).otherwise(F.col("threshold")).alias("threshold"),
+                    "default_left", r4("leaf_value").alias("leaf_value"), F.round("gain", 2).alias("gain"),
+                    big("cover").alias("cover"))
+
+
+@register("tree_scored", _tree_sql() + "\nSELECT rowId, round(prediction, 4) AS prediction FROM scored")
+def q_tree_scored(spark, sf):
+    """The rows scored by that tree, saved and loaded again."""
+    from tabfit.operators.boosting import BoostModel
+    model, h = _one_tree(spark, sf)
+    path = _stage(spark, "one-tree")
+    model.save(spark, path)
+    return BoostModel.load(spark, path).transform(h).select("rowId", r4("prediction").alias("prediction"))
+
+
 def _train_binary(spark, sf):
     from tabfit.operators.boosting import BoostParams, BoostTrainer
     from tabfit.operators.tuning import hash_split
@@ -901,13 +1055,15 @@ def q_train_libsvm_scored(spark, sf):
     split = in_train("rowId", 0.8)
     lines.where(split).select("value").write.text(train_path)
     lines.where(~split).select("value").write.text(test_path)
-    reader = LibsvmExtractor(spark, width=65, index_base=0)
+    reader = LibsvmExtractor(spark, width=65, index_base=0, sparse=True)
     train, test = reader.labeled_points(train_path), reader.labeled_points(test_path)
+    # what a line leaves out is missing, not 0
     model = BoostTrainer(BoostParams(objective="binary:logistic", num_round=5, eta=1.0,
-                                     max_depth=6)).fit(train)
-    scored = model.transform(test).select("label", "probability", "prediction")
-    # a preview of up to 2000 scored rows is the feature here
-    return scored.orderBy("label", "probability").limit(2000)
+                                     max_depth=6, missing=0.0)).fit(train)
+    scored = model.transform(test)
+    # a preview of up to 2000 scored rows is the feature here; in equal scores the entries decide
+    return (scored.orderBy("label", "probability", F.unwrap_udt("features")).limit(2000)
+            .select("label", "probability", "prediction"))
 
 
 @register("train_watch_multiclass")

@@ -37,14 +37,14 @@ class HourlyExtractor:
 
 
 class LibsvmExtractor:
-    """libsvm text with indices kept as written (dense, ``width`` slots)."""
+    """libsvm text with indices kept as written (``width`` slots; dense unless ``sparse``)."""
 
-    def __init__(self, spark: SparkSession, width: int = 129, index_base: int = 0):
-        self.spark, self.width, self.index_base = spark, width, index_base
+    def __init__(self, spark: SparkSession, width: int = 129, index_base: int = 0, sparse: bool = False):
+        self.spark, self.width, self.index_base, self.sparse = spark, width, index_base, sparse
 
     def frame(self, path: str, has_label: bool = True) -> DataFrame:
         from tabfit.sources.libsvm import read_libsvm
-        return read_libsvm(self.spark, path, self.width, self.index_base)
+        return read_libsvm(self.spark, path, self.width, self.index_base, self.sparse)
 
     def labeled_points(self, path: str, has_label: bool = True) -> DataFrame:
         return self.frame(path, has_label)

@@ -112,6 +112,17 @@ def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: boo
     return CsvRead(good, bad)
 
 
+def read_stores(spark: SparkSession, path: str, header: bool = True, on_bad: str = "fail") -> DataFrame:
+    """The store file: empty fields become sentinels, and where promo2 is 0 so does the
+    start of the second promotion, even if the file names one."""
+    from tabfit.functions.sentinels import fill_sentinels
+    from tabfit.sources.schemas import STORE, STORE_PROMO2_START, STORE_SENTINELS
+    read = read_csv(spark, path, STORE, header=header, on_bad=on_bad)
+    filled = fill_sentinels(read.good if on_bad == "quarantine" else read, STORE_SENTINELS)
+    return filled.withColumns({c: F.when(F.col("promo2") == 0, F.lit(STORE_SENTINELS[c]))
+                               .otherwise(F.col(c)) for c in STORE_PROMO2_START})
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False, sep: str = ",") -> None:
     """Write a DataFrame as CSV text (empty string for NULL, quoted when needed)."""
     (df.write.mode("error").option("header", str(header).lower()).option("sep", sep)

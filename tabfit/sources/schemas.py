@@ -28,6 +28,8 @@ STORE = _s(("storeId", LongType()), ("storeType", StringType()), ("assortment",
 STORE_SENTINELS = {"competitionDistance": -1, "competitionOpenSinceMonth": -1,
                    "competitionOpenSinceYear": -1, "promo2SinceWeek": -1, "promo2SinceYear": -1,
                    "promoInterval": ""}
+# without the second promotion its start is the sentinel, whatever the file holds
+STORE_PROMO2_START = ["promo2SinceWeek", "promo2SinceYear"]
 
 PASSENGER = _s(("passengerId", LongType()), ("survived", IntegerType()), ("pClass", DoubleType()),
                ("sex", StringType()), ("age", DoubleType()), ("sibsp", DoubleType()),

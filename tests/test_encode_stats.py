@@ -81,11 +81,31 @@ def test_masked_moments_and_standardize_g5(spark):
     assert [r[0] for r in inline] == pytest.approx(expect)
 
 
-def test_onehot_width_is_bounded(spark):
-    df = spark.range(50).select(F.col("id").alias("k"), F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        OneHot(["c"], "k", max_width=10).fit(df)
-    assert OneHot(["c"], "k", max_width=50).fit(df).width("c") == 50
+def test_sparse_onehot_equals_the_dense_one(spark):
+    from pyspark.ml.functions import vector_to_array
+    rows = [(i, v, w, float(i)) for i, (v, w) in enumerate([("b", "x"), ("", "y"), ("a", None), ("b", "x"), ("c", "z")])]
+    df = spark.createDataFrame(rows, "k int, c string, d string, n double")
+    m = OneHot(["c", "d"], "k", empty_values={"c": "", "d": ""}).fit(df.where("k < 4"))
+    dense = m.transform(df).select("k", F.concat("cVec", "dVec", F.array("n")).alias("x"))
+    sparse = m.transform_sparse(df, "f", ["n"])
+    assert sparse.columns == [*df.columns, "f"]
+    assert sorted(sparse.select("k", vector_to_array("f").alias("x")).collect()) == sorted(dense.collect())
+
+
+def test_onehot_of_two_hundred_thousand_values(spark):
+    """No bound on the width: the frame is fitted on and scored as it is."""
+    from tabfit.operators.boosting import BoostParams, BoostTrainer
+    n = 200_000
+    df = spark.range(n).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("c"),
+                               (F.col("id") % 5).cast("string").alias("d"))
+    m = OneHot(["c", "d"], "k").fit(df)
+    assert m.width("c") == n
+    few = m.transform_sparse(df.where("k % 400 = 7 or k < 500"), "features").withColumn(
+        "label", F.when(F.col("d") == "3", 1.0).otherwise(0.0))
+    assert few.first()["features"].size == n + 5
+    model = BoostTrainer(BoostParams(objective="binary:logistic", num_round=1, max_depth=1, missing=0.0)).fit(few)
+    assert model.trees[0].splits[0][0] == n + 3
+    assert model.transform(few).where("prediction = label").count() == few.count()
 
 
 def test_inline_and_joined_lookups_agree(spark):

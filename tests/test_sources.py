@@ -7,6 +7,7 @@ from tabfit.sources.csv import read_csv
 from tabfit.sources.libsvm import read_libsvm
 from tabfit.sources.schemas import CENSUS, STORE, STORE_SENTINELS
 
+# Header and rows as in the public files.
 G2 = '''"Store","StoreType","Assortment","CompetitionDistance","CompetitionOpenSinceMonth","CompetitionOpenSinceYear","Promo2","Promo2SinceWeek","Promo2SinceYear","PromoInterval"
 1,"c","a",1270,9,2008,0,,,""
 2,"a","a",570,11,2007,1,13,2010,"Jan,Apr,Jul,Oct"
@@ -115,3 +116,21 @@ def test_passenger_file_with_quoted_names(spark, write_text):
     row = got.good.collect()
     assert len(row) == 1 and row[0]["name"] == 'Last, Mr. First "Nick"' and row[0]["ticket"] == "A/5 21171"
     assert [r["reason"] for r in got.bad.collect()] == ["unparsable value"]
+
+
+def test_store_rules(spark, write_text):
+    from tabfit.sources.csv import read_stores
+    path = write_text("s.csv", G2 + '4,"a","b",5,,,0,13,2010,"Jan,Apr,Jul,Oct"\n')
+    rows = {r["storeId"]: tuple(r)[6:] for r in read_stores(spark, path).collect()}
+    assert rows == {1: (0, -1, -1, ""), 2: (1, 13, 2010, "Jan,Apr,Jul,Oct"), 291: (0, -1, -1, ""),
+                    4: (0, -1, -1, "Jan,Apr,Jul,Oct")}
+
+
+def test_sparse_libsvm_equals_the_dense_one(spark, write_text):
+    path = write_text("a.libsvm", "1 3:1 10:1 126:1\n0 3:1 3:5\n1\n0 128:0.5 0:2\n")
+    dense = read_libsvm(spark, path, 129, index_base=0).select("label", vector_to_array("features").alias("a"))
+    sparse = read_libsvm(spark, path, 129, index_base=0, sparse=True)
+    assert {type(r["features"]).__name__ for r in sparse.collect()} == {"SparseVector"}
+    assert sorted(sparse.select("label", vector_to_array("features").alias("a")).collect()) == sorted(dense.collect())
+    with pytest.raises(Exception, match="libsvm index outside"):
+        read_libsvm(spark, write_text("b.txt", "1 3:2 200:5\n"), 129, index_base=0, sparse=True).collect()
