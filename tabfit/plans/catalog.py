@@ -780,7 +780,7 @@ def q_bin_edges(spark, sf):
                                  "feature string, edge double")
 
 
-_TREE_DEPTH, _TREE_ETA, _TREE_LAMBDA = 3, 0.3, 1.0
+_TREE_DEPTH, _TREE_ETA, _TREE_LAMBDA, _TREE_BASE = 3, 0.3, 1.0, 50.0
 
 
 def _tree_sql() -> str:
@@ -788,7 +788,7 @@ def _tree_sql() -> str:
     missing values on either side, best split, routing; then the nodes ``nodes`` and
     the leaf of every row (``rows``)."""
     n = len(_BINNED)
-    parts = [_BINNED_SQL.replace("SELECT CAST(season", "SELECT rowId, 0.5 - CAST(count AS DOUBLE) AS g, CAST(season", 1),
+    parts = [_BINNED_SQL.replace("SELECT CAST(season", f"SELECT rowId, {_TREE_BASE} - CAST(count AS DOUBLE) AS g, CAST(season", 1),
              "u AS (" + " UNION ALL ".join(f"SELECT rowId, {i} AS f, {c} AS v FROM h" for i, c in enumerate(_BINNED)) + ")",
              "edges AS (SELECT DISTINCT f, v AS cut FROM u WHERE v > (SELECT min(v) FROM u AS l WHERE l.f = u.f) "
              f"UNION ALL SELECT f, CAST('Infinity' AS DOUBLE) FROM range({n}) t(f))",
@@ -816,7 +816,7 @@ def _tree_sql() -> str:
     parts += [f"leaves AS (SELECT node, -{_TREE_ETA} * sum(g) / (count(*) + {_TREE_LAMBDA}) AS w, count(*) AS n FROM {last} GROUP BY node)",
               f"nodes AS (SELECT node, false AS is_leaf, f AS feature, cut, dl, CAST(NULL AS DOUBLE) AS w, gain, nt AS n FROM ({splits}) "
               "UNION ALL SELECT node, true, NULL, NULL, NULL, w, NULL, n FROM leaves)",
-              f"scored AS (SELECT rowId, 0.5 + w AS prediction FROM {last} JOIN leaves USING (node))"]
+              f"scored AS (SELECT rowId, {_TREE_BASE} + w AS prediction FROM {last} JOIN leaves USING (node))"]
     return "WITH " + ",\n".join(parts)
 
 
@@ -827,7 +827,7 @@ def _one_tree(spark, sf):
         *[F.col(c).cast("double").alias(c) for c in _BINNED[:4]],
         F.when(F.col("rowId") % 100 == 7, 1.0).otherwise(0.0).alias("rareDay"),
         F.when(F.col("rowId") % 20 == 0, (F.col("humidity") % 10).cast("double")).alias("mostlyMissing"))
-    p = BoostParams(objective="reg:squarederror", num_round=1, eta=_TREE_ETA, reg_lambda=_TREE_LAMBDA, max_depth=_TREE_DEPTH)
+    p = BoostParams(objective="reg:squarederror", num_round=1, eta=_TREE_ETA, base_score=_TREE_BASE, reg_lambda=_TREE_LAMBDA, max_depth=_TREE_DEPTH)
     return BoostTrainer(p, feature_cols=_BINNED).fit(h), h
 
 
