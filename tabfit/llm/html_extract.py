@@ -47,7 +47,12 @@ SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}
                 "ul": {"p"}, "ol": {"p"}, "table": {"p"}, "section": {"p"}, "article": {"p"}, "aside": {"p"},
                 "nav": {"p"}, "footer": {"p"}, "header": {"p"}, "form": {"p"}, "blockquote": {"p"}, "pre": {"p"}}
 
-_MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+#: The next mark.  Quotes count after "=" only, and only if they are closed; no character is
+#: tried twice.  The last branch is a tag whose quotes swallow all that follows.
+_TAG = r"""</?([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+)>"""
+_MARK = re.compile(rf"<!--|<[!?][^>]*+>|{_TAG}|</?[a-zA-Z]")
+#: The same, with tags that end at the first ">".
+_PLAIN_MARK = re.compile(r"<!--|<[!?][^>]*+>|</?([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-label)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -120,14 +125,20 @@ def blocks(page: str) -> list[Block]:
         while outer and outer[-1] >= k:
             outer.pop()
 
-    while pos < n:
-        m = _MARK.search(page, pos)
-        if not m:
-            put(page[pos:])
-            break
+    # beyond the last ">" no tag ends, beyond the last "-->" no comment; so the time is
+    # linear in the page, however broken it is
+    last, last_comment = page.rfind(">") + 1, page.rfind("-->")
+    unclosed: set[str] = set()  # skipped elements of which no end tag follows
+    mark = _MARK
+    while pos < n and (m := mark.search(page, pos, max(pos, last))):
+        if m[1] is None and mark is _MARK and m[0][1] not in "!?":
+            mark = _PLAIN_MARK  # from here on no quote is believed
+            continue
         put(page[pos:m.start()])
         pos = m.end()
         if m[1] is None:
+            if m[0] == "<!--":
+                pos = page.find("-->", pos) + 3 if m.start() < last_comment - 3 else n
             continue
         name = m[1].lower()
         if page.startswith("</", m.start()):
@@ -139,8 +150,10 @@ def blocks(page: str) -> list[Block]:
         if name in SKIP:
             if name not in INLINE:
                 flush()
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, pos)
             if not m[0].endswith("/>"):
+                end = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, pos)
+                if end is None:
+                    unclosed.add(name)
                 pos = end.end() if end else (n if name in ("script", "style", "textarea", "title") else pos)
             continue
         if name not in INLINE:
@@ -149,6 +162,8 @@ def blocks(page: str) -> list[Block]:
                 close(outer[-1])
         if name not in VOID and not m[0].endswith("/>"):
             push(name, _tokens(name, m[2]))
+    rest = page.find("<!--", pos)
+    put(page[pos:n if rest < 0 else rest])
     flush()
     return out
 
@@ -479,6 +494,7 @@ def extract(pages: DataFrame, model: Labeller, html: str = "html", out: str = "t
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages; empty where there is none (also for a null page)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     got = extract(pages, fit(pages))
     return got.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
