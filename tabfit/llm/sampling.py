@@ -350,8 +350,9 @@ def decode(docs: DataFrame, ids: str = "piece_ids", out: str = "decoded", path:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: the number and CRC of its sampled pieces, and whether decoding
-    them gives back the whole text (null: empty)."""
+    """Per document: its sampled pieces, their number and CRC, and whether decoding them gives
+    back the whole text (null: empty).  The seed of a row is its doc_id: rows of one
+    id and text have one segmentation; a null id is a seed of its own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text_or_empty("text").alias("text"))
     ship(spark)
     path = model_path()
@@ -361,14 +362,17 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         for b in batches:
             t = b.column(2).to_pylist()
             keys = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            n, crc, same = [], [], []
             for lo, hi in _chunks(t):
-                for s, ids in zip(t[lo:hi], sampler.sample(t[lo:hi], keys[lo:hi])):
-                    n.append(len(ids))
-                    crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                    same.append((sampler.pieces.decode(ids.tolist()) if len(ids) else "") == s)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
-                                              pa.array(same)], ["doc_id", "n_pieces", "ids_crc32", "lossless"])
+                pieces = sampler.sample(t[lo:hi], keys[lo:hi])
+                crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in pieces]
+                same = [(sampler.pieces.decode(ids.tolist()) if len(ids) else "") == s for s, ids in zip(t[lo:hi], pieces)]
+                n = np.array([len(ids) for ids in pieces], dtype=np.int64)
+                offsets = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
+                flat = np.concatenate(pieces).astype(np.int32) if n.sum() else np.empty(0, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(lo, hi - lo), pa.array(n), pa.array(crc, pa.int64()), pa.array(same),
+                     pa.ListArray.from_arrays(offsets, pa.array(flat))],
+                    ["doc_id", "n_pieces", "ids_crc32", "lossless", "piece_ids"])
 
     seeded = docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)), "text")
-    return seeded.mapInArrow(digest, "doc_id long, n_pieces long, ids_crc32 long, lossless boolean")
+    return seeded.mapInArrow(digest, "doc_id long, n_pieces long, ids_crc32 long, lossless boolean, piece_ids array<int>")
