@@ -134,6 +134,8 @@ def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprints of all documents and of their edited texts, and how alike they and the
+    next document's are.  Null texts are empty; a lone document is its own next one."""
     docs = table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", text_or_empty("text").alias("text"))
     t = with_next(docs, "doc_id", "text")

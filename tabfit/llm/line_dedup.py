@@ -165,5 +165,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the later copies of repeated runs of lines; a null text stays null."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs)

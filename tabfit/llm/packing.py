@@ -287,6 +287,8 @@ def pack(pieces: DataFrame, length: str = "length", salt: tuple[str, ...] = ("do
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token pieces of all documents (a null text: only the closing id) and their places
+    in sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = materialise(token_pieces(docs), "pieces")
     return pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -210,6 +210,8 @@ def weak_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 
 
 def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rule and verdict of all documents.  A text without words (or null)
+    fails the base rule; an empty table gives an empty result."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return weak_quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols",
                                      "n_dup_lines", "n_repeat_words", "base_failed", "kept",

@@ -262,6 +262,8 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str =
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of all documents, learnt from the labels of those not held out; an empty
+    text (or null) gets the score of a text without words, a null key is not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
     scored = score(docs, model)
