@@ -43,7 +43,7 @@ MISS = 1e-6
 #: Members of a bucket compared as one block, and words remembered by a task.
 BLOCK = 64
 #: Blocks of a bucket for each row and column of its grid of block pairs.
-GRID = 16
+GRID = 128
 WORDS_KEPT = 400_000
 _SLICE = 4096
 #: Shingles laid out at once when the sets of two blocks are intersected.
@@ -276,8 +276,9 @@ def _block_pairs(member: DataFrame) -> DataFrame:
     blocks = m.groupBy("bucket", "band", "owner", "part").agg(F.collect_list(F.struct("id", "comp", "data")).alias("rows"))
     blocks = materialise(blocks, "blocks")
     # the pairs of a bucket's blocks are dealt to the cells of a grid, a task's worth each
-    grid = blocks.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / GRID).alias("g"))
-    blocks = blocks.join(grid, "bucket").withColumn("cell", F.pmod(F.xxhash64("owner", "part"), F.col("g")))
+    grid = blocks.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / GRID).alias("g")).where("g > 1")
+    blocks = blocks.join(grid, "bucket", "left").withColumn("g", F.coalesce("g", F.lit(1)))
+    blocks = blocks.withColumn("cell", F.pmod(F.xxhash64("owner", "part"), F.col("g")))
     every = F.sequence(F.lit(0).cast("long"), F.col("g") - 1)
     x = blocks.select("bucket", "band", F.col("owner").alias("o1"), F.col("part").alias("p1"), F.col("rows").alias("r1"),
                       F.col("cell").alias("c1"), F.explode(every).alias("c2"))
