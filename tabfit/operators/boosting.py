@@ -43,6 +43,7 @@ import math
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,7 @@ from pyspark.sql.types import ArrayType
 from tabfit.functions.metrics import METRICS, Metric
 from tabfit.operators import pages
 from tabfit.operators.pages import Bins, Growing, Level
+from tabfit.operators.scorer import LeafMasks
 from tabfit.session import shared_dir, ship
 
 OBJECTIVES = ("reg:squarederror", "reg:linear", "binary:logistic", "binary:logitraw",
@@ -63,6 +65,8 @@ MIN_GAIN = 1e-6
 ROWS_PER_TASK = 100_000
 # up to this many features read by a model, scoring uses one scalar column for each
 SCALAR_FEATURES_MAX = 256
+# ensembles with more splits than this are scored by leaf masks, not by CASE expressions
+SQL_SPLITS_MAX = 250
 # features looked up by literal when their distinct values are fetched
 FEATURES_BY_LITERAL = 1000
 
@@ -276,11 +280,17 @@ class BoostModel:
         return "array(" + ", ".join(" + ".join(parts) for parts in sums) + ")"
 
     def transform(self, df: DataFrame, tree_limit: int | None = None,
-                  keep_margin_array: bool = False) -> DataFrame:
+                  keep_margin_array: bool = False, engine: str = "auto") -> DataFrame:
         """Append margin / probability / prediction (and ``probabilities``)
-        columns; a projection only, so it scales with the input partitions."""
+        columns; row-local, so it scales with the input partitions.
+
+        ``engine``: "sql" (CASE expressions), "masks" (``operators/scorer.py``), or "auto":
+        masks beyond ``SQL_SPLITS_MAX`` splits.  Both give the same margins to the bit."""
+        if engine not in ("auto", "sql", "masks"):
+            raise ValueError(f"engine must be auto, sql or masks, not {engine!r}")
         k = self.params.classes()
-        used = sorted(set().union(*[t.features() for t in self.trees])) if self.trees else []
+        trees = [t for t in self.trees if tree_limit is None or t.round < tree_limit]
+        used = sorted(set().union(*[t.features() for t in trees])) if trees else []
         nan = F.lit(float("nan"))
         indices, values = self._entries(df)
         if self.params.missing == 0.0 and not self.feature_cols and not isinstance(
@@ -293,7 +303,10 @@ class BoostModel:
         else:
             t = df.withColumn("_x", self._x(df))
             value = [self._missing(F.col("_x")[f]) for f in used]
-        if len(used) <= SCALAR_FEATURES_MAX:
+        by_masks = engine == "masks" or engine == "auto" and sum(len(x.splits) for x in trees) > SQL_SPLITS_MAX
+        if by_masks and used:
+            t = t.withColumn("_margin", self._masks(df.sparkSession, trees, used, value)).drop("_x")
+        elif len(used) <= SCALAR_FEATURES_MAX:
             # one scalar column per feature read: tree comparisons on plain doubles
             # evaluate several times faster than array element reads
             names = [f"_x_{f}" for f in used]
@@ -316,6 +329,22 @@ class BoostModel:
             out = out.withColumn("probabilities", array_to_vector(score))
         return out if keep_margin_array else out.drop("_margin")
 
+    def _masks(self, spark: SparkSession, trees: list[Tree], used: list[int], value: list[Column]) -> Column:
+        """The margins as a Pandas UDF over the values read; the tables are broadcast (their size
+        follows from the trees)."""
+        ship(spark)
+        tables = spark.sparkContext.broadcast(LeafMasks(trees, self.base_margin, used))
+        k = len(self.base_margin)
+        names = [f"m{i}" for i in range(k)]
+
+        @F.pandas_udf(", ".join(f"{n} double" for n in names))
+        def margins(x: pd.DataFrame) -> pd.DataFrame:
+            m = tables.value.margins([x.iloc[:, i].to_numpy(dtype=float) for i in range(x.shape[1])])
+            return pd.DataFrame(dict(zip(names, m)))
+
+        m = margins(F.struct(*[v.alias(f"x{i}") for i, v in enumerate(value)]))
+        return F.transform(F.array(m), lambda s: F.array(*[s[n] for n in names]))[0]
+
     def _renumbered(self, place: dict[int, int]) -> "BoostModel":
         trees = [Tree(t.round, t.cls, {n: (place[s[0]], *s[1:]) for n, s in t.splits.items()}, t.leaves)
                  for t in self.trees]

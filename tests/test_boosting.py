@@ -383,3 +383,21 @@ def test_auc_keeps_the_null_group_and_large_counts(spark):
     assert got == {None: 1.0, "a": 0.0}
     empty = evaluate(df.where("false"), "rmse", "s", "y").collect()
     assert len(empty) == 1 and math.isnan(empty[0]["value"])
+
+
+def test_leaf_masks_equal_case_expressions_to_the_bit(spark, sales):
+    """Shallow and deep trees (several words of leaves), classes, missing values, one leaf only."""
+    v = S.vectors(spark, SF)
+    gaps = v.withColumn("x", F.transform("x", lambda e, i: F.when((e * 1000).cast("int") % 5 == i % 5, float("nan")).otherwise(e)))
+    hard = v.withColumn("label", F.col("label") % 2)
+    cases = [(sales, "features", BoostParams(objective="binary:logistic", num_round=4, max_depth=4)),
+             (hard, "x", BoostParams(objective="reg:squarederror", num_round=2, max_depth=9, min_child_weight=0.0, reg_lambda=0.0)),
+             (gaps, "x", BoostParams(objective="multi:softprob", num_class=10, num_round=2, max_depth=3)),
+             (sales, "features", BoostParams(objective="binary:logistic", num_round=2, gamma=1e12))]
+    for df, col, p in cases:
+        m = BoostTrainer(p, features_col=col).fit(df)
+        for limit in (None, 1):
+            a, b = ([r["_margin"] for r in m.transform(df, limit, keep_margin_array=True, engine=e).orderBy("rowId").collect()]
+                    for e in ("sql", "masks"))
+            assert a == b
+    assert max(len(t.leaves) for t in BoostTrainer(cases[1][2], features_col="x").fit(hard).trees) > 64
