@@ -9,10 +9,14 @@ move a handful of bytes per partition.
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
-from typing import Callable
+from typing import Any, Callable
 
-from pyspark.sql import Column
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Probability clipping used by log-loss style metrics.
@@ -84,4 +88,58 @@ merror = Metric("merror", _merror)
 mlogloss = Metric("mlogloss", _mlogloss, reads="probabilities")
 rmse = Metric("rmse", _rmse)
 
+@dataclass(frozen=True)
+class StateMetric:
+    """A metric that no aggregate Column can express: a state with
+
+    * ``init() -> state``
+    * ``update(state, predictions, labels) -> state``, on arrays of a batch of rows
+    * ``merge(state, state) -> state``, in any order
+    * ``finish(state) -> float``
+
+    States are folded inside the tasks, then merged in two steps, so neither rows nor
+    the states of all tasks meet in one place.  A state must be of bounded size."""
+    name: str
+    init: Callable[[], Any]
+    update: Callable[[Any, np.ndarray, np.ndarray], Any]
+    merge: Callable[[Any, Any], Any]
+    finish: Callable[[Any], float]
+    higher_is_better: bool = False
+    reads: str = "prediction"
+
+    def by_set(self, rows: DataFrame, prediction: Column, label: Column, set_col: str = "set") -> DataFrame:
+        """``set, value``: the metric of each set."""
+        t = rows.select(F.col(set_col).cast("string").alias("set"), prediction.cast("double").alias("p"),
+                        label.cast("double").alias("y"), F.pmod(F.spark_partition_id(), F.lit(MERGED_AT_ONCE)).alias("part"))
+
+        def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            states: dict = {}
+            part = 0
+            for b in batches:
+                part = int(b["part"].iloc[0]) if len(b) else part
+                for name, g in b.groupby("set", dropna=False):
+                    name = None if pd.isna(name) else name
+                    states[name] = self.update(states.get(name, self.init()), g["p"].to_numpy(), g["y"].to_numpy())
+            yield pd.DataFrame({"set": list(states), "part": part, "state": [pickle.dumps(v) for v in states.values()]})
+
+        def together(g: pd.DataFrame) -> Any:
+            state = self.init()
+            for s in g["state"]:
+                state = self.merge(state, pickle.loads(s))
+            return state
+
+        def some(g: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"set": g["set"].iloc[:1], "state": [pickle.dumps(together(g))]})
+
+        def last(g: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"set": g["set"].iloc[:1], "value": [float(self.finish(together(g)))]})
+
+        parts = t.mapInPandas(fold, "set string, part int, state binary")
+        parts = parts.groupBy("set", "part").applyInPandas(some, "set string, state binary")
+        return parts.groupBy("set").applyInPandas(last, "set string, value double")
+
+
+#: Partitions whose states are merged by one task of the first step: all that are equal modulo this.
+MERGED_AT_ONCE = 64
+
 METRICS: dict[str, Metric] = {m.name: m for m in (rmsle, logloss, error_rate, merror, mlogloss, rmse)}

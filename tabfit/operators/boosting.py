@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from tabfit.functions.metrics import METRICS, Metric
+from tabfit.functions.metrics import METRICS, Metric, StateMetric
 from tabfit.operators import pages
 from tabfit.operators.pages import Bins, Growing, Level
 from tabfit.operators.scorer import LeafMasks
@@ -417,13 +417,31 @@ def state_rows(state: DataFrame, n_feat: int, point: int = 0, classes: int = 1)
     return state.mapInArrow(rows, pages.ROW_SCHEMA)
 
 
+def grid_growths(points: list[BoostParams]) -> tuple[list[BoostParams], list[int]]:
+    """The models to grow for parameter points, and each point's place among them: points
+    that differ in their number of rounds only are one model, read after several rounds."""
+    if any(p.num_round < 1 for p in points):
+        raise ValueError("grid points need one round at least")
+    growths: list[BoostParams] = []
+    known: dict[str, int] = {}
+    at = []
+    for p in points:
+        i = known.setdefault(repr(p.replace(num_round=0)), len(growths))
+        if i == len(growths):
+            growths.append(p)
+        elif p.num_round > growths[i].num_round:
+            growths[i] = p
+        at.append(i)
+    return growths, at
+
+
 class BoostTrainer:
     """Fit a ``BoostModel``.  Features come from a vector / array column
     (``features_col``) or a list of numeric columns (``feature_cols``)."""
 
     def __init__(self, params: BoostParams | None = None, features_col: str = "features",
                  label_col: str = "label", feature_cols: list[str] | None = None,
-                 id_col: str | None = None, metric: Metric | str | None = None,
+                 id_col: str | None = None, metric: Metric | StateMetric | str | None = None,
                  num_features: int | None = None):
         self.params = (params or BoostParams()).validate()
         self.features_col = features_col
@@ -580,6 +598,16 @@ class BoostTrainer:
         finally:
             prep.release()
 
+    def fit_grid(self, df: DataFrame, points: list[BoostParams]) -> list[BoostModel]:
+        """The models of several parameter points on the same rows, grown in the same jobs."""
+        growths, at = grid_growths(points)
+        prep = self.prepare(df)
+        try:
+            models = self.fit_points(prep, growths)
+        finally:
+            prep.release()
+        return [models[i].first_rounds(p) for p, i in zip(points, at)]
+
     def fit_prepared(self, prep: "Prepared", train_sets: tuple[str, ...] = ("train",),
                      track: bool = False, keep_state: bool = False):
         """Boost on prepared pages.  Rows whose ``set`` is in ``train_sets``
@@ -662,6 +690,9 @@ class BoostTrainer:
             return sorted((r, row["set"], "auc", row["auc"]) for row in res)
         cols = scored_columns(self.params.objective, F.col("m"), k)
         pred = cols.get(self.metric.reads, cols["prediction"])
+        if isinstance(self.metric, StateMetric):
+            res = self.metric.by_set(rows, pred, F.col("y")).collect()
+            return sorted((r, row["set"], self.metric.name, row["value"]) for row in res)
         res = rows.groupBy("set").agg(self.metric(pred, F.col("y")).alias("v")).collect()
         return sorted((r, row["set"], self.metric.name, row["v"]) for row in res)
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from tabfit.functions.metrics import METRICS, Metric
+from tabfit.functions.metrics import METRICS, Metric, StateMetric
 from tabfit.operators.ranking import running_totals
 from tabfit.session import shared_dir
 
@@ -63,12 +63,16 @@ def auc_value(df: DataFrame, score_col: str = "probability", label_col: str = "l
     return auc(df, score_col, label_col).first()["auc"]
 
 
-def evaluate(df: DataFrame, metric: Metric | str, prediction_col: str = "prediction",
+def evaluate(df: DataFrame, metric: Metric | StateMetric | str, prediction_col: str = "prediction",
              label_col: str = "label", set_col: str | None = None,
              set_name: str = "test") -> DataFrame:
     """Rows (set, metric, value) for one metric over one or more named sets; one
     named set without rows has the value NaN."""
     m = METRICS[metric] if isinstance(metric, str) else metric
+    if isinstance(m, StateMetric):
+        rows = df if set_col else df.withColumn("__set", F.lit(set_name))
+        got = m.by_set(rows, F.col(prediction_col), F.col(label_col), set_col or "__set")
+        return got.select("set", F.lit(m.name).alias("metric"), "value")
     if set_col is None:
         value = F.coalesce(m(F.col(prediction_col), F.col(label_col)).cast("double"), F.lit(float("nan")))
         return df.agg(value.alias("value")).select(F.lit(set_name).alias("set"),

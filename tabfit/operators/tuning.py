@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfit.operators.boosting import BoostModel, BoostParams, BoostTrainer, scored_columns, state_rows
+from tabfit.operators.boosting import (BoostModel, BoostParams, BoostTrainer, grid_growths, scored_columns,
+                                       state_rows)
 from tabfit.operators.evaluate import auc
 
 
@@ -111,25 +112,16 @@ class TrainValidationSplit:
     def fit(self, df: DataFrame) -> TuningResult:
         split = F.when(in_train(self.key_col, self.train_ratio), "train").otherwise("valid")
         chosen = [self.base.replace(**g) for g in self.grid]
-        if any(p.num_round < 1 for p in chosen):
-            raise ValueError("grid points need one round at least")
-        # one growth per point of the grid without its rounds; due: what to score after a round
-        growths: dict[str, int] = {}
-        points: list[BoostParams] = []
-        due: dict[int, list[tuple[int, int]]] = {}
+        points, at = grid_growths(chosen)
+        due: dict[int, list[tuple[int, int]]] = {}  # what to score after a round
         for i, p in enumerate(chosen):
-            at = growths.setdefault(repr(p.replace(num_round=0)), len(points))
-            if at == len(points):
-                points.append(p)
-            elif p.num_round > points[at].num_round:
-                points[at] = p
-            due.setdefault(p.num_round - 1, []).append((i, at))
+            due.setdefault(p.num_round - 1, []).append((i, at[i]))
         metrics = [0.0] * len(chosen)
         prep = self._trainer(self.base).prepare(df, set_col=split, edge_sets=("train",))
         try:
             def after(r: int, state: DataFrame, models: list[BoostModel]) -> None:
-                for i, at in due[r]:
-                    metrics[i] = self._score(chosen[i], state_rows(state, prep.n_feat, at, chosen[i].classes()))
+                for i, point in due[r]:
+                    metrics[i] = self._score(chosen[i], state_rows(state, prep.n_feat, point, chosen[i].classes()))
 
             models = self._trainer(self.base).fit_points(prep, points, ("train",), after, set(due))
         finally:
@@ -139,6 +131,5 @@ class TrainValidationSplit:
         if self.refit:
             model = self._trainer(chosen[best]).fit(df)
         else:
-            at = growths[repr(chosen[best].replace(num_round=0))]
-            model = models[at].first_rounds(chosen[best])
+            model = models[at[best]].first_rounds(chosen[best])
         return TuningResult(model, best, self.grid, metrics, self.base)

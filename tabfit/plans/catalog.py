@@ -554,6 +554,35 @@ def q_src_bad_row_report(spark, sf):
                       big("line").alias("line"), "raw", "reason")
 
 
+@register("src_bad_rows_one_pass", """
+WITH t AS (SELECT o_orderstatus AS status, substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 1) AS k, o_totalprice AS p FROM orders)
+SELECT 'good' AS kind, status, count(*) AS n, CAST(sum(floor(p)) AS BIGINT) AS total FROM t WHERE k NOT IN ('0', '1') GROUP BY status
+UNION ALL SELECT 'unparsable value', status, count(*), NULL FROM t WHERE k = '0' GROUP BY status
+UNION ALL SELECT 'expected 5 fields, found 3', status, count(*), NULL FROM t WHERE k = '1' GROUP BY status
+UNION ALL SELECT 'observed good', NULL, count(*), NULL FROM t WHERE k NOT IN ('0', '1')
+UNION ALL SELECT 'observed bad', NULL, count(*), NULL FROM t WHERE k IN ('0', '1')""")
+def q_src_bad_rows_one_pass(spark, sf):
+    """Good rows, bad rows and both counts from one scan of the text."""
+    from tabfit.sources.csv import stage_csv
+    from tabfit.sources.schemas import ORDERS_TEXT
+    o = S.table(spark, sf, "orders")
+    k = F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 1)
+    key = F.when(k == "0", F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string"))
+    head = [key, F.col("o_custkey").cast("string"), F.col("o_orderstatus")]
+    tail = [F.floor("o_totalprice").cast("bigint").cast("string"), F.col("o_orderpriority")]
+    path = _stage(spark, "orders-once")
+    o.select(F.when(k == "1", F.concat_ws(", ", *head)).otherwise(F.concat_ws(", ", *head, *tail)).alias("value")).write.text(path)
+    got = stage_csv(spark, path, ORDERS_TEXT)
+    none = F.lit(None).cast("bigint")
+    good = got.good.groupBy(F.lit("good").alias("kind"), F.col("o_orderstatus").alias("status")).agg(
+        big(F.count(F.lit(1))).alias("n"), big(F.sum("o_totalprice")).alias("total"))
+    status = F.trim(F.get(F.split("raw", ","), F.lit(2)))
+    bad = got.bad.groupBy(F.col("reason").alias("kind"), status.alias("status")).agg(big(F.count(F.lit(1))).alias("n"), none.alias("total"))
+    seen = spark.createDataFrame([(f"observed {k}", None, n, None) for k, n in got.counts.items()],
+                                 "kind string, status string, n long, total long")
+    return good.unionByName(bad).unionByName(seen)
+
+
 @register("src_libsvm_roundtrip", """
 SELECT 'one' AS reader, CAST(label AS DOUBLE) AS label,
        round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total,
@@ -1012,6 +1041,32 @@ def q_tune_sales_scored(spark, sf):
                                     "prediction")
 
 
+@register("tune_sales_pipeline")
+def q_tune_sales_pipeline(spark, sf):
+    """The sales app in Spark's own words: a pipeline of StringIndexer, VectorAssembler and
+    Booster under TrainValidationSplit with the 2x2 grid, the best model applied to the
+    same frame."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+    from tabfit.functions.dates import split_date_parts
+    from tabfit.ml import Booster
+    from tabfit.operators.features import impute_non_positive, label_above_mean
+    from tabfit.plans.frames import SALES_CATEGORICAL, SALES_FEATURES, sales_joined
+    ds = sales_joined(S.sales(spark, sf), S.stores(spark, sf)).withColumns(split_date_parts("date"))
+    ds = ds.withColumn("logSales", F.log(F.col("sales").cast("double")))
+    ds = impute_non_positive(ds, "competitionDistance", "transformedCompetitionDistance")
+    ds = label_above_mean(ds, "logSales", "label")
+    index = StringIndexer(inputCols=SALES_CATEGORICAL, outputCols=[c + "Index" for c in SALES_CATEGORICAL])
+    frame = Pipeline(stages=[index, VectorAssembler(inputCols=SALES_FEATURES, outputCol="features")]).fit(ds).transform(ds)
+    booster = Booster(objective="binary:logistic", maxDepth=6, subsample=0.8, idCol="rowId")
+    grid = ParamGridBuilder().addGrid(booster.numRound, [20, 50]).addGrid(booster.eta, [0.1, 0.4]).build()
+    tuned = TrainValidationSplit(estimator=booster, estimatorParamMaps=grid, trainRatio=0.8, seed=1, evaluator=
+                                 BinaryClassificationEvaluator(rawPredictionCol="probabilities", labelCol="label")).fit(frame)
+    return tuned.transform(frame).select("rowId", big("label").alias("label"), "probability", "prediction")
+
+
 @register("tune_census_lambda")
 def q_tune_census_lambda(spark, sf):
     """Census rows: eta {0.1, 0.6} x lambda {0.5, 1}, label = indexed income class."""

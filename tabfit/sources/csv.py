@@ -29,6 +29,14 @@ class CsvRead:
     bad: DataFrame
 
 
+@dataclass
+class StagedCsv:
+    """The rows of one pass: written tables of the good and the bad ones, and their counts."""
+    good: DataFrame
+    bad: DataFrame
+    counts: dict[str, int]
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = False,
              sep: str = ",", on_bad: str = "fail", trim: bool = True, quote: str = '"',
              line_numbers: bool = False, fields: str = "all"):
@@ -47,15 +55,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool =
         raise ValueError(f"on_bad must be fail, drop or quarantine, not {on_bad!r}")
     if fields not in ("all", "first", "first+last"):
         raise ValueError(f"fields must be all, first or first+last, not {fields!r}")
-    res = _parse_lines(spark, path, schema, header, sep, trim, quote,
-                       "FAILFAST" if on_bad == "fail" else "PERMISSIVE", line_numbers, fields)
-    return res if on_bad == "quarantine" else res.good
+    parsed = _parse_lines(spark, path, schema, header, sep, trim, quote,
+                          "FAILFAST" if on_bad == "fail" else "PERMISSIVE", line_numbers, fields)
+    good, bad = _good_and_bad(parsed, [f.name for f in schema.fields])
+    return CsvRead(good, bad) if on_bad == "quarantine" else good
 
 
 def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: bool, sep: str,
                  trim: bool, quote: str, mode: str, line_numbers: bool = False,
-                 fields: str = "all") -> CsvRead:
-    """Lines are read as text and parsed with ``from_csv``.
+                 fields: str = "all") -> DataFrame:
+    """``value, file, [line], r, bad, reason``.  Lines are read as text and parsed with ``from_csv``.
 
     The CSV file source prunes unread columns and then only validates the
     fields a query asks for (a bare ``count()`` validates nothing), so "good"
@@ -97,19 +106,41 @@ def _parse_lines(spark: SparkSession, path: str, schema: StructType, header: boo
     parsed = lines.select("value", "file", *extra,
                           F.from_csv(line, full.simpleString(), opts).alias("r"))
     bad_flag = F.col("r").getField(CORRUPT).isNotNull() | F.col("r").isNull()
-    good = parsed.where(~bad_flag).select(*[F.col("r").getField(n).alias(n) for n in names])
-    n_fields = len(names)
     # separators inside quotes do not count
     bare = F.regexp_replace("value", f"{quote}([^{quote}]|{quote}{quote})*{quote}", "") if quote else F.col("value")
     count = F.size(F.split(bare, sep_re))
-    short = count < n_fields if fields != "all" else count != n_fields
-    bad = parsed.where(bad_flag).select(
-        F.col("value").alias("raw"),
-        F.when(short,
-               F.format_string("expected %d fields, found %d", F.lit(n_fields), count))
-        .otherwise(F.lit("unparsable value")).alias("reason"),
-        "file", *extra, *[F.col("r").getField(n).alias(n) for n in names])
-    return CsvRead(good, bad)
+    short = count < n if fields != "all" else count != n
+    reason = F.when(short, F.format_string("expected %d fields, found %d", F.lit(n), count)).otherwise(
+        F.lit("unparsable value"))
+    return parsed.select("value", "file", *extra, "r", bad_flag.alias("bad"), reason.alias("reason"))
+
+
+def _good_and_bad(parsed: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    values = [F.col("r").getField(n).alias(n) for n in names]
+    extra = ["line"] if "line" in parsed.columns else []
+    return (parsed.where(~F.col("bad")).select(*values),
+            parsed.where("bad").select(F.col("value").alias("raw"), "reason", "file", *extra, *values))
+
+
+def stage_csv(spark: SparkSession, path: str, schema: StructType, header: bool = False, sep: str = ",",
+              trim: bool = True, quote: str = '"', line_numbers: bool = False, fields: str = "all") -> StagedCsv:
+    """Read text once: the parsed rows are written to the shared folder, good and bad ones
+    apart, and counted on the way (``DataFrame.observe``).  The report and the good
+    rows are then read from there; the text is not scanned again."""
+    from pyspark.sql import Observation
+    from tabfit.session import staging_path
+    parsed = _parse_lines(spark, path, schema, header, sep, trim, quote, "PERMISSIVE", line_numbers, fields)
+    seen = Observation()
+    counted = parsed.observe(seen, F.coalesce(F.sum((~F.col("bad")).cast("long")), F.lit(0)).alias("good"),
+                             F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"))
+    target = staging_path(spark, "csv")
+    # the raw text of good rows is not kept
+    kept = counted.withColumn("value", F.when(F.col("bad"), F.col("value"))).withColumn("reason", F.when(F.col("bad"), F.col("reason")))
+    kept.write.partitionBy("bad").parquet(target)
+    # an empty input writes no folder that names ``bad``: the schema says it
+    table = spark.read.schema(kept.schema).option("basePath", target).parquet(target)
+    good, bad = _good_and_bad(table, [f.name for f in schema.fields])
+    return StagedCsv(good, bad, dict(seen.get))
 
 
 def read_stores(spark: SparkSession, path: str, header: bool = True, on_bad: str = "fail") -> DataFrame:

@@ -401,3 +401,35 @@ def test_leaf_masks_equal_case_expressions_to_the_bit(spark, sales):
                     for e in ("sql", "masks"))
             assert a == b
     assert max(len(t.leaves) for t in BoostTrainer(cases[1][2], features_col="x").fit(hard).trees) > 64
+
+
+def _ks():
+    """Greatest distance between the score distributions of the two classes, on 1,000 bins."""
+    import numpy as np
+    from tabfit.functions.metrics import StateMetric
+
+    def update(s, p, y):
+        at = np.clip((p * 1000).astype(int), 0, 999)
+        return s + np.stack([np.bincount(at[y == k], minlength=1000) for k in (0, 1)])
+
+    def finish(s):
+        c = np.cumsum(s, axis=1) / np.maximum(s.sum(axis=1, keepdims=True), 1)
+        return float(np.abs(c[0] - c[1]).max())
+    return StateMetric("ks", lambda: np.zeros((2, 1000), dtype=int), update, lambda a, b: a + b, finish, True, "probability")
+
+
+def test_state_metric_each_round(spark, sales):
+    import numpy as np
+    from tabfit.operators.evaluate import evaluate
+    ks = _ks()
+    train, test = hash_split(sales, "rowId", 0.8)
+    p = BoostParams(objective="binary:logistic", num_round=2, eta=0.5, max_depth=3)
+    m = BoostTrainer(p, metric=ks).fit(train, watches={"test": test})
+    assert [(r, s, n) for r, s, n, _ in m.history] == [(r, s, "ks") for r in (0, 1) for s in ("test", "train")]
+    scored = m.transform(test)
+    rows = scored.select("probability", "label").toPandas()
+    state = ks.update(ks.init(), rows["probability"].to_numpy(), rows["label"].to_numpy())
+    assert m.history[2][3] == pytest.approx(ks.finish(state))
+    got = evaluate(scored.repartition(7), ks, "probability", "label", set_name="held out").collect()
+    assert [tuple(r) for r in got] == [("held out", "ks", pytest.approx(ks.finish(state)))]
+    assert np.isfinite(got[0]["value"])

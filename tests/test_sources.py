@@ -134,3 +134,17 @@ def test_sparse_libsvm_equals_the_dense_one(spark, write_text):
     assert sorted(sparse.select("label", vector_to_array("features").alias("a")).collect()) == sorted(dense.collect())
     with pytest.raises(Exception, match="libsvm index outside"):
         read_libsvm(spark, write_text("b.txt", "1 3:2 200:5\n"), 129, index_base=0, sparse=True).collect()
+
+
+def test_one_pass_report(spark, write_text, tmp_path):
+    from tabfit.sources.csv import stage_csv
+    path = write_text("census_once.csv", G4)
+    got = stage_csv(spark, path, CENSUS, line_numbers=True)
+    assert got.counts == {"good": 2, "bad": 2}
+    two = read_csv(spark, path, CENSUS, on_bad="quarantine", line_numbers=True)
+    assert sorted(got.good.collect()) == sorted(two.good.collect())
+    assert sorted(map(str, got.bad.collect())) == sorted(map(str, two.bad.collect()))
+    # what is read now is the written table, not the text
+    assert all("census_once" not in f and f.endswith(".parquet") for f in got.good.inputFiles() + got.bad.inputFiles())
+    none = stage_csv(spark, write_text("none.csv", "\n"), CENSUS)
+    assert none.counts == {"good": 0, "bad": 0} and none.good.count() == none.bad.count() == 0
