@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabfit.llm.common import materialise, table, text_or_empty, words_of
+from tabfit.llm.common import join_spread, materialise, table, text_or_empty, words_of
 
 MIN_WORDS = 50
 _LINE = r"[^ \t\x0B\f\r]"
@@ -67,6 +67,11 @@ def _covered_runs(active: DataFrame, min_words: int) -> DataFrame:
             .distinct())
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The classes ``c`` with more than one row, and how many they have (``n``)."""
+    return materialise(rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+
+
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """The lines to delete, as ranges: ``id, th`` (the document: its key and the
@@ -78,19 +83,20 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     if min_words < 1:
         raise ValueError("min_words must be at least 1")
     d = materialise(_documents(docs, key, text).where(F.size("lines") > 0), "lines")
+    # the first document of every text, found by its own key: no text, however common, is one key
     texts = d.groupBy("th", "len").agg(F.min(F.struct("id")).alias("first"))
+    texts = materialise(texts.select(F.col("first.id").alias("fid"), F.col("th").alias("fth"), F.col("len").alias("flen")), "texts")
+    is_first = F.col("id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")) & (F.col("len") == F.col("flen"))
     words = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["w"])
     copies = (d.select("id", "th", "len", words.alias("words"), F.size("lines").alias("n"))
-              .where(F.col("words") >= min_words).join(texts, ["th", "len"])
-              .where(~F.col("id").eqNullSafe(F.col("first.id")))
+              .where(F.col("words") >= min_words).join(texts, is_first, "left_anti")
               .select("id", "th", F.col("n").cast("long").alias("n_removed")).distinct())
 
-    firsts = (d.join(texts.select("th", "len", F.col("first.id").alias("fid")), ["th", "len"])
-              .where(F.col("id").eqNullSafe(F.col("fid"))).dropDuplicates(["id", "th"]))
+    firsts = d.join(texts, is_first, "left_semi").dropDuplicates(["id", "th"])
     every = firsts.select("id", "th", F.posexplode("lines").alias("idx", "l")).select(
         "id", "th", "idx", F.col("l.h").alias("c"), F.col("l.w").alias("w"), F.col("l.no").alias("no"))
-    twice = every.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c")
-    active = materialise(every.join(twice, "c"), "active-lines")
+    every = materialise(every, "every-line")
+    active = materialise(join_spread(every, _repeated(every), "c", "n").drop("n"), "active-lines")
 
     runs = materialise(_covered_runs(active, min_words), "runs")
     longest = runs.agg(F.max("n")).first()[0] or 0
@@ -102,8 +108,9 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
         there = Window.partitionBy("id", "th").orderBy("idx").rangeBetween(step, step)
         pairs = depth.withColumn("c2", F.max("c").over(there)).where("c2 is not null")
         pairs = pairs.select("id", "th", "idx", F.xxhash64("c", "c2").alias("c"))
-        kept = pairs.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c")
-        depth = materialise(pairs.join(kept, "c").select("id", "th", "idx", "c"), "suffix-classes")
+        pairs = materialise(pairs, "suffix-pairs")
+        depth = join_spread(pairs, _repeated(pairs), "c", "n").select("id", "th", "idx", "c")
+        depth = materialise(depth, "suffix-classes")
         level += 1
         levels.append(depth.withColumn("k", F.lit(level)))
     classes = levels[0]
@@ -125,9 +132,11 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     r = look(look(r, "start", "ca"), "tail", "cb")
     r = r.select("id", "th", "start", "n", F.xxhash64("n", "ca", "cb").alias("run"))
     r = materialise(r, "run-classes")
-    place = F.struct("id", "th", "start")
-    origin = r.groupBy("run").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    later = r.join(origin, "run").where(place > F.col("origin"))
+    # the first place of every run; all other places, found by their own key, are later ones
+    origin = r.groupBy("run").agg(F.min(F.struct("id", "th", "start", "n")).alias("o")).select(
+        F.col("o.id").alias("i2"), F.col("o.th").alias("t2"), F.col("o.start").alias("s2"), F.col("o.n").alias("n2"))
+    later = r.join(origin, F.col("id").eqNullSafe(F.col("i2")) & (F.col("th") == F.col("t2"))
+                   & (F.col("start") == F.col("s2")) & (F.col("n") == F.col("n2")), "left_anti")
     gone = later.select("id", "th", F.explode(F.sequence(
         F.col("start"), F.col("start") + F.col("n") - 1)).alias("idx")).distinct()
     own = active.select(F.col("id").alias("i2"), F.col("th").alias("t2"), F.col("idx").alias("x2"), "no")
