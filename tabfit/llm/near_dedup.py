@@ -80,7 +80,9 @@ def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(shingles: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
-    """MinHash values (upper 32 bits of the least 64-bit value of each function)."""
+    """MinHash values: 16 bits of the least 64-bit value of each function, below its leading
+    zeros.  Different values agree in them once in 65,536 times, which can only let a
+    pair through to the next check."""
     out = np.full(len(mult), np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), _SLICE):
         part = shingles[at:at + _SLICE]
@@ -88,7 +90,7 @@ def signature(shingles: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.nda
             v = part[None, :] * mult[k:k + 16, None]
             v += add[k:k + 16, None]
             out[k:k + 16] = np.minimum(out[k:k + 16], v.min(axis=1))
-    return (out >> np.uint64(32)).astype("<u4")
+    return (out >> np.uint64(24) & np.uint64(0xFFFF)).astype("<u2")
 
 
 def least_matches(threshold: float, miss: float, total: int, batch: int = BATCH) -> dict[int, int]:
@@ -117,7 +119,7 @@ def survivors(a: np.ndarray, b: np.ndarray, least: dict[int, int]) -> np.ndarray
 
 
 def _as_matrix(blobs, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), dtype="<u4").reshape(-1, width)
+    return np.frombuffer(b"".join(blobs), dtype="<u2").reshape(-1, width)
 
 
 def sketches(docs: DataFrame, key: str, text: str, words: int, bands: int, rows: int) -> DataFrame:
@@ -355,7 +357,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     least = least_matches(percent / 100, miss, width)
 
     keyed = reps.select("id", F.inline(F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(
-        F.lit(i), F.substring("sig", 4 * rows * i + 1, 4 * rows)).alias("bucket")) for i in range(bands)])))
+        F.lit(i), F.substring("sig", 2 * rows * i + 1, 2 * rows)).alias("bucket")) for i in range(bands)])))
     shared = keyed.groupBy("bucket").agg(
         F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
     shared = materialise(shared, "shared-buckets")
