@@ -13,6 +13,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 #: query -> what its rows must satisfy (a list of dicts)
 BY_ROUND = {"train_watch": 100, "train_watch_rmsle": 100, "train_watch_multiclass": 10}
+#: share of right predictions on the rows that the model was trained on
+ON_TRAINING_ROWS = {"tune_sales_scored": 0.6, "tune_sales_pipeline": 0.6, "train_softprob": 0.5}
 GRIDS = {"tune_tvs": 4, "tune_census_lambda": 4, "tune_passenger_margin": 4, "tune_libsvm_depth": 4}
 
 
@@ -70,9 +72,9 @@ def test_model_queries(spark, name):
         best = [r for r in rows if r["is_best"]]
         assert len(rows) == GRIDS[name] and len(best) == 1
         assert best[0]["validation_auc"] == max(r["validation_auc"] for r in rows)
-    if rows[0].get("label") is not None and "prediction" in rows[0] and name != "train_regression":
+    if name in ON_TRAINING_ROWS:
         right = sum(float(r["label"]) == r["prediction"] for r in rows) / len(rows)
-        assert right > 0.5 or name == "train_softprob" and right > 0.2
+        assert right > ON_TRAINING_ROWS[name]
     if name == "model_dump":
         leaves = [r for r in rows if r["is_leaf"]]
         assert len({r["tree"] for r in rows}) == 20 and len(leaves) == len(rows) - len(leaves) + 20
