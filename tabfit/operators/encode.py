@@ -246,7 +246,7 @@ class OneHotModel:
                 arr = F.array().cast("array<double>")
             else:
                 arr = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                                  lambda i, h=h: F.when(i.cast("double") == h, 1.0).otherwise(0.0))
+                                  lambda i: F.when(i.cast("double") == h, 1.0).otherwise(0.0))
             out = out.withColumn(c + suffix, arr)
         return out.drop(*helpers)
 
