@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -433,3 +434,62 @@ def test_state_metric_each_round(spark, sales):
     got = evaluate(scored.repartition(7), ks, "probability", "label", set_name="held out").collect()
     assert [tuple(r) for r in got] == [("held out", "ks", pytest.approx(ks.finish(state)))]
     assert np.isfinite(got[0]["value"])
+
+
+def test_a_level_is_one_short_job(spark, sales, monkeypatch):
+    """Pages in several tasks: a level of a bounded histogram, and the metric of a round, are
+    one job each; a larger histogram is shuffled and gives the same trees."""
+    from dataclasses import replace
+    from tabfit.operators import boosting
+    p = BoostParams(objective="binary:logistic", num_round=3, max_depth=4, reg_lambda=0.5)
+    tr = BoostTrainer(p, id_col="rowId")
+    prep = tr.prepare(sales)
+    halves = [_requantised(tr, sales.where(f"rowId % 2 = {i}"), prep.edges) for i in (0, 1)]
+    both = replace(prep, state=halves[0].unionByName(halves[1]).repartition(2), parts=2)
+    sc = spark.sparkContext
+    fits, stages = [], []
+    for limit in (boosting.COLLECTED_SLOTS, 0):
+        monkeypatch.setattr(boosting, "COLLECTED_SLOTS", limit)
+        sc.setJobGroup(f"levels-{limit}", "")
+        fits.append(tr.fit_prepared(both, track=True))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker = sc.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"levels-{limit}")]
+        stages.append((len(jobs), max(len(j.stageIds) for j in jobs)))
+    # four levels of three rounds, three metrics, and one job that reads the pages
+    assert stages[0][0] <= 16 and stages[0][1] <= 2
+    assert _shape(fits[0]) == _shape(fits[1])
+    assert _leaves(fits[0]) == pytest.approx(_leaves(fits[1]), rel=1e-9, abs=1e-12)
+    assert [h[3] for h in fits[0].history] == pytest.approx([h[3] for h in fits[1].history], rel=1e-9)
+    prep.release()
+
+
+@pytest.mark.parametrize("name", ["rmsle", "logloss", "error", "rmse"])
+def test_array_terms_of_a_metric_equal_its_column(spark, name):
+    import math
+    from tabfit.functions.metrics import METRICS
+    m, nan = METRICS[name], float("nan")
+    cases = [[(0.2, 0.0), (0.7, 1.0), (1.0, 0.0)], [(0.0, 1.0), (-3.0, 0.5)], [(nan, 1.0), (0.3, 0.0)], [(0.3, nan)],
+             [(0.5, -1.0), (0.4, 0.0)], [(0.5, -2.0)]]
+    for i, rows in enumerate(cases):
+        want = spark.createDataFrame(rows, "p double, y double").agg(m("p", "y").cast("double").alias("v")).first()["v"]
+        pred, y = (np.array(c) for c in zip(*rows))
+        terms = m.terms(pred, y)
+        got = m.finish(terms.sum(), len(terms))
+        assert got == pytest.approx(want, rel=1e-12) or math.isnan(got) and math.isnan(want), (name, i, got, want)
+
+
+def test_bins_of_a_byte_and_of_two(spark):
+    from tabfit.operators.pages import Bins
+    assert Bins([[1.0] * 254]).kind == "<u1" and Bins([[1.0] * 255]).kind == "<u2"
+    df = spark.range(3000).select("id", F.array((F.col("id") % 700).cast("double"), (F.col("id") % 7).cast("double")).alias("x"),
+                                  (F.col("id") % 700 > 300).cast("double").alias("label"))
+    for bins, kind in ((64, "<u1"), (1024, "<u2")):
+        tr = BoostTrainer(BoostParams(num_round=2, max_depth=3, max_bins=bins), features_col="x")
+        prep = tr.prepare(df)
+        assert prep.bins().kind == kind
+        model, state = tr.fit_prepared(prep, keep_state=True)
+        got = sorted(r["m"][0] for r in state_rows(state, prep.n_feat).collect())
+        assert got == pytest.approx(sorted(r["margin"] for r in model.transform(df).collect()), abs=1e-12)
+        state.unpersist()
+        prep.release()

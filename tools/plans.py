@@ -56,14 +56,13 @@ def main() -> None:
     splits = {n: sp for n, sp in model.trees[0].splits.items() if n < 3}
     level = Level(31, 0, 1, [np.zeros(1)], ["binary:logistic"], [0], [1.0], [Growing(0, splits, np.arange(3, 7))])
     bins = prep.bins()
-    hist = prep.state.mapInArrow(lambda b: pages.histograms(b, level, bins), pages.HIST_SCHEMA)
-    best = hist.repartition("t").mapInArrow(
-        lambda b: pages.best_splits(b, 31, 1, [1.0], [1.0]), pages.BEST_SCHEMA)
+    hist = prep.state.rdd.map(tuple).mapPartitions(lambda x: pages.histograms(x, level, bins))
+    best = hist.partitionBy(2).mapPartitions(lambda x: pages.best_splits(x, bins, 31, 1, [1.0], [1.0]))
     best.collect()
     out += ["## One tree level", "",
             "The cached pages are scanned; a task adds up its histogram with numpy and returns at most",
             "one row per node, feature and bin; one exchange by node; the split search runs in the",
-            "tasks and returns one row per open node.", "", "```", plan_text(best), "```", ""]
+            "tasks and returns one row per open node.", "", "```", best.toDebugString().decode(), "```", ""]
     prep.release()
 
     scored = model.transform(frame).select("rowId", "probability", "prediction")
