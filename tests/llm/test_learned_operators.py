@@ -183,6 +183,36 @@ def test_pii_awkward_rows(spark, tagger):
     assert pii.find_pii(df.where("false"), tagger).count() == 0
 
 
+def test_every_character_is_read(spark, tagger):
+    """The network gets every character of every text, also where no trigger is near."""
+    read = []
+
+    class Reading(pii.Tagger):
+        def emissions(self, codes, keep=None):
+            read.append(codes)
+            return super().emissions(codes, keep)
+
+    seen = Reading()
+    seen.p = tagger.p
+    text = "plain words only " * 40
+    pii.model_spans([text, "", "short"], seen)
+    assert sum(c.size for c in read) >= len(text) + 5
+    # an address in words without any trigger reaches the model through find_pii and redact as well
+    masked = "call john or mail john at site.com " + "and more words " * 30
+    df = spark.createDataFrame([(1, masked), (2, None)], "doc_id long, text string")
+    want = pii.model_spans([masked], tagger)[0]
+    rows = {r["doc_id"]: r for r in pii.find_pii(df, tagger).collect()}
+    assert rows[1]["spans"] == pii.joined(want) and rows[2]["spans"] == ""
+    assert [(r["doc_id"], r["text"] is None) for r in pii.redact(df, tagger).orderBy("doc_id").collect()] == [(1, False), (2, True)]
+
+
+def test_windows_and_batches_do_not_change_tags(tagger):
+    r = np.random.default_rng(5)
+    texts = ["word " * int(r.integers(1, 300)) + pii._variant(r, ["alice", "bob"])[0] + " more" * int(r.integers(200)) for _ in range(12)]
+    alone = [pii.model_spans([t], tagger)[0] for t in texts]
+    assert pii.model_spans(texts, tagger) == alone
+
+
 # --- sampled segmentations ----------------------------------------------------------
 
 @pytest.fixture(scope="module")
