@@ -206,6 +206,16 @@ def test_every_character_is_read(spark, tagger):
     assert [(r["doc_id"], r["text"] is None) for r in pii.redact(df, tagger).orderBy("doc_id").collect()] == [(1, False), (2, True)]
 
 
+def test_trimmed_spans_hold_what_their_kind_needs():
+    def cut(text, kind):
+        lo, hi = pii._trimmed(text, kind, 0, len(text))
+        return text[lo:hi]
+    assert cut("x x +1 (743) 555-3824 y", "phone") == "+1 (743) 555-3824"
+    assert cut("call seven three one now", "phone") == "seven three one"
+    assert cut("some words only", "card") == "" and cut("at at at at", "email") == ""
+    assert cut("john at site dot com", "email") == "john at site dot com" and cut("a.7 @ b.com", "email") == "a.7 @ b.com"
+
+
 def test_windows_and_batches_do_not_change_tags(tagger):
     r = np.random.default_rng(5)
     texts = ["word " * int(r.integers(1, 300)) + pii._variant(r, ["alice", "bob"])[0] + " more" * int(r.integers(200)) for _ in range(12)]
