@@ -183,6 +183,75 @@ def test_pii_awkward_rows(spark, tagger):
     assert pii.find_pii(df.where("false"), tagger).count() == 0
 
 
+def test_stretches_hold_the_best_sequence(tagger):
+    """The tags of stretches are those of the whole text, also with models that join spans and at text edges."""
+    r = np.random.default_rng(21)
+
+    def whole(model, em):
+        tr = (model.p["trans"] + pii._ILLEGAL).astype(np.float64)
+        best, back = em[0] + pii._ILLEGAL[0], []
+        for e in list(em[1:]) + [np.r_[0.0, np.full(pii.TAGS - 1, -1e6)]]:
+            v = best[:, None] + tr
+            back.append(v.argmax(0))
+            best = v.max(0) + e
+        tag, out = 0, []
+        for b in reversed(back):
+            tag = b[tag]
+            out.append(tag)
+        return out[::-1]
+
+    def score(model, em, tags):
+        tr = (model.p["trans"] + pii._ILLEGAL).astype(np.float64)
+        return (em[np.arange(len(em)), tags].sum(dtype=np.float64) + pii._ILLEGAL[0][tags[0]]
+                + sum(tr[a, b] for a, b in zip(tags, [*tags[1:], 0])))
+
+    spans = adjacent = 0
+    for trial in range(60):
+        m = pii.Tagger()
+        m.p = dict(tagger.p)
+        if trial % 2:
+            m.p["trans"] = r.normal(size=(pii.TAGS, pii.TAGS)).astype(np.float32) * 2
+        seqs = [r.normal(size=(int(n), pii.TAGS)).astype(np.float32) * 3 for n in r.integers(0, 60, 5)]
+        for e in seqs:
+            e[:, 0] += 5
+        for e, (tags, _) in zip(seqs, m.decode(seqs)):
+            if len(e):
+                assert score(m, e, tags) >= score(m, e, whole(m, e.astype(np.float64))) - 1e-3
+                spans += int((tags % 2).sum())
+                adjacent += int(((tags[1:] % 2 == 1) & (tags[:-1] > 0)).sum())
+    assert spans > 50 and adjacent > 5
+
+
+def test_most_of_a_text_needs_no_decoding(tagger):
+    """Characters over which no span can win are not decoded, all others are."""
+    m = pii.Tagger()
+    m.p = dict(tagger.p, bias=tagger.p["bias"] + np.eye(pii.TAGS, dtype=np.float32)[0] * 4)
+    text = "plain words and more of them " * 60
+    em = pii._emissions([text + "call (743) 555-3824 " + text], m)
+    parts = m._open_parts(em[0], np.array([len(em[0])]))
+    assert sum(hi - lo for lo, hi, _ in parts) < len(em[0]) / 4
+    assert all(any(lo <= at < hi for lo, hi, _ in parts) for at in np.flatnonzero(m.decode(em)[0][0]))
+
+
+def test_fast_network_equals_the_one_of_training(tagger):
+    codes = np.random.default_rng(5).integers(0, pii.CHARS, (pii.BLAS_ROWS + 9, 50))
+    np.testing.assert_allclose(tagger.emissions(codes), tagger.emissions(codes, {}), atol=2e-4)
+
+
+def test_sample_is_that_of_all_texts(spark, tagger, monkeypatch):
+    """The training texts are the first by their hash, whatever share of the texts was looked at."""
+    monkeypatch.setattr(pii, "SAMPLE_TEXTS", 3)
+    seen = []
+    monkeypatch.setattr(pii, "training_windows", lambda texts: seen.append(texts) or (np.zeros((1, 8), int), np.zeros((1, 8), int)))
+    df = spark.createDataFrame([(i, f"no {i}" if i % 20 == 0 else "none") for i in range(400)], "doc_id long, text string")
+    first = [r["text"] for r in df.where("doc_id % 20 = 0").orderBy(F.xxhash64(F.col("doc_id").cast("string"))).limit(3).collect()]
+    for rows in (df, df.limit(25)):
+        pii.fit(rows)
+    assert sorted(seen[0]) == sorted(first) and len(seen[1]) <= 3
+    pii.fit(df.where("text = 'none'"))
+    assert seen[2] == []
+
+
 def test_every_character_is_read(spark, tagger):
     """The network gets every character of every text, also where no trigger is near."""
     read = []
