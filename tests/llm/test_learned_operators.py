@@ -275,6 +275,33 @@ def test_every_character_is_read(spark, tagger):
     assert [(r["doc_id"], r["text"] is None) for r in pii.redact(df, tagger).orderBy("doc_id").collect()] == [(1, False), (2, True)]
 
 
+def test_masking_a_batch_takes_room_for_its_texts_only(spark, tagger):
+    """Not for as many texts as long as the longest: a batch of 3,000 rows with one text of 100,000 characters."""
+    import tracemalloc
+
+    import pandas as pd
+    parts = pd.Series(["a b"] * 3000, index=range(5, 3005))
+    parts[5], parts[6], parts[7] = "word " * 20_000, None, ""
+    seen = []
+
+    def clean(texts):
+        seen.extend(texts)
+        return [t.upper() for t in texts]
+
+    tracemalloc.start()
+    out = pii._replaced(parts, clean)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20e6  # a list put into the Series took 1,200 MB
+    assert out[5] == "WORD " * 20_000 and out[6] is None and out[7] == "" and set(out[8:]) == {"A B"}
+    assert len(seen) == 2999 and list(out.index) == list(parts.index)
+    none = pii._replaced(pd.Series([None, None], dtype=object), clean)
+    assert none.tolist() == [None, None] and pii._replaced(pd.Series([], dtype=object), clean).tolist() == []
+    df = spark.createDataFrame([(i, None if i == 1 else "mail bob@site.com") for i in range(600)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["text"] for r in pii.redact(df.coalesce(1), tagger).collect()}
+    assert rows.pop(1) is None and set(rows.values()) == {"mail [EMAIL]"}
+
+
 def test_trimmed_spans_hold_what_their_kind_needs():
     def cut(text, kind):
         lo, hi = pii._trimmed(text, kind, 0, len(text))
