@@ -493,3 +493,84 @@ def test_bins_of_a_byte_and_of_two(spark):
         assert got == pytest.approx(sorted(r["margin"] for r in model.transform(df).collect()), abs=1e-12)
         state.unpersist()
         prep.release()
+
+
+def _random_page(r, count, n, kind="u1", missing=0.1):
+    code = np.stack([np.where(r.random(n) < missing, c + 1, r.integers(0, c + 1, n)) for c in count]).astype(kind)
+    return ("train", n, r.integers(-9, 9, n).astype("<i8").tobytes(), (r.random(n) < 0.4).astype("<f8").tobytes(),
+            r.normal(size=n).astype("<f8").tobytes(), code.tobytes(), None, None)
+
+
+@pytest.mark.parametrize("objective,share", [("binary:logistic", 1.0), ("binary:logistic", 0.5), ("reg:squarederror", 1.0)])
+def test_features_counted_together_give_the_sums_of_each(objective, share, monkeypatch):
+    """The histogram of every node, feature and bin equals a count row by row; a level of 14 features
+    needs a count over the rows for some groups of them, not three for each feature."""
+    from tabfit.operators import pages
+    r = np.random.default_rng(3)
+    count = [49, 2, 64, 4, 6, 2, 6, 0, 8, 1, 10, 8, 11, 300 if share < 1 else 6]
+    bins = pages.Bins([[float(i) for i in range(c)] for c in count])
+    records = [_random_page(r, count, n, "u1" if bins.kind == "<u1" else "u2") for n in (900, 1, 700)]
+    splits = {0: (0, 20, 0.0, 0.0, 0.0, False), 1: (2, 30, 0.0, 0.0, 0.0, True), 2: (10, 4, 0.0, 0.0, 0.0, False)}
+    passes = []
+    real = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: (passes.append(1), real(*a, **k))[1])
+    for known, opened in (({}, [0]), ({0: splits[0]}, [1, 2]), (splits, [3, 4, 6]), (splits, [5])):
+        level = pages.Level(15, 2, 1, [np.zeros(1)], [objective], [7], [share], [pages.Growing(0, known, np.array(opened))])
+        del passes[:]
+        got = {t: v for t, v in pages.histograms(records, level, bins)}
+        assert len(passes) <= 3 * 10  # three pages; before: 3 * 14 and 3 a page
+        want = {}
+        for record in records:
+            page = pages.page_of(record, len(count))
+            g, h = pages.gradients(objective, page.m, page.y)
+            node, ok = pages.route(page, known, bins, {}), pages.sampled(page.rid, 2, 7, share)
+            for i in range(page.n):
+                if int(node[i]) not in opened or ok is not None and not ok[i]:
+                    continue
+                sums, slots = want.setdefault(int(node[i]), (np.zeros(3), {}))
+                v = np.array([g[0][i], h[0][i], 1.0])
+                sums += v
+                for f, c in enumerate(count):
+                    if page.bins[f][i] <= c:
+                        slots[int(bins.slot[f]) + int(page.bins[f][i])] = slots.get(int(bins.slot[f]) + int(page.bins[f][i]), 0.0) + v
+        assert set(got) == set(want)
+        for t, (G, H, n, slot, g, h, rows) in got.items():
+            sums, slots = want[t]
+            assert (G, H, n) == pytest.approx(tuple(sums), rel=1e-12)
+            assert slot.tolist() == sorted(slots)
+            assert np.array([g, h, rows]).T == pytest.approx(np.array([slots[s] for s in slot.tolist()]), rel=1e-9, abs=1e-12)
+
+
+def test_masks_and_tables_lead_to_the_same_node():
+    from tabfit.operators import pages
+    r = np.random.default_rng(8)
+    count = [5, 12, 3]
+    bins = pages.Bins([[float(i) for i in range(c)] for c in count])
+    page = pages.page_of(_random_page(r, count, 500), 3)
+    for _ in range(20):
+        splits, level = {}, [0]
+        while level:
+            k = level.pop()
+            if k < 31 and r.random() < 0.8:
+                f = int(r.integers(3))
+                splits[k] = (f, int(r.integers(count[f] + 1)), 0.0, 0.0, 0.0, bool(r.integers(2)))
+                level += [2 * k + 1, 2 * k + 2]
+        number = r.integers(0, 200, 70)
+        assert (pages.numbered(page, splits, bins, {}, number) == number[pages.route(page, splits, bins, {})]).all()
+
+
+def test_pages_are_joined_while_trees_grow(monkeypatch):
+    from tabfit.operators import pages
+    r = np.random.default_rng(9)
+    monkeypatch.setattr(pages, "GROWING_ROWS", 100)
+    small = [("ab"[i % 2], *_random_page(r, [4, 7], 30)[1:4], None, *_random_page(r, [4, 7], 30)[5:]) for i in range(11)]
+    for with_id in (True, False):
+        out = list(pages.merged(iter(small), 2, with_id))
+        assert [x[:2] for x in out] == [("a", 120), ("b", 120), ("a", 60), ("b", 30)]
+        for name in "ab":
+            old = [pages.page_of(x, 2) for x in small if x[0] == name]
+            new = [pages.page_of(x, 2) for x in out if x[0] == name]
+            assert (np.concatenate([p.bins for p in old], axis=1) == np.concatenate([p.bins for p in new], axis=1)).all()
+            assert (np.concatenate([p.y for p in old]) == np.concatenate([p.y for p in new])).all()
+            ids = np.concatenate([p.rid for p in new])
+            assert (ids == (np.concatenate([p.rid for p in old]) if with_id else 0)).all()
