@@ -574,3 +574,19 @@ def test_pages_are_joined_while_trees_grow(monkeypatch):
             assert (np.concatenate([p.y for p in old]) == np.concatenate([p.y for p in new])).all()
             ids = np.concatenate([p.rid for p in new])
             assert (ids == (np.concatenate([p.rid for p in old]) if with_id else 0)).all()
+
+
+def test_dense_rows_are_paged_without_a_column_of_nulls(sales, monkeypatch):
+    seen = []
+
+    def asked(self, f, schema, *a, **k):
+        seen.append(self.columns)
+        return mapped(self, f, schema, *a, **k)
+
+    kind = type(sales)
+    mapped = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", asked)
+    tr = BoostTrainer(BoostParams(num_round=1), id_col="rowId")
+    prep = tr.prepare(sales)
+    assert seen == [["set", "rid", "y", "val"]]
+    prep.release()
