@@ -574,6 +574,10 @@ def test_pages_are_joined_while_trees_grow(monkeypatch):
             assert (np.concatenate([p.y for p in old]) == np.concatenate([p.y for p in new])).all()
             ids = np.concatenate([p.rid for p in new])
             assert (ids == (np.concatenate([p.rid for p in old]) if with_id else 0)).all()
+    monkeypatch.setattr(pages, "CHUNK", 2 * 50)  # pages of many features stay small
+    assert [x[1] for x in pages.merged(iter(small), 2, True) if x[0] == "a"] == [60, 60, 60]
+    wide = pages.Joint(pages.Bins([[1.0] * 60] * 3000), 4, 1)
+    assert sorted(f for features, *_ in wide.groups for f in features) == list(range(3000))
 
 
 def test_dense_rows_are_paged_without_a_column_of_nulls(sales, monkeypatch):
